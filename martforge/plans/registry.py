@@ -11,9 +11,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import functions as fx
+from ..operators import clean as cl
+from ..operators import dedup, filters, keys, maintain, outliers, quality, star
+from ..schemas import (KEYS, MISSING_TOKENS, ORDER_TIMESTAMP_COLUMNS, PRODUCT_NUMERIC_COLUMNS,
+                       RAW_CUSTOMERS, STAGE_COLUMNS, STAGE_TABLES, VARCHAR_BOUNDS)
+from ..session import new_work_dir
+from ..sources import csv as csv_io
+from ..sources.staging import load_staging
 from . import oracle
+from .batches import TwoBatches
 from .context import Layers
+from .oracle import PRODUCT_NUM, TS, _comma, _dec, _title_strip, _zfill
+from .pipeline import rebuild_star, run
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -29,28 +41,365 @@ def register(name: str, oracle_body: str | None = None):
     return deco
 
 
-# ------------------------------------------------------------ cleaning jobs
-@register("clean_customers", "SELECT * FROM clean_customers_v")
-def _clean_customers(L: Layers) -> DataFrame:
-    return L.clean["customers"]
+def _union_all(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
 
 
-@register("clean_orders", "SELECT * FROM clean_orders_v")
-def _clean_orders(L: Layers) -> DataFrame:
-    return L.clean["orders"]
+RAW_COLS = {
+    "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
+                  "customer_state"],
+    "orders": STAGE_COLUMNS["orders"],
+    "products": ["product_id", "product_category_name"] + PRODUCT_NUMERIC_COLUMNS,
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+                    "price", "freight_value"],
+}
+RAW_VIEW = {k: f"raw_{k}" for k in RAW_COLS}
+CLEAN_VIEW = {k: f"clean_{k}_v" for k in RAW_COLS}
 
+# ==================================================== S1-S5 sources, sinks
+@register("csv_roundtrip", "SELECT customer_id, customer_unique_id, customer_zip_code_prefix, "
+          + ", ".join(f"CASE WHEN {c} IN ({', '.join(chr(39) + t + chr(39) for t in MISSING_TOKENS)}) THEN NULL ELSE {c} END AS {c}"
+                      for c in ["customer_city", "customer_state"])
+          + " FROM dedup_customers_v")
+def _csv_roundtrip(L: Layers) -> DataFrame:
+    """S2 then S1: raw customers written as CSV in file order, read back with
+    an explicit schema and a file-order column, then de-duplicated keep-first.
+    Padding blanks, apostrophes and the ZZ copies must survive the trip; the
+    missing-value tokens become NULL on reading, as with pandas defaults (so
+    the state code 'NA' is read as missing)."""
+    path = new_work_dir(L.spark, "csv") + "/raw_customers"
+    csv_io.write_csv(L.raw["customers"].orderBy("_ord", "customer_id").drop("_ord"), path)
+    back = csv_io.read_csv(L.spark, path, RAW_CUSTOMERS)
+    return dedup.keep_first(back, KEYS["customers"])
 
-@register("clean_products", "SELECT * FROM clean_products_v")
-def _clean_products(L: Layers) -> DataFrame:
-    return L.clean["products"]
 
+def _staged(L: Layers) -> dict[str, DataFrame]:
+    return load_staging(L.spark, L.clean)
 
-@register("clean_order_items", "SELECT * FROM clean_order_items_v")
-def _clean_order_items(L: Layers) -> DataFrame:
-    return L.clean["order_items"]
+
+@register("stage_customers", "SELECT * FROM clean_customers_v")
+def _stage_customers(L: Layers) -> DataFrame:
+    return load_staging(L.spark, {"customers": L.clean["customers"]})["customers"]
+
+
+@register("stage_orders", "SELECT * FROM clean_orders_v")
+def _stage_orders(L: Layers) -> DataFrame:
+    return load_staging(L.spark, {"orders": L.clean["orders"]})["orders"]
+
+
+@register("stage_products", "SELECT * FROM clean_products_v")
+def _stage_products(L: Layers) -> DataFrame:
+    return load_staging(L.spark, {"products": L.clean["products"]})["products"]
+
+
+@register("stage_order_revenue", "SELECT * FROM clean_order_items_v")
+def _stage_order_revenue(L: Layers) -> DataFrame:
+    return load_staging(L.spark, {"order_items": L.clean["order_items"]})["order_items"]
+
+
+@register("stage_insert_ignore", """
+SELECT * FROM b1_customers_v
+UNION ALL
+SELECT * FROM b2_customers_v b WHERE NOT EXISTS (SELECT 1 FROM b1_customers_v a WHERE a.customer_id = b.customer_id)""")
+def _stage_insert_ignore(L: Layers) -> DataFrame:
+    tb = TwoBatches(L)
+    return maintain.insert_ignore(tb.batch1["customers"], tb.batch2["customers"], KEYS["customers"])
+
+
+_STAR_COUNT_SQL = _union_all([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}_v"
+                              for t in ["dim_customers", "dim_products", "dim_date", "fact_orders"]])
+
+
+@register("star_row_counts", _STAR_COUNT_SQL)
+def _star_row_counts(L: Layers) -> DataFrame:
+    return quality.row_counts(L.star)
+
+
+# ======================================================= P1-P19 projections
+@register("clean_city", f"SELECT customer_id, _ord, {_title_strip('customer_city')} AS customer_city FROM raw_customers")
+def _clean_city(L: Layers) -> DataFrame:
+    r = L.raw["customers"]
+    return r.select("customer_id", "_ord", fx.title_case(fx.strip_blanks(F.col("customer_city"))).alias("customer_city"))
+
+
+@register("clean_zip", f"SELECT customer_id, _ord, {_zfill('CAST(customer_zip_code_prefix AS VARCHAR)')} AS customer_zip_code_prefix FROM raw_customers")
+def _clean_zip(L: Layers) -> DataFrame:
+    r = L.raw["customers"]
+    return r.select("customer_id", "_ord", fx.zero_fill(F.col("customer_zip_code_prefix"), 5).alias("customer_zip_code_prefix"))
+
+
+@register("parse_timestamps", "SELECT order_id, _ord, "
+          + ", ".join(f"try_strptime({c}, {TS}) AS {c}" for c in ORDER_TIMESTAMP_COLUMNS) + " FROM raw_orders")
+def _parse_timestamps(L: Layers) -> DataFrame:
+    r = L.raw["orders"]
+    return r.select("order_id", "_ord", *[fx.parse_timestamp(F.col(c)).alias(c) for c in ORDER_TIMESTAMP_COLUMNS])
+
+
+@register("repair_decimal_comma", "SELECT product_id, _ord, "
+          + ", ".join(f"{_comma(c)} AS {c}" for c in PRODUCT_NUM) + " FROM raw_products")
+def _repair_decimal_comma(L: Layers) -> DataFrame:
+    return cl.repair_product_numbers(L.raw["products"]).select("product_id", "_ord", *PRODUCT_NUMERIC_COLUMNS)
+
+
+@register("fill_category", "SELECT product_id, _ord, coalesce(product_category_name, 'unknown') AS product_category_name FROM raw_products")
+def _fill_category(L: Layers) -> DataFrame:
+    r = L.raw["products"]
+    return r.select("product_id", "_ord", fx.fill_default(F.col("product_category_name"), "unknown").alias("product_category_name"))
+
+
+@register("item_revenue", f"SELECT order_id, order_item_id, _ord, CAST({_dec('price')} + {_dec('freight_value')} AS DECIMAL(20,6)) AS revenue FROM raw_order_items")
+def _item_revenue(L: Layers) -> DataFrame:
+    r = cl.null_nans(L.raw["order_items"])
+    return r.select("order_id", "order_item_id", "_ord",
+                    fx.exact_revenue(fx.to_stage_decimal(F.col("price")),
+                                     fx.to_stage_decimal(F.col("freight_value"))).alias("revenue"))
+
+
+@register("nan_to_null", """SELECT order_id, order_item_id, _ord,
+  CASE WHEN isnan(price) THEN NULL ELSE price END AS price,
+  CASE WHEN isnan(freight_value) THEN NULL ELSE freight_value END AS freight_value FROM raw_order_items""")
+def _nan_to_null(L: Layers) -> DataFrame:
+    return cl.null_nans(L.raw["order_items"]).select("order_id", "order_item_id", "_ord", "price", "freight_value")
+
+
+_TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in MISSING_TOKENS)
+
+
+@register("normalise_missing", "SELECT "
+          + ", ".join(f"CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {c}" for c in RAW_COLS["orders"])
+          + ", _ord FROM raw_orders")
+def _normalise_missing(L: Layers) -> DataFrame:
+    return fx.normalise_missing(L.raw["orders"])
+
+
+# ============================================================ F1-F3 filters
+@register("filter_delivery_timeline", "SELECT * FROM (SELECT order_id, customer_id, order_status, "
+          + ", ".join(f"try_strptime({c}, {TS}) AS {c}" for c in ORDER_TIMESTAMP_COLUMNS)
+          + ", _ord FROM raw_orders) WHERE order_delivered_customer_date IS NULL OR order_delivered_customer_date >= order_purchase_timestamp")
+def _filter_delivery_timeline(L: Layers) -> DataFrame:
+    return filters.filter_delivery_timeline(cl.parse_order_timestamps(L.raw["orders"]))
+
+
+@register("filter_product_dims", "SELECT * FROM raw_products WHERE product_weight_g > 0 AND product_length_cm > 0 AND product_height_cm > 0 AND product_width_cm > 0")
+def _filter_product_dims(L: Layers) -> DataFrame:
+    return filters.filter_product_dims(cl.null_nans(L.raw["products"]))
+
+
+@register("filter_money", "SELECT * FROM raw_order_items WHERE price >= 0 AND freight_value >= 0")
+def _filter_money(L: Layers) -> DataFrame:
+    return filters.filter_money(cl.null_nans(L.raw["order_items"]))
+
+
+# ======================================================= D1-D2 de-duplication
+for _name in ["customers", "orders", "products", "order_items"]:
+    def _make(name):
+        @register(f"dedup_{name}", f"SELECT * FROM dedup_{name}_v")
+        def _q(L: Layers) -> DataFrame:
+            return dedup.keep_first(L.raw[name], KEYS[name])
+        return _q
+    _make(_name)
+
+
+# ================================================================ J1-J5 joins
+@register("join_items_orders", """
+SELECT oi.order_id, oi.order_item_id, oi.product_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+       oi.price, oi.freight_value
+FROM clean_order_items_v oi JOIN clean_orders_v o ON oi.order_id = o.order_id""")
+def _join_items_orders(L: Layers) -> DataFrame:
+    c = L.clean
+    items = c["order_items"].select("order_id", "order_item_id", "product_id", "price", "freight_value")
+    orders = c["orders"].select("order_id", "customer_id", "order_status", "order_purchase_timestamp")
+    return star.join_items_orders(items, orders)
+
+
+@register("orphan_facts", _union_all([
+    f"SELECT '{t}' AS parent_table, count(*) AS n_orphans FROM fact_orders_v f "
+    f"WHERE NOT EXISTS (SELECT 1 FROM {t}_v d WHERE d.{k} = f.{k})"
+    for t, k in [("dim_customers", "customer_key"), ("dim_products", "product_key"), ("dim_date", "date_key")]]))
+def _orphan_facts(L: Layers) -> DataFrame:
+    return quality.orphan_counts(L.fact_orders, {
+        "dim_customers": (L.dim_customers, "customer_key"),
+        "dim_products": (L.dim_products, "product_key"),
+        "dim_date": (L.dim_date, "date_key")})
+
+
+@register("fact_delete_matching", """
+SELECT * FROM fact_orders_v f
+WHERE EXISTS (SELECT 1 FROM b1_items_v b WHERE b.order_id = f.order_id AND b.order_item_id = f.order_item_id)""")
+def _fact_delete_matching(L: Layers) -> DataFrame:
+    return maintain.fact_rows_in_batch(L.fact_orders, TwoBatches(L).batch1["order_items"])
+
+
+# ========================================================= A1-A15 aggregates
+def _nulls_sql(view: str, table: str, cols: list[str]) -> str:
+    return _union_all([
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS pct_null FROM {view}"
+        for c in cols])
+
+
+@register("profile_nulls", _union_all(
+    [_nulls_sql(RAW_VIEW[k], RAW_VIEW[k], RAW_COLS[k]) for k in RAW_COLS]
+    + [_nulls_sql(CLEAN_VIEW[k], STAGE_TABLES[k], STAGE_COLUMNS[k]) for k in RAW_COLS]))
+def _profile_nulls(L: Layers) -> DataFrame:
+    frames = [quality.profile_nulls(L.raw[k], RAW_VIEW[k]) for k in RAW_COLS]
+    frames += [quality.profile_nulls(L.clean[k], STAGE_TABLES[k]) for k in RAW_COLS]
+    return quality._union(frames)
+
+
+@register("profile_duplicate_keys", _union_all([
+    f"SELECT '{RAW_VIEW[k]}' AS table_name, '{','.join(KEYS[k])}' AS key_columns, CAST(sum(c) AS BIGINT) AS n_rows, "
+    f"count(*) AS n_keys, CAST(sum(c - 1) AS BIGINT) AS n_duplicate_rows "
+    f"FROM (SELECT count(*) AS c FROM {RAW_VIEW[k]} GROUP BY {', '.join(KEYS[k])})" for k in RAW_COLS]))
+def _profile_duplicate_keys(L: Layers) -> DataFrame:
+    return quality._union([quality.profile_duplicate_keys(L.raw[k], RAW_VIEW[k], KEYS[k]) for k in RAW_COLS])
+
+
+@register("profile_duplicate_rows", _union_all([
+    f"SELECT '{RAW_VIEW[k]}' AS table_name, CAST(sum(c) AS BIGINT) AS n_rows, count(*) AS n_distinct_rows, "
+    f"CAST(sum(c - 1) AS BIGINT) AS n_duplicate_rows "
+    f"FROM (SELECT count(*) AS c FROM {RAW_VIEW[k]} GROUP BY ALL_COLS)".replace("ALL_COLS", ", ".join(RAW_COLS[k]))
+    for k in RAW_COLS]))
+def _profile_duplicate_rows(L: Layers) -> DataFrame:
+    return quality._union([quality.profile_duplicate_rows(L.raw[k], RAW_VIEW[k]) for k in RAW_COLS])
+
+
+@register("count_unique_customers", "SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS n_ids, "
+          "count(DISTINCT customer_unique_id) AS n_unique_ids FROM raw_customers")
+def _count_unique_customers(L: Layers) -> DataFrame:
+    return quality.count_unique(L.raw["customers"], "customer_id", "customer_unique_id")
+
+
+@register("status_distribution", "SELECT order_status, count(*) AS n_orders FROM clean_orders_v GROUP BY order_status")
+def _status_distribution(L: Layers) -> DataFrame:
+    return quality.status_distribution(L.clean["orders"])
+
+
+@register("zip_length_distribution", "SELECT CAST(length(CAST(customer_zip_code_prefix AS VARCHAR)) AS INTEGER) AS zip_digits, "
+          "count(*) AS n_customers FROM raw_customers GROUP BY 1")
+def _zip_length_distribution(L: Layers) -> DataFrame:
+    return quality.zip_length_distribution(L.raw["customers"])
+
+
+@register("order_cardinality", """
+SELECT count(*) AS n_orders, CAST(sum(n) AS BIGINT) AS n_items, count(*) FILTER (WHERE n > 1) AS n_orders_multi_item,
+       max(n) AS max_items, CAST(sum(n) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_items
+FROM (SELECT order_id, count(*) AS n FROM clean_order_items_v GROUP BY order_id)""")
+def _order_cardinality(L: Layers) -> DataFrame:
+    return quality.order_cardinality(L.clean["order_items"])
+
+
+@register("product_cardinality", """
+SELECT count(*) AS n_products, CAST(sum(i) AS BIGINT) AS n_items,
+       count(*) FILTER (WHERE i > 1) AS n_products_multi_item, count(*) FILTER (WHERE o > 1) AS n_products_multi_order,
+       max(i) AS max_items, max(o) AS max_orders, CAST(sum(i) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_items
+FROM (SELECT product_id, count(*) AS i, count(DISTINCT order_id) AS o FROM clean_order_items_v GROUP BY product_id)""")
+def _product_cardinality(L: Layers) -> DataFrame:
+    return quality.product_cardinality(L.clean["order_items"])
+
+
+@register("order_revenue", "SELECT order_id, count(*) AS n_items, CAST(sum(revenue) AS DECIMAL(22,6)) AS revenue "
+          "FROM clean_order_items_v GROUP BY order_id")
+def _order_revenue(L: Layers) -> DataFrame:
+    return quality.order_revenue(L.clean["order_items"])
+
+
+@register("profile_negatives", "SELECT count(*) AS n_rows, count(*) FILTER (WHERE price < 0) AS n_negative_price, "
+          "count(*) FILTER (WHERE freight_value < 0) AS n_negative_freight FROM raw_order_items")
+def _profile_negatives(L: Layers) -> DataFrame:
+    return quality.profile_negatives(cl.null_nans(L.raw["order_items"]))
+
+
+@register("profile_weight", "SELECT count(*) AS n_rows, count(*) FILTER (WHERE product_weight_g <= 0) AS n_non_positive_weight, "
+          "count(*) FILTER (WHERE product_weight_g IS NULL) AS n_null_weight FROM raw_products")
+def _profile_weight(L: Layers) -> DataFrame:
+    return quality.profile_weight(L.raw["products"])
+
+
+@register("profile_timeline", """
+SELECT count(*) AS n_rows,
+       count(*) FILTER (WHERE order_delivered_customer_date IS NOT NULL AND order_purchase_timestamp IS NOT NULL) AS n_with_both,
+       count(*) FILTER (WHERE order_delivered_customer_date < order_purchase_timestamp) AS n_delivered_before_purchase
+FROM parsed_orders_v""")
+def _profile_timeline(L: Layers) -> DataFrame:
+    return quality.profile_timeline(cl.parse_order_timestamps(L.raw["orders"]))
+
+
+@register("missing_delivery_by_status", """
+SELECT order_status, count(*) AS n_orders, count(*) FILTER (WHERE order_approved_at IS NULL) AS n_null_approved,
+       count(*) FILTER (WHERE order_delivered_carrier_date IS NULL) AS n_null_carrier,
+       count(*) FILTER (WHERE order_delivered_customer_date IS NULL) AS n_null_delivered
+FROM clean_orders_v GROUP BY order_status""")
+def _missing_delivery_by_status(L: Layers) -> DataFrame:
+    return quality.missing_delivery_by_status(L.clean["orders"])
+
+
+_MONEY_COLS = ["price", "freight_value"]
+
+
+@register("iqr_outliers", _union_all([
+    f"SELECT '{c}' AS column_name, (SELECT q1 FROM iqr_{c}_v) AS q1, (SELECT q3 FROM iqr_{c}_v) AS q3, "
+    f"(SELECT lower_bound FROM iqr_{c}_v) AS lower_bound, (SELECT upper_bound FROM iqr_{c}_v) AS upper_bound, "
+    f"count(*) FILTER (WHERE CAST({c} AS DOUBLE) < (SELECT lower_bound FROM iqr_{c}_v)) AS n_below, "
+    f"count(*) FILTER (WHERE CAST({c} AS DOUBLE) > (SELECT upper_bound FROM iqr_{c}_v)) AS n_above, "
+    f"count(*) FILTER (WHERE CAST({c} AS DOUBLE) < (SELECT lower_bound FROM iqr_{c}_v) "
+    f"OR CAST({c} AS DOUBLE) > (SELECT upper_bound FROM iqr_{c}_v)) AS n_outliers "
+    f"FROM clean_order_items_v" for c in _MONEY_COLS]))
+def _iqr_outliers(L: Layers) -> DataFrame:
+    return outliers.iqr_outliers(L.clean["order_items"], _MONEY_COLS)
+
+
+@register("iqr_filter", """
+SELECT i.* FROM clean_order_items_v i
+WHERE CAST(i.price AS DOUBLE) BETWEEN (SELECT lower_bound FROM iqr_price_v) AND (SELECT upper_bound FROM iqr_price_v)
+  AND CAST(i.freight_value AS DOUBLE) BETWEEN (SELECT lower_bound FROM iqr_freight_value_v) AND (SELECT upper_bound FROM iqr_freight_value_v)""")
+def _iqr_filter(L: Layers) -> DataFrame:
+    return outliers.iqr_filter(L.clean["order_items"], _MONEY_COLS)
+
+
+@register("iqr_cap", """
+SELECT i.* REPLACE (
+  least(greatest(CAST(i.price AS DOUBLE), (SELECT lower_bound FROM iqr_price_v)), (SELECT upper_bound FROM iqr_price_v)) AS price,
+  least(greatest(CAST(i.freight_value AS DOUBLE), (SELECT lower_bound FROM iqr_freight_value_v)), (SELECT upper_bound FROM iqr_freight_value_v)) AS freight_value)
+FROM clean_order_items_v i""")
+def _iqr_cap(L: Layers) -> DataFrame:
+    return outliers.iqr_cap(L.clean["order_items"], _MONEY_COLS)
+
+
+# ====================================================== K1-K9 keys and star
+@register("assign_surrogate_keys", "SELECT row_number() OVER (ORDER BY order_id) AS order_key, order_id FROM clean_orders_v")
+def _assign_surrogate_keys(L: Layers) -> DataFrame:
+    return keys.assign_surrogate_keys(L.clean["orders"].select("order_id"), "order_id", "order_key")
+
+
+@register("upsert_customers", "SELECT * FROM dim2c_v")
+def _upsert_customers(L: Layers) -> DataFrame:
+    return TwoBatches(L).dim_customers_2
+
+
+@register("upsert_products", "SELECT * FROM dim2p_v")
+def _upsert_products(L: Layers) -> DataFrame:
+    return TwoBatches(L).dim_products_2
+
+
+@register("insert_new_dates", """
+SELECT * FROM dim_date1_v
+UNION ALL
+SELECT * FROM dim_date_v d WHERE NOT EXISTS (SELECT 1 FROM dim_date1_v o WHERE o.date_key = d.date_key)""")
+def _insert_new_dates(L: Layers) -> DataFrame:
+    return TwoBatches(L).dim_date_2
+
+
+@register("fact_refresh", """
+SELECT * FROM fact1_v f
+WHERE NOT EXISTS (SELECT 1 FROM clean_order_items_v b WHERE b.order_id = f.order_id AND b.order_item_id = f.order_item_id)
+UNION ALL
+SELECT * FROM fact2_new_v""")
+def _fact_refresh(L: Layers) -> DataFrame:
+    return TwoBatches(L).fact_2
 
 
-# --------------------------------------------------------------------- star
 @register("dim_customers", "SELECT * FROM dim_customers_v")
 def _dim_customers(L: Layers) -> DataFrame:
     return L.dim_customers
@@ -71,8 +420,125 @@ def _fact_orders(L: Layers) -> DataFrame:
     return L.fact_orders
 
 
+@register("rebuild_star", _STAR_COUNT_SQL)
+def _rebuild_star(L: Layers) -> DataFrame:
+    staged = load_staging(L.spark, L.clean)
+    built = rebuild_star(staged, new_work_dir(L.spark, "star"))
+    return quality.row_counts(built)
+
+
+# ===================================================== Q1-Q8 quality checks
+_AUDIT_SQL = """
+SELECT check_name, CAST(n AS BIGINT) AS n_violations, n = 0 AS passed FROM (
+  SELECT 'orphan_customer' AS check_name, count(*) AS n FROM fact_orders_v f LEFT JOIN dim_customers_v d ON f.customer_key = d.customer_key WHERE d.customer_key IS NULL
+  UNION ALL SELECT 'orphan_product', count(*) FROM fact_orders_v f LEFT JOIN dim_products_v d ON f.product_key = d.product_key WHERE d.product_key IS NULL
+  UNION ALL SELECT 'orphan_date', count(*) FROM fact_orders_v f LEFT JOIN dim_date_v d ON f.date_key = d.date_key WHERE d.date_key IS NULL
+  UNION ALL SELECT 'negative_revenue', count(*) FROM fact_orders_v WHERE revenue < 0
+  UNION ALL SELECT 'null_order_id', count(*) FROM fact_orders_v WHERE order_id IS NULL
+) c
+UNION ALL
+SELECT 'all_checks', CAST(n AS BIGINT), n = 0 FROM (
+  SELECT (SELECT count(*) FROM fact_orders_v f LEFT JOIN dim_customers_v d ON f.customer_key = d.customer_key WHERE d.customer_key IS NULL)
+       + (SELECT count(*) FROM fact_orders_v f LEFT JOIN dim_products_v d ON f.product_key = d.product_key WHERE d.product_key IS NULL)
+       + (SELECT count(*) FROM fact_orders_v f LEFT JOIN dim_date_v d ON f.date_key = d.date_key WHERE d.date_key IS NULL)
+       + (SELECT count(*) FROM fact_orders_v WHERE revenue < 0)
+       + (SELECT count(*) FROM fact_orders_v WHERE order_id IS NULL) AS n)"""
+
+
+@register("audit_star", _AUDIT_SQL)
+def _audit_star(L: Layers) -> DataFrame:
+    return quality.audit_star(L.star)
+
+
+_UNIQUE_TABLES = [
+    ("stg_customers", "clean_customers_v", ["customer_id"]),
+    ("stg_orders", "clean_orders_v", ["order_id"]),
+    ("stg_products", "clean_products_v", ["product_id"]),
+    ("stg_order_revenue", "clean_order_items_v", ["order_id", "order_item_id"]),
+    ("dim_customers", "dim_customers_v", ["customer_key"]),
+    ("dim_customers", "dim_customers_v", ["customer_id"]),
+    ("dim_products", "dim_products_v", ["product_key"]),
+    ("dim_products", "dim_products_v", ["product_id"]),
+    ("dim_date", "dim_date_v", ["date_key"]),
+    ("fact_orders", "fact_orders_v", ["order_id", "order_item_id"]),
+]
+
+
+@register("check_unique_keys", _union_all([
+    f"SELECT '{t}' AS table_name, '{','.join(k)}' AS key_columns, CAST(coalesce(sum(c), 0) AS BIGINT) AS n_rows, "
+    f"count(*) AS n_keys, count(*) FILTER (WHERE c > 1) AS n_duplicate_keys "
+    f"FROM (SELECT count(*) AS c FROM {v} GROUP BY {', '.join(k)})" for t, v, k in _UNIQUE_TABLES]))
+def _check_unique_keys(L: Layers) -> DataFrame:
+    frames = {"stg_customers": L.clean["customers"], "stg_orders": L.clean["orders"],
+              "stg_products": L.clean["products"], "stg_order_revenue": L.clean["order_items"], **L.star}
+    out = [quality.check_unique_keys({t: (frames[t], k)}) for t, _, k in _UNIQUE_TABLES]
+    return quality._union(out)
+
+
+@register("check_lengths", _union_all([
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_allowed, CAST(max(length({c})) AS INTEGER) AS max_length, "
+    f"count(*) FILTER (WHERE length({c}) > {n}) AS n_over FROM {t}_v" for t, c, n in VARCHAR_BOUNDS]))
+def _check_lengths(L: Layers) -> DataFrame:
+    return quality.check_lengths(L.star)
+
+
+_EDGES = [("stg_customers", "clean_customers_v", "customer_id", "stg_orders", "clean_orders_v", "customer_id"),
+          ("stg_orders", "clean_orders_v", "order_id", "stg_order_revenue", "clean_order_items_v", "order_id"),
+          ("stg_products", "clean_products_v", "product_id", "stg_order_revenue", "clean_order_items_v", "product_id")]
+
+
+@register("check_relationships", _union_all([f"""
+SELECT '{pt}' AS parent_table, '{ct}' AS child_table, '{ck}' AS key_column,
+       CAST(coalesce(sum(pn), 0) AS BIGINT) AS n_parent_rows, count(pn) AS n_parent_keys,
+       count(*) FILTER (WHERE pn > 1) AS n_duplicate_parent_keys,
+       CAST(coalesce(sum(cn), 0) AS BIGINT) AS n_child_rows,
+       CAST(coalesce(sum(CASE WHEN pn IS NULL THEN cn END), 0) AS BIGINT) AS n_orphan_children,
+       count(*) FILTER (WHERE cn IS NULL) AS n_childless_parents
+FROM (SELECT {pk} AS k, count(*) AS pn FROM {pv} GROUP BY {pk}) p
+FULL OUTER JOIN (SELECT {ck} AS k, count(*) AS cn FROM {cv} GROUP BY {ck}) c ON p.k = c.k"""
+    for pt, pv, pk, ct, cv, ck in _EDGES]))
+def _check_relationships(L: Layers) -> DataFrame:
+    names = {"stg_customers": "customers", "stg_orders": "orders", "stg_products": "products",
+             "stg_order_revenue": "order_items"}
+    return quality._union([
+        quality.check_relationship(L.clean[names[pt]], L.clean[names[ct]], pk, ck, pt, ct)
+        for pt, _, pk, ct, _, ck in _EDGES])
+
+
 @register("reject_facts", "SELECT * FROM resolved_items_v WHERE reject_reason IS NOT NULL")
 def _reject_facts(L: Layers) -> DataFrame:
-    from ..operators.star import reject_facts
     c = L.clean
-    return reject_facts(c["order_items"], c["orders"], L.dim_customers, L.dim_products)
+    return star.reject_facts(c["order_items"], c["orders"], L.dim_customers, L.dim_products)
+
+
+# ========================================================== C1-C7 composites
+@register("clean_customers", "SELECT * FROM clean_customers_v")
+def _clean_customers(L: Layers) -> DataFrame:
+    return L.clean["customers"]
+
+
+@register("clean_orders", "SELECT * FROM clean_orders_v")
+def _clean_orders(L: Layers) -> DataFrame:
+    return L.clean["orders"]
+
+
+@register("clean_products", "SELECT * FROM clean_products_v")
+def _clean_products(L: Layers) -> DataFrame:
+    return L.clean["products"]
+
+
+@register("clean_order_items", "SELECT * FROM clean_order_items_v")
+def _clean_order_items(L: Layers) -> DataFrame:
+    return L.clean["order_items"]
+
+
+_SUMMARY_SQL = _union_all(
+    [f"SELECT 'stage' AS step, '{STAGE_TABLES[k]}' AS table_name, count(*) AS n_rows FROM {CLEAN_VIEW[k]}" for k in RAW_COLS]
+    + [f"SELECT 'star', '{t}', count(*) FROM {t}_v" for t in ["dim_customers", "dim_products", "dim_date", "fact_orders"]]
+    + ["SELECT 'reject', 'fact_rejects', count(*) FROM resolved_items_v WHERE reject_reason IS NOT NULL",
+       "SELECT 'audit', check_name, n_violations FROM (" + _AUDIT_SQL + ")"])
+
+
+@register("pipeline_summary", _SUMMARY_SQL)
+def _pipeline_summary(L: Layers) -> DataFrame:
+    return run(L.spark, L.sf_dir)
