@@ -3,8 +3,9 @@
 ``Window.orderBy`` without a partition moves the whole table into one task.
 Instead the rows are range-partitioned on the ordering key and sorted inside
 each partition; every row gets its partition number and its position in
-the partition; the result is checkpointed to the shared checkpoint folder
-(range bounds are sampled, so a recomputation could draw other bounds).
+the partition; the result is written as a Parquet table in the shared checkpoint folder
+(range bounds are sampled, so a recomputation could draw other bounds; the
+written copy freezes them and stays columnar for the readers).
 A frame with one row per partition then yields each partition's offset by a
 prefix sum; it is broadcast -- its size is bounded by the partition count,
 not by the data -- and offset + position is the exact global rank.
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import materialize
 
 
 def _num_partitions(df: DataFrame) -> int:
@@ -30,7 +31,6 @@ def with_global_rank(df: DataFrame, order_cols: list[str], rank_col: str,
     up to and including the row (a weighted rank, used for quantiles).
     Ties in ``order_cols`` are broken by the position inside the partition.
     """
-    checkpoint_root(df.sparkSession)  # make sure checkpoint() has a home
     n = num_partitions or _num_partitions(df)
     w = weight if weight is not None else F.lit(1).cast("long")
     ranged = (
@@ -43,14 +43,14 @@ def with_global_rank(df: DataFrame, order_cols: list[str], rank_col: str,
     in_part = Window.partitionBy("_part").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     if weight is None:
-        ranged = ranged.checkpoint(eager=True)
+        ranged = materialize(ranged, "ranked")
         sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"),
                                             F.min("_pos").alias("_first"))
         local = F.col("_pos") - F.col("_first") + 1
     else:
         # Running weight inside each range partition; the window is keyed by
         # the partition number, so each task handles one range partition.
-        ranged = ranged.withColumn("_cum", F.sum("_w").over(in_part)).checkpoint(eager=True)
+        ranged = materialize(ranged.withColumn("_cum", F.sum("_w").over(in_part)), "ranked")
         sizes = ranged.groupBy("_part").agg(F.sum("_w").alias("_n"))
         local = F.col("_cum")
     # One row per partition: the prefix sum over it is tiny by construction.

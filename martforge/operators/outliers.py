@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .keys import with_global_rank
 
 
@@ -59,7 +60,7 @@ def iqr_outliers(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame
     """Per column, quartiles, bounds and how many values fall outside."""
     out = None
     for c in columns:
-        b = iqr_bounds(df, c, k).checkpoint(eager=True)
+        b = materialize(iqr_bounds(df, c, k), "iqr_bounds")
         lo, hi = _scalars(b)
         v = F.col(c).cast("double")
         counts = df.select(v.alias("v")).agg(F.count_if(F.col("v") < lo).alias("n_below"),
@@ -76,7 +77,7 @@ def iqr_filter(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
     """O1: keep rows whose every listed column lies inside its IQR bounds."""
     cond = F.lit(True)
     for c in columns:
-        lo, hi = _scalars(iqr_bounds(df, c, k).checkpoint(eager=True))
+        lo, hi = _scalars(materialize(iqr_bounds(df, c, k), "iqr_bounds"))
         v = F.col(c).cast("double")
         cond = cond & (v >= lo) & (v <= hi)
     return df.where(cond)
@@ -86,6 +87,6 @@ def iqr_cap(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
     """O2: clamp each listed column (as double) into its IQR bounds."""
     out = df
     for c in columns:
-        lo, hi = _scalars(iqr_bounds(df, c, k).checkpoint(eager=True))
+        lo, hi = _scalars(materialize(iqr_bounds(df, c, k), "iqr_bounds"))
         out = out.withColumn(c, F.least(F.greatest(F.col(c).cast("double"), lo), hi))
     return out

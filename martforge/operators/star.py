@@ -77,8 +77,8 @@ def join_items_orders(items: DataFrame, orders: DataFrame, how: str = "inner") -
     return items.join(orders, "order_id", how)
 
 
-def fact_projection(joined: DataFrame) -> DataFrame:
-    """K9 output columns."""
+def fact_projection(joined: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """K9 output columns (P8, P13, P14, P18, P19), plus ``extra`` ones."""
     return joined.select(
         "order_id",
         F.col("order_item_id").cast("int").alias("order_item_id"),
@@ -90,6 +90,7 @@ def fact_projection(joined: DataFrame) -> DataFrame:
         fx.to_money(F.col("price") + F.col("freight_value")).alias("revenue"),
         fx.to_money(F.col("price")).alias("price"),
         fx.to_money(F.col("freight_value")).alias("freight"),
+        *extra,
     )
 
 
@@ -106,24 +107,24 @@ def build_fact_orders(stg_items: DataFrame, stg_orders: DataFrame,
 
 def resolve_items(stg_items: DataFrame, stg_orders: DataFrame,
                   dim_customers: DataFrame, dim_products: DataFrame) -> DataFrame:
-    """Items with a ``reject_reason`` (Q6): the first missing parent among
-    order, customer, product and purchase date, or null for a fact row."""
-    orders = orders_with_customers(
-        stg_orders.select("order_id", "customer_id", "order_purchase_timestamp")
-        .withColumn("_has_order", F.lit(True)),
-        dim_customers, "left")
-    joined = (stg_items.select("order_id", "order_item_id", "product_id")
-              .join(orders, "order_id", "left")
+    """Every item with all fact columns and a ``reject_reason`` (Q6): the
+    first missing parent among order, customer, product and purchase date,
+    or null for a fact row. Left joins, in the same order as the fact build;
+    a caller that needs only keys and reasons gets the unused columns pruned
+    out of the joins by Catalyst."""
+    orders = orders_with_customers(stg_orders.withColumn("_has_order", F.lit(True)), dim_customers, "left")
+    joined = (join_items_orders(stg_items.drop("revenue"), orders, "left")
               .join(dim_products.select("product_id", "product_key"), "product_id", "left"))
     reason = (F.when(F.col("_has_order").isNull(), F.lit("no_order"))
               .when(F.col("customer_key").isNull(), F.lit("no_customer"))
               .when(F.col("product_key").isNull(), F.lit("no_product"))
               .when(F.col("order_purchase_timestamp").isNull(), F.lit("no_date")))
-    return joined.select("order_id", "order_item_id", reason.alias("reject_reason"))
+    return fact_projection(joined.withColumn("reject_reason", reason), ("reject_reason",))
 
 
 def reject_facts(stg_items: DataFrame, stg_orders: DataFrame,
                  dim_customers: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Q6: items that cannot become facts, with the reason."""
     return resolve_items(stg_items, stg_orders, dim_customers, dim_products) \
-        .where(F.col("reject_reason").isNotNull())
+        .where(F.col("reject_reason").isNotNull()) \
+        .select("order_id", "order_item_id", "reject_reason")

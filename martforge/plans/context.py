@@ -13,7 +13,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean as cl
 from ..operators import star
+from ..session import materialize
 from ..sources import fixtures
+from ..sources.staging import load_staging
+
+
+class LazyTables(dict):
+    """A name -> DataFrame mapping whose plans are built on first access."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        df = self[key] = self._builders[key]()
+        return df
+
+    def keys(self):
+        return self._builders.keys()
+
+    def items(self):
+        return [(k, self[k]) for k in self._builders]
+
+    def values(self):
+        return [self[k] for k in self._builders]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
 
 
 class Layers:
@@ -23,13 +52,15 @@ class Layers:
 
     # raw -----------------------------------------------------------------
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return fixtures.raw_tables(self.spark, self.sf_dir)
+    def raw(self) -> "LazyTables":
+        builders = {"customers": fixtures.raw_customers, "orders": fixtures.raw_orders,
+                    "products": fixtures.raw_products, "order_items": fixtures.raw_order_items}
+        return LazyTables({k: (lambda b=b: b(self.spark, self.sf_dir)) for k, b in builders.items()})
 
     # staging (cleaned) ----------------------------------------------------
     @cached_property
-    def clean(self) -> dict[str, DataFrame]:
-        return cl.clean_all(self.raw)
+    def clean(self) -> "LazyTables":
+        return LazyTables({k: (lambda k=k: cl.CLEANERS[k](self.raw[k])) for k in cl.CLEANERS})
 
     # star -----------------------------------------------------------------
     @cached_property
@@ -53,3 +84,17 @@ class Layers:
     def star(self) -> dict[str, DataFrame]:
         return {"dim_customers": self.dim_customers, "dim_products": self.dim_products,
                 "dim_date": self.dim_date, "fact_orders": self.fact_orders}
+
+    # written ---------------------------------------------------------------
+    @cached_property
+    def staged(self) -> dict[str, DataFrame]:
+        """S3: the cleaned tables written as staging tables."""
+        return load_staging(self.spark, self.clean)
+
+    @cached_property
+    def star_written(self) -> dict[str, DataFrame]:
+        """The star as the post-load checks see it: dimensions are already
+        written tables (surrogate-key assignment writes them); the fact is
+        written once here, so several checks read it instead of recomputing
+        the joins."""
+        return {**self.star, "fact_orders": materialize(self.fact_orders, "fact_orders")}

@@ -12,20 +12,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality, star
-from ..schemas import STAGE_TABLES
+from ..schemas import FACT_COLUMNS, STAGE_TABLES
 from ..session import new_work_dir
 from ..sources.staging import load_staging, write_table
 from .context import Layers
 
 
-def rebuild_star(staged: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Drop-and-create all four star tables from staging."""
+FACT_STATUS = "load_status"
+
+
+def load_star(staged: dict[str, DataFrame], root: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Drop-and-create all four star tables from staging.
+
+    Dimensions are written first (their keys are frozen before any fact
+    looks them up). Facts and rejects come out of one pass over the items:
+    every item is resolved with left joins and written once, partitioned by
+    ``load_status`` ('fact' or the reject reason); the fact table is the
+    'fact' partition and the rejects are the others, so the item table is
+    shuffled once, not once per output.
+    """
     dim_c = write_table(star.build_dim_customers(staged["customers"]), f"{root}/dim_customers")
     dim_p = write_table(star.build_dim_products(staged["products"]), f"{root}/dim_products")
     dim_d = write_table(star.build_dim_date(staged["orders"]), f"{root}/dim_date")
-    fact = write_table(star.build_fact_orders(staged["order_items"], staged["orders"], dim_c, dim_p),
-                       f"{root}/fact_orders")
-    return {"dim_customers": dim_c, "dim_products": dim_p, "dim_date": dim_d, "fact_orders": fact}
+    resolved = star.resolve_items(staged["order_items"], staged["orders"], dim_c, dim_p) \
+        .withColumn(FACT_STATUS, F.coalesce(F.col("reject_reason"), F.lit("fact")))
+    items = write_table(resolved, f"{root}/fact_items", partition_by=[FACT_STATUS])
+    fact = items.where(F.col(FACT_STATUS) == "fact").select(*FACT_COLUMNS)
+    rejects = items.where(F.col(FACT_STATUS) != "fact").select("order_id", "order_item_id", "reject_reason")
+    built = {"dim_customers": dim_c, "dim_products": dim_p, "dim_date": dim_d, "fact_orders": fact}
+    return built, rejects
+
+
+def rebuild_star(staged: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    return load_star(staged, root)[0]
 
 
 def run(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
@@ -37,10 +56,7 @@ def run(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
     root = root or new_work_dir(spark, "run")
     layers = Layers(spark, sf_dir)
     staged = load_staging(spark, layers.clean, f"{root}/staging")
-    built = rebuild_star(staged, f"{root}/star")
-    rejects = write_table(star.reject_facts(staged["order_items"], staged["orders"],
-                                            built["dim_customers"], built["dim_products"]),
-                          f"{root}/rejects")
+    built, rejects = load_star(staged, f"{root}/star")
     counts = quality.row_counts({STAGE_TABLES[k]: v for k, v in staged.items()}) \
         .withColumn("step", F.lit("stage"))
     counts = counts.unionByName(quality.row_counts(built).withColumn("step", F.lit("star")))

@@ -217,10 +217,11 @@ def _join_items_orders(L: Layers) -> DataFrame:
     f"WHERE NOT EXISTS (SELECT 1 FROM {t}_v d WHERE d.{k} = f.{k})"
     for t, k in [("dim_customers", "customer_key"), ("dim_products", "product_key"), ("dim_date", "date_key")]]))
 def _orphan_facts(L: Layers) -> DataFrame:
-    return quality.orphan_counts(L.fact_orders, {
-        "dim_customers": (L.dim_customers, "customer_key"),
-        "dim_products": (L.dim_products, "product_key"),
-        "dim_date": (L.dim_date, "date_key")})
+    st = L.star_written
+    return quality.orphan_counts(st["fact_orders"], {
+        "dim_customers": (st["dim_customers"], "customer_key"),
+        "dim_products": (st["dim_products"], "product_key"),
+        "dim_date": (st["dim_date"], "date_key")})
 
 
 @register("fact_delete_matching", """
@@ -422,9 +423,7 @@ def _fact_orders(L: Layers) -> DataFrame:
 
 @register("rebuild_star", _STAR_COUNT_SQL)
 def _rebuild_star(L: Layers) -> DataFrame:
-    staged = load_staging(L.spark, L.clean)
-    built = rebuild_star(staged, new_work_dir(L.spark, "star"))
-    return quality.row_counts(built)
+    return quality.row_counts(rebuild_star(L.staged, new_work_dir(L.spark, "star")))
 
 
 # ===================================================== Q1-Q8 quality checks
@@ -447,7 +446,7 @@ SELECT 'all_checks', CAST(n AS BIGINT), n = 0 FROM (
 
 @register("audit_star", _AUDIT_SQL)
 def _audit_star(L: Layers) -> DataFrame:
-    return quality.audit_star(L.star)
+    return quality.audit_star(L.star_written)
 
 
 _UNIQUE_TABLES = [
@@ -469,8 +468,8 @@ _UNIQUE_TABLES = [
     f"count(*) AS n_keys, count(*) FILTER (WHERE c > 1) AS n_duplicate_keys "
     f"FROM (SELECT count(*) AS c FROM {v} GROUP BY {', '.join(k)})" for t, v, k in _UNIQUE_TABLES]))
 def _check_unique_keys(L: Layers) -> DataFrame:
-    frames = {"stg_customers": L.clean["customers"], "stg_orders": L.clean["orders"],
-              "stg_products": L.clean["products"], "stg_order_revenue": L.clean["order_items"], **L.star}
+    frames = {STAGE_TABLES[k]: v for k, v in L.staged.items()}
+    frames.update(L.star_written)
     out = [quality.check_unique_keys({t: (frames[t], k)}) for t, _, k in _UNIQUE_TABLES]
     return quality._union(out)
 
@@ -479,7 +478,7 @@ def _check_unique_keys(L: Layers) -> DataFrame:
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_allowed, CAST(max(length({c})) AS INTEGER) AS max_length, "
     f"count(*) FILTER (WHERE length({c}) > {n}) AS n_over FROM {t}_v" for t, c, n in VARCHAR_BOUNDS]))
 def _check_lengths(L: Layers) -> DataFrame:
-    return quality.check_lengths(L.star)
+    return quality.check_lengths(L.star_written)
 
 
 _EDGES = [("stg_customers", "clean_customers_v", "customer_id", "stg_orders", "clean_orders_v", "customer_id"),

@@ -65,3 +65,17 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     and hands its path on, so a reader never sees a half-written table.
     """
     return f"{checkpoint_root(spark)}/martforge/{label}/{uuid.uuid4().hex}"
+
+
+def materialize(df, label: str):
+    """Write ``df`` as a Parquet table in a fresh folder under the shared
+    checkpoint root and return a DataFrame over the written files.
+
+    This cuts the lineage like ``checkpoint()`` but keeps the data columnar:
+    later readers get column pruning and filter push-down, and a lost
+    executor re-reads the files instead of recomputing the plan.
+    """
+    path = new_work_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    # The schema is known: reading with it skips the footer-inference job.
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,7 +19,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # Known schema: no footer-inference job. Partition columns come last.
+    schema = df.schema
+    if partition_by:
+        from pyspark.sql.types import StructType
+        schema = StructType([f for f in schema.fields if f.name not in partition_by]
+                            + [schema[c] for c in partition_by])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def load_staging(spark: SparkSession, clean: dict[str, DataFrame],

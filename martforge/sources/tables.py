@@ -9,6 +9,19 @@ TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations"]
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    The schema is read from the footers once per path and reused, so later
+    plans over the same table start without an inference job.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
