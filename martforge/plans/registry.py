@@ -401,6 +401,32 @@ def _fact_refresh(L: Layers) -> DataFrame:
     return TwoBatches(L).fact_2
 
 
+def _streamed_store(L: Layers):
+    """Both load batches published to a landing folder and applied by the
+    incremental maintenance stream (foreachBatch into a StarStore)."""
+    from ..streaming.incremental import publish_batch, run_maintenance
+    tb = TwoBatches(L)
+    landing = new_work_dir(L.spark, "landing")
+    publish_batch(L.spark, landing, 1, dict(tb.batch1.items()))
+    publish_batch(L.spark, landing, 2, dict(tb.batch2.items()))
+    return run_maintenance(L.spark, landing, new_work_dir(L.spark, "store"),
+                           new_work_dir(L.spark, "stream-checkpoint"))
+
+
+@register("stream_fact_refresh", """
+SELECT * FROM fact1_v f
+WHERE NOT EXISTS (SELECT 1 FROM clean_order_items_v b WHERE b.order_id = f.order_id AND b.order_item_id = f.order_item_id)
+UNION ALL
+SELECT * FROM fact2_new_v""")
+def _stream_fact_refresh(L: Layers) -> DataFrame:
+    return _streamed_store(L).fact()
+
+
+@register("stream_dim_customers", "SELECT * FROM dim2c_v")
+def _stream_dim_customers(L: Layers) -> DataFrame:
+    return _streamed_store(L).dims()["dim_customers"]
+
+
 @register("dim_customers", "SELECT * FROM dim_customers_v")
 def _dim_customers(L: Layers) -> DataFrame:
     return L.dim_customers

@@ -1,0 +1,141 @@
+"""A star schema kept in Parquet folders and maintained batch by batch.
+
+Layout under ``root``::
+
+    dims/v<version>/dim_customers|dim_products|dim_date   versioned, small
+    fact_orders/purchase_month=<yyyymm>/                   partitioned, large
+    pending/v<version>/                                    rewritten partitions
+    current/                                               one row: live dims version
+
+Applying a batch (K2-K4) rewrites the dimensions as a new version and only
+the fact partitions the batch touches: the months of its new facts and the
+months that hold old rows of its keys (a purchase date may have moved).
+Those partitions are first written to ``pending`` (so the rewrite never
+reads the folders it replaces) and then swapped in with a dynamic partition
+overwrite. Re-applying the same batch gives the same tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import maintain, star
+from ..schemas import DIM_CUSTOMER_ATTRS, DIM_PRODUCT_ATTRS, FACT_COLUMNS, FACT_KEYS
+from .staging import write_table
+
+MONTH = "purchase_month"
+
+
+def _month(c: str = "date_key"):
+    return (F.year(F.col(c)) * 100 + F.month(F.col(c))).cast("int")
+
+
+def _by_month(df: DataFrame) -> DataFrame:
+    """Range-partition on (month, order id) before a partitioned write: each
+    task writes one or two month folders (few files), and a month larger than
+    a task is split over several tasks instead of landing in one."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, MONTH, "order_id")
+
+
+def materialize_small(df: DataFrame, root: str, version: int) -> DataFrame:
+    """Freeze the touched-month list before the fact folder changes under it."""
+    return write_table(df.coalesce(1), f"{root}/pending/v{version:06d}_months")
+
+
+class StarStore:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    # ------------------------------------------------------------------ read
+    def version(self) -> int | None:
+        try:
+            row = self.spark.read.parquet(f"{self.root}/current").agg(F.max("version")).collect()[0][0]
+        except Exception:  # noqa: BLE001 - no store yet
+            return None
+        return row
+
+    def dims(self) -> dict[str, DataFrame]:
+        v = self.version()
+        return {t: self.spark.read.parquet(f"{self.root}/dims/v{v:06d}/{t}")
+                for t in ("dim_customers", "dim_products", "dim_date")}
+
+    def fact(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/fact_orders").select(*FACT_COLUMNS)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {**self.dims(), "fact_orders": self.fact()}
+
+    # ----------------------------------------------------------------- write
+    def _publish(self, version: int, dims: dict[str, DataFrame]) -> None:
+        for t, df in dims.items():
+            write_table(df, f"{self.root}/dims/v{version:06d}/{t}")
+
+    def _set_current(self, version: int) -> None:
+        self.spark.createDataFrame([(version,)], "version int").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.root}/current")
+
+    def _overwrite_months(self, rows: DataFrame, touched: DataFrame, version: int) -> None:
+        pending = write_table(_by_month(rows), f"{self.root}/pending/v{version:06d}", partition_by=[MONTH])
+        (pending.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(MONTH).parquet(f"{self.root}/fact_orders"))
+        # A dynamic overwrite replaces only months that still have rows; a
+        # touched month whose every row was deleted is removed here. The list
+        # is bounded by the calendar (one row per month), not by the data.
+        emptied = touched.join(pending.select(MONTH).distinct(), MONTH, "left_anti").collect()
+        for row in emptied:
+            self._delete(f"{self.root}/fact_orders/{MONTH}={row[MONTH]}")
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(hpath):
+            fs.delete(hpath, True)
+
+    def initial_load(self, staged: dict[str, DataFrame], version: int = 0) -> None:
+        """K5 into the store: first versions of all four tables."""
+        dims = {"dim_customers": star.build_dim_customers(staged["customers"]),
+                "dim_products": star.build_dim_products(staged["products"]),
+                "dim_date": star.build_dim_date(staged["orders"])}
+        self._publish(version, dims)
+        d = self._dims_at(version)
+        fact = star.build_fact_orders(staged["order_items"], staged["orders"],
+                                      d["dim_customers"], d["dim_products"])
+        (_by_month(fact.withColumn(MONTH, _month())).write.mode("overwrite").partitionBy(MONTH)
+         .parquet(f"{self.root}/fact_orders"))
+        self._set_current(version)
+
+    def _dims_at(self, version: int) -> dict[str, DataFrame]:
+        return {t: self.spark.read.parquet(f"{self.root}/dims/v{version:06d}/{t}")
+                for t in ("dim_customers", "dim_products", "dim_date")}
+
+    def apply_batch(self, staged: dict[str, DataFrame], version: int) -> None:
+        """K2-K4 for one staged batch, published as ``version``."""
+        old = self.dims()
+        dims = {
+            "dim_customers": maintain.upsert_dimension(
+                old["dim_customers"], star.dim_customer_rows(staged["customers"]),
+                "customer_id", "customer_key", DIM_CUSTOMER_ATTRS),
+            "dim_products": maintain.upsert_dimension(
+                old["dim_products"], star.dim_product_rows(staged["products"]),
+                "product_id", "product_key", DIM_PRODUCT_ATTRS),
+            "dim_date": maintain.insert_if_absent(old["dim_date"], star.build_dim_date(staged["orders"]),
+                                                  ["date_key"]),
+        }
+        self._publish(version, dims)
+        d = self._dims_at(version)
+        new = star.build_fact_orders(staged["order_items"], staged["orders"],
+                                     d["dim_customers"], d["dim_products"]).withColumn(MONTH, _month())
+        fact = self.spark.read.parquet(f"{self.root}/fact_orders")
+        keys = staged["order_items"].select(*FACT_KEYS)
+        # Months touched: those of the new rows and those holding old rows of the batch keys.
+        touched_old = fact.select(*FACT_KEYS, MONTH).join(keys, FACT_KEYS, "left_semi").select(MONTH)
+        touched = materialize_small(touched_old.unionByName(new.select(MONTH)).distinct(), self.root, version)
+        kept = (fact.join(touched, MONTH, "left_semi")
+                .join(keys, FACT_KEYS, "left_anti"))
+        rewritten = kept.unionByName(new.select(*kept.columns))
+        self._overwrite_months(rewritten, touched, version)
+        self._set_current(version)

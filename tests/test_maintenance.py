@@ -77,3 +77,30 @@ def test_rebuild_gives_equal_dimension(spark):
     b = build_dim_customers(L.clean["customers"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.agg(F.min("customer_key"), F.max("customer_key")).collect()[0][:] == (1, a.count())
+
+
+def test_star_store_removes_emptied_month(spark):
+    from martforge.session import new_work_dir
+    from martforge.sources.star_store import StarStore
+    L = Layers(spark, SF_SMALL)
+    c = L.clean
+    store = StarStore(spark, new_work_dir(spark, "test-store"))
+    store.initial_load(dict(c.items()), version=1)
+    before = store.fact()
+    # Pick one month and re-send its items while their orders disappear.
+    month = before.select(F.date_format("date_key", "yyyyMM").alias("m")).groupBy("m").count() \
+        .orderBy(F.desc("count"), "m").first()["m"]
+    gone = before.where(F.date_format("date_key", "yyyyMM") == month).select("order_id").distinct()
+    gone = spark.createDataFrame(gone.collect(), gone.schema)  # freeze before the files change
+    n_before = before.count()
+    n_gone = before.join(gone, "order_id", "left_semi").count()
+    batch = {"customers": c["customers"].limit(0), "products": c["products"].limit(0),
+             "orders": c["orders"].join(gone, "order_id", "left_anti").limit(0),
+             "order_items": c["order_items"].join(gone, "order_id", "left_semi")}
+    store.apply_batch(batch, version=2)
+    after = store.fact()
+    assert after.where(F.date_format("date_key", "yyyyMM") == month).count() == 0
+    assert after.count() == n_before - n_gone
+    # Re-applying the same batch changes nothing.
+    store.apply_batch(batch, version=3)
+    assert store.fact().count() == after.count()
