@@ -3,12 +3,13 @@
 ``Window.orderBy`` without a partition moves the whole table into one task.
 Instead the rows are range-partitioned on the ordering key and sorted inside
 each partition; every row gets its partition number and its position in
-the partition; the result is written as a Parquet table in the shared checkpoint folder
-(range bounds are sampled, so a recomputation could draw other bounds; the
-written copy freezes them and stays columnar for the readers).
-A frame with one row per partition then yields each partition's offset by a
-prefix sum; it is broadcast -- its size is bounded by the partition count,
-not by the data -- and offset + position is the exact global rank.
+the partition; the result is written as a Parquet table in the shared
+checkpoint folder (range bounds are sampled, so a recomputation could draw
+other bounds; the written copy freezes them and stays columnar for the
+readers). A frame with one row per partition (and group) then yields each
+partition's offset by a prefix sum; it is broadcast -- its size is bounded
+by the partition count times the group count, not by the data -- and
+offset + position is the exact rank.
 """
 
 from __future__ import annotations
@@ -24,44 +25,53 @@ def _num_partitions(df: DataFrame) -> int:
 
 
 def with_global_rank(df: DataFrame, order_cols: list[str], rank_col: str,
-                     weight: Column | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Add ``rank_col``: 1-based position of each row in ``order_cols`` order.
+                     weight: Column | None = None, group_cols: list[str] | None = None,
+                     num_partitions: int | None = None, spread_ties: bool = False) -> DataFrame:
+    """Add ``rank_col``: 1-based position of each row in ``order_cols`` order,
+    counted separately inside each group of ``group_cols`` (a small number of
+    groups, e.g. one per profiled column).
 
     With ``weight`` the column is instead the running total of ``weight``
     up to and including the row (a weighted rank, used for quantiles).
-    Ties in ``order_cols`` are broken by the position inside the partition.
+    Ties in ``order_cols`` are broken by the position inside the partition;
+    with ``spread_ties`` a seeded random tie-breaker is appended to the range
+    key, so that even a mass of rows equal on every order column is split
+    over several range partitions (the written copy freezes the draw).
     """
+    groups = list(group_cols or [])
     n = num_partitions or _num_partitions(df)
     w = weight if weight is not None else F.lit(1).cast("long")
+    keys = [*groups, *order_cols]
+    if spread_ties:
+        df = df.withColumn("_tie", F.rand(17))
+        keys.append("_tie")
     ranged = (
         df.withColumn("_w", w.cast("long"))
-        .repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
+        .repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    in_part = Window.partitionBy("_part").orderBy("_pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
     if weight is None:
         ranged = materialize(ranged, "ranked")
-        sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"),
-                                            F.min("_pos").alias("_first"))
+        sizes = ranged.groupBy("_part", *groups).agg(F.count(F.lit(1)).alias("_n"),
+                                                     F.min("_pos").alias("_first"))
         local = F.col("_pos") - F.col("_first") + 1
     else:
-        # Running weight inside each range partition; the window is keyed by
-        # the partition number, so each task handles one range partition.
+        # Running weight inside each range partition (and group); the window
+        # is keyed by the partition number, so one task handles one range.
+        in_part = Window.partitionBy("_part", *groups).orderBy("_pos").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
         ranged = materialize(ranged.withColumn("_cum", F.sum("_w").over(in_part)), "ranked")
-        sizes = ranged.groupBy("_part").agg(F.sum("_w").alias("_n"))
+        sizes = ranged.groupBy("_part", *groups).agg(F.sum("_w").alias("_n"))
         local = F.col("_cum")
-    # One row per partition: the prefix sum over it is tiny by construction.
-    offsets = sizes.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("_part", "_offset", *(["_first"] if weight is None else []))
-    out = ranged.join(F.broadcast(offsets), "_part")
+    # One row per (partition, group): the prefix sum over it is tiny by construction.
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))) \
+        .select("_part", *groups, "_offset", *(["_first"] if weight is None else []))
+    out = ranged.join(F.broadcast(offsets), ["_part", *groups])
     return out.withColumn(rank_col, (F.col("_offset") + local).cast("long")).drop(
-        "_part", "_pos", "_offset", "_first", "_w", "_cum", "_n")
+        "_part", "_pos", "_offset", "_first", "_w", "_cum", "_n", "_tie")
 
 
 def assign_surrogate_keys(new_rows: DataFrame, natural_key: str, key_col: str,
@@ -76,3 +86,27 @@ def assign_surrogate_keys(new_rows: DataFrame, natural_key: str, key_col: str,
     if start_after is not None:
         ranked = ranked.withColumn(key_col, F.col(key_col) + F.coalesce(start_after, F.lit(0)).cast("long"))
     return ranked.select(key_col, *[c for c in new_rows.columns if c != key_col])
+
+
+def row_number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
+                      out_col: str) -> DataFrame:
+    """``row_number() OVER (PARTITION BY p ORDER BY o)`` that survives a hot group.
+
+    A window sorts each group inside one task, so a group holding a third of
+    the table lands on one executor. Here the rows are ranked on the whole
+    tuple (p, o) by range partitioning -- a hot group is spread over as many
+    range partitions as its size needs -- and the number inside the group is
+    the global rank minus the group's first rank. The per-group first ranks
+    come from a partial aggregate (one row per group); rows that tie on the
+    whole tuple get consecutive numbers, as with row_number.
+    """
+    ranked = with_global_rank(df, [*partition_cols, *order_cols], "_g", spread_ties=True)
+    firsts = ranked.groupBy(*partition_cols).agg(F.min("_g").alias("_g0"))
+    firsts = firsts.select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols], "_g0")
+    cond = None
+    for c in partition_cols:
+        eq = F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+        cond = eq if cond is None else cond & eq
+    joined = ranked.join(firsts, cond)
+    return joined.withColumn(out_col, (F.col("_g") - F.col("_g0") + 1).cast("int")) \
+        .drop("_g", "_g0", *[f"_p_{c}" for c in partition_cols])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, star
 from ..schemas import FACT_COLUMNS, STAGE_TABLES
-from ..session import new_work_dir
+from ..session import new_work_dir, run_concurrently
 from ..sources.staging import load_staging, write_table
 from .context import Layers
 
@@ -31,9 +31,12 @@ def load_star(staged: dict[str, DataFrame], root: str) -> tuple[dict[str, DataFr
     'fact' partition and the rejects are the others, so the item table is
     shuffled once, not once per output.
     """
-    dim_c = write_table(star.build_dim_customers(staged["customers"]), f"{root}/dim_customers")
-    dim_p = write_table(star.build_dim_products(staged["products"]), f"{root}/dim_products")
-    dim_d = write_table(star.build_dim_date(staged["orders"]), f"{root}/dim_date")
+    dims = run_concurrently({
+        "dim_customers": lambda: write_table(star.build_dim_customers(staged["customers"]), f"{root}/dim_customers"),
+        "dim_products": lambda: write_table(star.build_dim_products(staged["products"]), f"{root}/dim_products"),
+        "dim_date": lambda: write_table(star.build_dim_date(staged["orders"]), f"{root}/dim_date"),
+    })
+    dim_c, dim_p, dim_d = dims["dim_customers"], dims["dim_products"], dims["dim_date"]
     resolved = star.resolve_items(staged["order_items"], staged["orders"], dim_c, dim_p) \
         .withColumn(FACT_STATUS, F.coalesce(F.col("reject_reason"), F.lit("fact")))
     items = write_table(resolved, f"{root}/fact_items", partition_by=[FACT_STATUS])

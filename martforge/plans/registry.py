@@ -217,7 +217,7 @@ def _join_items_orders(L: Layers) -> DataFrame:
     f"WHERE NOT EXISTS (SELECT 1 FROM {t}_v d WHERE d.{k} = f.{k})"
     for t, k in [("dim_customers", "customer_key"), ("dim_products", "product_key"), ("dim_date", "date_key")]]))
 def _orphan_facts(L: Layers) -> DataFrame:
-    st = L.star_written
+    st = L.star
     return quality.orphan_counts(st["fact_orders"], {
         "dim_customers": (st["dim_customers"], "customer_key"),
         "dim_products": (st["dim_products"], "product_key"),
@@ -472,7 +472,7 @@ SELECT 'all_checks', CAST(n AS BIGINT), n = 0 FROM (
 
 @register("audit_star", _AUDIT_SQL)
 def _audit_star(L: Layers) -> DataFrame:
-    return quality.audit_star(L.star_written)
+    return quality.audit_star(L.star)
 
 
 _UNIQUE_TABLES = [
@@ -494,8 +494,8 @@ _UNIQUE_TABLES = [
     f"count(*) AS n_keys, count(*) FILTER (WHERE c > 1) AS n_duplicate_keys "
     f"FROM (SELECT count(*) AS c FROM {v} GROUP BY {', '.join(k)})" for t, v, k in _UNIQUE_TABLES]))
 def _check_unique_keys(L: Layers) -> DataFrame:
-    frames = {STAGE_TABLES[k]: v for k, v in L.staged.items()}
-    frames.update(L.star_written)
+    frames = {STAGE_TABLES[k]: v for k, v in L.clean.items()}
+    frames.update(L.star)
     out = [quality.check_unique_keys({t: (frames[t], k)}) for t, _, k in _UNIQUE_TABLES]
     return quality._union(out)
 
@@ -504,7 +504,7 @@ def _check_unique_keys(L: Layers) -> DataFrame:
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_allowed, CAST(max(length({c})) AS INTEGER) AS max_length, "
     f"count(*) FILTER (WHERE length({c}) > {n}) AS n_over FROM {t}_v" for t, c, n in VARCHAR_BOUNDS]))
 def _check_lengths(L: Layers) -> DataFrame:
-    return quality.check_lengths(L.star_written)
+    return quality.check_lengths(L.star)
 
 
 _EDGES = [("stg_customers", "clean_customers_v", "customer_id", "stg_orders", "clean_orders_v", "customer_id"),
@@ -533,7 +533,8 @@ def _check_relationships(L: Layers) -> DataFrame:
 @register("reject_facts", "SELECT * FROM resolved_items_v WHERE reject_reason IS NOT NULL")
 def _reject_facts(L: Layers) -> DataFrame:
     c = L.clean
-    return star.reject_facts(c["order_items"], c["orders"], L.dim_customers, L.dim_products)
+    dim_c, dim_p = L.both_dims()
+    return star.reject_facts(c["order_items"], c["orders"], dim_c, dim_p)
 
 
 # ========================================================== C1-C7 composites

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -79,3 +80,17 @@ def materialize(df, label: str):
     df.write.mode("overwrite").parquet(path)
     # The schema is known: reading with it skips the footer-inference job.
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_concurrently(tasks: dict, max_workers: int = 4) -> dict:
+    """Run independent Spark actions (e.g. writes of unrelated tables) as
+    concurrent jobs from driver threads and return their results by name.
+
+    Small or skewed jobs leave executors idle; independent jobs submitted
+    together share the cluster instead of queueing behind one another.
+    """
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}

@@ -76,11 +76,15 @@ SELECT concat('O', cast(l_orderkey AS string)) AS order_id, l_linenumber AS orde
        CASE WHEN l_partkey % 199 = 0 THEN -l_extendedprice
             WHEN l_partkey % 13 = 0 THEN l_extendedprice * 10 ELSE l_extendedprice END AS price,
        l_quantity + CASE WHEN l_suppkey % 17 = 0 THEN 500 ELSE 0 END AS freight_value,
-       row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                          ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate,
-                                   l_discount, l_tax, l_returnflag, l_linestatus) AS _ord
+       l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate,
+       l_discount, l_tax, l_returnflag, l_linestatus
 FROM {lineitem}
 """
+# _ord = row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY the rest), computed
+# with keys.row_number_within so that a heavily repeated (order, line) pair is not one task.
+ITEM_GROUP = ["l_orderkey", "l_linenumber"]
+ITEM_ORDER = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +102,9 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RAW_ORDER_ITEMS_SQL, lineitem=read_table(spark, sf_dir, "lineitem"))
+    from ..operators.keys import row_number_within
+    base = spark.sql(RAW_ORDER_ITEMS_SQL, lineitem=read_table(spark, sf_dir, "lineitem"))
+    return row_number_within(base, ITEM_GROUP, ITEM_ORDER, "_ord").drop(*ITEM_GROUP, *ITEM_ORDER)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

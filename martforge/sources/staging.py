@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import STAGE_COLUMNS, STAGE_TABLES
-from ..session import new_work_dir
+from ..session import new_work_dir, run_concurrently
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -32,5 +32,7 @@ def load_staging(spark: SparkSession, clean: dict[str, DataFrame],
                  root: str | None = None) -> dict[str, DataFrame]:
     """Write the four cleaned tables as stg_* and return the staged frames."""
     root = root or new_work_dir(spark, "staging")
-    return {name: write_table(df.select(*STAGE_COLUMNS[name]), f"{root}/{STAGE_TABLES[name]}")
-            for name, df in clean.items()}
+    return run_concurrently({
+        name: (lambda name=name, df=df: write_table(df.select(*STAGE_COLUMNS[name]),
+                                                    f"{root}/{STAGE_TABLES[name]}"))
+        for name, df in clean.items()})

@@ -48,6 +48,38 @@ def test_exact_quantiles_match_linear_interpolation(spark):
 
 def test_iqr_bounds(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 6, 7, 8, 100]], "x double")
-    b = iqr_bounds(df, "x").collect()[0]
+    b = iqr_bounds(df, ["x"]).collect()[0]
     assert (b.q1, b.q3) == (3.0, 7.0)
     assert (b.lower_bound, b.upper_bound) == (-3.0, 13.0)
+
+
+def test_grouped_rank_restarts_per_group(spark):
+    rows = [("a", "k3"), ("a", "k1"), ("b", "k2"), ("b", "k0"), ("a", "k2")]
+    df = spark.createDataFrame(rows, "g string, k string").repartition(3)
+    got = {(r.g, r.k): r.rank for r in with_global_rank(df, ["k"], "rank", group_cols=["g"]).collect()}
+    assert got == {("a", "k1"): 1, ("a", "k2"): 2, ("a", "k3"): 3, ("b", "k0"): 1, ("b", "k2"): 2}
+
+
+def test_quantiles_of_several_columns_in_one_pass(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.uniform(0, 10), None if i % 7 == 0 else rnd.uniform(-5, 5)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    got = {r.column_name: (r.q_0, r.q_1) for r in exact_quantiles(df, ["a", "b"], [0.25, 0.75]).collect()}
+    for name, idx in (("a", 0), ("b", 1)):
+        vals = np.array([r[idx] for r in rows if r[idx] is not None])
+        e = np.quantile(vals, [0.25, 0.75], method="linear")
+        assert abs(got[name][0] - e[0]) < 1e-9 and abs(got[name][1] - e[1]) < 1e-9
+
+
+def test_row_number_within_matches_window_on_hot_group(spark):
+    from pyspark.sql import Window
+
+    from martforge.operators.keys import row_number_within
+    rnd = random.Random(5)
+    rows = [(0 if i % 3 == 0 else rnd.randrange(500), rnd.randrange(50), rnd.randrange(5)) for i in range(6000)]
+    rows += [(None, 1, 1), (None, 0, 2)]
+    df = spark.createDataFrame(rows, "g int, a int, b int").repartition(5)
+    got = row_number_within(df, ["g"], ["a", "b"], "rn")
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("a", "b")))
+    key = lambda r: (r.g if r.g is not None else -1, r.a, r.b, r.rn)
+    assert sorted(map(key, got.collect())) == sorted(map(key, ref.collect()))
