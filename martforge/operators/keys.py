@@ -88,18 +88,34 @@ def assign_surrogate_keys(new_rows: DataFrame, natural_key: str, key_col: str,
     return ranked.select(key_col, *[c for c in new_rows.columns if c != key_col])
 
 
+# Largest group a single task may sort for a window; beyond it the
+# range-partitioned form is used.
+WINDOW_GROUP_LIMIT = 2_000_000
+
+
 def row_number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
-                      out_col: str) -> DataFrame:
+                      out_col: str, max_group_rows: int = WINDOW_GROUP_LIMIT) -> DataFrame:
     """``row_number() OVER (PARTITION BY p ORDER BY o)`` that survives a hot group.
 
     A window sorts each group inside one task, so a group holding a third of
-    the table lands on one executor. Here the rows are ranked on the whole
-    tuple (p, o) by range partitioning -- a hot group is spread over as many
-    range partitions as its size needs -- and the number inside the group is
-    the global rank minus the group's first rank. The per-group first ranks
-    come from a partial aggregate (one row per group); rows that tie on the
-    whole tuple get consecutive numbers, as with row_number.
+    the table would land on one executor. The largest group size is measured
+    first (a partial aggregate; one number reaches the driver). Under
+    ``max_group_rows`` the plain window is used. Beyond it the rows are ranked
+    on the whole tuple (p, o) by range partitioning -- a hot group is spread
+    over as many range partitions as its size needs -- and the number inside
+    the group is the global rank minus the group's first rank (from a partial
+    aggregate, one row per group). Rows that tie on the whole tuple get
+    consecutive numbers, as with row_number.
     """
+    largest = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).collect()[0][0]
+    if (largest or 0) <= max_group_rows:
+        w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
+        return df.withColumn(out_col, F.row_number().over(w).cast("int"))
+    return _row_number_by_range(df, partition_cols, order_cols, out_col)
+
+
+def _row_number_by_range(df: DataFrame, partition_cols: list[str], order_cols: list[str],
+                         out_col: str) -> DataFrame:
     ranked = with_global_rank(df, [*partition_cols, *order_cols], "_g", spread_ties=True)
     firsts = ranked.groupBy(*partition_cols).agg(F.min("_g").alias("_g0"))
     firsts = firsts.select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols], "_g0")

@@ -46,9 +46,16 @@ class LazyTables(dict):
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Layers of one run. The raw tables are the fixture views over the
+    driver tables in ``sf_dir``, or any four raw DataFrames passed as
+    ``raw_tables`` (e.g. from the CSV source)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None,
+                 raw_tables: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        if raw_tables is not None:
+            self.__dict__["raw"] = LazyTables({k: (lambda v=v: v) for k, v in raw_tables.items()})
 
     # raw -----------------------------------------------------------------
     @cached_property

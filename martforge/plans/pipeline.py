@@ -50,14 +50,18 @@ def rebuild_star(staged: dict[str, DataFrame], root: str) -> dict[str, DataFrame
     return load_star(staged, root)[0]
 
 
-def run(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str | None = None, root: str | None = None,
+        raw_tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Clean, stage, build the star, split off rejects, audit.
 
-    Returns (step, table_name, n_rows): row counts of every written table
-    and, for step ``audit``, the number of violations of each check.
+    Input: the fixture views over ``sf_dir`` or four raw DataFrames
+    (``raw_tables``). Output tables go under ``root`` (default: a fresh
+    folder under ``spark.checkpoint.dir``). Returns (step, table_name,
+    n_rows): row counts of every written table and, for step ``audit``, the
+    number of violations of each check.
     """
     root = root or new_work_dir(spark, "run")
-    layers = Layers(spark, sf_dir)
+    layers = Layers(spark, sf_dir, raw_tables)
     staged = load_staging(spark, layers.clean, f"{root}/staging")
     built, rejects = load_star(staged, f"{root}/star")
     counts = quality.row_counts({STAGE_TABLES[k]: v for k, v in staged.items()}) \

@@ -39,3 +39,23 @@ def write_csv(df: DataFrame, path: str) -> str:
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
     return path
+
+
+# Raw CSV schemas: product numbers are read as text so that a decimal comma
+# (or a float written as "225.0") is repaired by the cleaner, not rejected.
+def csv_schemas() -> dict[str, T.StructType]:
+    from ..schemas import PRODUCT_NUMERIC_COLUMNS, RAW_SCHEMAS
+    products = T.StructType([T.StructField("product_id", T.StringType()),
+                             T.StructField("product_category_name", T.StringType())]
+                            + [T.StructField(c, T.StringType()) for c in PRODUCT_NUMERIC_COLUMNS])
+    return {**RAW_SCHEMAS, "products": products}
+
+
+def read_raw_tables(spark: SparkSession, raw_dir: str,
+                    files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The four raw tables from CSV files (``customers.csv``, ``orders.csv``,
+    ``products.csv``, ``order_items.csv`` unless ``files`` names others),
+    each with its file-order column."""
+    names = files or {k: f"{k}.csv" for k in ("customers", "orders", "products", "order_items")}
+    schemas = csv_schemas()
+    return {k: read_csv(spark, f"{raw_dir.rstrip('/')}/{f}", schemas[k]) for k, f in names.items()}
