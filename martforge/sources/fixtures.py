@@ -104,7 +104,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.keys import row_number_within
     base = spark.sql(RAW_ORDER_ITEMS_SQL, lineitem=read_table(spark, sf_dir, "lineitem"))
-    return row_number_within(base, ITEM_GROUP, ITEM_ORDER, "_ord").drop(*ITEM_GROUP, *ITEM_ORDER)
+    ranked = row_number_within(base, ITEM_GROUP, ITEM_ORDER, "_ord").drop(*ITEM_GROUP, *ITEM_ORDER)
+    return ranked.withColumn("_ord", ranked["_ord"].cast("long"))  # row_number is BIGINT
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
