@@ -35,9 +35,13 @@ def title_case(c: Column) -> Column:
 
 
 def zero_fill(c: Column, width: int) -> Column:
-    """Left-pad text with zeros to ``width``; never truncates.
+    """Left-pad text with zeros to ``width``; never truncates (P3). A leading
+    sign stays in front, as with Python's ``str.zfill``.
 
     ``lpad`` alone would cut longer values, so it only applies to short ones.
     """
     s = c.cast("string")
-    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
+    signed = s.startswith("-") | s.startswith("+")
+    return (F.when(F.length(s) >= width, s)
+            .when(signed, F.concat(F.substring(s, 1, 1), F.lpad(F.substring(s, 2, 1 << 30), width - 1, "0")))
+            .otherwise(F.lpad(s, width, "0")))

@@ -119,7 +119,12 @@ def resolve_items(stg_items: DataFrame, stg_orders: DataFrame,
               .when(F.col("customer_key").isNull(), F.lit("no_customer"))
               .when(F.col("product_key").isNull(), F.lit("no_product"))
               .when(F.col("order_purchase_timestamp").isNull(), F.lit("no_date")))
-    return fact_projection(joined.withColumn("reject_reason", reason), ("reject_reason",))
+    # Money is cast for fact rows only: a rejected item never reaches the
+    # NUMERIC(12,2) columns, so it cannot fail the load on overflow.
+    joined = joined.withColumn("reject_reason", reason) \
+        .withColumn("price", F.when(F.col("reject_reason").isNull(), F.col("price"))) \
+        .withColumn("freight_value", F.when(F.col("reject_reason").isNull(), F.col("freight_value")))
+    return fact_projection(joined, ("reject_reason",))
 
 
 def reject_facts(stg_items: DataFrame, stg_orders: DataFrame,

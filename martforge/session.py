@@ -30,7 +30,7 @@ def build_session(master: str | None = None, app: str = "martforge",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions",
-                str(shuffle_partitions or int(cpus)))
+                str(shuffle_partitions or int(os.environ.get("MF_SHUFFLE_PARTITIONS", cpus))))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -81,3 +81,29 @@ def test_order_items_money_filter_and_exact_revenue(spark):
     assert len(got) == 1
     assert got[0].revenue == Decimal("0.3")  # exact, not 0.30000000000000004
     assert got[0].price == Decimal("0.1")
+
+
+def test_product_distinct_is_a_no_op_after_dedup(spark):
+    """The source's SELECT DISTINCT on the product dimension is dropped
+    because de-duplication already makes product_id unique."""
+    from martforge.operators.star import dim_product_rows
+    from martforge.plans.context import Layers
+    from tests.conftest import SF_SMALL
+    rows = dim_product_rows(Layers(spark, SF_SMALL).clean["products"])
+    assert rows.count() == rows.distinct().count() == rows.select("product_id").distinct().count()
+
+
+def test_rejected_item_with_huge_price_does_not_fail_the_load(spark):
+    from martforge.operators.star import resolve_items
+    items = spark.createDataFrame(
+        [("O9", 1, "P1", Decimal("99999999999999"), Decimal("1")), ("O1", 1, "P1", Decimal("5"), Decimal("1"))],
+        "order_id string, order_item_id int, product_id string, price decimal(20,6), freight_value decimal(20,6)")
+    orders = spark.createDataFrame(
+        [("O1", "C1", "delivered", None, None, None, None, None)],
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp_ntz, "
+        "order_approved_at timestamp_ntz, order_delivered_carrier_date timestamp_ntz, "
+        "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz")
+    dim_c = spark.createDataFrame([(1, "C1")], "customer_key long, customer_id string")
+    dim_p = spark.createDataFrame([(1, "P1")], "product_key long, product_id string")
+    got = {r.order_id: r.reject_reason for r in resolve_items(items, orders, dim_c, dim_p).collect()}
+    assert got == {"O9": "no_order", "O1": "no_date"}

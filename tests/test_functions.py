@@ -26,9 +26,10 @@ def test_title_case_letter_runs(spark):
 
 
 def test_zero_fill_never_truncates(spark):
-    df = spark.createDataFrame([(1234,), (12345,), (123456,), (None,), (7,)], "c bigint")
+    df = spark.createDataFrame([(1234,), (12345,), (123456,), (None,), (7,), (-12,)], "c bigint")
     got = [r[0] for r in df.select(fx.zero_fill(F.col("c"), 5)).collect()]
-    assert got == ["01234", "12345", "123456", None, "00007"]
+    assert got == ["01234", "12345", "123456", None, "00007", "-0012"]
+    assert got[-1] == str(-12).zfill(5)
 
 
 def test_parse_timestamp_lenient(spark):
