@@ -56,12 +56,26 @@ def profile_duplicate_keys(df: DataFrame, table_name: str, keys: list[str]) -> D
 
 # -------------------------------------------------------------- A4
 def profile_duplicate_rows(df: DataFrame, table_name: str) -> DataFrame:
-    """Rows beyond the first that equal it in every column."""
+    """Rows beyond the first that equal it in every column (NULLs equal).
+
+    Grouping by every column would shuffle whole rows. Rows are first
+    counted by a 64-bit hash of all columns (partial aggregation, 16 bytes
+    per row cross the shuffle): a hash seen once is a distinct row for sure.
+    Only rows whose hash repeats are grouped exactly, so hash collisions
+    never change the result.
+    """
     cols = [c for c in df.columns if c != "_ord"]
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    return g.agg(F.sum("_c").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct_rows"),
-                 F.sum(F.col("_c") - 1).alias("n_duplicate_rows")) \
-        .select(F.lit(table_name).alias("table_name"), "n_rows", "n_distinct_rows", "n_duplicate_rows")
+    hashed = df.select(F.xxhash64(*[F.col(c) for c in cols]).alias("_h"), *cols)
+    per_hash = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c"))
+    repeated = per_hash.where(F.col("_c") > 1).select("_h")
+    exact = hashed.join(repeated, "_h", "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    singles = per_hash.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_rows"),
+                           F.count_if(F.col("_c") == 1).alias("_single"))
+    groups = exact.agg(F.count(F.lit(1))).scalar()  # scalar subquery, one value
+    return singles.select(
+        F.lit(table_name).alias("table_name"), F.col("_rows").cast("long").alias("n_rows"),
+        (F.col("_single") + groups).alias("n_distinct_rows"),
+        (F.col("_rows") - F.col("_single") - groups).cast("long").alias("n_duplicate_rows"))
 
 
 # -------------------------------------------------------------- A5
