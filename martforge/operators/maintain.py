@@ -31,21 +31,21 @@ def upsert_dimension(dim: DataFrame, batch: DataFrame, natural_key: str, key_col
                      attrs: list[str]) -> DataFrame:
     """K2: ``ON CONFLICT (natural key) DO UPDATE`` -- slowly changing type 1.
 
-    A full outer join on the natural key: matched rows take every attribute
-    from the batch (a null in the batch overwrites, so the match flag is
-    tested, not the value); unmatched dimension rows stay (dimensions never
-    shrink); batch-only rows get new keys after the current maximum.
+    Existing rows: a left join of the dimension with the batch; a matched
+    row takes every attribute from the batch (a NULL in the batch
+    overwrites, so the match flag is tested, not the value); unmatched rows
+    stay (dimensions never shrink). New rows: the batch anti-joined with the
+    dimension's key column only, numbered after the current maximum key.
+    The batch must be unique on the natural key (the staging load ensures it).
     """
-    b = batch.select(natural_key, *attrs).withColumn("_hit", F.lit(True))
-    d = dim.select(key_col, natural_key, *[F.col(a).alias(f"_old_{a}") for a in attrs])
-    merged = d.join(b, natural_key, "full_outer").select(
+    b = batch.select(natural_key, *[F.col(a).alias(f"_new_{a}") for a in attrs]).withColumn("_hit", F.lit(True))
+    existing = dim.select(key_col, natural_key, *attrs).join(b, natural_key, "left").select(
         key_col, natural_key,
-        *[F.when(F.col("_hit"), F.col(a)).otherwise(F.col(f"_old_{a}")).alias(a) for a in attrs])
-    kept = merged.where(F.col(key_col).isNotNull())
-    fresh = assign_surrogate_keys(merged.where(F.col(key_col).isNull()).drop(key_col),
-                                  natural_key, key_col,
+        *[F.when(F.col("_hit"), F.col(f"_new_{a}")).otherwise(F.col(a)).alias(a) for a in attrs])
+    fresh = batch.select(natural_key, *attrs).join(dim.select(natural_key), natural_key, "left_anti")
+    keyed = assign_surrogate_keys(fresh, natural_key, key_col,
                                   start_after=dim.select(F.max(key_col)).scalar())
-    return kept.unionByName(fresh.select(*kept.columns))
+    return existing.unionByName(keyed.select(*existing.columns))
 
 
 def insert_if_absent(table: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

@@ -94,3 +94,28 @@ def run_concurrently(tasks: dict, max_workers: int = 4) -> dict:
     with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
         futures = {k: pool.submit(f) for k, f in tasks.items()}
         return {k: fut.result() for k, fut in futures.items()}
+
+
+def purge_work_dirs(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Delete versioned work folders (under the shared checkpoint root)
+    older than ``older_than_hours``; returns how many were removed.
+
+    Readers of a version hold lazy plans over its files, so only versions
+    no running job can still read should be purged -- hence the age limit.
+    Uses the Hadoop file-system API, so it works on any shared store.
+    """
+    import time as _time
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/martforge")
+    fs = base.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return 0
+    cutoff = (_time.time() - older_than_hours * 3600) * 1000
+    removed = 0
+    for label in fs.listStatus(base):
+        for version in fs.listStatus(label.getPath()):
+            if version.isDirectory() and version.getModificationTime() < cutoff:
+                fs.delete(version.getPath(), True)
+                removed += 1
+    return removed
