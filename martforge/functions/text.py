@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U) makes \s match every Unicode blank, as a Python str.strip() does;
-# Spark's trim() removes only the ASCII space.
-_EDGE_BLANKS = r"(?U)^\s+|\s+$"
-# A title-case word is a run of letters; everything between runs is kept.
-_LETTER_RUNS = r"(\p{L}+|\P{L}+)"
+# (?U) makes \s match every Unicode blank; with the four ASCII separator
+# controls added it is the set Python's str.strip() removes. Spark's trim()
+# removes only the ASCII space.
+_EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# A title-case word is a run of cased letters (upper, lower, title case);
+# everything between runs (digits, marks, blanks, uncased scripts) is kept.
+_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+_LETTER_RUNS = rf"([{_CASED}]+|[^{_CASED}]+)"
 
 
 def strip_blanks(c: Column) -> Column:
@@ -18,8 +21,9 @@ def strip_blanks(c: Column) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """Upper-case the first letter of every run of letters, lower-case the
-    rest (P2): ``d'oeste`` -> ``D'Oeste``, ``mogi-mirim`` -> ``Mogi-Mirim``.
+    """Upper-case the first letter of every run of cased letters, lower-case
+    the rest (P2), as Python's ``str.title``: ``d'oeste`` -> ``D'Oeste``,
+    ``mogi-mirim`` -> ``Mogi-Mirim``, ``1st`` -> ``1St``.
 
     ``initcap`` splits on spaces only and would give ``D'oeste``.
     """
@@ -27,7 +31,7 @@ def title_case(c: Column) -> Column:
     cased = F.transform(
         pieces,
         lambda t: F.when(
-            t.rlike(r"^\p{L}"),
+            t.rlike(rf"^[{_CASED}]"),
             F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 1 << 30))),
         ).otherwise(t),
     )

@@ -35,3 +35,9 @@ def test_pipeline_from_csv_files(spark):
     assert summary[("star", "fact_orders")] == 4405
     assert summary[("reject", "fact_rejects")] == 142
     assert summary[("audit", "all_checks")] == 0
+
+
+def test_purge_keeps_recent_versions(spark):
+    from martforge.session import purge_work_dirs
+    new_work_dir(spark, "test-purge")
+    assert purge_work_dirs(spark, older_than_hours=10_000) == 0

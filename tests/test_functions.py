@@ -19,6 +19,19 @@ def test_strip_all_blanks(spark):
     assert got == ["sao paulo", "campinas", "rio", None, ""]
 
 
+def test_strip_matches_python_strip(spark):
+    samples = ["\u00a0x y\u2003", "\x1c\x1fz\x1e", "\u200bw\u200b", "\x85v\x0b", "\u3000u\t"]
+    got = [r[0] for r in one_col(spark, samples).select(fx.strip_blanks(F.col("c"))).collect()]
+    assert got == [t.strip() for t in samples]
+
+
+def test_title_case_matches_python_title(spark):
+    samples = ["são paulo", "d'oeste", "東京tokyo", "rio-2 grande", "ÉCOLE du nord", "x1y", "a_b c.d"]
+    df = one_col(spark, samples)
+    got = [r[0] for r in df.select(fx.title_case(F.col("c"))).collect()]
+    assert got == [t.title() for t in samples]
+
+
 def test_title_case_letter_runs(spark):
     df = one_col(spark, ["d'oeste", "mogi-mirim", "SÃO JOSÉ", "1st avenue", None, ""])
     got = [r[0] for r in df.select(fx.title_case(F.col("c"))).collect()]
