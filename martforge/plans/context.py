@@ -104,6 +104,12 @@ class Layers:
                 "dim_date": self.dim_date, "fact_orders": self.fact_orders}
 
     # written ---------------------------------------------------------------
+    @cached_property
+    def staged_items(self) -> DataFrame:
+        """The cleaned items written once as a staging table, for operators
+        that read them in several passes (quartiles, then counts)."""
+        return materialize(self.clean["order_items"], "stg_order_revenue")
+
     @cached_property
     def staged(self) -> dict[str, DataFrame]:
         """S3: the cleaned tables written as staging tables."""

@@ -348,7 +348,7 @@ _MONEY_COLS = ["price", "freight_value"]
     f"OR CAST({c} AS DOUBLE) > (SELECT upper_bound FROM iqr_{c}_v)) AS n_outliers "
     f"FROM clean_order_items_v" for c in _MONEY_COLS]))
 def _iqr_outliers(L: Layers) -> DataFrame:
-    return outliers.iqr_outliers(L.clean["order_items"], _MONEY_COLS)
+    return outliers.iqr_outliers(L.staged_items, _MONEY_COLS)
 
 
 @register("iqr_filter", """
@@ -356,7 +356,7 @@ SELECT i.* FROM clean_order_items_v i
 WHERE CAST(i.price AS DOUBLE) BETWEEN (SELECT lower_bound FROM iqr_price_v) AND (SELECT upper_bound FROM iqr_price_v)
   AND CAST(i.freight_value AS DOUBLE) BETWEEN (SELECT lower_bound FROM iqr_freight_value_v) AND (SELECT upper_bound FROM iqr_freight_value_v)""")
 def _iqr_filter(L: Layers) -> DataFrame:
-    return outliers.iqr_filter(L.clean["order_items"], _MONEY_COLS)
+    return outliers.iqr_filter(L.staged_items, _MONEY_COLS)
 
 
 @register("iqr_cap", """
@@ -365,7 +365,7 @@ SELECT i.* REPLACE (
   least(greatest(CAST(i.freight_value AS DOUBLE), (SELECT lower_bound FROM iqr_freight_value_v)), (SELECT upper_bound FROM iqr_freight_value_v)) AS freight_value)
 FROM clean_order_items_v i""")
 def _iqr_cap(L: Layers) -> DataFrame:
-    return outliers.iqr_cap(L.clean["order_items"], _MONEY_COLS)
+    return outliers.iqr_cap(L.staged_items, _MONEY_COLS)
 
 
 # ====================================================== K1-K9 keys and star
