@@ -94,7 +94,8 @@ WINDOW_GROUP_LIMIT = 2_000_000
 
 
 def row_number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
-                      out_col: str, max_group_rows: int = WINDOW_GROUP_LIMIT) -> DataFrame:
+                      out_col: str, max_group_rows: int = WINDOW_GROUP_LIMIT,
+                      rows_at_most: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY p ORDER BY o)`` that survives a hot group.
 
     A window sorts each group inside one task, so a group holding a third of
@@ -105,9 +106,15 @@ def row_number_within(df: DataFrame, partition_cols: list[str], order_cols: list
     over as many range partitions as its size needs -- and the number inside
     the group is the global rank minus the group's first rank (from a partial
     aggregate, one row per group). Rows that tie on the whole tuple get
-    consecutive numbers, as with row_number.
+    consecutive numbers, as with row_number. ``rows_at_most`` (a known bound
+    on the row count, e.g. of the scanned table) skips the measurement when
+    even the whole input fits under the limit.
     """
-    largest = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).collect()[0][0]
+    if rows_at_most is not None and rows_at_most <= max_group_rows:
+        largest = rows_at_most
+    else:
+        largest = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n")) \
+            .agg(F.max("_n")).collect()[0][0]
     if (largest or 0) <= max_group_rows:
         w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
         return df.withColumn(out_col, F.row_number().over(w).cast("int"))

@@ -103,8 +103,11 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.keys import row_number_within
-    base = spark.sql(RAW_ORDER_ITEMS_SQL, lineitem=read_table(spark, sf_dir, "lineitem"))
-    ranked = row_number_within(base, ITEM_GROUP, ITEM_ORDER, "_ord").drop(*ITEM_GROUP, *ITEM_ORDER)
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    base = spark.sql(RAW_ORDER_ITEMS_SQL, lineitem=lineitem)
+    # The table's row count (answered from the Parquet footers) bounds every group.
+    ranked = row_number_within(base, ITEM_GROUP, ITEM_ORDER, "_ord", rows_at_most=lineitem.count()) \
+        .drop(*ITEM_GROUP, *ITEM_ORDER)
     return ranked.withColumn("_ord", ranked["_ord"].cast("long"))  # row_number is BIGINT
 
 
