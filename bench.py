@@ -20,7 +20,7 @@ HEADLINE = [
     "clean_customers", "clean_orders", "clean_products", "clean_order_items",
     "dim_customers", "dim_products", "dim_date", "fact_orders", "reject_facts",
     "audit_star", "profile_nulls", "order_revenue", "iqr_outliers",
-    "upsert_customers", "fact_refresh", "pipeline_summary",
+    "upsert_customers", "fact_refresh", "end_to_end_summary",
 ]
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import argparse
 
-from .plans.pipeline import run
+from .plans.jobs import run
 from .session import build_session, new_work_dir
 from .sources.csv import read_raw_tables
 

@@ -25,7 +25,7 @@ from . import oracle
 from .batches import TwoBatches
 from .context import Layers
 from .oracle import PRODUCT_NUM, TS, _comma, _dec, _title_strip, _zfill
-from .pipeline import rebuild_star, run
+from .jobs import rebuild_star, run
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -565,6 +565,6 @@ _SUMMARY_SQL = _union_all(
        "SELECT 'audit', check_name, n_violations FROM (" + _AUDIT_SQL + ")"])
 
 
-@register("pipeline_summary", _SUMMARY_SQL)
-def _pipeline_summary(L: Layers) -> DataFrame:
+@register("end_to_end_summary", _SUMMARY_SQL)
+def _end_to_end_summary(L: Layers) -> DataFrame:
     return run(L.spark, L.sf_dir)

@@ -23,7 +23,7 @@ def test_pipeline_from_csv_files(spark):
     the CSV source give the same load as the Parquet path (the 'NA' state
     codes become missing, which does not change any count)."""
     from martforge.plans.context import Layers
-    from martforge.plans.pipeline import run
+    from martforge.plans.jobs import run
     from martforge.sources.csv import read_raw_tables
     from tests.conftest import SF_SMALL
     raw = Layers(spark, SF_SMALL).raw

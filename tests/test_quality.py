@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from martforge.operators import quality
 from martforge.plans.context import Layers
-from martforge.plans.pipeline import run
+from martforge.plans.jobs import run
 from tests.conftest import SF_SMALL
 
 
