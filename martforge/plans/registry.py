@@ -73,10 +73,6 @@ def _csv_roundtrip(L: Layers) -> DataFrame:
     return dedup.keep_first(back, KEYS["customers"])
 
 
-def _staged(L: Layers) -> dict[str, DataFrame]:
-    return load_staging(L.spark, L.clean)
-
-
 @register("stage_customers", "SELECT * FROM clean_customers_v")
 def _stage_customers(L: Layers) -> DataFrame:
     return load_staging(L.spark, {"customers": L.clean["customers"]})["customers"]
