@@ -51,27 +51,41 @@ def exact_quantiles(df: DataFrame, columns: list[str] | str, probs: list[float])
     return with_n.groupBy("column_name").agg(*picks).select("column_name", *finals)
 
 
-def iqr_bounds(df: DataFrame, columns: list[str] | str, k: float = 1.5) -> DataFrame:
-    """Per column: q1, q3, lower_bound = q1 - k*IQR, upper_bound = q3 + k*IQR."""
-    q = exact_quantiles(df, columns, [0.25, 0.75]).select(
+def approx_quantiles(df: DataFrame, columns: list[str] | str, probs: list[float],
+                     accuracy: int = 10000) -> DataFrame:
+    """One-pass alternative: ``percentile_approx`` keeps a bounded sketch per
+    column (relative rank error 1/accuracy) and returns observed values."""
+    cols = [columns] if isinstance(columns, str) else list(columns)
+    one = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c) for c in cols])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"),
+                 *[F.col(c)[i].alias(f"q_{i}") for i in range(len(probs))]) for c in cols])).alias("_q")
+    ).select("_q.*")
+
+
+def iqr_bounds(df: DataFrame, columns: list[str] | str, k: float = 1.5, exact: bool = True) -> DataFrame:
+    """Per column: q1, q3, lower_bound = q1 - k*IQR, upper_bound = q3 + k*IQR.
+    ``exact=False`` uses the one-pass sketch instead of exact ranks."""
+    quantiles = exact_quantiles if exact else approx_quantiles
+    q = quantiles(df, columns, [0.25, 0.75]).select(
         "column_name", F.col("q_0").alias("q1"), F.col("q_1").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return q.select("column_name", "q1", "q3", (F.col("q1") - F.lit(k) * iqr).alias("lower_bound"),
                     (F.col("q3") + F.lit(k) * iqr).alias("upper_bound"))
 
 
-def _frozen_bounds(df: DataFrame, columns: list[str], k: float) -> DataFrame:
-    return materialize(iqr_bounds(df, columns, k).coalesce(1), "iqr_bounds")
+def _frozen_bounds(df: DataFrame, columns: list[str], k: float, exact: bool = True) -> DataFrame:
+    return materialize(iqr_bounds(df, columns, k, exact).coalesce(1), "iqr_bounds")
 
 
 def _scalar(bounds: DataFrame, column: str, field: str):
     return bounds.where(F.col("column_name") == column).select(field).scalar()
 
 
-def iqr_outliers(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: list[str], k: float = 1.5, exact: bool = True) -> DataFrame:
     """Per column, quartiles, bounds and how many values fall outside.
     The counts for all columns are one aggregate over the data."""
-    b = _frozen_bounds(df, columns, k)
+    b = _frozen_bounds(df, columns, k, exact)
     counts = []
     for c in columns:
         v = F.col(c).cast("double")
@@ -86,9 +100,9 @@ def iqr_outliers(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame
         (F.col("n_below") + F.col("n_above")).alias("n_outliers"))
 
 
-def iqr_filter(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
+def iqr_filter(df: DataFrame, columns: list[str], k: float = 1.5, exact: bool = True) -> DataFrame:
     """O1: keep rows whose every listed column lies inside its IQR bounds."""
-    b = _frozen_bounds(df, columns, k)
+    b = _frozen_bounds(df, columns, k, exact)
     cond = F.lit(True)
     for c in columns:
         v = F.col(c).cast("double")
@@ -96,9 +110,9 @@ def iqr_filter(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
     return df.where(cond)
 
 
-def iqr_cap(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
+def iqr_cap(df: DataFrame, columns: list[str], k: float = 1.5, exact: bool = True) -> DataFrame:
     """O2: clamp each listed column (as double) into its IQR bounds."""
-    b = _frozen_bounds(df, columns, k)
+    b = _frozen_bounds(df, columns, k, exact)
     return df.select([
         F.least(F.greatest(F.col(c).cast("double"), _scalar(b, c, "lower_bound")),
                 _scalar(b, c, "upper_bound")).alias(c) if c in columns else F.col(c)

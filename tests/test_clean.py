@@ -107,3 +107,21 @@ def test_rejected_item_with_huge_price_does_not_fail_the_load(spark):
     dim_p = spark.createDataFrame([(1, "P1")], "product_key long, product_id string")
     got = {r.order_id: r.reject_reason for r in resolve_items(items, orders, dim_c, dim_p).collect()}
     assert got == {"O9": "no_order", "O1": "no_date"}
+
+
+def test_nan_weight_is_dropped(spark):
+    raw = spark.createDataFrame(
+        [("P1", "a", "1", "2", "3", float("nan"), 1.0, 1.0, 1.0, 0),
+         ("P2", "b", "1", "2", "3", 5.0, 1.0, 1.0, 1.0, 0)],
+        "product_id string, product_category_name string, product_name_lenght string, "
+        "product_description_lenght string, product_photos_qty string, product_weight_g double, "
+        "product_length_cm double, product_height_cm double, product_width_cm double, _ord int")
+    assert [r.product_id for r in cl.clean_products(raw).collect()] == ["P2"]
+
+
+def test_zip_padded_in_staging_but_int_in_dimension(spark):
+    from martforge.operators.star import build_dim_customers
+    raw = with_ord(spark, [("C1", "U1", 1234, "x", "SP", 0)], RAW_CUSTOMERS)
+    staged = cl.clean_customers(raw)
+    assert staged.collect()[0].customer_zip_code_prefix == "01234"
+    assert build_dim_customers(staged).collect()[0].customer_zip_code_prefix == 1234

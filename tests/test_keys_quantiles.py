@@ -86,3 +86,11 @@ def test_row_number_within_matches_window_on_hot_group(spark):
     expect = sorted(map(key, ref.collect()))
     assert sorted(map(key, got.collect())) == expect
     assert sorted(map(key, small.collect())) == expect
+
+
+def test_approx_bounds_close_to_exact(spark):
+    rnd = random.Random(2)
+    df = spark.createDataFrame([(rnd.gauss(100, 15),) for _ in range(5000)], "x double")
+    exact = iqr_bounds(df, ["x"]).collect()[0]
+    approx = iqr_bounds(df, ["x"], exact=False).collect()[0]
+    assert abs(exact.q1 - approx.q1) < 1.0 and abs(exact.q3 - approx.q3) < 1.0
