@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators import maintain, star
 from ..schemas import DIM_CUSTOMER_ATTRS, DIM_PRODUCT_ATTRS, FACT_COLUMNS, FACT_KEYS
+from ..session import run_concurrently
 from .staging import write_table
 
 MONTH = "purchase_month"
@@ -70,8 +71,8 @@ class StarStore:
 
     # ----------------------------------------------------------------- write
     def _publish(self, version: int, dims: dict[str, DataFrame]) -> None:
-        for t, df in dims.items():
-            write_table(df, f"{self.root}/dims/v{version:06d}/{t}")
+        run_concurrently({t: (lambda t=t, df=df: write_table(df, f"{self.root}/dims/v{version:06d}/{t}"))
+                          for t, df in dims.items()})
 
     def _set_current(self, version: int) -> None:
         self.spark.createDataFrame([(version,)], "version int").coalesce(1) \

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..schemas import STAGE_COLUMNS
+from ..session import run_concurrently
 from ..sources.star_store import StarStore
 from ..sources.staging import write_table
 
@@ -31,8 +32,8 @@ def publish_batch(spark: SparkSession, landing: str, batch_id: int,
                   staged: dict[str, DataFrame]) -> str:
     """Write one staged batch and announce it in the manifest."""
     path = f"{landing.rstrip('/')}/batches/b{batch_id:06d}"
-    for name, df in staged.items():
-        write_table(df.select(*STAGE_COLUMNS[name]), f"{path}/{name}")
+    run_concurrently({name: (lambda name=name, df=df: write_table(df.select(*STAGE_COLUMNS[name]), f"{path}/{name}"))
+                      for name, df in staged.items()})
     (spark.createDataFrame([(batch_id, path)], MANIFEST).coalesce(1)
      .write.mode("append").parquet(f"{landing.rstrip('/')}/manifest"))
     return path
