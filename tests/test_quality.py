@@ -65,3 +65,14 @@ def test_reject_reasons(spark):
            reject_facts(c["order_items"], c["orders"], L.dim_customers, L.dim_products)
            .groupBy("reject_reason").count().collect()}
     assert got == {"no_order": 73, "no_customer": 3, "no_product": 63, "no_date": 3}
+
+
+def test_command_line_runs_the_load():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "martforge", "--tables", SF_SMALL, "--master", "local[2]"],
+                         cwd=root, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "fact_orders" in out.stdout and "4405" in out.stdout
