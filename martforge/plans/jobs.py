@@ -42,10 +42,11 @@ def load_star(staged: dict[str, DataFrame], root: str) -> tuple[dict[str, DataFr
     resolved = star.resolve_items(staged["order_items"], staged["orders"], dim_c, dim_p) \
         .withColumn(FACT_STATUS, F.coalesce(F.col("reject_reason"), F.lit("fact"))) \
         .withColumn(MONTH, (F.year("date_key") * 100 + F.month("date_key")).cast("int"))
-    # Range-partitioned on (status, month, order) so each task writes one or
-    # two month folders and a huge month is spread over several tasks.
+    # Range-partitioned on (status, month, order, item) -- a unique key -- so
+    # each task writes one or two month folders and a huge month, or a huge
+    # order, is spread over several tasks.
     n = int(resolved.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    items = write_table(resolved.repartitionByRange(n, FACT_STATUS, MONTH, "order_id"),
+    items = write_table(resolved.repartitionByRange(n, FACT_STATUS, MONTH, "order_id", "order_item_id"),
                         f"{root}/fact_items", partition_by=[FACT_STATUS, MONTH])
     fact = items.where(F.col(FACT_STATUS) == "fact").select(*FACT_COLUMNS)
     rejects = items.where(F.col(FACT_STATUS) != "fact").select("order_id", "order_item_id", "reject_reason")

@@ -33,11 +33,12 @@ def _month(c: str = "date_key"):
 
 
 def _by_month(df: DataFrame) -> DataFrame:
-    """Range-partition on (month, order id) before a partitioned write: each
-    task writes one or two month folders (few files), and a month larger than
-    a task is split over several tasks instead of landing in one."""
+    """Range-partition on (month, order id, item id) before a partitioned
+    write: each task writes one or two month folders (few files), and a month
+    -- or a single order -- larger than a task is split over several tasks
+    instead of landing in one (the key is unique, so every range can split)."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, MONTH, "order_id")
+    return df.repartitionByRange(n, MONTH, "order_id", "order_item_id")
 
 
 def materialize_small(df: DataFrame, root: str, version: int) -> DataFrame:
