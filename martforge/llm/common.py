@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, new_work_dir
 
-__all__ = ["table", "materialize", "new_work_dir", "binary_view", "null_mask", "ranged_running_sum",
+__all__ = ["table", "materialize", "new_work_dir", "binary_view", "null_mask", "ranged_running_sum", "arrow_map", "share_code",
            "shuffle_partitions", "text_or_empty", "one_row_per_key"]
 
 #: The word separators of the package: blank and the ASCII controls 9-13.
@@ -20,6 +23,32 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SHARED: set[str] = set()
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let the Python workers of this application import the package, however
+    the driver found it: Spark ships it to every executor, once."""
+    context = spark.sparkContext
+    if context.applicationId in _SHARED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="code-"), "martforge_code.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(target)
+    _SHARED.add(context.applicationId)
+
+
+def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with the package importable in the workers."""
+    share_code(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy scan of one input table (schema from its footers)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -79,7 +108,7 @@ def ranged_running_sum(df: DataFrame, order: list[str], value: str, group: str |
         .sortWithinPartitions(*order, "_tie").drop("_tie")
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in ranged.schema.fields)}, " \
              "_part int, _cum bigint"
-    local = materialize(ranged.mapInArrow(_local_running(value, group), schema), "running")
+    local = materialize(arrow_map(ranged, _local_running(value, group), schema), "running")
     by = ["_part"] + ([group] if group else [])
     sums = local.groupBy(*by).agg(F.max("_cum").alias("_sum"))
     before = (Window.partitionBy(group) if group else Window.partitionBy()).orderBy("_part") \

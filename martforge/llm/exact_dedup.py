@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_view, materialize, text_or_empty
+from .common import arrow_map, binary_view, materialize, text_or_empty
 
 CHUNK_BITS = 12          # a cut at every 2**12 bytes on average
 MAX_CHUNK = 1 << 16      # a longer chunk is cut at multiples of this size
@@ -141,15 +141,15 @@ def chunk_recipes(docs: DataFrame, fingerprint_of: Callable = fingerprint) -> Da
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def write(clash: frozenset) -> DataFrame:
-        rows = texts.mapInArrow(_chunker(["doc_id", "recipe", "text_sha256"], clash, fingerprint_of),
-                                f"doc_id {kind}, recipe array<binary>, text_sha256 string")
+        rows = arrow_map(texts, _chunker(["doc_id", "recipe", "text_sha256"], clash, fingerprint_of),
+                         f"doc_id {kind}, recipe array<binary>, text_sha256 string")
         return materialize(rows.withColumn("rid", F.monotonically_increasing_id()), "recipes")
 
     recipes = write(frozenset())
     repeated = recipes.select(F.explode("recipe").alias("print")) \
         .groupBy("print").agg(F.count(F.lit(1)).alias("n")).filter("n > 1") \
         .select(F.expr("substring(print, 1, length(print) - 1)").alias("print"))
-    contents = texts.mapInArrow(_contents(fingerprint_of), "print binary, chunk binary") \
+    contents = arrow_map(texts, _contents(fingerprint_of), "print binary, chunk binary") \
         .join(repeated, "print", "left_semi").groupBy("print", "chunk").agg(F.lit(1).alias("one"))
     # Fingerprints of different chunks: none is expected of 128 bits.
     clash = [bytes(r[0]) for r in contents.groupBy("print").agg(F.count(F.lit(1)).alias("n"))

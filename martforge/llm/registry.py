@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, quality, simhash
+from . import exact_dedup, mixing, pii, quality, secrets, sentencepiece, simhash, toxicity, warc
 from .common import table
 
 
+def op1_warc(spark, sf_dir):
+    return warc.archive_pages(table(spark, sf_dir, "pages")) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_pseudonyms(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
+def op5_sentencepiece(spark, sf_dir):
+    return sentencepiece.tokenised(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
 
@@ -23,6 +36,30 @@ def op8_simhash(spark, sf_dir):
         .select("doc_id", "fingerprint", "component_id")
 
 
+def op9_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_secrets(spark, sf_dir):
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+# Base 32 of the 40 hex digits, 20 bits (5 digits, 4 letters) at a time.
+OP1_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
+digests AS (
+  SELECT page_id, strlen(p) AS payload_bytes, sha1(p) AS sha FROM payloads),
+coded AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+              1 + ((('0x' || substr(sha, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31)::INTEGER, 1)), '') AS payload_digest,
+         min(page_id) OVER (PARTITION BY sha) AS first_id
+  FROM digests)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM coded
+"""
+
 OP3_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
@@ -89,12 +126,18 @@ FROM bits
 """
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_mix_sources": op3_mix_sources,
+    "op4_pseudonyms": op4_pseudonyms,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
+    "op10_secrets": op10_secrets,
 }
 ORACLE = {
+    "op1_warc": OP1_SQL,
     "op3_mix_sources": OP3_SQL,
     "op6_exact_dedup": OP6_SQL,
     "op7_quality_rules": OP7_SQL,

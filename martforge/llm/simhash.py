@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_view, materialize, text_or_empty
+from .common import arrow_map, binary_view, materialize, text_or_empty
 
 BITS = 64
 SEED = 42
@@ -83,8 +83,8 @@ def _fingerprinter(shingle: int) -> Callable:
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id, fp (the 64 bits as a long) of every whole text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_or_empty().alias("text")) \
-        .mapInArrow(_fingerprinter(shingle), f"doc_id {kind}, fp bigint")
+    rows = docs.select("doc_id", text_or_empty().alias("text"))
+    return arrow_map(rows, _fingerprinter(shingle), f"doc_id {kind}, fp bigint")
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -192,7 +192,7 @@ def keep_first_of_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) ->
     again = docs.join(repeated, on, "left_semi")
     kind = docs.schema["doc_id"].dataType.simpleString()
     printed = again.select("doc_id", text_or_empty().alias("text")).distinct()
-    own = printed.mapInArrow(_fingerprinter_with_text(shingle), f"_id {kind}, _text string, _fp bigint")
+    own = arrow_map(printed, _fingerprinter_with_text(shingle), f"_id {kind}, _text string, _fp bigint")
     marked = own.join(heads.select(F.col("fp").alias("_fp")).distinct(), "_fp", "left_semi")
     roots = groups.select(F.col("fp").alias("_fp"), F.col("component_id").alias("_root")).distinct()
     marked = marked.join(roots, "_fp").filter("_id <=> _root")
