@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, pii, quality, secrets, sentencepiece, simhash, toxicity, warc
+from . import exact_dedup, mixing, pii, quality, secrets, sentencepiece, simhash, suffix_dedup, toxicity, warc
 from .common import table
 
 
@@ -11,6 +11,11 @@ def op1_warc(spark, sf_dir):
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -127,6 +132,7 @@ FROM bits
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_pseudonyms": op4_pseudonyms,
     "op5_sentencepiece": op5_sentencepiece,

@@ -154,8 +154,8 @@ def components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id
-    (smallest doc_id of the component), n_links (links of the fingerprint's
-    star), fp, rid (a frozen row number)."""
+    (smallest doc_id of the component), rid (a frozen row number), fp and root
+    (the component's smallest fingerprint, as longs)."""
     prints = materialize(fingerprints(docs, shingle).withColumn("rid", F.monotonically_increasing_id()),
                          "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"),
@@ -170,36 +170,41 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFr
     labels = placed.join(heads, "root", "left").select(
         "fp", F.when(F.col("component_first").isNull(), F.col("first_id"))
         .otherwise(F.col("component_first")).alias("component_id"),
-        "copies", F.col("component_first").isNotNull().alias("linked"))
+        "copies", "root", F.col("component_first").isNotNull().alias("linked"))
     labels = labels.filter("copies > 1 or linked")
     out = prints.join(labels, "fp", "left")
     return out.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.coalesce("component_id", "doc_id").alias("component_id"), "rid", "fp")
+        F.coalesce("component_id", "doc_id").alias("component_id"), "rid", "fp", F.coalesce("root", "fp").alias("root"))
 
 
 def keep_first_of_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One row of each near-duplicate group of ``docs`` (its smallest doc_id),
-    all columns. Where rows of one group repeat that doc_id, one stays."""
+    """One row of each near-duplicate group of ``docs`` (that of its smallest
+    doc_id), all columns. Of rows of one group that repeat this doc_id, the one
+    with the smallest text stays; other rows of that doc_id belong to groups
+    of their own or are dropped with theirs."""
     groups = materialize(simhash_groups(docs, shingle, radius), "simhash-groups")
-    heads = groups.filter("doc_id <=> component_id")
-    ids = heads.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows"))
-    joined = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    repeated = ids.filter("_rows > 1")
-    on = F.col("doc_id").eqNullSafe(F.col("_id"))
-    single = joined.join(repeated, on, "left_anti")
-    # Repeated doc_ids: rows of different groups stay, one of each.
-    again = docs.join(repeated, on, "left_semi")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    printed = again.select("doc_id", text_or_empty().alias("text")).distinct()
-    own = arrow_map(printed, _fingerprinter_with_text(shingle), f"_id {kind}, _text string, _fp bigint")
-    marked = own.join(heads.select(F.col("fp").alias("_fp")).distinct(), "_fp", "left_semi")
-    roots = groups.select(F.col("fp").alias("_fp"), F.col("component_id").alias("_root")).distinct()
-    marked = marked.join(roots, "_fp").filter("_id <=> _root")
-    first = marked.groupBy("_id").agg(F.min("_text").alias("_text"))
-    kept = again.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_or_empty() == F.col("_text")),
-                      "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(kept)
+    special = groups.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum((F.col("doc_id").eqNullSafe(F.col("component_id"))).cast("int")).alias("_heads")) \
+        .filter("_rows > 1 or _heads = 0 or _id is null")
+    # Only dropped and repeated doc_ids are joined; the rest passes.
+    joined = docs.join(special, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    single = joined.filter("_rows is null").select(*docs.columns)
+    again = joined.filter("_heads > 0").select(*docs.columns)
+    return single.unionByName(_one_of_repeated_ids(again, groups, shingle))
+
+
+def _one_of_repeated_ids(rows: DataFrame, groups: DataFrame, shingle: int) -> DataFrame:
+    """The kept rows among those whose doc_id is repeated or null."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    texts = rows.select("doc_id", text_or_empty().alias("text")).distinct()
+    printed = arrow_map(texts, _fingerprinter_with_text(shingle), f"_id {kind}, _text string, _fp bigint")
+    heads = groups.filter("doc_id <=> component_id") \
+        .select(F.col("fp").alias("_print"), F.col("doc_id").alias("_own"), F.col("root").alias("_root")).distinct()
+    heads = printed.join(heads, (F.col("_fp") == F.col("_print")) & F.col("_id").eqNullSafe(F.col("_own")))
+    first = heads.groupBy("_id", "_root").agg(F.min("_text").alias("_text")).select("_id", "_text")
+    return rows.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_or_empty() == F.col("_text")), "left_semi") \
+        .withColumn("_text", text_or_empty()).dropDuplicates(["doc_id", "_text"]).drop("_text")
 
 
 def _fingerprinter_with_text(shingle: int) -> Callable:
