@@ -40,7 +40,8 @@ ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 8, 16, 32
 KINDS = ("assign", "access", "hex")
 ADDED = "crf"
 
-SAMPLE_DOCUMENTS = 600     # documents of each sort (with and without base spans) to train on
+CANDIDATES = 20_000        # documents that the sample is drawn from
+SAMPLE_DOCUMENTS = 600      # documents of each sort (with and without base spans) to train on
 CONTEXT = 12               # words kept on each side of a span in training
 NEGATIVE_WORDS = 60        # words of a training window without spans
 EPOCHS, RATE, PENALTY = 100, 0.1, 1e-3
@@ -50,6 +51,8 @@ KNOWN_WORDS = 300_000
 
 _WORD = re.compile(WORD)
 _KEYWORDS = re.compile(rb"passw|secret|token|api_?key|credential|private|auth|bearer|akia|pwd", re.I)
+# Ordinary words: letters (bytes of other scripts included), at most one stop.
+_PLAIN = re.compile(rb"[A-Z\x80-\xff]?[a-z\x80-\xff]{0,23}[.,;!?]?")
 _TRIM = "\"'`()[]{}<>,;:!?"
 
 
@@ -69,9 +72,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def word_features(word: bytes) -> tuple[str, ...]:
     """The class of a word: its shape and, for marked words, what they say."""
-    n = len(word)
-    if word.isalpha() and n < 24 and (word.islower() or word[:1].isupper() and word[1:].islower()) \
-            and not _KEYWORDS.search(word):
+    if _PLAIN.fullmatch(word) and not _KEYWORDS.search(word):
         return ("plain",)
     core = word.strip(_TRIM.encode())
     digits = sum(48 <= c < 58 for c in core)
@@ -300,18 +301,22 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _HINT = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{8}"
 
 
-def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Field:
+def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, candidates: int = CANDIDATES) -> Field:
     """A field trained on at most ``documents`` texts with base spans and as
-    many without, the same ones in every run."""
+    many without, drawn from ``candidates`` documents in the order of a hash of
+    their doc_id: the same ones in every run."""
+    drawn = docs.select("doc_id").filter("doc_id is not null").distinct() \
+        .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(candidates)
     text = text_or_empty()
-    rows = docs.select(text.alias("text"), F.substring(F.md5(text), 1, 8).alias("spot"),
-                       (text.rlike(_HINT) | text.rlike("AKIA[A-Z0-9]{12}") | text.rlike("[0-9a-f]{32}")).alias("hit"))
-    keys = rows.select("spot", "hit").distinct()
-    picked = keys.filter("hit").orderBy("spot").limit(documents) \
-        .unionByName(keys.filter("not hit").orderBy("spot").limit(documents))
-    picked = materialize(picked, "secret-sample")
-    # Both limits bound the broadcast side; copies of a text count once.
-    sample = rows.join(F.broadcast(picked), ["spot", "hit"], "left_semi").select("text", "spot").distinct()
+    # The limit bounds the broadcast side; copies of a text count once.
+    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(drawn), "doc_id", "left_semi") \
+        .select("text").distinct() \
+        .select("text", F.substring(F.md5("text"), 1, 8).alias("spot"),
+                (F.col("text").rlike(_HINT) | F.col("text").rlike("AKIA[A-Z0-9]{12}")
+                 | F.col("text").rlike("[0-9a-f]{32}")).alias("hit"))
+    rows = materialize(rows, "secret-sample")
+    sample = rows.filter("hit").orderBy("spot").limit(documents) \
+        .unionByName(rows.filter("not hit").orderBy("spot").limit(documents)).select("text", "spot")
     windows = arrow_map(sample, _windows, "words array<binary>, tags array<int>, bucket int").collect()
     windows = sorted((tuple(bytes(w) for w in r["words"]), tuple(r["tags"]), r["bucket"]) for r in windows if r["words"])
     return train([([word_features(w) for w in words], list(tags), bucket) for words, tags, bucket in windows])
