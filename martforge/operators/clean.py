@@ -95,8 +95,3 @@ CLEANERS = {
     "products": clean_products,
     "order_items": clean_order_items,
 }
-
-
-def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The four cleaners, lazily; nothing runs until a sink asks."""
-    return {name: CLEANERS[name](df) for name, df in raw.items()}

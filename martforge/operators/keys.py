@@ -7,9 +7,9 @@ the partition; the result is written as a Parquet table in the shared
 checkpoint folder (range bounds are sampled, so a recomputation could draw
 other bounds; the written copy freezes them and stays columnar for the
 readers). A frame with one row per partition (and group) then yields each
-partition's offset by a prefix sum; it is broadcast -- its size is bounded
-by the partition count times the group count, not by the data -- and
-offset + position is the exact rank.
+partition's offset by a prefix sum; its size is bounded by the partition
+count times the group count, not by the data, and AQE broadcasts it where it
+is small. Offset + position is the exact rank.
 """
 
 from __future__ import annotations
@@ -26,27 +26,23 @@ def _num_partitions(df: DataFrame) -> int:
 
 def with_global_rank(df: DataFrame, order_cols: list[str], rank_col: str,
                      weight: Column | None = None, group_cols: list[str] | None = None,
-                     num_partitions: int | None = None, spread_ties: bool = False) -> DataFrame:
+                     num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col``: 1-based position of each row in ``order_cols`` order,
     counted separately inside each group of ``group_cols`` (a small number of
     groups, e.g. one per profiled column).
 
     With ``weight`` the column is instead the running total of ``weight``
     up to and including the row (a weighted rank, used for quantiles).
-    Ties in ``order_cols`` are broken by the position inside the partition;
-    with ``spread_ties`` a seeded random tie-breaker is appended to the range
-    key, so that even a mass of rows equal on every order column is split
-    over several range partitions (the written copy freezes the draw).
+    Ties in ``order_cols`` are broken by the position inside the partition.
+    The input is written first: drawing the range bounds reads it a second
+    time, and must not compute it a second time.
     """
     groups = list(group_cols or [])
     n = num_partitions or _num_partitions(df)
     w = weight if weight is not None else F.lit(1).cast("long")
     keys = [*groups, *order_cols]
-    if spread_ties:
-        df = df.withColumn("_tie", F.rand(17))
-        keys.append("_tie")
     ranged = (
-        df.withColumn("_w", w.cast("long"))
+        materialize(df.withColumn("_w", w.cast("long")), "rank-input")
         .repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_part", F.spark_partition_id())
@@ -69,9 +65,9 @@ def with_global_rank(df: DataFrame, order_cols: list[str], rank_col: str,
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))) \
         .select("_part", *groups, "_offset", *(["_first"] if weight is None else []))
-    out = ranged.join(F.broadcast(offsets), ["_part", *groups])
+    out = ranged.join(offsets, ["_part", *groups])
     return out.withColumn(rank_col, (F.col("_offset") + local).cast("long")).drop(
-        "_part", "_pos", "_offset", "_first", "_w", "_cum", "_n", "_tie")
+        "_part", "_pos", "_offset", "_first", "_w", "_cum", "_n")
 
 
 def assign_surrogate_keys(new_rows: DataFrame, natural_key: str, key_col: str,
@@ -86,50 +82,3 @@ def assign_surrogate_keys(new_rows: DataFrame, natural_key: str, key_col: str,
     if start_after is not None:
         ranked = ranked.withColumn(key_col, F.col(key_col) + F.coalesce(start_after, F.lit(0)).cast("long"))
     return ranked.select(key_col, *[c for c in new_rows.columns if c != key_col])
-
-
-# Largest group a single task may sort for a window; beyond it the
-# range-partitioned form is used.
-WINDOW_GROUP_LIMIT = 2_000_000
-
-
-def row_number_within(df: DataFrame, partition_cols: list[str], order_cols: list[str],
-                      out_col: str, max_group_rows: int = WINDOW_GROUP_LIMIT,
-                      rows_at_most: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY p ORDER BY o)`` that survives a hot group.
-
-    A window sorts each group inside one task, so a group holding a third of
-    the table would land on one executor. The largest group size is measured
-    first (a partial aggregate; one number reaches the driver). Under
-    ``max_group_rows`` the plain window is used. Beyond it the rows are ranked
-    on the whole tuple (p, o) by range partitioning -- a hot group is spread
-    over as many range partitions as its size needs -- and the number inside
-    the group is the global rank minus the group's first rank (from a partial
-    aggregate, one row per group). Rows that tie on the whole tuple get
-    consecutive numbers, as with row_number. ``rows_at_most`` (a known bound
-    on the row count, e.g. of the scanned table) skips the measurement when
-    even the whole input fits under the limit.
-    """
-    if rows_at_most is not None and rows_at_most <= max_group_rows:
-        largest = rows_at_most
-    else:
-        largest = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n")) \
-            .agg(F.max("_n")).collect()[0][0]
-    if (largest or 0) <= max_group_rows:
-        w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-        return df.withColumn(out_col, F.row_number().over(w).cast("int"))
-    return _row_number_by_range(df, partition_cols, order_cols, out_col)
-
-
-def _row_number_by_range(df: DataFrame, partition_cols: list[str], order_cols: list[str],
-                         out_col: str) -> DataFrame:
-    ranked = with_global_rank(df, [*partition_cols, *order_cols], "_g", spread_ties=True)
-    firsts = ranked.groupBy(*partition_cols).agg(F.min("_g").alias("_g0"))
-    firsts = firsts.select(*[F.col(c).alias(f"_p_{c}") for c in partition_cols], "_g0")
-    cond = None
-    for c in partition_cols:
-        eq = F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-        cond = eq if cond is None else cond & eq
-    joined = ranked.join(firsts, cond)
-    return joined.withColumn(out_col, (F.col("_g") - F.col("_g0") + 1).cast("int")) \
-        .drop("_g", "_g0", *[f"_p_{c}" for c in partition_cols])

@@ -1,8 +1,7 @@
 """Incremental maintenance of the star (K2-K4, J5) and insert-ignore.
 
 All maintenance steps are pure functions ``(old table, batch) -> new table``;
-writers put the result in a new versioned folder, so re-running a batch is
-idempotent and a reader never sees a half-applied change.
+writers put the result in a new folder, so re-running a batch is idempotent.
 """
 
 from __future__ import annotations
@@ -20,9 +19,10 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, keys: list[str],
     """``INSERT ... ON CONFLICT DO NOTHING``.
 
     Inside the batch the first row of a key wins (keep-first on
-    ``order_by``); rows whose key already exists are skipped.
+    ``order_by``; without an order any one of them); rows whose key already
+    exists are skipped.
     """
-    b = keep_first(batch, keys, order_by) if order_by else batch
+    b = keep_first(batch, keys, order_by) if order_by else batch.dropDuplicates(keys)
     fresh = b.join(existing.select(*keys), keys, "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 

@@ -58,24 +58,15 @@ def profile_duplicate_keys(df: DataFrame, table_name: str, keys: list[str]) -> D
 def profile_duplicate_rows(df: DataFrame, table_name: str) -> DataFrame:
     """Rows beyond the first that equal it in every column (NULLs equal).
 
-    Grouping by every column would shuffle whole rows. Rows are first
-    counted by a 64-bit hash of all columns (partial aggregation, 16 bytes
-    per row cross the shuffle): a hash seen once is a distinct row for sure.
-    Only rows whose hash repeats are grouped exactly, so hash collisions
-    never change the result.
+    One grouping by all columns: copies collapse in the map tasks, so a row
+    crosses the shuffle once per task that holds it.
     """
     cols = [c for c in df.columns if c != "_ord"]
-    hashed = df.select(F.xxhash64(*[F.col(c) for c in cols]).alias("_h"), *cols)
-    per_hash = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c"))
-    repeated = per_hash.where(F.col("_c") > 1).select("_h")
-    exact = hashed.join(repeated, "_h", "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    singles = per_hash.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_rows"),
-                           F.count_if(F.col("_c") == 1).alias("_single"))
-    groups = exact.agg(F.count(F.lit(1))).scalar()  # scalar subquery, one value
-    return singles.select(
-        F.lit(table_name).alias("table_name"), F.col("_rows").cast("long").alias("n_rows"),
-        (F.col("_single") + groups).alias("n_distinct_rows"),
-        (F.col("_rows") - F.col("_single") - groups).cast("long").alias("n_duplicate_rows"))
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    return groups.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("n_rows"),
+                      F.count(F.lit(1)).alias("n_distinct_rows")) \
+        .select(F.lit(table_name).alias("table_name"), "n_rows", "n_distinct_rows",
+                (F.col("n_rows") - F.col("n_distinct_rows")).alias("n_duplicate_rows"))
 
 
 # -------------------------------------------------------------- A5
@@ -214,17 +205,16 @@ def check_unique_keys(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFra
 
 # -------------------------------------------------------------- Q7
 def check_lengths(star: dict[str, DataFrame]) -> DataFrame:
-    """VARCHAR(n) bounds: longest value and values over the bound, one pass per table."""
+    """VARCHAR(n) bounds: longest value and values over the bound. One
+    aggregate a table, whose single row is then split by column."""
     out = []
     for table in dict.fromkeys(t for t, _, _ in VARCHAR_BOUNDS):
         bounds = [(c, n) for t, c, n in VARCHAR_BOUNDS if t == table]
-        one = star[table].agg(*[F.max(F.length(c)).alias(f"max__{c}") for c, _ in bounds],
-                              *[F.count_if(F.length(c) > n).alias(f"over__{c}") for c, n in bounds])
-        for c, n in bounds:
-            out.append(one.select(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                                  F.lit(n).alias("max_allowed"),
-                                  F.col(f"max__{c}").cast("int").alias("max_length"),
-                                  F.col(f"over__{c}").alias("n_over")))
+        one = star[table].agg(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(n).alias("max_allowed"),
+                     F.max(F.length(c)).cast("int").alias("max_length"), F.count_if(F.length(c) > n).alias("n_over"))
+            for c, n in bounds]).alias("checks"))
+        out.append(one.select(F.lit(table).alias("table_name"), F.inline("checks")))
     return _union(out)
 
 

@@ -2,9 +2,11 @@
 
 Both batches are derived from the cleaned tables (so they grow with the
 input): batch 1 holds customers whose number is not a multiple of 3, orders
-and items of even order numbers and all products; batch 2 holds everything,
-with changed attributes -- customer_state / product_category_name set to
-NULL where the number ends in 0 and to 'XX' where it ends in 5.
+and items of even order numbers and all products. Batch 2 holds most of
+everything, with changed attributes -- customer_state / product_category_name
+set to NULL where the number ends in 0 and to 'XX' where it ends in 5. It
+leaves out some customers, products, orders and items, and re-sends items
+whose order it does not hold.
 """
 
 from __future__ import annotations
@@ -48,11 +50,12 @@ class TwoBatches:
     def batch2(self) -> dict[str, DataFrame]:
         c = self.L.clean
         return {
-            "customers": c["customers"].withColumn("customer_state", _changed("customer_state", "customer_id")),
-            "orders": c["orders"],
-            "products": c["products"].withColumn(
+            "customers": c["customers"].where(key_number("customer_id") % 7 != 3)
+            .withColumn("customer_state", _changed("customer_state", "customer_id")),
+            "orders": c["orders"].where(key_number("order_id") % 13 != 2),
+            "products": c["products"].where(key_number("product_id") % 11 != 5).withColumn(
                 "product_category_name", _changed("product_category_name", "product_id")),
-            "order_items": c["order_items"],
+            "order_items": c["order_items"].where(key_number("order_id") % 5 != 1),
         }
 
     # state after batch 1 ------------------------------------------------

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from ..operators import quality, star
 from ..schemas import FACT_COLUMNS, STAGE_TABLES
 from ..session import new_work_dir, run_concurrently
+from ..sources.csv import write_csv
 from ..sources.staging import load_staging, write_table
+from ..sources.star_store import StarStore
 from .context import Layers
 
 
@@ -42,11 +44,10 @@ def load_star(staged: dict[str, DataFrame], root: str) -> tuple[dict[str, DataFr
     resolved = star.resolve_items(staged["order_items"], staged["orders"], dim_c, dim_p) \
         .withColumn(FACT_STATUS, F.coalesce(F.col("reject_reason"), F.lit("fact"))) \
         .withColumn(MONTH, (F.year("date_key") * 100 + F.month("date_key")).cast("int"))
-    # Range-partitioned on (status, month, order, item) -- a unique key -- so
-    # each task writes one or two month folders and a huge month, or a huge
-    # order, is spread over several tasks.
-    n = int(resolved.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    items = write_table(resolved.repartitionByRange(n, FACT_STATUS, MONTH, "order_id", "order_item_id"),
+    # REBALANCE on (status, month): each task writes few folders, and AQE
+    # splits a month that is larger than a task. No range bounds are drawn,
+    # so the joins run once.
+    items = write_table(resolved.hint("rebalance", FACT_STATUS, MONTH),
                         f"{root}/fact_items", partition_by=[FACT_STATUS, MONTH])
     fact = items.where(F.col(FACT_STATUS) == "fact").select(*FACT_COLUMNS)
     rejects = items.where(F.col(FACT_STATUS) != "fact").select("order_id", "order_item_id", "reject_reason")
@@ -59,19 +60,33 @@ def rebuild_star(staged: dict[str, DataFrame], root: str) -> dict[str, DataFrame
 
 
 def run(spark: SparkSession, sf_dir: str | None = None, root: str | None = None,
-        raw_tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Clean, stage, build the star, split off rejects, audit.
+        raw_tables: dict[str, DataFrame] | None = None, csv_out: str | None = None) -> DataFrame:
+    """Clean, stage, load the star, split off rejects, audit.
 
     Input: the fixture views over ``sf_dir`` or four raw DataFrames
     (``raw_tables``). Output tables go under ``root`` (default: a fresh
-    folder under ``spark.checkpoint.dir``). Returns (step, table_name,
-    n_rows): row counts of every written table and, for step ``audit``, the
-    number of violations of each check.
+    folder under ``spark.checkpoint.dir``); ``csv_out`` also writes the cleaned
+    tables as CSV. The star is kept in a ``StarStore``: a first run loads it, a
+    later run on the same root upserts the dimensions (existing keys stay),
+    adds new days, and replaces the facts of the items it holds. Returns
+    (step, table_name, n_rows): row counts of every written table and, for step
+    ``audit``, the number of violations of each check.
     """
     root = root or new_work_dir(spark, "run")
-    layers = Layers(spark, sf_dir, raw_tables)
-    staged = load_staging(spark, layers.clean, f"{root}/staging")
-    built, rejects = load_star(staged, f"{root}/star")
+    return load(spark, Layers(spark, sf_dir, raw_tables).clean, root, csv_out)
+
+
+def load(spark: SparkSession, clean: dict[str, DataFrame], root: str, csv_out: str | None = None) -> DataFrame:
+    """The part of ``run`` after cleaning."""
+    store = StarStore(spark, f"{root}/star")
+    version = store.version()
+    number = 1 if version is None else version + 1
+    staged = load_staging(spark, clean, f"{root}/staging/v{number:06d}")
+    if csv_out:
+        for name, df in staged.items():
+            write_csv(df, f"{csv_out.rstrip('/')}/{name}.csv")
+    (store.initial_load if version is None else store.apply_batch)(staged, number)
+    built, rejects = store.tables(), store.rejects()
     counts = quality.row_counts({STAGE_TABLES[k]: v for k, v in staged.items()}) \
         .withColumn("step", F.lit("stage"))
     counts = counts.unionByName(quality.row_counts(built).withColumn("step", F.lit("star")))

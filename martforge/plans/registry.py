@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fx
@@ -21,11 +21,12 @@ from ..schemas import (KEYS, MISSING_TOKENS, ORDER_TIMESTAMP_COLUMNS, PRODUCT_NU
 from ..session import new_work_dir
 from ..sources import csv as csv_io
 from ..sources.staging import load_staging
+from ..sources.star_store import StarStore
 from . import oracle
 from .batches import TwoBatches
 from .context import Layers
 from .oracle import PRODUCT_NUM, TS, _comma, _dec, _title_strip, _zfill
-from .jobs import rebuild_star, run
+from .jobs import load, rebuild_star, run
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -96,10 +97,13 @@ def _stage_order_revenue(L: Layers) -> DataFrame:
 @register("stage_insert_ignore", """
 SELECT * FROM b1_customers_v
 UNION ALL
-SELECT * FROM b2_customers_v b WHERE NOT EXISTS (SELECT 1 FROM b1_customers_v a WHERE a.customer_id = b.customer_id)""")
+SELECT * FROM b2_customers_v b WHERE NOT EXISTS (SELECT 1 FROM b1_customers_v a WHERE a.customer_id = b.customer_id)
+-- the batch holds every row twice; the second copy has another city""")
 def _stage_insert_ignore(L: Layers) -> DataFrame:
     tb = TwoBatches(L)
-    return maintain.insert_ignore(tb.batch1["customers"], tb.batch2["customers"], KEYS["customers"])
+    batch = tb.batch2["customers"].withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))) \
+        .withColumn("customer_city", F.when(F.col("_copy") == 1, F.lit("later copy")).otherwise(F.col("customer_city")))
+    return maintain.insert_ignore(tb.batch1["customers"], batch, KEYS["customers"], ["_copy"])
 
 
 _STAR_COUNT_SQL = _union_all([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}_v"
@@ -108,7 +112,7 @@ _STAR_COUNT_SQL = _union_all([f"SELECT '{t}' AS table_name, count(*) AS n_rows F
 
 @register("star_row_counts", _STAR_COUNT_SQL)
 def _star_row_counts(L: Layers) -> DataFrame:
-    return quality.row_counts(L.star)
+    return quality.row_counts(_written_star(L))
 
 
 # ======================================================= P1-P19 projections
@@ -143,29 +147,36 @@ def _fill_category(L: Layers) -> DataFrame:
     return r.select("product_id", "_ord", fx.fill_default(F.col("product_category_name"), "unknown").alias("product_category_name"))
 
 
-@register("item_revenue", f"SELECT order_id, order_item_id, _ord, CAST({_dec('price')} + {_dec('freight_value')} AS DECIMAL(20,6)) AS revenue FROM raw_order_items")
+@register("item_revenue", f"SELECT order_id, order_item_id, CAST({_dec('price')} + {_dec('freight_value')} AS DECIMAL(20,6)) AS revenue FROM raw_order_items")
 def _item_revenue(L: Layers) -> DataFrame:
     r = cl.null_nans(L.raw["order_items"])
-    return r.select("order_id", "order_item_id", "_ord",
+    return r.select("order_id", "order_item_id",
                     fx.exact_revenue(fx.to_stage_decimal(F.col("price")),
                                      fx.to_stage_decimal(F.col("freight_value"))).alias("revenue"))
 
 
-@register("nan_to_null", """SELECT order_id, order_item_id, _ord,
-  CASE WHEN isnan(price) THEN NULL ELSE price END AS price,
-  CASE WHEN isnan(freight_value) THEN NULL ELSE freight_value END AS freight_value FROM raw_order_items""")
+@register("nan_to_null", """SELECT order_id, order_item_id,
+  CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE price END AS price,
+  CASE WHEN l_partkey % 59 = 0 THEN NULL ELSE freight_value END AS freight_value
+FROM (SELECT *, CAST(substr(product_id, 2) AS BIGINT) AS l_partkey FROM raw_order_items)""")
 def _nan_to_null(L: Layers) -> DataFrame:
-    return cl.null_nans(L.raw["order_items"]).select("order_id", "order_item_id", "_ord", "price", "freight_value")
+    """Some products' money is NaN, as a CSV reader leaves it."""
+    number = F.substring("product_id", 2, 20).cast("long")
+    planted = L.raw["order_items"] \
+        .withColumn("price", F.when(number % 53 == 0, F.lit(float("nan"))).otherwise(F.col("price"))) \
+        .withColumn("freight_value", F.when(number % 59 == 0, F.lit(float("nan"))).otherwise(F.col("freight_value")))
+    return cl.null_nans(planted).select("order_id", "order_item_id", "price", "freight_value")
 
 
-_TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in MISSING_TOKENS)
-
-
-@register("normalise_missing", "SELECT "
-          + ", ".join(f"CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {c}" for c in RAW_COLS["orders"])
-          + ", _ord FROM raw_orders")
+@register("normalise_missing", "SELECT * REPLACE (CASE WHEN CAST(substr(order_id, 2) AS BIGINT) % 5 = 0 THEN NULL "
+          "ELSE order_status END AS order_status) FROM raw_orders")
 def _normalise_missing(L: Layers) -> DataFrame:
-    return fx.normalise_missing(L.raw["orders"])
+    """Every fifth order has one of the tokens as its status."""
+    number = F.substring("order_id", 2, 20).cast("long")
+    tokens = F.array(*[F.lit(t) for t in MISSING_TOKENS])
+    token = F.element_at(tokens, (F.floor(number / 5) % len(MISSING_TOKENS) + 1).cast("int"))
+    planted = L.raw["orders"].withColumn("order_status", F.when(number % 5 == 0, token).otherwise(F.col("order_status")))
+    return fx.normalise_missing(planted)
 
 
 # ============================================================ F1-F3 filters
@@ -181,9 +192,9 @@ def _filter_product_dims(L: Layers) -> DataFrame:
     return filters.filter_product_dims(cl.null_nans(L.raw["products"]))
 
 
-@register("filter_money", "SELECT * FROM raw_order_items WHERE price >= 0 AND freight_value >= 0")
+@register("filter_money", "SELECT * EXCLUDE (_ord) FROM raw_order_items WHERE price >= 0 AND freight_value >= 0")
 def _filter_money(L: Layers) -> DataFrame:
-    return filters.filter_money(cl.null_nans(L.raw["order_items"]))
+    return filters.filter_money(cl.null_nans(L.raw["order_items"].drop("_ord")))
 
 
 # ======================================================= D1-D2 de-duplication
@@ -208,12 +219,35 @@ def _join_items_orders(L: Layers) -> DataFrame:
     return star.join_items_orders(items, orders)
 
 
+def _written_star(L: Layers) -> dict[str, DataFrame]:
+    """The four star tables, written once: checks read them in several passes."""
+    return rebuild_star(L.staged, new_work_dir(L.spark, "intermediate/star"))
+
+
+def _broken_star(L: Layers) -> dict[str, DataFrame]:
+    """The written star with defects planted in the facts by item number and
+    product key: unknown parents, negative revenue, missing and repeated
+    order ids, overlong status."""
+    st = dict(_written_star(L))
+    p, i = F.col("product_key"), F.col("order_item_id")
+    st["fact_orders"] = st["fact_orders"].select(
+        F.when((p % 37 == 0) & (i == 2), F.lit(None)).otherwise(F.col("order_id")).alias("order_id"), "order_item_id",
+        F.when(p % 41 == 0, -F.col("customer_key")).when(p % 43 == 0, F.lit(None)).otherwise(F.col("customer_key")).alias("customer_key"),
+        F.when(i == 7, p + 100000000).otherwise(p).alias("product_key"),
+        F.when(p % 47 == 0, F.date_sub("date_key", 36525)).otherwise(F.col("date_key")).alias("date_key"),
+        F.when(i == 5, F.repeat("order_status", 20)).otherwise(F.col("order_status")).alias("order_status"),
+        "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
+        F.when(p % 31 == 0, -F.col("revenue")).otherwise(F.col("revenue")).cast("decimal(12,2)").alias("revenue"), "price", "freight")
+    return st
+
+
 @register("orphan_facts", _union_all([
-    f"SELECT '{t}' AS parent_table, count(*) AS n_orphans FROM fact_orders_v f "
+    f"SELECT '{t}' AS parent_table, count(*) AS n_orphans FROM broken_fact_v f "
     f"WHERE NOT EXISTS (SELECT 1 FROM {t}_v d WHERE d.{k} = f.{k})"
     for t, k in [("dim_customers", "customer_key"), ("dim_products", "product_key"), ("dim_date", "date_key")]]))
 def _orphan_facts(L: Layers) -> DataFrame:
-    st = L.star
+    """Over a fact table with planted orphans (see ``_broken_star``)."""
+    st = _broken_star(L)
     return quality.orphan_counts(st["fact_orders"], {
         "dim_customers": (st["dim_customers"], "customer_key"),
         "dim_products": (st["dim_products"], "product_key"),
@@ -383,14 +417,14 @@ def _upsert_products(L: Layers) -> DataFrame:
 @register("insert_new_dates", """
 SELECT * FROM dim_date1_v
 UNION ALL
-SELECT * FROM dim_date_v d WHERE NOT EXISTS (SELECT 1 FROM dim_date1_v o WHERE o.date_key = d.date_key)""")
+SELECT * FROM dim_date2_v d WHERE NOT EXISTS (SELECT 1 FROM dim_date1_v o WHERE o.date_key = d.date_key)""")
 def _insert_new_dates(L: Layers) -> DataFrame:
     return TwoBatches(L).dim_date_2
 
 
 @register("fact_refresh", """
 SELECT * FROM fact1_v f
-WHERE NOT EXISTS (SELECT 1 FROM clean_order_items_v b WHERE b.order_id = f.order_id AND b.order_item_id = f.order_item_id)
+WHERE NOT EXISTS (SELECT 1 FROM b2_items_v b WHERE b.order_id = f.order_id AND b.order_item_id = f.order_item_id)
 UNION ALL
 SELECT * FROM fact2_new_v""")
 def _fact_refresh(L: Layers) -> DataFrame:
@@ -411,7 +445,7 @@ def _streamed_store(L: Layers):
 
 @register("stream_fact_refresh", """
 SELECT * FROM fact1_v f
-WHERE NOT EXISTS (SELECT 1 FROM clean_order_items_v b WHERE b.order_id = f.order_id AND b.order_item_id = f.order_item_id)
+WHERE NOT EXISTS (SELECT 1 FROM b2_items_v b WHERE b.order_id = f.order_id AND b.order_item_id = f.order_item_id)
 UNION ALL
 SELECT * FROM fact2_new_v""")
 def _stream_fact_refresh(L: Layers) -> DataFrame:
@@ -449,26 +483,33 @@ def _rebuild_star(L: Layers) -> DataFrame:
 
 
 # ===================================================== Q1-Q8 quality checks
-_AUDIT_SQL = """
-SELECT check_name, CAST(n AS BIGINT) AS n_violations, n = 0 AS passed FROM (
-  SELECT 'orphan_customer' AS check_name, count(*) AS n FROM fact_orders_v f LEFT JOIN dim_customers_v d ON f.customer_key = d.customer_key WHERE d.customer_key IS NULL
-  UNION ALL SELECT 'orphan_product', count(*) FROM fact_orders_v f LEFT JOIN dim_products_v d ON f.product_key = d.product_key WHERE d.product_key IS NULL
-  UNION ALL SELECT 'orphan_date', count(*) FROM fact_orders_v f LEFT JOIN dim_date_v d ON f.date_key = d.date_key WHERE d.date_key IS NULL
-  UNION ALL SELECT 'negative_revenue', count(*) FROM fact_orders_v WHERE revenue < 0
-  UNION ALL SELECT 'null_order_id', count(*) FROM fact_orders_v WHERE order_id IS NULL
-) c
-UNION ALL
-SELECT 'all_checks', CAST(n AS BIGINT), n = 0 FROM (
-  SELECT (SELECT count(*) FROM fact_orders_v f LEFT JOIN dim_customers_v d ON f.customer_key = d.customer_key WHERE d.customer_key IS NULL)
-       + (SELECT count(*) FROM fact_orders_v f LEFT JOIN dim_products_v d ON f.product_key = d.product_key WHERE d.product_key IS NULL)
-       + (SELECT count(*) FROM fact_orders_v f LEFT JOIN dim_date_v d ON f.date_key = d.date_key WHERE d.date_key IS NULL)
-       + (SELECT count(*) FROM fact_orders_v WHERE revenue < 0)
-       + (SELECT count(*) FROM fact_orders_v WHERE order_id IS NULL) AS n)"""
+def _audit_sql(facts: str) -> str:
+    """The five checks by definition: fact keys without a parent (counted per
+    key, then weighed), and two conditions on the rows; the verdict sums them."""
+    parents = [("orphan_customer", "customer_key", "dim_customers_v"), ("orphan_product", "product_key", "dim_products_v"),
+               ("orphan_date", "date_key", "dim_date_v")]
+    orphans = " UNION ALL ".join(
+        f"SELECT '{name}', (SELECT coalesce(sum(n), 0) FROM (SELECT {key} AS k, count(*) AS n FROM facts GROUP BY ALL) "
+        f"WHERE NOT coalesce(k IN (SELECT {key} FROM {parent}), false))" for name, key, parent in parents)
+    return f"""
+SELECT check_name, CAST(v AS BIGINT) AS n_violations, v = 0 AS passed FROM (
+  WITH facts AS (SELECT * FROM {facts}),
+  checks(check_name, v) AS (
+    {orphans}
+    UNION ALL SELECT unnest(['negative_revenue', 'null_order_id']),
+                     unnest([count(CASE WHEN revenue < 0 THEN 1 END), count(*) - count(order_id)]) FROM facts)
+  SELECT check_name, v FROM checks UNION ALL SELECT 'all_checks', sum(v) FROM checks)"""
+
+
+@register("audit_star", _audit_sql("fact_orders_v"))
+def _audit_star(L: Layers) -> DataFrame:
+    return quality.audit_star(_written_star(L))
 
 
-@register("audit_star", _AUDIT_SQL)
-def _audit_star(L: Layers) -> DataFrame:
-    return quality.audit_star(L.star)
+@register("audit_broken_star", _audit_sql("broken_fact_v"))
+def _audit_broken_star(L: Layers) -> DataFrame:
+    """The same checks where each of them must find something."""
+    return quality.audit_star(_broken_star(L))
 
 
 _UNIQUE_TABLES = [
@@ -481,7 +522,7 @@ _UNIQUE_TABLES = [
     ("dim_products", "dim_products_v", ["product_key"]),
     ("dim_products", "dim_products_v", ["product_id"]),
     ("dim_date", "dim_date_v", ["date_key"]),
-    ("fact_orders", "fact_orders_v", ["order_id", "order_item_id"]),
+    ("fact_orders", "broken_fact_v", ["order_id", "order_item_id"]),
 ]
 
 
@@ -490,17 +531,18 @@ _UNIQUE_TABLES = [
     f"count(*) AS n_keys, count(*) FILTER (WHERE c > 1) AS n_duplicate_keys "
     f"FROM (SELECT count(*) AS c FROM {v} GROUP BY {', '.join(k)})" for t, v, k in _UNIQUE_TABLES]))
 def _check_unique_keys(L: Layers) -> DataFrame:
-    frames = {STAGE_TABLES[k]: v for k, v in L.clean.items()}
-    frames.update(L.star)
+    """Staged and star tables; the facts hold planted duplicates (null ids)."""
+    frames = {STAGE_TABLES[k]: v for k, v in L.staged.items()}
+    frames.update(_broken_star(L))
     out = [quality.check_unique_keys({t: (frames[t], k)}) for t, _, k in _UNIQUE_TABLES]
     return quality._union(out)
 
 
 @register("check_lengths", _union_all([
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_allowed, CAST(max(length({c})) AS INTEGER) AS max_length, "
-    f"count(*) FILTER (WHERE length({c}) > {n}) AS n_over FROM {t}_v" for t, c, n in VARCHAR_BOUNDS]))
+    f"count(*) FILTER (WHERE length({c}) > {n}) AS n_over FROM {'broken_fact_v' if t == 'fact_orders' else t + '_v'}" for t, c, n in VARCHAR_BOUNDS]))
 def _check_lengths(L: Layers) -> DataFrame:
-    return quality.check_lengths(L.star)
+    return quality.check_lengths(_broken_star(L))
 
 
 _EDGES = [("stg_customers", "clean_customers_v", "customer_id", "stg_orders", "clean_orders_v", "customer_id"),
@@ -558,9 +600,58 @@ _SUMMARY_SQL = _union_all(
     [f"SELECT 'stage' AS step, '{STAGE_TABLES[k]}' AS table_name, count(*) AS n_rows FROM {CLEAN_VIEW[k]}" for k in RAW_COLS]
     + [f"SELECT 'star', '{t}', count(*) FROM {t}_v" for t in ["dim_customers", "dim_products", "dim_date", "fact_orders"]]
     + ["SELECT 'reject', 'fact_rejects', count(*) FROM resolved_items_v WHERE reject_reason IS NOT NULL",
-       "SELECT 'audit', check_name, n_violations FROM (" + _AUDIT_SQL + ")"])
+       "SELECT 'audit', check_name, n_violations FROM (" + _audit_sql("fact_orders_v") + ")"])
 
 
 @register("end_to_end_summary", _SUMMARY_SQL)
 def _end_to_end_summary(L: Layers) -> DataFrame:
     return run(L.spark, L.sf_dir)
+
+
+@register("rerun_dim_customers", "SELECT * FROM dim2c_v")
+def _rerun_dim_customers(L: Layers) -> DataFrame:
+    """The job run twice on one output: keys of the first run stay."""
+    return _rerun(L).dims()["dim_customers"]
+
+
+@register("rerun_facts", """
+SELECT * FROM fact1_v f
+WHERE NOT EXISTS (SELECT 1 FROM b2_items_v b WHERE b.order_id = f.order_id AND b.order_item_id = f.order_item_id)
+UNION ALL
+SELECT * FROM fact2_new_v""")
+def _rerun_facts(L: Layers) -> DataFrame:
+    return _rerun(L).fact()
+
+
+def _rerun(L: Layers) -> StarStore:
+    tb, root = TwoBatches(L), new_work_dir(L.spark, "run")
+    for batch in (tb.batch1, tb.batch2):
+        load(L.spark, batch, root)
+    return StarStore(L.spark, f"{root}/star")
+
+
+@register("csv_orders", "SELECT * FROM clean_orders_v")
+def _csv_orders(L: Layers) -> DataFrame:
+    """Cleaned orders written as CSV, read back and cleaned again: timestamps
+    and missing values survive the trip."""
+    path = new_work_dir(L.spark, "csv") + "/orders"
+    csv_io.write_csv(L.clean["orders"], path)
+    return cl.clean_orders(csv_io.read_csv(L.spark, path, csv_io.csv_schemas()["orders"]))
+
+
+@register("csv_order_items", """
+SELECT * REPLACE (CASE WHEN CAST(substr(product_id, 2) AS BIGINT) % 29 = 0 THEN NULL ELSE price END AS price,
+                  CASE WHEN CAST(substr(product_id, 2) AS BIGINT) % 29 = 0 THEN NULL ELSE revenue END AS revenue)
+FROM clean_order_items_v WHERE CAST(substr(product_id, 2) AS BIGINT) % 29 <> 0""")
+def _csv_order_items(L: Layers) -> DataFrame:
+    """Raw items through a CSV with its columns in reverse order and missing
+    tokens among the numbers: those prices are missing, so the rows are
+    filtered like any row without a price."""
+    path = new_work_dir(L.spark, "csv") + "/items"
+    number = F.substring("product_id", 2, 20).cast("long")
+    raw = L.raw["order_items"].withColumn("price", F.when(number % 29 == 0, F.lit("NA")).otherwise(F.col("price").cast("string")))
+    rank = Window.partitionBy("order_id", "order_item_id").orderBy("_ord")
+    # One row an item, the first in file order, so that the files' order does not matter.
+    raw = raw.withColumn("_n", F.row_number().over(rank)).filter("_n = 1").drop("_n", "_ord")
+    csv_io.write_csv(raw.select(*reversed(raw.columns)), path)
+    return cl.clean_order_items(csv_io.read_csv(L.spark, path, csv_io.csv_schemas()["order_items"]))

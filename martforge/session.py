@@ -37,12 +37,17 @@ def build_session(master: str | None = None, app: str = "martforge",
     return spark
 
 
+# Folder of the tables that only their own job reads.
+INTERMEDIATE = "intermediate"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always honoured. Only when it is unset (local
-    tests) a private folder is created and registered, so that
-    ``DataFrame.checkpoint()`` and our written tables have a home.
+    The cluster's setting is always honoured. Only a local master may leave it
+    unset (tests): then a private folder is created and registered, so that
+    ``DataFrame.checkpoint()`` and our written tables have a home. On a cluster
+    such a folder would be one machine's, so the lack of a setting is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,6 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="martforge-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
@@ -76,7 +83,7 @@ def materialize(df, label: str):
     later readers get column pruning and filter push-down, and a lost
     executor re-reads the files instead of recomputing the plan.
     """
-    path = new_work_dir(df.sparkSession, label)
+    path = new_work_dir(df.sparkSession, f"{INTERMEDIATE}/{label}")
     df.write.mode("overwrite").parquet(path)
     # The schema is known: reading with it skips the footer-inference job.
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -97,8 +104,9 @@ def run_concurrently(tasks: dict, max_workers: int = 4) -> dict:
 
 
 def purge_work_dirs(spark: SparkSession, older_than_hours: float = 24.0) -> int:
-    """Delete versioned work folders (under the shared checkpoint root)
-    older than ``older_than_hours``; returns how many were removed.
+    """Delete intermediate tables (``materialize``) older than
+    ``older_than_hours``; returns how many were removed. Outputs, stores,
+    landing folders and stream checkpoints are never touched.
 
     Readers of a version hold lazy plans over its files, so only versions
     no running job can still read should be purged -- hence the age limit.
@@ -107,7 +115,7 @@ def purge_work_dirs(spark: SparkSession, older_than_hours: float = 24.0) -> int:
     import time as _time
     sc = spark.sparkContext
     jvm = sc._jvm
-    base = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/martforge")
+    base = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/martforge/{INTERMEDIATE}")
     fs = base.getFileSystem(sc._jsc.hadoopConfiguration())
     if not fs.exists(base):
         return 0

@@ -1,42 +1,58 @@
 """CSV source (S1) and sink.
 
-The source reads with an explicit schema (never inferred: inference costs a
-scan and drops leading zeros), turns the missing-value tokens into NULL
-(P10) and can attach a file-order column: (file path, block start, row id
-taken in the scan stage). Inside one file split the row id grows in file
-order, so the column orders rows exactly as they stand in the files.
+The source reads every column as text and binds columns by header name, so
+the order of the columns in a file does not matter; files of one folder must
+agree. Missing-value tokens become NULL (P10), also in numeric columns, and
+only then are the values cast to the wanted types; a value that is no number
+is an error. A file-order column can be attached: (file path, block start,
+row id taken in the scan stage). Inside one file split the row id grows in
+file order, so the column orders rows exactly as they stand in the files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.nulls import normalise_missing
-from ..schemas import ORDER_COLUMN
+from ..schemas import ORDER_COLUMN, TIMESTAMP_PATTERN
 
 _FORMAT = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
            "sep": ","}
 
 
+def _strict_cast(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.StringType):
+        return F.col(field.name)
+    value = F.col(field.name).try_cast(field.dataType)
+    wrong = F.raise_error(F.concat(F.lit(f"column {field.name}: not a {field.dataType.simpleString()}: "),
+                                   F.col(field.name)))
+    return F.when(F.col(field.name).isNotNull() & value.isNull(), wrong.cast(field.dataType)) \
+        .otherwise(value).alias(field.name)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             with_file_order: bool = True) -> DataFrame:
-    reader = spark.read.schema(schema).options(**_FORMAT).option("mode", "FAILFAST")
-    df = reader.csv(path)
-    if with_file_order:
-        df = df.withColumn(ORDER_COLUMN, F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row")))
-    return normalise_missing(df)
+             with_file_order: bool = True, multi_line: bool = False) -> DataFrame:
+    """The columns of ``schema`` from the CSV file or folder at ``path``.
+    ``multi_line`` allows line breaks inside quotes; such files are not split."""
+    df = spark.read.options(**_FORMAT).option("enforceSchema", "false").option("mode", "FAILFAST") \
+        .option("multiLine", str(multi_line).lower()).csv(path)
+    order = [F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")).alias(ORDER_COLUMN)] if with_file_order else []
+    text = normalise_missing(df.select(*[F.col(f"`{f.name}`") for f in schema.fields], *order))
+    return text.select(*[_strict_cast(f) for f in schema.fields], *([ORDER_COLUMN] if with_file_order else []))
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Header, no index column; blanks inside values are kept as they are
-    (Spark's CSV writer trims them unless told not to)."""
+    """Header, no index column, timestamps in the layout that the cleaner
+    reads; blanks inside values are kept as they are (Spark's CSV writer trims
+    them unless told not to)."""
     (df.write.mode("overwrite").options(**_FORMAT)
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .option("timestampNTZFormat", TIMESTAMP_PATTERN).option("timestampFormat", TIMESTAMP_PATTERN)
      .csv(path))
     return path
 
@@ -52,10 +68,10 @@ def csv_schemas() -> dict[str, T.StructType]:
 
 
 def read_raw_tables(spark: SparkSession, raw_dir: str,
-                    files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                    files: dict[str, str] | None = None, multi_line: bool = False) -> dict[str, DataFrame]:
     """The four raw tables from CSV files (``customers.csv``, ``orders.csv``,
     ``products.csv``, ``order_items.csv`` unless ``files`` names others),
     each with its file-order column."""
-    names = files or {k: f"{k}.csv" for k in ("customers", "orders", "products", "order_items")}
+    names = {k: f"{k}.csv" for k in ("customers", "orders", "products", "order_items")} | (files or {})
     schemas = csv_schemas()
-    return {k: read_csv(spark, f"{raw_dir.rstrip('/')}/{f}", schemas[k]) for k, f in names.items()}
+    return {k: read_csv(spark, f"{raw_dir.rstrip('/')}/{f}", schemas[k], multi_line=multi_line) for k, f in names.items()}

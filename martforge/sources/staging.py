@@ -8,8 +8,6 @@ recomputes from them, not from the raw inputs.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import STAGE_COLUMNS, STAGE_TABLES
@@ -30,41 +28,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def write_bucketed(df: DataFrame, path: str, column: str, buckets: int) -> DataFrame:
-    """Write ``df`` bucketed (and sorted) on ``column`` as an external table
-    whose files live at ``path``. Two tables bucketed the same way join on
-    that column without shuffling either side."""
-    name = "mf_" + uuid.uuid4().hex
-    (df.write.mode("overwrite").bucketBy(buckets, column).sortBy(column)
-     .option("path", path).format("parquet").saveAsTable(name))
-    return df.sparkSession.table(name)
-
-
-# Staging tables that are joined on order_id (orders x items, the largest
-# join of the fact build) can be bucketed on it.
-BUCKET_ON = {"orders": "order_id", "order_items": "order_id"}
-
-
 def load_staging(spark: SparkSession, clean: dict[str, DataFrame],
-                 root: str | None = None, bucketed: bool = False) -> dict[str, DataFrame]:
-    """Write the four cleaned tables as stg_* and return the staged frames.
-
-    With ``bucketed`` the orders and items tables are bucketed on order_id
-    with the same bucket count (the shuffle partition count), so the fact
-    join reads both without an exchange. It is off by default: a bucketed
-    join has no shuffle stage for AQE to split, so an order holding a large
-    share of all items would land in one task. Plain staging keeps the
-    shuffle join, whose skewed partitions AQE splits. Turn it on only for
-    keys known to be spread out.
-    """
+                 root: str | None = None) -> dict[str, DataFrame]:
+    """Write the four cleaned tables as stg_* and return the staged frames."""
     root = root or new_work_dir(spark, "staging")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def write(name: str, df: DataFrame) -> DataFrame:
-        df = df.select(*STAGE_COLUMNS[name])
-        path = f"{root}/{STAGE_TABLES[name]}"
-        if bucketed and name in BUCKET_ON:
-            return write_bucketed(df, path, BUCKET_ON[name], buckets)
-        return write_table(df, path)
-
-    return run_concurrently({name: (lambda name=name, df=df: write(name, df)) for name, df in clean.items()})
+    return run_concurrently({
+        name: (lambda name=name, df=df: write_table(df.select(*STAGE_COLUMNS[name]), f"{root}/{STAGE_TABLES[name]}"))
+        for name, df in clean.items()})

@@ -2,21 +2,26 @@
 
 Layout under ``root``::
 
-    dims/v<version>/dim_customers|dim_products|dim_date   versioned, small
-    fact_orders/purchase_month=<yyyymm>/                   partitioned, large
-    pending/v<version>/                                    rewritten partitions
-    current/                                               one row: live dims version
-
-Applying a batch (K2-K4) rewrites the dimensions as a new version and only
-the fact partitions the batch touches: the months of its new facts and the
-months that hold old rows of its keys (a purchase date may have moved).
-Those partitions are first written to ``pending`` (so the rewrite never
-reads the folders it replaces) and then swapped in with a dynamic partition
-overwrite. Re-applying the same batch gives the same tables.
+    tables/<label>/<unique folder>/     dimensions, facts by month, rejects; never changed once written
+    versions/v<number>/                 one small table: which folders make up the version
+
+A batch (K2-K4) writes new folders only and then publishes a version record
+that names the folders of every table; for the facts, the folders of every
+month. Readers resolve one record, so they see either all of a batch or
+nothing of it, and a crash before the record leaves the old version as it
+was. Only the months that a batch touches are rewritten: those of its new
+facts and those that hold old rows of its keys (a purchase date may have
+moved). Folders that no record names any more can be deleted when no reader
+of an old version is left.
+
+Batches are numbered without gaps. A number that is already published is
+skipped, any other than the next is refused.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,26 +31,15 @@ from ..session import run_concurrently
 from .staging import write_table
 
 MONTH = "purchase_month"
+STATUS = "load_status"
+DIMENSIONS = ("dim_customers", "dim_products", "dim_date")
+RECORD = "table_name string, month int, path string"
 
 
 def _month(c: str = "date_key"):
     return (F.year(F.col(c)) * 100 + F.month(F.col(c))).cast("int")
 
 
-def _by_month(df: DataFrame) -> DataFrame:
-    """Range-partition on (month, order id, item id) before a partitioned
-    write: each task writes one or two month folders (few files), and a month
-    -- or a single order -- larger than a task is split over several tasks
-    instead of landing in one (the key is unique, so every range can split)."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, MONTH, "order_id", "order_item_id")
-
-
-def materialize_small(df: DataFrame, root: str, version: int) -> DataFrame:
-    """Freeze the touched-month list before the fact folder changes under it."""
-    return write_table(df.coalesce(1), f"{root}/pending/v{version:06d}_months")
-
-
 class StarStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -53,91 +47,142 @@ class StarStore:
 
     # ------------------------------------------------------------------ read
     def version(self) -> int | None:
-        try:
-            row = self.spark.read.parquet(f"{self.root}/current").agg(F.max("version")).collect()[0][0]
-        except Exception:  # noqa: BLE001 - no store yet
+        """The latest published version; None only if nothing was published.
+        A store that cannot be listed or read is an error, not an empty one."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/versions")
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(folder):
             return None
-        return row
+        done = [int(s.getPath().getName()[1:]) for s in fs.listStatus(folder)
+                if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+        return max(done, default=None)
+
+    def _record(self, version: int | None = None) -> list:
+        """(table_name, month, path) of a version: one row per dimension, a few
+        per calendar month."""
+        v = self.version() if version is None else version
+        if v is None:
+            raise ValueError(f"no version is published under {self.root}")
+        return self.spark.read.schema(RECORD).parquet(f"{self.root}/versions/v{v:06d}").collect()
+
+    def _open(self, record: list, table: str) -> DataFrame:
+        paths = [r["path"] for r in record if r["table_name"] == table]
+        return self.spark.read.parquet(*paths)
 
     def dims(self) -> dict[str, DataFrame]:
-        v = self.version()
-        return {t: self.spark.read.parquet(f"{self.root}/dims/v{v:06d}/{t}")
-                for t in ("dim_customers", "dim_products", "dim_date")}
+        record = self._record()
+        return {t: self._open(record, t) for t in DIMENSIONS}
+
+    def _facts(self, record: list, months: set[int] | None = None) -> DataFrame:
+        """The facts of a record, or of some of its months (whole folders)."""
+        paths = [r["path"] for r in record if r["table_name"] == "fact_orders"
+                 and (months is None or r["month"] in months)]
+        if paths:
+            return self.spark.read.parquet(*paths).select(*FACT_COLUMNS)
+        schema = star.build_fact_schema(self.spark)
+        return self.spark.createDataFrame([], schema)
 
     def fact(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/fact_orders").select(*FACT_COLUMNS)
+        return self._facts(self._record())
+
+    def rejects(self) -> DataFrame:
+        """Items of the last batch that did not become facts, with the reason."""
+        return self._open(self._record(), "fact_rejects")
 
     def tables(self) -> dict[str, DataFrame]:
         return {**self.dims(), "fact_orders": self.fact()}
 
     # ----------------------------------------------------------------- write
-    def _publish(self, version: int, dims: dict[str, DataFrame]) -> None:
-        run_concurrently({t: (lambda t=t, df=df: write_table(df, f"{self.root}/dims/v{version:06d}/{t}"))
-                          for t, df in dims.items()})
-
-    def _set_current(self, version: int) -> None:
-        self.spark.createDataFrame([(version,)], "version int").coalesce(1) \
-            .write.mode("overwrite").parquet(f"{self.root}/current")
-
-    def _overwrite_months(self, rows: DataFrame, touched: DataFrame, version: int) -> None:
-        pending = write_table(_by_month(rows), f"{self.root}/pending/v{version:06d}", partition_by=[MONTH])
-        (pending.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(MONTH).parquet(f"{self.root}/fact_orders"))
-        # A dynamic overwrite replaces only months that still have rows; a
-        # touched month whose every row was deleted is removed here. The list
-        # is bounded by the calendar (one row per month), not by the data.
-        emptied = touched.join(pending.select(MONTH).distinct(), MONTH, "left_anti").collect()
-        for row in emptied:
-            self._delete(f"{self.root}/fact_orders/{MONTH}={row[MONTH]}")
-
-    def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(hpath):
-            fs.delete(hpath, True)
+    def _fresh(self, label: str) -> str:
+        return f"{self.root}/tables/{label}/{uuid.uuid4().hex}"
+
+    def _write_dims(self, dims: dict[str, DataFrame]) -> dict[str, str]:
+        paths = {t: self._fresh(t) for t in dims}
+        run_concurrently({t: (lambda t=t, df=df: write_table(df, paths[t])) for t, df in dims.items()})
+        return paths
+
+    def _write_by_month(self, facts: DataFrame, label: str) -> tuple[str, set[int]]:
+        """Write facts in month folders; REBALANCE lets AQE split a month that
+        is larger than a task, without computing the rows twice."""
+        path = self._fresh(label)
+        written = write_table(facts.hint("rebalance", MONTH), path, partition_by=[MONTH])
+        # One row per calendar month reaches the driver.
+        return path, {r[0] for r in written.select(MONTH).distinct().collect()}
+
+    def _write_items(self, staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> tuple[DataFrame, str]:
+        """Resolve every item of the batch once (Q6) and write facts and rejects."""
+        path = self._fresh("batch_items")
+        resolved = star.resolve_items(staged["order_items"], staged["orders"], dims["dim_customers"], dims["dim_products"]) \
+            .withColumn(STATUS, F.coalesce(F.col("reject_reason"), F.lit("fact")))
+        return write_table(resolved.hint("rebalance", STATUS), path, partition_by=[STATUS]), path
+
+    def _publish(self, version: int, record: list[tuple]) -> None:
+        """The record's own commit makes the version visible."""
+        self.spark.createDataFrame(record, RECORD).coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.root}/versions/v{version:06d}")
+
+    def _expect(self, version: int) -> bool:
+        """Whether ``version`` is still to be applied."""
+        current = self.version()
+        if current is not None and version <= current:
+            return False
+        if current is not None and version != current + 1:
+            raise ValueError(f"batch {version} cannot follow version {current}")
+        return True
 
     def initial_load(self, staged: dict[str, DataFrame], version: int = 0) -> None:
         """K5 into the store: first versions of all four tables."""
-        dims = {"dim_customers": star.build_dim_customers(staged["customers"]),
-                "dim_products": star.build_dim_products(staged["products"]),
-                "dim_date": star.build_dim_date(staged["orders"])}
-        self._publish(version, dims)
-        d = self._dims_at(version)
-        fact = star.build_fact_orders(staged["order_items"], staged["orders"],
-                                      d["dim_customers"], d["dim_products"])
-        (_by_month(fact.withColumn(MONTH, _month())).write.mode("overwrite").partitionBy(MONTH)
-         .parquet(f"{self.root}/fact_orders"))
-        self._set_current(version)
-
-    def _dims_at(self, version: int) -> dict[str, DataFrame]:
-        return {t: self.spark.read.parquet(f"{self.root}/dims/v{version:06d}/{t}")
-                for t in ("dim_customers", "dim_products", "dim_date")}
+        if not self._expect(version):
+            return
+        if self.version() is not None:
+            raise ValueError("the store already holds a version; apply a batch instead")
+        self._load(staged, version, [], {
+            "dim_customers": star.build_dim_customers(staged["customers"]),
+            "dim_products": star.build_dim_products(staged["products"]),
+            "dim_date": star.build_dim_date(staged["orders"])})
 
     def apply_batch(self, staged: dict[str, DataFrame], version: int) -> None:
         """K2-K4 for one staged batch, published as ``version``."""
-        old = self.dims()
-        dims = {
+        if not self._expect(version):
+            return
+        record = self._record()
+        old = {t: self._open(record, t) for t in DIMENSIONS}
+        self._load(staged, version, record, {
             "dim_customers": maintain.upsert_dimension(
                 old["dim_customers"], star.dim_customer_rows(staged["customers"]),
                 "customer_id", "customer_key", DIM_CUSTOMER_ATTRS),
             "dim_products": maintain.upsert_dimension(
                 old["dim_products"], star.dim_product_rows(staged["products"]),
                 "product_id", "product_key", DIM_PRODUCT_ATTRS),
-            "dim_date": maintain.insert_if_absent(old["dim_date"], star.build_dim_date(staged["orders"]),
-                                                  ["date_key"]),
-        }
-        self._publish(version, dims)
-        d = self._dims_at(version)
-        new = star.build_fact_orders(staged["order_items"], staged["orders"],
-                                     d["dim_customers"], d["dim_products"]).withColumn(MONTH, _month())
-        fact = self.spark.read.parquet(f"{self.root}/fact_orders")
-        keys = staged["order_items"].select(*FACT_KEYS)
-        # Months touched: those of the new rows and those holding old rows of the batch keys.
-        touched_old = fact.select(*FACT_KEYS, MONTH).join(keys, FACT_KEYS, "left_semi").select(MONTH)
-        touched = materialize_small(touched_old.unionByName(new.select(MONTH)).distinct(), self.root, version)
-        kept = (fact.join(touched, MONTH, "left_semi")
-                .join(keys, FACT_KEYS, "left_anti"))
-        rewritten = kept.unionByName(new.select(*kept.columns))
-        self._overwrite_months(rewritten, touched, version)
-        self._set_current(version)
+            "dim_date": maintain.insert_if_absent(old["dim_date"], star.build_dim_date(staged["orders"]), ["date_key"]),
+        })
+
+    def _load(self, staged: dict[str, DataFrame], version: int, record: list, dims: dict[str, DataFrame]) -> None:
+        paths = self._write_dims(dims)
+        items, items_path = self._write_items(staged, {t: self.spark.read.parquet(p) for t, p in paths.items()})
+        new = items.where(F.col(STATUS) == "fact").select(*FACT_COLUMNS).withColumn(MONTH, _month())
+        new_path, new_months = self._write_by_month(new, "fact_new")
+        facts = [r for r in record if r["table_name"] == "fact_orders"]
+        touched: set[int] = set()
+        kept: list[tuple] = []
+        if facts:
+            keys = staged["order_items"].select(*FACT_KEYS)
+            fact = self._facts(record)
+            holding = fact.select(*FACT_KEYS, _month().alias(MONTH)).join(keys, FACT_KEYS, "left_semi")
+            touched = {r[0] for r in holding.select(MONTH).distinct().collect()} | new_months
+            stay = self._facts(record, touched).join(keys, FACT_KEYS, "left_anti").withColumn(MONTH, _month())
+            kept_path, kept_months = self._write_by_month(stay, "fact_kept")
+            kept = [("fact_orders", m, f"{kept_path}/{MONTH}={m}") for m in sorted(kept_months)]
+        self._publish(version, [
+            *((t, None, p) for t, p in paths.items()),
+            *(("fact_orders", r["month"], r["path"]) for r in facts if r["month"] not in touched),
+            *kept,
+            *(("fact_orders", m, f"{new_path}/{MONTH}={m}") for m in sorted(new_months)),
+            ("fact_rejects", None, self._write_rejects(items)),
+        ])
+
+    def _write_rejects(self, items: DataFrame) -> str:
+        path = self._fresh("fact_rejects")
+        write_table(items.where(F.col(STATUS) != "fact").select("order_id", "order_item_id", "reject_reason"), path)
+        return path

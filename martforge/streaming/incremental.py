@@ -4,9 +4,10 @@ Each load batch is published as staged tables in its own folder plus one
 row in a manifest folder. A file-source stream over the manifest hands the
 new rows to ``foreachBatch``, which applies the batch to a ``StarStore``
 (dimension upserts, date inserts, fact delete + insert of the touched
-partitions). The stream's checkpoint records which manifest files are
-done, so a restarted job resumes after the last applied batch, and
-re-applying a batch after a crash yields the same tables.
+months). The stream's checkpoint records which manifest files are done, so a
+restarted job resumes after the last applied batch. The store skips a batch
+that it has already published and refuses one that is not the next, so a
+replay changes nothing and batches are never applied out of order.
 
 Only the manifest rows -- one per batch, a handful per trigger -- reach the
 driver; every batch table is read and processed by the cluster.

@@ -37,7 +37,67 @@ def test_pipeline_from_csv_files(spark):
     assert summary[("audit", "all_checks")] == 0
 
 
-def test_purge_keeps_recent_versions(spark):
-    from martforge.session import purge_work_dirs
-    new_work_dir(spark, "test-purge")
+def items_schema():
+    return T.StructType([T.StructField("k", T.StringType()), T.StructField("price", T.DoubleType()),
+                         T.StructField("zip", T.LongType())])
+
+
+def write_text(spark, text):
+    path = new_work_dir(spark, "test-csv")
+    import os
+    os.makedirs(path.removeprefix("file://"))
+    with open(path.removeprefix("file://") + "/t.csv", "w") as f:
+        f.write(text)
+    return path + "/t.csv"
+
+
+def test_tokens_in_numbers_and_columns_by_name(spark):
+    path = write_text(spark, "zip,price,k,other\nNA,1.5,a,x\n7,nan,b,y\n,NULL,c,z\n")
+    rows = sorted((r.k, r.price, r.zip) for r in read_csv(spark, path, items_schema()).collect())
+    assert rows == [("a", 1.5, None), ("b", None, 7), ("c", None, None)]
+
+
+def test_a_wrong_number_is_an_error(spark):
+    import pytest
+    path = write_text(spark, "k,price,zip\na,abc,1\n")
+    with pytest.raises(Exception, match="column price"):
+        read_csv(spark, path, items_schema()).collect()
+
+
+def test_line_breaks_inside_quotes(spark):
+    path = write_text(spark, 'k,price,zip\n"a\nb",1,2\nc,3,4\n')
+    rows = sorted((r.k, r.price, r.zip) for r in read_csv(spark, path, items_schema(), multi_line=True).collect())
+    assert rows == [("a\nb", 1.0, 2), ("c", 3.0, 4)]
+
+
+def test_purge_removes_old_intermediates_only(spark):
+    from martforge.session import materialize, purge_work_dirs
+    kept = new_work_dir(spark, "run") + "/table"
+    spark.range(3).write.parquet(kept)
     assert purge_work_dirs(spark, older_than_hours=10_000) == 0
+    path = materialize(spark.range(2), "test-purge").inputFiles()[0]
+    import os
+    assert purge_work_dirs(spark, older_than_hours=-1) > 0
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert spark.read.parquet(kept).count() == 3
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from martforge.session import checkpoint_root
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

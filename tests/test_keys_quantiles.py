@@ -71,23 +71,6 @@ def test_quantiles_of_several_columns_in_one_pass(spark):
         assert abs(got[name][0] - e[0]) < 1e-9 and abs(got[name][1] - e[1]) < 1e-9
 
 
-def test_row_number_within_matches_window_on_hot_group(spark):
-    from pyspark.sql import Window
-
-    from martforge.operators.keys import row_number_within
-    rnd = random.Random(5)
-    rows = [(0 if i % 3 == 0 else rnd.randrange(500), rnd.randrange(50), rnd.randrange(5)) for i in range(6000)]
-    rows += [(None, 1, 1), (None, 0, 2)]
-    df = spark.createDataFrame(rows, "g int, a int, b int").repartition(5)
-    got = row_number_within(df, ["g"], ["a", "b"], "rn", max_group_rows=100)  # forces the range form
-    small = row_number_within(df, ["g"], ["a", "b"], "rn")                     # plain window
-    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("a", "b")))
-    key = lambda r: (r.g if r.g is not None else -1, r.a, r.b, r.rn)
-    expect = sorted(map(key, ref.collect()))
-    assert sorted(map(key, got.collect())) == expect
-    assert sorted(map(key, small.collect())) == expect
-
-
 def test_approx_bounds_close_to_exact(spark):
     rnd = random.Random(2)
     df = spark.createDataFrame([(rnd.gauss(100, 15),) for _ in range(5000)], "x double")

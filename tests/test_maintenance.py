@@ -1,5 +1,6 @@
 """Incremental maintenance: upsert, insert-ignore, fact refresh, idempotence."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from martforge.operators import maintain
@@ -49,10 +50,16 @@ def test_two_batch_load(spark):
     assert all(d2[k] == v for k, v in d1.items())                    # old keys kept
     new = [v for k, v in d2.items() if k not in d1]
     assert len(set(d2.values())) == len(d2) and min(new) > max(d1.values())
-    f1, f2 = tb.fact_1.count(), tb.fact_2.count()
-    full = Layers(spark, SF_SMALL).fact_orders
-    assert f2 == full.count() and f1 < f2
-    dup = tb.fact_2.groupBy("order_id", "order_item_id").count().where("count > 1").count()
+    f1, f2 = tb.fact_1, tb.fact_2
+    sent = tb.batch2["order_items"].select("order_id", "order_item_id")
+    stay = f1.join(sent, ["order_id", "order_item_id"], "left_anti").count()
+    assert 0 < stay < f1.count()                                      # facts absent from the batch stay
+    gone = f1.join(sent, ["order_id", "order_item_id"], "left_semi") \
+        .join(f2, ["order_id", "order_item_id"], "left_anti").count()
+    assert gone > 0                                                   # re-sent items of vanished orders go
+    left_out = {r.customer_id for r in tb.batch1["customers"].join(tb.batch2["customers"], "customer_id", "left_anti").collect()}
+    assert left_out and left_out <= set(d2)                           # dimensions never shrink
+    dup = f2.groupBy("order_id", "order_item_id").count().where("count > 1").count()
     assert dup == 0
 
 
@@ -101,6 +108,56 @@ def test_star_store_removes_emptied_month(spark):
     after = store.fact()
     assert after.where(F.date_format("date_key", "yyyyMM") == month).count() == 0
     assert after.count() == n_before - n_gone
-    # Re-applying the same batch changes nothing.
+    # The same batch under the next number changes nothing.
     store.apply_batch(batch, version=3)
     assert store.fact().count() == after.count()
+
+
+def small_store(spark):
+    from martforge.session import new_work_dir
+    from martforge.sources.star_store import StarStore
+    tb = TwoBatches(Layers(spark, SF_SMALL))
+    store = StarStore(spark, new_work_dir(spark, "test-store"))
+    store.initial_load(tb.batch1, version=1)
+    return store, tb.batch2
+
+
+def contents(store):
+    return {t: sorted(map(str, df.collect())) for t, df in store.tables().items()}
+
+
+def test_star_store_replay_and_order(spark):
+    store, batch2 = small_store(spark)
+    first = contents(store)
+    store.initial_load(batch2, version=1)       # replayed number: skipped
+    store.apply_batch(batch2, version=1)
+    assert contents(store) == first
+    with pytest.raises(ValueError):             # not the next number
+        store.apply_batch(batch2, version=3)
+    assert contents(store) == first and store.version() == 1
+    store.apply_batch(batch2, version=2)
+    second = contents(store)
+    assert second != first
+    store.apply_batch(batch2, version=2)
+    assert contents(store) == second and store.rejects().count() > 0
+
+
+def test_star_store_read_errors_are_not_an_empty_store(spark):
+    import glob
+    store, batch2 = small_store(spark)
+    part = glob.glob(store.root.removeprefix("file://") + "/versions/v000001/part-*")[0]
+    with open(part, "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):
+        store.apply_batch(batch2, version=2)
+    assert store.version() == 1
+
+
+def test_star_store_unfinished_version_is_not_seen(spark):
+    import os
+    store, batch2 = small_store(spark)
+    first = contents(store)
+    os.makedirs(store.root.removeprefix("file://") + "/versions/v000002")  # a crash before the commit
+    assert store.version() == 1 and contents(store) == first
+    store.apply_batch(batch2, version=2)
+    assert store.version() == 2 and contents(store) != first

@@ -76,14 +76,3 @@ def test_command_line_runs_the_load():
                          cwd=root, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "fact_orders" in out.stdout and "4405" in out.stdout
-
-
-def test_bucketed_staging_gives_the_same_star(spark):
-    from martforge.plans.jobs import load_star
-    from martforge.session import new_work_dir
-    from martforge.sources.staging import load_staging
-    L = Layers(spark, SF_SMALL)
-    staged = load_staging(spark, L.clean, bucketed=True)
-    built, rejects = load_star(staged, new_work_dir(spark, "test-bucketed"))
-    assert built["fact_orders"].count() == 4405 and rejects.count() == 142
-    assert staged["order_items"].count() == 4547
