@@ -2,9 +2,8 @@
 
 Each property is a DataFrame plan; nothing executes until a sink or an
 action asks for it. The eager steps are the written rank tables inside
-surrogate-key assignment (they freeze the keys before facts look them up),
-the one-number group-size guard of the item fixture, and the staged tables
-that multi-pass operators read.
+surrogate-key assignment (they freeze the keys before facts look them up)
+and the staged tables that multi-pass operators read.
 """
 
 from __future__ import annotations
