@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, new_work_dir
 
 __all__ = ["table", "materialize", "new_work_dir", "binary_view", "null_mask", "ranged_running_sum", "arrow_map", "share_code",
-           "shuffle_partitions", "text_or_empty", "one_row_per_key"]
+           "shuffle_partitions", "text_or_empty"]
 
 #: The word separators of the package: blank and the ASCII controls 9-13.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -83,12 +83,6 @@ def null_mask(column: pa.Array) -> np.ndarray:
     return column.is_null().to_numpy(zero_copy_only=False)
 
 
-def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per value of ``keys`` (nulls equal). Rows are only compared by
-    key, so callers pass keys that determine the row up to equality."""
-    return df.dropDuplicates(keys)
-
-
 def ranged_running_sum(df: DataFrame, order: list[str], value: str, group: str | None = None) -> DataFrame:
     """Running total of ``value`` (long) in ``order``, restarting per ``group``
     (which must be the first order column), without a single-task window.

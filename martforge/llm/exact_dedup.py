@@ -181,14 +181,12 @@ def keep_exact_unique(docs: DataFrame) -> DataFrame:
     dropped = decided.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sum")) \
         .agg(F.count(F.lit(1)).alias("_rows"), F.max(F.col("kept").cast("int")).alias("_kept")) \
         .filter("_rows > 1 or _kept = 0")
-    keyed = docs.withColumn("_own", F.sha2(text_or_empty(), 256))
-    joined = keyed.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sum")), "left")
-    single = joined.filter(F.col("_rows").isNull())
+    # Written first, so that Spark knows their size: few are broadcast.
+    dropped = materialize(dropped, "dropped-copies")
     # Rows that repeat both doc_id and text: one of them stays.
-    repeats = joined.filter("_rows > 1 and _kept = 1")
-    repeats = one_of(repeats, ["doc_id", "_own"])
+    repeated = materialize(dropped.filter("_rows > 1 and _kept = 1").select("_id", "_sum"), "repeated-rows")
+    keyed = docs.withColumn("_own", F.sha2(text_or_empty(), 256))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sum"))
+    single = keyed.join(dropped.select("_id", "_sum"), on, "left_anti")
+    repeats = keyed.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "_own"])
     return single.unionByName(repeats).select(*docs.columns)
-
-
-def one_of(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.dropDuplicates(keys)

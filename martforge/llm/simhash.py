@@ -187,20 +187,24 @@ def keep_first_of_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) ->
     special = groups.groupBy(F.col("doc_id").alias("_id")).agg(
         F.count(F.lit(1)).alias("_rows"), F.sum((F.col("doc_id").eqNullSafe(F.col("component_id"))).cast("int")).alias("_heads")) \
         .filter("_rows > 1 or _heads = 0 or _id is null")
-    # Only dropped and repeated doc_ids are joined; the rest passes.
-    joined = docs.join(special, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    single = joined.filter("_rows is null").select(*docs.columns)
-    again = joined.filter("_heads > 0").select(*docs.columns)
-    return single.unionByName(_one_of_repeated_ids(again, groups, shingle))
-
-
-def _one_of_repeated_ids(rows: DataFrame, groups: DataFrame, shingle: int) -> DataFrame:
+    # Only dropped and repeated doc_ids are joined; the rest passes. They are
+    # written first, so that Spark knows their size: few are broadcast and the
+    # texts stay where they are.
+    special = materialize(special, "special-ids")
+    on = F.col("doc_id").eqNullSafe(F.col("_id"))
+    single = docs.join(special.select("_id"), on, "left_anti")
+    repeated = materialize(special.filter("_heads > 0").select("_id"), "repeated-ids")
+    again = docs.join(repeated, on, "left_semi")
+    heads = groups.filter("doc_id <=> component_id").join(repeated, on, "left_semi")
+    return single.unionByName(_one_of_repeated_ids(again, heads, shingle))
+
+
+def _one_of_repeated_ids(rows: DataFrame, heads: DataFrame, shingle: int) -> DataFrame:
     """The kept rows among those whose doc_id is repeated or null."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     texts = rows.select("doc_id", text_or_empty().alias("text")).distinct()
     printed = arrow_map(texts, _fingerprinter_with_text(shingle), f"_id {kind}, _text string, _fp bigint")
-    heads = groups.filter("doc_id <=> component_id") \
-        .select(F.col("fp").alias("_print"), F.col("doc_id").alias("_own"), F.col("root").alias("_root")).distinct()
+    heads = heads.select(F.col("fp").alias("_print"), F.col("doc_id").alias("_own"), F.col("root").alias("_root")).distinct()
     heads = printed.join(heads, (F.col("_fp") == F.col("_print")) & F.col("_id").eqNullSafe(F.col("_own")))
     first = heads.groupBy("_id", "_root").agg(F.min("_text").alias("_text")).select("_id", "_text")
     return rows.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_or_empty() == F.col("_text")), "left_semi") \
