@@ -164,6 +164,9 @@ def exact_dedup(docs: DataFrame, fingerprint_of: Callable = fingerprint) -> Data
     groups = recipes.groupBy("recipe").agg(F.max(F.struct("doc_id", "rid")).alias("_keep"),
                                            F.count(F.lit(1)).alias("_size")) \
         .filter("_size > 1")
+    # Written, so that both sides of the join are plain exchanges that Spark
+    # can split where a recipe is hot, or broadcast where the groups are few.
+    groups = materialize(groups, "copy-groups")
     joined = recipes.join(groups, "recipe", "left")
     alone = F.col("_size").isNull()
     return joined.select(
