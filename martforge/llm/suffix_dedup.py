@@ -131,7 +131,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     spots, values = np.concatenate(spots), np.concatenate(values)
     spots, index = np.unique(spots, return_index=True)
-    return spots.astype(np.int64), values[index]
+    # Least hashes are small; mixed again they spread evenly over the buckets.
+    again = (_mixed(values[index] * _ODD[1]) >> np.uint64(64 - HASH_BITS)) + np.uint64(1)
+    return spots.astype(np.int64), again
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
