@@ -49,7 +49,7 @@ from .common import arrow_map, binary_view, materialize, share_code, shuffle_par
 
 LENGTH = 50
 RUN_BYTES = 4 << 20    # text of a run; a longer document is a run of its own
-HOT_RUNS = 64          # runs that share a hash from which it is hot
+HOT_RUNS = 1024        # runs that share a hash from which it is hot
 SLICE = 2 << 20        # bytes hashed at once
 HASH_BITS = 48
 NO_ID = np.iinfo(np.int64).max
