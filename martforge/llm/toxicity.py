@@ -4,14 +4,20 @@ The lexicon holds words and word stems whose share of toxic documents is far
 above the base rate in a bounded sample of the labelled training rows; its
 counts are Spark aggregates. The terms form a trie. A word is looked up by
 running the Levenshtein automaton of the word along the trie, so that one
-edit in a long term still hits; words whose untouched half cannot be that of
+edit in any term still hits; words whose untouched half cannot be that of
 any term are passed over first (with one edit, the first or the second half
-of a term is intact).
+of a term is intact). Words near a term that clean training rows use (as
+"oron" beside "moron") are counted there and are no misspellings. A word may
+hold digits and inner symbols ("l0ser", "st*pid"); if it is no term or
+misspelling as a whole, its runs of letters are looked up.
 
 Every hit is read in its context: a window of words around it, with quotation
 marks and words of reporting, decides whether the term is quoted or used.
 Counts of both kinds, the density and the densest window are the features of
-a logistic regression fitted on the same sample.
+a logistic regression fitted on the same sample, each row as it is written and
+as if its terms were misspelled. For these rows the harmless near words come
+from the other half of the sample, so that the weights know how often a word
+that was never counted is near a term by chance.
 
 Score inputs are the text only. Rows with crc32(doc_id as text) mod 3 = 1 are
 held out and never read for learning.
@@ -44,13 +50,14 @@ MIN_PURITY = 0.9          # share of toxic documents with the term, classes weig
 NEARLY = 0.9              # a longer term with this share of a stem's toxic documents replaces it
 MIN_GAIN = 25.0           # log-likelihood gain over the base rate, in nats
 STEM_LENGTHS = range(3, 9)
-FUZZY_LENGTH = 6          # terms of this length and more may hold one edit
+FUZZY_LENGTH = 1          # terms of this length and more may hold one edit: all of them
 FREQUENT = 0.02           # share of toxic documents that makes a pure term one in any case
 WINDOW = 5                # words of context on each side
 THRESHOLD = 0.7
 KNOWN_WORDS = 300_000     # words without a hit that a worker remembers
 
-WORDS = re.compile(r"[^\W\d_]+")
+WORDS = re.compile(r"[^\W_]+(?:[*@$!#%&+|^~_.-]{1,3}[^\W_]+)*")
+LETTERS = re.compile(r"[^\W\d_]+")
 QUOTES = "\"“”„«»‘’"
 REPORTING = frozenset("said says wrote called quote quoted term word words reads titled "
                       "dit écrit mot sagte schrieb wort dijo escribió palabra".split())
@@ -82,6 +89,7 @@ class Trie:
         self.lasts = {t[len(t) // 2:] for t, stem in self.terms if len(t) >= FUZZY_LENGTH and not stem}
         # The second half of a stem may stand anywhere near its place.
         self.middles = {(len(t) // 2, t[len(t) // 2:]) for t, stem in self.terms if len(t) >= FUZZY_LENGTH and stem}
+        self.longest = max((len(t) for t, _ in self.terms), default=0)
         self.first_lengths = sorted({len(x) for x in self.firsts})
         self.last_lengths = sorted({len(x) for x in self.lasts})
         self.middle_spots = sorted({(at, len(x)) for at, x in self.middles})
@@ -97,23 +105,27 @@ class Trie:
 
     def fuzzy(self, word: str) -> bool:
         """A term of FUZZY_LENGTH or more within one edit: the automaton's
-        state, a row of edit distances cut at 1, walks down the trie."""
-        width = len(word) + 1
-        far = 2
-        start = [min(i, far) for i in range(width)]
-        stack = [(self.root, start, 0)]
+        state, the row of edit distances cut at 2, walks down the trie. Only
+        the three cells about the diagonal can be below 2."""
+        word = word[:self.longest + 2]  # what follows can only continue a stem
+        size, far = len(word), 2
+        stack = [(self.root, far, 0, 1 if size else far, 0)]
         while stack:
-            node, row, depth = stack.pop()
-            if depth >= FUZZY_LENGTH and ("end" in node and row[-1] <= 1 or "stem" in node and min(row) <= 1):
-                return True
+            # Distances of word[:depth - 1], word[:depth], word[:depth + 1].
+            node, left, mid, right, depth = stack.pop()
+            if depth >= FUZZY_LENGTH:
+                if "stem" in node and min(left, mid, right) <= 1:
+                    return True
+                if "end" in node and -1 <= size - depth <= 1 and (left, mid, right)[size - depth + 1] <= 1:
+                    return True
             for c, child in node.items():
                 if len(c) != 1:
                     continue
-                new = [min(row[0] + 1, far)]
-                for i in range(1, width):
-                    new.append(min(new[-1] + 1, row[i] + 1, row[i - 1] + (word[i - 1] != c), far))
-                if min(new) <= 1:
-                    stack.append((child, new, depth + 1))
+                a = min(mid + 1, left + (word[depth - 1] != c) if 0 < depth <= size else far, far)
+                b = min(a + 1, right + 1, mid + (word[depth] != c), far) if depth < size else far
+                d = min(b + 1, right + (word[depth + 1] != c), far) if depth + 1 < size else far
+                if a <= 1 or b <= 1 or d <= 1:
+                    stack.append((child, a, b, d, depth + 1))
         return False
 
     def look_up(self, word: str) -> int:
@@ -123,6 +135,22 @@ class Trie:
         return int(len(word) >= FUZZY_LENGTH - 1 and self.may_match(word) and self.fuzzy(word))
 
 
+def words_of(text: str) -> set[str]:
+    """The distinct words of the lower-cased text and the runs of letters of
+    those that hold digits or symbols; numbers are no words."""
+    found = set()
+    for word in set(WORDS.findall(text)):
+        parts = [word] if word.isalpha() else LETTERS.findall(word)
+        if parts:
+            found.add(word)
+            found.update(parts)
+    return found
+
+
+def stems_of(word: str) -> list[str]:
+    return [word[:n] for n in STEM_LENGTHS if n < len(word)] if word.isalpha() else []
+
+
 def hit_contexts(text: str, hits: dict[str, int]) -> list[tuple[int, int, bool]]:
     """(word number, kind, quoted) of every hit of the lower-cased text.
 
@@ -131,7 +159,13 @@ def hit_contexts(text: str, hits: dict[str, int]) -> list[tuple[int, int, bool]]
     window next to a quotation mark.
     """
     found = []
-    spots = [(m.start(), m.end(), m.group()) for m in WORDS.finditer(text)]
+    spots = []
+    for m in WORDS.finditer(text):
+        word = m.group()
+        if word.isalpha() or word in hits:
+            spots.append((m.start(), m.end(), word))
+        else:
+            spots += [(m.start() + x.start(), m.start() + x.end(), x.group()) for x in LETTERS.finditer(word)]
     for i, (start, end, word) in enumerate(spots):
         kind = hits.get(word, 0)
         if not kind:
@@ -164,26 +198,52 @@ def features_of(contexts: list[tuple[int, int, bool]], n_words: int) -> list[flo
 
 
 class Scorer:
-    """The lexicon and weights with a worker's memory of harmless words."""
-
-    def __init__(self, terms: list[tuple[str, bool]], weights: list[float] | None):
-        self.trie, self.weights, self.harmless = Trie(terms), weights, set()
+    """The lexicon, weights and harmless near words, with a worker's memory of
+    words without a hit."""
+
+    def __init__(self, terms: list[tuple[str, bool]], weights: list[float] | None, near: list[str] = ()):
+        self.trie, self.weights, self.near, self.harmless = Trie(terms), weights, frozenset(near), set()
+
+    def kind(self, word: str) -> int:
+        """What the word is by itself: 2 a term, 1 a misspelled one, 0 neither."""
+        if word in self.harmless:
+            return 0
+        kind = self.trie.look_up(word)
+        if kind == 1 and word in self.near:
+            kind = 0
+        if not kind:
+            if len(self.harmless) >= KNOWN_WORDS:
+                self.harmless.clear()
+            self.harmless.add(word)
+        return kind
+
+    def hits(self, words: set[str]) -> dict[str, int]:
+        """Kinds of the words and runs of letters that hit. A word with digits
+        or symbols hits as a whole, unless a run of its letters is a term."""
+        hits = {}
+        for word in words:
+            if word.isalpha():
+                kind = self.kind(word)
+                if kind:
+                    hits[word] = kind
+                continue
+            parts = {x: k for x in LETTERS.findall(word) if (k := self.kind(x))}
+            whole = self.kind(word) if LETTERS.search(word) else 0
+            if whole and (whole == 2 or 2 not in parts.values()):
+                hits[word] = whole
+            else:
+                hits.update(parts)
+        return hits
 
-    def features(self, text: str) -> list[float]:
+    def contexts(self, text: str) -> tuple[list[tuple[int, int, bool]], int]:
+        """Hits with their contexts and the number of words of the text."""
         low = text.lower()
         words = WORDS.findall(low)
-        hits, harmless, trie = {}, self.harmless, self.trie
-        for word in set(words) - harmless if len(words) > 50 else set(words):
-            if word in harmless:
-                continue
-            kind = trie.look_up(word)
-            if kind:
-                hits[word] = kind
-            else:
-                if len(harmless) >= KNOWN_WORDS:
-                    harmless.clear()
-                harmless.add(word)
-        return features_of(hit_contexts(low, hits) if hits else [], len(words))
+        hits = self.hits(set(words))
+        return hit_contexts(low, hits) if hits else [], len(words)
+
+    def features(self, text: str) -> list[float]:
+        return features_of(*self.contexts(text))
 
     def score(self, text: str) -> float:
         if self.weights is None:
@@ -206,9 +266,9 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             terms = set()
-            for word in set(WORDS.findall(text.lower())):
+            for word in words_of(text.lower()):
                 terms.add(word + " ")
-                terms.update(word[:n] + "*" for n in STEM_LENGTHS if n < len(word))
+                terms.update(stem + "*" for stem in stems_of(word))
             counts[toxic].update(terms)
         if len(counts[0]) + len(counts[1]) > 400_000:
             yield from out()
@@ -223,9 +283,9 @@ def _terms_in(index: dict[tuple[str, bool], int]) -> Callable:
             rows = []
             for text in batch.column("text").to_pylist():
                 found = set()
-                for word in set(WORDS.findall(text.lower())):
+                for word in words_of(text.lower()):
                     found.add(index.get((word, False)))
-                    found.update(index.get((word[:n], True)) for n in STEM_LENGTHS if n < len(word))
+                    found.update(index.get((stem, True)) for stem in stems_of(word))
                 rows.append(sorted(found - {None}))
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], names=["found"])
     return run
@@ -294,12 +354,38 @@ def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int =
     return w.tolist()
 
 
-def _feature_rows(terms: list[tuple[str, bool]]) -> Callable:
+def _near_counts(terms: list[tuple[str, bool]]) -> Callable:
+    """Documents of each word that is near a term, by half of the sample."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, counts = Scorer(terms, None), Counter()
+        for batch in batches:
+            for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half"))):
+                counts.update((w, half, toxic) for w in words_of(text.lower()) if scorer.kind(w) == 1)
+        keys = list(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+             pa.array([counts[k] * k[2] for k in keys], pa.int64()),
+             pa.array([counts[k] * (1 - k[2]) for k in keys], pa.int64())], names=["word", "half", "toxic", "clean"])
+    return run
+
+
+def harmless_near(counts: list[tuple[str, int, int]], n1: int, n0: int) -> list[str]:
+    """The words of ``counts`` (word, toxic, clean documents) that are near a
+    term but too common in clean documents to be its misspelling."""
+    return sorted(w for w, t, c in counts if c and (t <= c or t / n1 < MIN_PURITY * (t / n1 + c / n0)))
+
+
+def _feature_rows(terms: list[tuple[str, bool]], near: list[list[str]]) -> Callable:
+    """Features of each row as written and with its terms misspelled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(terms, None)
+        scorers = [Scorer(terms, None, words) for words in near]
         for batch in batches:
-            rows = [scorer.features(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("toxic")],
+            rows, tags = [], []
+            for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half"))):
+                contexts, n_words = scorers[1 - half].contexts(text)
+                rows += [features_of(contexts, n_words), features_of([(i, 1, q) for i, _, q in contexts], n_words)]
+                tags += [toxic, toxic]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(tags, pa.int32())],
                                              names=["x", "toxic"])
     return run
 
@@ -316,13 +402,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[tuple[str, bool]], list[float] | None]:
-    """(terms, weights): the model, a few kilobytes."""
-    sample = materialize(training_rows(docs, labels, rows), "toxicity-sample")
+def learn(docs: DataFrame, labels: DataFrame,
+          rows: int = SAMPLE_ROWS) -> tuple[list[tuple[str, bool]], list[float] | None, list[str]]:
+    """(terms, weights, harmless near words): the model, bounded by the sample."""
+    sample = training_rows(docs, labels, rows) \
+        .withColumn("half", (F.crc32(F.col("text").cast("binary")) % 2).cast("int"))
+    sample = materialize(sample, "toxicity-sample")
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
-        return [], None
+        return [], None, []
     counts = arrow_map(sample, _term_counts, "term string, stem boolean, toxic bigint, clean bigint") \
         .groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     both = F.col("toxic") + F.col("clean")
@@ -339,15 +428,21 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[
     index = {r[:2]: i for i, r in enumerate(candidates)}
     found = arrow_map(sample.filter("toxic = 1").select("text"), _terms_in(index), "found array<int>").collect()
     terms = choose_terms(candidates, [r["found"] for r in found])
-    rows = arrow_map(sample, _feature_rows(terms), "x array<double>, toxic int").collect()
+    by_half = arrow_map(sample, _near_counts(terms), "word string, half int, toxic bigint, clean bigint") \
+        .groupBy("word").agg(*(F.sum(F.when(F.col("half") == h, F.col(c)).otherwise(0)).alias(f"{c}{h}")
+                               for h in (0, 1) for c in ("toxic", "clean"))) \
+        .filter("clean0 + clean1 > 0").collect()
+    near = harmless_near([(r["word"], r["toxic0"] + r["toxic1"], r["clean0"] + r["clean1"]) for r in by_half], n1, n0)
+    halves = [harmless_near([(r["word"], r[f"toxic{h}"], r[f"clean{h}"]) for r in by_half], n1, n0) for h in (0, 1)]
+    rows = arrow_map(sample, _feature_rows(terms, halves), "x array<double>, toxic int").collect()
     x, y = np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], dtype=float)
     order = np.lexsort([*x.T, y])  # sums do not hang on the order of the rows
-    return terms, fit_weights(x[order], y[order])
+    return terms, fit_weights(x[order], y[order]), near
 
 
-def _scorer(terms, weights) -> Callable:
+def _scorer(terms, weights, near) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(terms, weights)
+        scorer = Scorer(terms, weights, near)
         for batch in batches:
             scores = [scorer.score(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())],

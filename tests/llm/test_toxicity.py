@@ -64,3 +64,26 @@ def test_edge_rows(spark, documents):
     assert T.toxicity(docs.limit(0), labels).count() == 0
     kept = T.keep_clean(docs, labels)
     assert kept.columns == docs.columns
+
+
+def test_short_and_disguised_terms_hit():
+    trie = T.Trie([(t, False) for t in ("trash", "idiot", "loser", "moron", "scum", "stupid", "pathetic", "worthless")])
+    scorer = T.Scorer(trie.terms, None, ["oron"])
+    for word, kind in {"idiott": 1, "morron": 1, "l0ser": 1, "scumm": 1, "w0rthless": 1, "path3tic": 1, "st*pid": 1,
+                       "$tupid": 1, "idiot": 2, "oron": 0, "clean": 0}.items():
+        contexts, _ = scorer.contexts(f"and you {word} there")
+        assert [c[1] for c in contexts] == [kind] * (kind > 0), word
+    # A word with digits or symbols still hits by its letters.
+    assert [c[1] for c in scorer.contexts("idiot123 it.moron x1y2")[0]] == [2, 2]
+
+
+def test_misspelled_abuse_is_caught(spark):
+    docs, labels = table(spark, SF_LARGE, "documents"), table(spark, SF_LARGE, "labels")
+    model = T.learn(docs, labels)
+    assert len(model[2]) > 0 and not set(model[2]) & {t for t, stem in model[0] if not stem}
+    scorer = T.Scorer(*model)
+    filler = "the report of the town was read and then it was put on the table by them "
+    assert scorer.score(filler * 6) < T.THRESHOLD
+    for words in ("idiott morron l0ser", "w0rthless path3tic st*pid", "scumm tr4sh clownn"):
+        a, b, c = words.split()
+        assert scorer.score(f"{filler}you {a} {filler}{b} and {c} you {filler}") >= T.THRESHOLD, words
