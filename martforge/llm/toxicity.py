@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -58,7 +59,9 @@ KNOWN_WORDS = 300_000     # words without a hit that a worker remembers
 
 WORDS = re.compile(r"[^\W_]+(?:[*@$!#%&+|^~_.-]{1,3}[^\W_]+)*")
 LETTERS = re.compile(r"[^\W\d_]+")
-QUOTES = "\"“”„«»‘’"
+# The marks that close a quotation opened by each mark.
+CLOSING = {'"': '"', "“": "”", "„": "“”", "”": "”", "«": "»", "»": "«", "‘": "’", "‚": "‘’"}
+MARKS = re.compile("[\"“”„«»‘’‚\n]")
 REPORTING = frozenset("said says wrote called quote quoted term word words reads titled "
                       "dit écrit mot sagte schrieb wort dijo escribió palabra".split())
 
@@ -151,15 +154,47 @@ def stems_of(word: str) -> list[str]:
     return [word[:n] for n in STEM_LENGTHS if n < len(word)] if word.isalpha() else []
 
 
+def quotations(text: str) -> tuple[list[tuple[int, int]], list[int]]:
+    """(disjoint quotations as (first mark, last mark), all quotation marks).
+
+    A mark closes the quotation of its own kind that was opened last in its
+    line, or else opens one. ‘ and ’ within a word are apostrophes, and ’ is a
+    quotation mark only where it closes one.
+    """
+    spans, marks, opened = [], [], {}
+    for m in MARKS.finditer(text):
+        at, mark = m.start(), m.group()
+        if mark == "\n":
+            opened = {}
+            continue
+        before, after = text[at - 1:at].isalnum(), text[at + 1:at + 2].isalnum()
+        if mark in "‘’" and before and after:
+            continue
+        start = max((p for o, p in opened.items() if mark in CLOSING[o]), default=None)
+        if start is not None:
+            spans.append((start, at))
+            opened = {o: p for o, p in opened.items() if p < start}
+        elif mark in CLOSING and not (mark in "”»" and (before or not after)):
+            opened.setdefault(mark, at)
+        if start is not None or mark != "’":
+            marks.append(at)
+    merged = []
+    for a, b in sorted(spans):
+        if merged and a < merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
+    return merged, marks
+
+
 def hit_contexts(text: str, hits: dict[str, int]) -> list[tuple[int, int, bool]]:
     """(word number, kind, quoted) of every hit of the lower-cased text.
 
-    A hit counts as quoted if an odd number of quotation marks of its line
-    stands before it and another follows, or a word of reporting is in its
-    window next to a quotation mark.
+    A hit counts as quoted if it stands in a quotation of its line, or a word
+    of reporting is in its window next to a quotation mark.
     """
-    found = []
-    spots = []
+    found, spots = [], []
+    spans, marks = quotations(text)
     for m in WORDS.finditer(text):
         word = m.group()
         if word.isalpha() or word in hits:
@@ -170,13 +205,11 @@ def hit_contexts(text: str, hits: dict[str, int]) -> list[tuple[int, int, bool]]
         kind = hits.get(word, 0)
         if not kind:
             continue
-        line = text.rfind("\n", 0, start) + 1
-        stop = text.find("\n", end)
-        left, right = text[line:start], text[end:len(text) if stop < 0 else stop]
-        inside = sum(map(left.count, QUOTES)) % 2 == 1 and any(q in right for q in QUOTES)
+        span = bisect_left(spans, (start,)) - 1
+        inside = span >= 0 and end <= spans[span][1]
         a, b = spots[max(0, i - WINDOW)][0], spots[min(len(spots) - 1, i + WINDOW)][1]
         near = any(w[2] in REPORTING for w in spots[max(0, i - WINDOW):i + WINDOW + 1])
-        found.append((i, kind, inside or near and any(q in text[a:b] for q in QUOTES)))
+        found.append((i, kind, inside or near and bisect_left(marks, a) < bisect_left(marks, b)))
     return found
 
 

@@ -87,3 +87,19 @@ def test_misspelled_abuse_is_caught(spark):
     for words in ("idiott morron l0ser", "w0rthless path3tic st*pid", "scumm tr4sh clownn"):
         a, b, c = words.split()
         assert scorer.score(f"{filler}you {a} {filler}{b} and {c} you {filler}") >= T.THRESHOLD, words
+
+
+def test_apostrophes_are_not_quotation_marks():
+    hits = {"idiot": 2, "trash": 2}
+
+    def quoted(text):
+        return [c[2] for c in T.hit_contexts(text.lower(), hits)]
+    assert quoted("You’re an idiot and you’re trash") == [False, False]
+    assert quoted("l’ami d’un idiot, c’est l’autre") == [False]
+    assert quoted("they said you’re an idiot and it’s so") == [False]
+    assert quoted("the dogs’ idiot and the cats’ food") == [False]
+    assert quoted("he “calls me» an idiot” and “you’re trash") == [True, False]
+    for text in ("the ‘idiot’ here", "a ‘you’re an idiot’ there", "a “idiot” b", "a „idiot“ b", "a «idiot» b", "a »idiot« b",
+                 "a ”idiot” b", "a 'b' \"idiot\" c"):
+        assert quoted(text) == [True], text
+    assert quoted("an open “idiot\nand trash” closed") == [False, False]
