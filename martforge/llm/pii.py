@@ -33,16 +33,35 @@ FIRST_DAY = "1800-01-01"
 SSN = (898, 99 * 9999)       # areas without 000, 666 and 9xx; groups and serials without zero
 ADDRESS = (1 << 16, 1 << 16)
 
+# Account lengths by country (IBAN registry), for accounts printed in groups of four.
+ACCOUNT_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MN MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+GROUPED = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:[ -][A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f"[ -][A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+                   for n, c in ACCOUNT_LENGTHS.items())
+# Phone numbers without a country code: with an area in brackets, 3-3-4, or with a trunk zero.
+NATIONAL = (r"\([0-9]{2,5}\)[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}"
+            r"|(?:1[ .-])?(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}"
+            r"|[2-9][0-9]{2} [2-9][0-9]{2} [0-9]{4})"
+            r"|0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ -]?[0-9]{3,5}")
+# ITU country codes: one or two digits, or else three.
+COUNTRY = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+
 # One pattern for all candidates; the alternatives exclude one another by
 # their first characters or are tried in this order.
 CANDIDATE = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
     r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![0-9A-Za-z])"
+    rf"|(?<![0-9A-Za-z])(?:{GROUPED})(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
-    r"|(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z-])"
+    r"|(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9A-Za-z-])"
     r"|(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
     r"|(?<![0-9A-Za-z.])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z.])[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}(?![0-9A-Za-z])"
+    rf"|(?<![0-9A-Za-z.(+/-])(?:{NATIONAL})(?![0-9A-Za-z]|[ .-][0-9])"
 )
 
 
@@ -90,9 +109,10 @@ def mod97(text: str) -> str:
             "CASE WHEN c BETWEEN 'A' AND 'Z' THEN (s * 100 + ascii(c) - 55) % 97 ELSE (s * 10 + cast(c AS int)) % 97 END)")
 
 
-def in_layout(layout: str, digits: str) -> str:
-    """SQL: ``layout`` with its digits replaced by ``digits`` in order."""
-    return (f"array_join(zip_with(split({layout}, '[0-9]', -1), concat(split({digits}, ''), array('')), "
+def in_layout(layout: str, digits: str, places: str = "[0-9]") -> str:
+    """SQL: ``layout`` with its digits (characters of the class ``places``)
+    replaced by ``digits`` in order."""
+    return (f"array_join(zip_with(split({layout}, '{places}', -1), concat(split({digits}, ''), array('')), "
             "(x, y) -> concat(x, y)), '')")
 
 
@@ -101,16 +121,26 @@ def _bind(name: str, value: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-_DAY_FORMATS = {"-": ("^[0-9]{4}-", "yyyy-MM-dd"), "/": ("/", "dd/MM/yyyy"), ".": ("^[0-9]{2}[.][0-9]{2}[.][0-9]{4}$", "dd.MM.yyyy")}
+# Shape and layout; with slashes the day comes first where that is a date.
+_DAY_FORMATS = [("^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"), ("^[0-9]{4}-", "yyyy-M-d"),
+                ("^[0-9]{2}/[0-9]{2}/", "dd/MM/yyyy"), ("/", "d/M/yyyy"),
+                ("^[0-9]{2}[.][0-9]{2}[.][0-9]{4}$", "dd.MM.yyyy"), ("[.]", "d.M.yyyy")]
 
 
 def _date_case(m: str, key: str) -> str:
     cases = []
-    for pattern, layout in _DAY_FORMATS.values():
+    for pattern, layout in _DAY_FORMATS:
         day = f"cast(try_to_timestamp({m}, '{layout}') AS date)"
         moved = permute_number("n", DAYS, key, "date")
+        new = f"date_add(DATE'{FIRST_DAY}', cast({moved} AS int))"
+        out = f"date_format({new}, '{layout}')"
+        if "/" in layout:
+            swapped = "/".join([*layout.split("/")[1::-1], "yyyy"])
+            other = f"cast(try_to_timestamp({m}, '{swapped}') AS date)"
+            # A month-first date stays month first unless it would then be read as another day.
+            out = _bind("w", new, f"date_format(w, CASE WHEN {day} IS NULL AND day(w) > 12 THEN '{swapped}' ELSE '{layout}' END)")
+            day = f"coalesce({day}, {other})"
         number = f"datediff({day}, DATE'{FIRST_DAY}')"
-        out = f"date_format(date_add(DATE'{FIRST_DAY}', cast({moved} AS int)), '{layout}')"
         cases.append(f"WHEN {m} RLIKE '{pattern}' THEN " + _bind(
             "n", number, f"CASE WHEN n BETWEEN 0 AND {DAYS[0] * DAYS[1] - 1} THEN {out} END"))
     return f"CASE {' '.join(cases)} END"
@@ -125,16 +155,19 @@ def replacement(m: str, key: str = KEY) -> str:
     validation."""
     name = f"substring_index({m}, '@', 1)"
     email = f"concat({permute_text(name, key, 'email')}, '@', substring_index({m}, '@', -1))"
-    # The country code of a phone number, its digits up to the first separator, stays.
-    country = f"regexp_extract({m}, '^[+][0-9]{{1,3}}(?=[ .(-])', 0)"
-    rest = f"substr({m}, length({country}) + 1)"
-    national = f"regexp_replace({rest}, '[^0-9]', '')"
-    phone = _bind("d", national, f"CASE WHEN length(d) BETWEEN 7 AND 15 THEN concat({country}, "
-                  + in_layout(rest, permute_text("d", key, "phone")) + ") END")
-    moved = permute_text(f"substr({m}, 5)", key, "iban")
-    iban = (f"CASE WHEN {mod97(f'concat(substr({m}, 5), left({m}, 4))')} = 1 THEN " + _bind(
-        "w", moved, f"concat(left({m}, 2), lpad(cast(98 - {mod97(f'''concat(w, left({m}, 2), '00')''')} AS string), 2, '0'), w)")
-        + " END")
+    # The country code of a phone number stays, however the number is laid
+    # out; so does the 1 or trunk zero of a national number, whose other digits
+    # are permuted like those behind a country code.
+    def phone_number(prefix: str) -> str:
+        return _bind("d", f"regexp_replace({m}, '[^0-9]', '')", "CASE WHEN length(d) BETWEEN 7 AND 18 THEN " + _bind(
+            "k", prefix, in_layout(m, f"concat(k, {permute_text('substr(d, length(k) + 1)', key, 'phone')})")) + " END")
+    phone = phone_number(f"regexp_extract(d, '^({COUNTRY})', 0)")
+    national = phone_number(f"CASE WHEN {m} RLIKE '^1[ .-]' OR {m} RLIKE '^0[1-9][0-9]{{1,3}}[ /-]' "
+                            f"AND NOT {m} RLIKE '^[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}}$' THEN left(d, 1) ELSE '' END")
+    iban = _bind("t", f"regexp_replace({m}, '[ -]', '')", "CASE WHEN {check} = 1 THEN {new} END".format(
+        check=mod97("concat(substr(t, 5), left(t, 4))"),
+        new=_bind("w", permute_text("substr(t, 5)", key, "iban"), in_layout(m, (
+            f"concat(left(t, 2), lpad(cast(98 - {mod97("concat(w, left(t, 2), '00')")} AS string), 2, '0'), w)"), "[0-9A-Z]"))))
     area, group, serial = (f"cast({x} AS int)" for x in (f"left({m}, 3)", f"substr({m}, 5, 2)", f"right({m}, 4)"))
     place = f"(({area} - 1 - CASE WHEN {area} > 666 THEN 1 ELSE 0 END) * {SSN[1]}L + ({group} - 1) * 9999L + {serial} - 1)"
     new_area = f"(x div {SSN[1]}L + 1 + CASE WHEN x div {SSN[1]}L + 1 >= 666 THEN 1 ELSE 0 END)"
@@ -156,8 +189,9 @@ def replacement(m: str, key: str = KEY) -> str:
     date = _date_case(m, key)
     cases = [(f"{m} LIKE '%@%'", "email", email), (f"{m} LIKE '+%'", "phone", phone),
              (f"{m} RLIKE '^[A-Z]'", "iban", iban), (f"{m} RLIKE '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$'", "ssn", ssn),
-             (f"{m} RLIKE '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|"
-              "[0-9]{2}[.][0-9]{2}[.][0-9]{4})$'", "date", date),
+             (f"{m} RLIKE '^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}|[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}|"
+              "[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4})$'", "date", date),
+             (f"{m} RLIKE {_literal(f'^(?:{NATIONAL})$')}", "phone", national),
              (f"{m} LIKE '%.%'", "ip", ip)]
     whens = " ".join(f"WHEN {test} THEN named_struct('kind', '{kind}', 'new', {new})" for test, kind, new in cases)
     return f"CASE {whens} ELSE named_struct('kind', 'card', 'new', {card}) END"
