@@ -1,15 +1,18 @@
 """Secret scans: fixed patterns and a linear-chain conditional random field.
 
 Base spans come from three patterns (assignments, access keys, long hex). The
-random field tags every word as beginning, inside or outside a secret, from
-its shape, the words around it and features of the file, decoded by Viterbi.
+random field tags every piece of a word as beginning, inside or outside a
+secret, from its own shape, the pieces around it, the shapes of its word and of
+the words around it and features of the file, decoded by Viterbi. Words are
+split into pieces at signs and changes of case or digits; ordinary words are
+one piece.
 It is trained on a bounded sample of documents whose base spans give the
 tags, and adds the secrets whose wording the patterns do not know.
 
-A word is reduced to a class (its shape features); a worker remembers the
-class of a word. Emission scores are table look-ups by class for the word
-and its neighbours, and Viterbi runs over all documents of a slice at once,
-one word position a step, so whole texts are tagged at array speed.
+Words and pieces are reduced to classes (their shape features); a worker
+remembers those of a word. Emission scores are table look-ups by class for the
+word, the piece and their neighbours, and Viterbi runs over all documents of a
+slice at once, one piece a step, so whole texts are tagged at array speed.
 
 Defined results: a null text is empty and has no span; spans are in code
 points, end exclusive; rows with a null doc_id and repeated rows each get
@@ -21,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,15 +48,18 @@ CANDIDATES = 20_000        # documents that the sample is drawn from
 SAMPLE_DOCUMENTS = 600      # documents of each sort (with and without base spans) to train on
 CONTEXT = 12               # words kept on each side of a span in training
 NEGATIVE_WORDS = 60        # words of a training window without spans
+WINDOW_PIECES = 128        # pieces of a training window at most
 EPOCHS, RATE, PENALTY = 100, 0.1, 1e-3
 B, I, O = 0, 1, 2
 SLICE_BYTES = 6 << 20
 KNOWN_WORDS = 300_000
+KNOWN_PIECES = 4_000_000
 
 _WORD = re.compile(WORD)
 _KEYWORDS = re.compile(rb"passw|secret|token|api_?key|credential|private|auth|bearer|akia|pwd", re.I)
 # Ordinary words: letters (bytes of other scripts included), at most one stop.
 _PLAIN = re.compile(rb"[A-Z\x80-\xff]?[a-z\x80-\xff]{0,23}[.,;!?]?")
+_PIECE = re.compile(rb"[A-Z\x80-\xff]?[a-z\x80-\xff]+|[A-Z]+|[0-9]+|([^A-Za-z0-9\x80-\xff])\1*")
 _TRIM = "\"'`()[]{}<>,;:!?"
 
 
@@ -116,7 +123,34 @@ def file_bucket(share: float) -> int:
     return 0 if share == 0 else 1 if share < 0.01 else 2 if share < 0.1 else 3 if share < 0.5 else 4
 
 
-ROLES = ("own", "before", "before2", "after", "after2")
+def pieces(word: bytes) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of a word, in bytes; an ordinary word is one."""
+    if word_features(word) == ("plain",):
+        return [(0, len(word))]
+    return [m.span() for m in _PIECE.finditer(word)]
+
+
+def piece_features(word: bytes) -> list[tuple[str, ...]]:
+    """The class of each piece of a word."""
+    spots = pieces(word)
+    if len(spots) == 1 and word_features(word) == ("plain",):
+        return [("p-plain",)]
+    out = []
+    for i, (a, b) in enumerate(spots):
+        part = word[a:b]
+        kind = "digits" if part[:1].isdigit() else "upper" if part.isupper() else "letters" if part[:1].isalpha() or part[0] > 127 \
+            else "sign" + part[:1].decode()
+        found = ["p-" + kind, f"p-size{min((b - a).bit_length(), 5)}",
+                 "p-only" if len(spots) == 1 else "p-first" if not i else "p-last" if i == len(spots) - 1 else "p-middle"]
+        if _KEYWORDS.search(part):
+            found.append("p-keyword")
+        out.append(tuple(found))
+    return out
+
+
+WORD_ROLES = ((0, 0), (1, 1), (2, 2), (3, -1), (4, -2))    # role and distance of the word that plays it
+PIECE_ROLES = ((5, 0), (6, 1), (7, 2), (8, -1))            # the same of the piece
+ROLES = ("own", "before", "before2", "after", "after2", "piece", "piece-before", "piece-before2", "piece-after")
 
 
 class Field:
@@ -135,21 +169,29 @@ class Field:
         return self.features, self.weights, self.bias, self.file, self.moves
 
 
-def emissions(classes: np.ndarray, tables: np.ndarray, buckets: np.ndarray, field: Field,
-              starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Scores (word, tag) of concatenated documents. ``tables`` is (class,
-    role, tag); neighbours outside the document give nothing."""
-    out = tables[classes, 0] + field.bias + np.repeat(field.file[buckets], lengths, axis=0)
-    n = len(classes)
-    place = np.arange(n) - np.repeat(starts, lengths)
+def add_roles(out: np.ndarray, classes: np.ndarray, tables: np.ndarray, roles: tuple,
+              starts: np.ndarray, lengths: np.ndarray) -> None:
+    """Add the scores of all roles over concatenated documents; neighbours
+    outside the document give nothing."""
+    place = np.arange(len(classes)) - np.repeat(starts, lengths)
     rest = np.repeat(lengths, lengths) - 1 - place
-    for role, shift in ((1, 1), (2, 2), (3, -1), (4, -2)):
-        if shift > 0:
-            ok = np.flatnonzero(place >= shift)
-        else:
-            ok = np.flatnonzero(rest >= -shift)
+    for role, shift in roles:
+        ok = np.flatnonzero(place >= shift if shift >= 0 else rest >= -shift)
         out[ok] += tables[classes[ok - shift], role]
-    return out
+
+
+def emissions(words: np.ndarray, parts: np.ndarray, counts: np.ndarray, tables: np.ndarray, buckets: np.ndarray, field: Field,
+              starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(scores (piece, tag), starts, lengths in pieces) of concatenated
+    documents of ``words`` with ``counts`` pieces each. ``tables`` is (class,
+    role, tag)."""
+    by_word = np.zeros((len(words), 3)) + field.bias + np.repeat(field.file[buckets], lengths, axis=0)
+    add_roles(by_word, words, tables, WORD_ROLES, starts, lengths)
+    out = np.repeat(by_word, counts, axis=0)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    sizes = ends[starts + lengths] - ends[starts]
+    add_roles(out, parts, tables, PIECE_ROLES, ends[starts], sizes)
+    return out, ends[starts], sizes
 
 
 def viterbi(scores: np.ndarray, moves: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -186,34 +228,30 @@ def viterbi(scores: np.ndarray, moves: np.ndarray, starts: np.ndarray, lengths:
 FORBIDDEN = -1e4  # a secret cannot begin inside
 
 
-def train(windows: list[tuple[list[tuple[str, ...]], list[int], int]]) -> Field:
+def train(windows: list[tuple[list[tuple[tuple[str, ...], ...]], list[int], int]]) -> Field:
     """Maximum likelihood with an L2 penalty, gradients by forward-backward
-    over all windows (word classes, tags, file bucket) at once. Without a
+    over all windows (for each piece its class in every role, tags, file
+    bucket) at once. Without a
     window nothing is known, and every word is outside."""
     if not windows:
         return Field([], np.zeros((len(ROLES), 0, 3)), np.array([0.0, 0.0, 9.0]), np.zeros((5, 3)),
                      np.where(np.arange(9).reshape(3, 3) == 3 * O + I, FORBIDDEN, 0.0))
-    features = sorted({f for words, _, _ in windows for w in words for f in w})
+    features = sorted({f for parts, _, _ in windows for roles in parts for c in roles for f in c})
     number = {f: i for i, f in enumerate(features)}
-    classes = sorted({w for words, _, _ in windows for w in words})
+    classes = sorted({c for parts, _, _ in windows for roles in parts for c in roles if c})
     index = {c: i for i, c in enumerate(classes)}
     member = np.zeros((len(classes), len(features)))
     for c, i in index.items():
         member[i, [number[f] for f in c]] = 1.0
     s, t = len(windows), max((len(w[0]) for w in windows), default=1)
-    word = np.full((s, t), -1)
+    shifted = [np.full((s, t), -1) for _ in ROLES]
     tag = np.full((s, t), O)
-    for i, (words, tags, _) in enumerate(windows):
-        word[i, :len(words)] = [index[w] for w in words]
+    for i, (parts, tags, _) in enumerate(windows):
+        for role in range(len(ROLES)):
+            shifted[role][i, :len(parts)] = [index.get(roles[role], -1) for roles in parts]
         tag[i, :len(tags)] = tags
-    mask = word >= 0
+    mask = np.arange(t) < np.array([len(w[0]) for w in windows])[:, None]
     bucket = np.array([w[2] for w in windows])
-    shifted = [np.full((s, t), -1) for _ in ROLES]
-    shifted[0] = word
-    for role, d in ((1, 1), (2, 2)):
-        shifted[role][:, d:] = np.where(mask[:, d:], word[:, :-d], -1)
-    for role, d in ((3, 1), (4, 2)):
-        shifted[role][:, :-d] = np.where(mask[:, :-d], word[:, d:], -1)
     params = [np.zeros((len(ROLES), len(features), 3)), np.zeros(3), np.zeros((5, 3)), np.zeros((3, 3))]
     allowed = np.ones((3, 3))
     allowed[O, I] = 0.0
@@ -264,29 +302,43 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def training_window(text: str, seed: int) -> tuple[list[bytes], list[int], int]:
-    """Words, tags and file bucket of one window of a text: around its first
-    base span that has a value, or at a place given by ``seed``."""
+    """Words, tags of their pieces and file bucket of one window of a text:
+    around its first base span that has a value, or at a place given by ``seed``."""
     spots = [(m.start(), m.end(), m.group().encode()) for m in _WORD.finditer(text)]
     shares = sum(word_features(w) != ("plain",) for _, _, w in spots) / max(1, len(spots))
     values = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LENGTH]
     values += [(a, b) for a, kind, b in base_spans(text) if kind]
-    tags, last = [], None
-    for a, b, _ in spots:
-        own = next((v for v in values if a < v[1] and v[0] < b), None)
-        tags.append(O if own is None else I if own == last else B)
-        last = own
-    marked = [i for i, x in enumerate(tags) if x != O]
-    if marked:
-        a, b = max(0, marked[0] - CONTEXT), marked[0] + CONTEXT + 1
+    marked = next((i for i, (a, b, _) in enumerate(spots) if any(a < v[1] and v[0] < b for v in values)), None)
+    if marked is not None:
+        a, b = max(0, marked - CONTEXT), marked + CONTEXT + 1
     else:
         a = seed % max(1, len(spots) - NEGATIVE_WORDS)
         odd = [i for i, (_, _, w) in enumerate(spots) if word_features(w) != ("plain",)]
         if odd and seed % 2:  # half of them around a word that is not plain
             a = max(0, odd[seed % len(odd)] - NEGATIVE_WORDS // 2)
         b = a + NEGATIVE_WORDS
-    if a < len(tags) and tags[a] == I:
-        a -= 1
-    return [w for _, _, w in spots[a:b]], tags[a:b], file_bucket(shares)
+    tags, last = [], None
+    for start, _, word in spots[a:b]:
+        for x, y in pieces(word):
+            x, y = start + len(word[:x].decode()), start + len(word[:y].decode())
+            own = next((v for v in values if x < v[1] and v[0] < y), None)
+            tags.append(O if own is None else I if own == last else B)
+            last = own
+    return [w for _, _, w in spots[a:b]], tags, file_bucket(shares)
+
+
+def roles_of(words: list[bytes], tags: list[int]) -> tuple[list[tuple[tuple[str, ...], ...]], list[int]]:
+    """The classes in every role of the pieces of a window, and their tags; at
+    most WINDOW_PIECES about the first secret."""
+    shapes = [word_features(w) for w in words]
+    parts = [(i, c) for i, w in enumerate(words) for c in piece_features(w)]
+
+    def at(items: list, i: int) -> tuple:
+        return items[i] if 0 <= i < len(items) else ()
+    out = [(*(at(shapes, i - d) for _, d in WORD_ROLES), *((at(parts, j - d) or (0, ()))[1] for _, d in PIECE_ROLES))
+           for j, (i, _) in enumerate(parts)]
+    first = max(0, next((j for j, x in enumerate(tags) if x != O), 0) - WINDOW_PIECES // 2)
+    return out[first:first + WINDOW_PIECES], list(tags)[first:first + WINDOW_PIECES]
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,60 +371,85 @@ def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, candidates: int =
         .unionByName(rows.filter("not hit").orderBy("spot").limit(documents)).select("text", "spot")
     windows = arrow_map(sample, _windows, "words array<binary>, tags array<int>, bucket int").collect()
     windows = sorted((tuple(bytes(w) for w in r["words"]), tuple(r["tags"]), r["bucket"]) for r in windows if r["words"])
-    return train([([word_features(w) for w in words], list(tags), bucket) for words, tags, bucket in windows])
+    return train([(*roles_of(words, tags), bucket) for words, tags, bucket in windows])
 
 
 class Scanner:
-    """Finds the spans of slices of texts; remembers word classes."""
+    """Finds the spans of slices of texts; remembers the classes of words and
+    of their pieces."""
 
     def __init__(self, state: tuple | None):
         self.field = Field(*state) if state else None
-        self.words: dict[bytes, int] = {}
         self.classes: dict[tuple, int] = {}
-        self.tables = np.zeros((0, len(ROLES), 3))
-        self.class_of(b"plain")
+        self.tables: list[np.ndarray] = []
+        self.forget()
 
-    def class_of(self, word: bytes) -> int:
-        features = word_features(word)
+    def forget(self) -> None:
+        self.words: dict[bytes, int] = {}
+        # Entry: class of the word, number of pieces, place of their classes in ``parts``.
+        self.entries: dict[tuple, int] = {}
+        self.shape, self.count, self.first, self.parts = (array("q") for _ in range(4))
+        self.entry_of(b"plain")
+
+    def class_of(self, features: tuple[str, ...]) -> int:
         found = self.classes.get(features)
         if found is None:
             found = self.classes[features] = len(self.classes)
             if self.field is not None:
-                self.tables = np.concatenate([self.tables, self.field.class_scores(features)[None]])
-        if len(self.words) >= KNOWN_WORDS:
-            self.words.clear()
+                self.tables.append(self.field.class_scores(features))
+        return found
+
+    def entry_of(self, word: bytes) -> int:
+        key = (self.class_of(word_features(word)), *map(self.class_of, piece_features(word)))
+        found = self.entries.get(key)
+        if found is None:
+            found = self.entries[key] = len(self.entries)
+            self.shape.append(key[0])
+            self.count.append(len(key) - 1)
+            self.first.append(len(self.parts))
+            self.parts.extend(key[1:])
         self.words[word] = found
         return found
 
-    def tagged(self, raws: list[bytes]) -> list[list[tuple[int, int]]]:
-        """(first word, last word) of the secrets of each text."""
+    def tagged(self, raws: list[bytes]) -> list[list[tuple[int, int, int, int]]]:
+        """(first word, its piece, last word, its piece) of the secrets of each text."""
+        if len(self.words) >= KNOWN_WORDS or len(self.parts) >= KNOWN_PIECES:
+            self.forget()
         numbers, lengths, get = [], [], self.words.get
         for raw in raws:
             words = raw.split()
             found = list(map(get, words))
             if None in found:
-                found = [self.class_of(w) if c is None else c for w, c in zip(words, found)]
+                found = [self.entry_of(w) if c is None else c for w, c in zip(words, found)]
             numbers.append(np.array(found, np.int64))
             lengths.append(len(found))
-        out: list[list[tuple[int, int]]] = [[] for _ in raws]
+        out: list[list[tuple[int, int, int, int]]] = [[] for _ in raws]
         lengths = np.array(lengths, np.int64)
-        classes = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        if self.field is None or not len(classes):
+        entries = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+        if self.field is None or not len(entries):
             return out
         starts = np.cumsum(lengths) - lengths
-        odd = np.concatenate([[0], np.cumsum(classes != 0)])
+        odd = np.concatenate([[0], np.cumsum(entries != 0)])  # entry 0 is the plain word
         shares = (odd[starts + lengths] - odd[starts]) / np.maximum(1, lengths)
         buckets = np.array([file_bucket(x) for x in shares.tolist()])
-        scores = emissions(classes, self.tables, buckets, self.field, starts, lengths)
-        tags = viterbi(scores, self.field.moves, starts, lengths)
+        shape, count, first, known = (np.array(x, np.int64) for x in (self.shape, self.count, self.first, self.parts))
+        counts = count[entries]
+        begins = np.cumsum(counts) - counts
+        parts = known[np.repeat(first[entries] - begins, counts) + np.arange(int(counts.sum()))]
+        scores, part_starts, part_lengths = emissions(shape[entries], parts, counts, np.array(self.tables), buckets, self.field,
+                                                      starts, lengths)
+        tags = viterbi(scores, self.field.moves, part_starts, part_lengths)
         marked = np.flatnonzero(tags != O)
-        owner = np.searchsorted(starts, marked, side="right") - 1
-        for i, d in zip(marked.tolist(), owner.tolist()):
-            spans, place = out[d], i - int(starts[d])
-            if tags[i] == I and spans and spans[-1][1] == place - 1:
-                spans[-1] = (spans[-1][0], place)
+        words = np.searchsorted(begins, marked, side="right") - 1
+        owner = np.searchsorted(starts, words, side="right") - 1
+        last = -2
+        for i, w, d in zip(marked.tolist(), words.tolist(), owner.tolist()):
+            spans, word, piece = out[d], w - int(starts[d]), i - int(begins[w])
+            if tags[i] == I and spans and last == i - 1:
+                spans[-1] = (*spans[-1][:2], word, piece)
             else:
-                spans.append((place, place))
+                spans.append((word, piece, word, piece))
+            last = i
         return out
 
     def spans(self, raws: list[bytes]) -> list[tuple[list, list]]:
@@ -385,8 +462,11 @@ class Scanner:
             added = []
             if secrets:
                 spots = [m.span() for m in _WORD.finditer(text)]
-                for first, last in secrets:
-                    a, b = spots[first][0], spots[last][1]
+                for first, first_piece, last, last_piece in secrets:
+                    (a, x), (b, y) = spots[first], spots[last]
+                    left, right = text[a:x].encode(), text[b:y].encode()
+                    a += len(left[:pieces(left)[first_piece][0]].decode())
+                    b += len(right[:pieces(right)[last_piece][1]].decode())
                     while a < b and text[a] in _TRIM:
                         a += 1
                     while a < b and text[b - 1] in _TRIM:

@@ -84,3 +84,15 @@ def test_viterbi_against_all_paths():
         best = max((p for p in itertools.product(range(3), repeat=int(n)) if not p or p[0] != S.I),
                    key=lambda p: sum(scores[a + i, x] for i, x in enumerate(p)) + sum(moves[x, y] for x, y in zip(p, p[1:])))
         assert tuple(got[a:a + n]) == best
+
+
+def test_a_secret_of_several_pieces_is_one_span(spark, field):
+    words, tags, _ = S.training_window("set password = abCd12-efGH34 now", 0)
+    assert [t for t in tags if t != S.O] == [S.B] + [S.I] * 6
+    assert field.moves[S.B, S.I] > field.moves[S.B, S.O]
+    value = "kX93-bd27/QpL0+zz81.Vt5w"
+    assert len(S.pieces(value.encode())) > 5
+    text = f"some words before credential = {value} and more words after it"
+    row = S.find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), field).first()
+    at = text.index(value)
+    assert row.spans == f"crf:{at}:{at + len(value)}"
