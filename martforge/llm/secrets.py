@@ -374,6 +374,20 @@ def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, candidates: int =
     return train([(*roles_of(words, tags), bucket) for words, tags, bucket in windows])
 
 
+def outside(a: int, b: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a .. b that no base span (sorted) covers."""
+    parts = []
+    for start, _, end in base:
+        if start >= b:
+            break
+        if a < start:
+            parts.append((a, start))
+        a = max(a, end)
+    if a < b:
+        parts.append((a, b))
+    return parts
+
+
 class Scanner:
     """Finds the spans of slices of texts; remembers the classes of words and
     of their pieces."""
@@ -453,8 +467,8 @@ class Scanner:
         return out
 
     def spans(self, raws: list[bytes]) -> list[tuple[list, list]]:
-        """(base, added) spans of each text; an added span that touches a base
-        span says nothing new and is left out."""
+        """(base, added) spans of each text; of an added span the parts outside
+        the base spans are kept."""
         out = []
         for raw, secrets in zip(raws, self.tagged(raws)):
             text = raw.decode()
@@ -471,8 +485,7 @@ class Scanner:
                         a += 1
                     while a < b and text[b - 1] in _TRIM:
                         b -= 1
-                    if a < b and not any(a < end and start < b for start, _, end in base):
-                        added.append((a, b))
+                    added += [(x, y) for x, y in outside(a, b, base) if text[x:y].strip(_TRIM + "=")]
             out.append((base, added))
         return out
 

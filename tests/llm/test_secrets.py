@@ -96,3 +96,12 @@ def test_a_secret_of_several_pieces_is_one_span(spark, field):
     row = S.find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), field).first()
     at = text.index(value)
     assert row.spans == f"crf:{at}:{at + len(value)}"
+
+
+def test_parts_outside_the_base_spans_are_kept():
+    scanner = S.Scanner(None)
+    for text, want in {"password=abcdefgh!Xy#12": ["!Xy#12"], "password=abcdefgh": [], '"password=abcdefgh",': [],
+                       '{"a":"kX93bd27QpL0","token":"abcdefgh12","b":"zz81Vt5w"}': ['a":"kX93bd27QpL0","', '","b":"zz81Vt5w']}.items():
+        scanner.tagged = lambda raws: [[(0, 0, 0, len(S.pieces(r)) - 1)] for r in raws]
+        (base, added), = scanner.spans([text.encode()])
+        assert base == S.base_spans(text) and [text[a:b] for a, b in added] == want
