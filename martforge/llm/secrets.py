@@ -44,7 +44,7 @@ ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 8, 16, 32
 KINDS = ("assign", "access", "hex")
 ADDED = "crf"
 
-CANDIDATES = 20_000        # documents that the sample is drawn from
+CANDIDATES = 20_000        # documents that the texts without base spans are drawn from
 SAMPLE_DOCUMENTS = 600      # documents of each sort (with and without base spans) to train on
 CONTEXT = 12               # words kept on each side of a span in training
 NEGATIVE_WORDS = 60        # words of a training window without spans
@@ -354,21 +354,25 @@ _HINT = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[
 
 
 def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, candidates: int = CANDIDATES) -> Field:
-    """A field trained on at most ``documents`` texts with base spans and as
-    many without, drawn from ``candidates`` documents in the order of a hash of
-    their doc_id: the same ones in every run."""
-    drawn = docs.select("doc_id").filter("doc_id is not null").distinct() \
-        .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(candidates)
-    text = text_or_empty()
-    # The limit bounds the broadcast side; copies of a text count once.
-    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(drawn), "doc_id", "left_semi") \
-        .select("text").distinct() \
-        .select("text", F.substring(F.md5("text"), 1, 8).alias("spot"),
-                (F.col("text").rlike(_HINT) | F.col("text").rlike("AKIA[A-Z0-9]{12}")
-                 | F.col("text").rlike("[0-9a-f]{32}")).alias("hit"))
-    rows = materialize(rows, "secret-sample")
-    sample = rows.filter("hit").orderBy("spot").limit(documents) \
-        .unionByName(rows.filter("not hit").orderBy("spot").limit(documents)).select("text", "spot")
+    """A field trained on at most ``documents`` texts with base spans, searched
+    in all documents, and as many without, drawn from ``candidates`` documents,
+    each in the order of a hash: the same ones in every run."""
+    rows = docs.filter("doc_id is not null").select("doc_id", text_or_empty().alias("text"))
+    low, digest = F.lower("text"), F.md5("text")
+    hint = F.lit(False)
+    for word in ("passw", "secret", "token", "api"):
+        hint = hint | low.contains(word)
+    hit = (hint & F.col("text").rlike(_HINT)) | F.col("text").rlike("AKIA[A-Z0-9]{12}") | F.col("text").rlike("[0-9a-f]{32}")
+    # Only ids and hashes are exchanged; copies of a text count once.
+    found = rows.filter(hit).select("doc_id", digest.alias("digest")).groupBy("digest").agg(F.min("doc_id").alias("doc_id")) \
+        .orderBy("digest").limit(documents)
+    drawn = rows.select("doc_id").distinct().orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(candidates)
+    # The limits bound the broadcast sides.
+    positive = rows.join(F.broadcast(found), "doc_id").filter(digest == F.col("digest")).select("text").distinct()
+    negative = rows.join(F.broadcast(drawn), "doc_id", "left_semi").filter(~hit).select("text").distinct()
+    spot = F.substring(digest, 1, 8).alias("spot")
+    sample = positive.select("text", spot).unionByName(negative.select("text", spot).orderBy("spot").limit(documents))
+    sample = materialize(sample, "secret-sample")
     windows = arrow_map(sample, _windows, "words array<binary>, tags array<int>, bucket int").collect()
     windows = sorted((tuple(bytes(w) for w in r["words"]), tuple(r["tags"]), r["bucket"]) for r in windows if r["words"])
     return train([(*roles_of(words, tags), bucket) for words, tags, bucket in windows])

@@ -86,16 +86,21 @@ def test_viterbi_against_all_paths():
         assert tuple(got[a:a + n]) == best
 
 
-def test_a_secret_of_several_pieces_is_one_span(spark, field):
+def test_a_secret_of_several_pieces_is_one_span():
+    import random
     words, tags, _ = S.training_window("set password = abCd12-efGH34 now", 0)
     assert [t for t in tags if t != S.O] == [S.B] + [S.I] * 6
-    assert field.moves[S.B, S.I] > field.moves[S.B, S.O]
+    draw, signs = random.Random(5), "abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRS0123456789+/.-_"
+    texts = [f"some words of file {i} and then {draw.choice(['password =', 'token:', 'api_key ='])} "
+             f"{''.join(draw.choices(signs, k=24))} and more words" for i in range(60)]
+    texts += [f"some words of file {i} and then version = {i} and more words" for i in range(60)]
+    windows = [S.training_window(t, i) for i, t in enumerate(texts)]
+    trained = S.train([(*S.roles_of(w, t), bucket) for w, t, bucket in windows])
+    assert trained.moves[S.I, S.I] > trained.moves[S.I, S.B]
     value = "kX93-bd27/QpL0+zz81.Vt5w"
-    assert len(S.pieces(value.encode())) > 5
     text = f"some words before credential = {value} and more words after it"
-    row = S.find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), field).first()
-    at = text.index(value)
-    assert row.spans == f"crf:{at}:{at + len(value)}"
+    (base, added), = S.Scanner(trained.state()).spans([text.encode()])
+    assert base == [] and [text[a:b] for a, b in added] == [value]
 
 
 def test_parts_outside_the_base_spans_are_kept():
@@ -105,3 +110,12 @@ def test_parts_outside_the_base_spans_are_kept():
         scanner.tagged = lambda raws: [[(0, 0, 0, len(S.pieces(r)) - 1)] for r in raws]
         (base, added), = scanner.spans([text.encode()])
         assert base == S.base_spans(text) and [text[a:b] for a, b in added] == want
+
+
+def test_rare_positives_are_found_in_all_documents(spark, monkeypatch):
+    windows = []
+    monkeypatch.setattr(S, "train", windows.extend)
+    order = sorted(range(60), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    docs = [(i, f"plain words of number {i}" + (" password = abCd12-efGH34" if i == order[-1] else "")) for i in range(60)]
+    S.learn(spark.createDataFrame(docs, "doc_id bigint, text string"), documents=5, candidates=3)
+    assert len(windows) == 4 and sum(S.B in tags for _, tags, _ in windows) == 1
