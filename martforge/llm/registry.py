@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, pii, quality, secrets, sentencepiece, simhash, suffix_dedup, toxicity, warc
+from . import (centroids, exact_dedup, mixing, pii, quality, secrets, sentencepiece, simhash, suffix_dedup, toxicity,
+               warc)
 from .common import table
 
 
@@ -49,6 +50,10 @@ def op10_secrets(spark, sf_dir):
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_centroids(spark, sf_dir):
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dimension=64, scale=256, seed=2)
+
+
 # Base 32 of the 40 hex digits, 20 bits (5 digits, 4 letters) at a time.
 OP1_SQL = """
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
@@ -130,6 +135,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+
+def _centroid_rounds(rounds: int) -> str:
+    """One assignment and one update per round. A distance and the number of
+    its centroid share one number, whose minimum settles ties."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, min((vv - 2 * list_inner_product(v, cv) + cc)::HUGEINT * 64 + c) AS code FROM kept, c{r} GROUP BY rid)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT code % 64 AS c, i, sum(x::HUGEINT) AS s, count(*) AS n
+         FROM (SELECT code, unnest(v) AS x, unnest(range(64)) AS i FROM a{r} JOIN kept USING (rid)) GROUP BY ALL),
+m{r} AS (SELECT c, list(((s - (s % n + n) % n) // n)::DOUBLE ORDER BY i) AS cv FROM s{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.cv, o.cv) AS cv, list_inner_product(coalesce(m.cv, o.cv), coalesce(m.cv, o.cv)) AS cc
+  FROM c{r} o LEFT JOIN m{r} m USING (c))""")
+    return ",".join(steps)
+
+
+OP12_SQL = f"""
+WITH finite AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+kept AS MATERIALIZED (SELECT *, list_inner_product(v, v) AS vv FROM finite),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR) NULLS LAST, v) - 1)::BIGINT AS c, v AS cv, vv AS cc
+  FROM kept ORDER BY sha256('2:' || vec_id::VARCHAR) NULLS LAST, v LIMIT 40),{_centroid_rounds(5)},
+assigned AS (SELECT rid, code % 64 AS c, (code // 64)::BIGINT AS distance FROM a5),
+digests AS (SELECT c, sha256(array_to_string(list_transform(cv, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256 FROM c5)
+SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM assigned JOIN kept USING (rid) JOIN digests USING (c)
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -141,10 +181,12 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
+    "op12_centroids": op12_centroids,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
     "op3_mix_sources": OP3_SQL,
     "op6_exact_dedup": OP6_SQL,
     "op7_quality_rules": OP7_SQL,
+    "op12_centroids": OP12_SQL,
 }
