@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (centroids, exact_dedup, mixing, pii, quality, secrets, sentencepiece, simhash, suffix_dedup, toxicity,
-               warc)
+from . import (centroids, collocations, exact_dedup, languages, mixing, pii, quality, secrets, sentencepiece, simhash,
+               suffix_dedup, toxicity, warc)
 from .common import table
 
 
@@ -50,10 +50,18 @@ def op10_secrets(spark, sf_dir):
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_languages(spark, sf_dir):
+    return languages.identify(table(spark, sf_dir, "documents"))
+
+
 def op12_centroids(spark, sf_dir):
     return centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dimension=64, scale=256, seed=2)
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), threshold=30, top=2000, fragment_percent=80)
+
+
 # Base 32 of the 40 hex digits, 20 bits (5 digits, 4 letters) at a time.
 OP1_SQL = """
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
@@ -170,6 +178,33 @@ SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION B
 FROM assigned JOIN kept USING (rid) JOIN digests USING (c)
 """
 
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3), (4)) v(k))),
+f AS MATERIALIZED (SELECT lang, k AS len, phrase, count(*)::HUGEINT AS n FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, phrase, len, n AS a, string_split(phrase, ' ') AS w, unnest(range(1, len)) AS k FROM f WHERE len >= 2),
+scored AS (
+  SELECT c.lang, c.phrase, c.len, c.a, c.k, l.n AS l, r.n AS r, (2000000 * c.a) // (l.n + r.n) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+              JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT DISTINCT c.lang, array_to_string(w[s:s + z - 1], ' ') AS phrase, c.a
+  FROM (SELECT lang, w, a, z, unnest(range(1, len - z + 2)) AS s
+        FROM (SELECT DISTINCT lang, phrase, w, len, a, unnest(range(2, len)) AS z FROM cuts)) c),
+most AS (SELECT lang, phrase, max(a) AS longer FROM inner_parts GROUP BY ALL),
+kept AS (SELECT x.* FROM lowest x LEFT JOIN most m USING (lang, phrase) WHERE m.longer IS NULL OR 100 * m.longer < 80 * x.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a,
+       l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -181,7 +216,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
+    "op11_languages": op11_languages,
     "op12_centroids": op12_centroids,
+    "op13_collocations": op13_collocations,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
@@ -189,4 +226,5 @@ ORACLE = {
     "op6_exact_dedup": OP6_SQL,
     "op7_quality_rules": OP7_SQL,
     "op12_centroids": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
