@@ -25,6 +25,7 @@ def main() -> None:
     ap.add_argument("--file", action="append", default=[], metavar="TABLE=NAME",
                     help="name of a raw CSV file, e.g. customers=people.csv")
     ap.add_argument("--multi-line", action="store_true", help="allow line breaks inside quotes (files are not split)")
+    ap.add_argument("--long-rows", choices=["error", "skip"], default="error", help="rows with more fields than the header")
     ap.add_argument("--out", help="output folder (default: under spark.checkpoint.dir); an existing one is maintained")
     ap.add_argument("--clean-csv", help="folder for the cleaned tables as CSV")
     ap.add_argument("--master", default=None)
@@ -32,7 +33,7 @@ def main() -> None:
     spark = build_session(master=args.master)
     root = args.out or new_work_dir(spark, "run")
     files = dict(f.split("=", 1) for f in args.file)
-    raw = read_raw_tables(spark, args.csv, files, args.multi_line) if args.csv else None
+    raw = read_raw_tables(spark, args.csv, files, args.multi_line, args.long_rows) if args.csv else None
     summary = run(spark, args.tables, root=root, raw_tables=raw, csv_out=args.clean_csv)
     summary.show(100, truncate=False)
     print(f"tables written under {root}")

@@ -76,9 +76,10 @@ def assign_surrogate_keys(new_rows: DataFrame, natural_key: str, key_col: str,
 
     On a first load keys are dense, 1..n in natural-key order. New keys of a
     later load start after ``start_after`` (the current maximum, a scalar
-    subquery), so existing keys never move.
+    subquery), so existing keys never move. Only the natural key is ranked and
+    written; the other columns are joined to it.
     """
-    ranked = with_global_rank(new_rows, [natural_key], key_col)
-    if start_after is not None:
-        ranked = ranked.withColumn(key_col, F.col(key_col) + F.coalesce(start_after, F.lit(0)).cast("long"))
-    return ranked.select(key_col, *[c for c in new_rows.columns if c != key_col])
+    ranked = with_global_rank(new_rows.select(F.col(natural_key).alias("_natural")), ["_natural"], "_key")
+    key = F.col("_key") if start_after is None else F.col("_key") + F.coalesce(start_after, F.lit(0)).cast("long")
+    others = [c for c in new_rows.columns if c != key_col]
+    return new_rows.join(ranked, F.col(natural_key).eqNullSafe(F.col("_natural"))).select(key.alias(key_col), *others)

@@ -6,7 +6,7 @@ writers put the result in a new folder, so re-running a batch is idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FACT_KEYS
@@ -28,14 +28,16 @@ def insert_ignore(existing: DataFrame, batch: DataFrame, keys: list[str],
 
 
 def upsert_dimension(dim: DataFrame, batch: DataFrame, natural_key: str, key_col: str,
-                     attrs: list[str]) -> DataFrame:
+                     attrs: list[str], start_after: Column | None = None) -> DataFrame:
     """K2: ``ON CONFLICT (natural key) DO UPDATE`` -- slowly changing type 1.
 
     Existing rows: a left join of the dimension with the batch; a matched
     row takes every attribute from the batch (a NULL in the batch
     overwrites, so the match flag is tested, not the value); unmatched rows
     stay (dimensions never shrink). New rows: the batch anti-joined with the
-    dimension's key column only, numbered after the current maximum key.
+    dimension's key column only, numbered after ``start_after`` or else the
+    current maximum key. With ``start_after`` the dimension may be any part of
+    the whole that holds all rows of the batch's keys.
     The batch must be unique on the natural key (the staging load ensures it).
     """
     b = batch.select(natural_key, *[F.col(a).alias(f"_new_{a}") for a in attrs]).withColumn("_hit", F.lit(True))
@@ -44,7 +46,7 @@ def upsert_dimension(dim: DataFrame, batch: DataFrame, natural_key: str, key_col
         *[F.when(F.col("_hit"), F.col(f"_new_{a}")).otherwise(F.col(a)).alias(a) for a in attrs])
     fresh = batch.select(natural_key, *attrs).join(dim.select(natural_key), natural_key, "left_anti")
     keyed = assign_surrogate_keys(fresh, natural_key, key_col,
-                                  start_after=dim.select(F.max(key_col)).scalar())
+                                  start_after=dim.select(F.max(key_col)).scalar() if start_after is None else start_after)
     return existing.unionByName(keyed.select(*existing.columns))
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import VARCHAR_BOUNDS
+from ..schemas import ORDER_TIMESTAMP_COLUMNS, VARCHAR_BOUNDS
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -71,10 +71,13 @@ def profile_duplicate_rows(df: DataFrame, table_name: str) -> DataFrame:
 
 # -------------------------------------------------------------- A5
 def count_unique(df: DataFrame, key: str, person_key: str) -> DataFrame:
-    """Rows, distinct ``key`` and distinct ``person_key`` (exact)."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.count_distinct(key).alias("n_ids"),
-                  F.count_distinct(person_key).alias("n_unique_ids"))
+    """Rows, distinct ``key`` and distinct ``person_key`` (exact, nulls not
+    counted). Each column is grouped on its own with partial aggregation; two
+    distinct counts in one aggregate would multiply every row before the shuffle."""
+    ids = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")) \
+        .agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("n_rows"), F.count(key).alias("n_ids"))
+    persons = df.groupBy(person_key).agg(F.count(F.lit(1))).agg(F.count(person_key))
+    return ids.withColumn("n_unique_ids", persons.scalar())
 
 
 # -------------------------------------------------------------- A6, A14
@@ -97,6 +100,34 @@ def zip_length_distribution(customers: DataFrame) -> DataFrame:
     return customers.groupBy(digits.alias("zip_digits")).agg(F.count(F.lit(1)).alias("n_customers"))
 
 
+# -------------------------------------------------------------- A2, A6, A7, A14 at once
+ORDER_GROUPINGS = {"all": [], "order_status": ["order_status"], "status_length": ["status_length"],
+                   "purchase_year": ["purchase_year"]}
+
+
+def order_profiles(orders: DataFrame) -> DataFrame:
+    """All grouped profiles of the orders in one pass and one shuffle: per
+    grouping (none, status, length of the status, year of purchase) and value the
+    number of orders and of missing dates. Partial aggregation leaves a few rows
+    a task, whatever the number of orders."""
+    rows = orders.select("order_status", F.length("order_status").alias("status_length"),
+                         F.year("order_purchase_timestamp").alias("purchase_year"),
+                         *[F.col(c).isNull().cast("int").alias(f"null_{c}") for c in ORDER_TIMESTAMP_COLUMNS])
+    columns = [c for c in ORDER_GROUPINGS if c != "all"]
+    grouped = rows.groupingSets([list(map(F.col, g)) for g in ORDER_GROUPINGS.values()], *map(F.col, columns))
+    out = grouped.agg(F.grouping_id().alias("_g"), F.count(F.lit(1)).alias("n_orders"),
+                      *[F.sum(f"null_{c}").alias(f"null_{c}") for c in ORDER_TIMESTAMP_COLUMNS])
+    # The grouping id has a bit for every column that is not grouped by, the first column in the highest bit.
+    ids = {sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in g): name for name, g in ORDER_GROUPINGS.items()}
+    name, value = F.lit("all"), F.lit(None).cast("string")
+    for i, n in ids.items():
+        if n != "all":
+            name = F.when(F.col("_g") == i, F.lit(n)).otherwise(name)
+            value = F.when(F.col("_g") == i, F.col(n).cast("string")).otherwise(value)
+    return out.select(name.alias("grouping_name"), value.alias("grouping_value"), "n_orders",
+                      *[F.coalesce(F.col(f"null_{c}"), F.lit(0)).cast("long").alias(f"null_{c}") for c in ORDER_TIMESTAMP_COLUMNS])
+
+
 # -------------------------------------------------------------- A8, A9
 def order_cardinality(items: DataFrame) -> DataFrame:
     """Items per order: orders with items, with more than one, max, mean."""
@@ -170,20 +201,30 @@ AUDIT_PARENTS = {"orphan_customer": ("dim_customers", "customer_key"),
                  "orphan_date": ("dim_date", "date_key")}
 
 
-def audit_star(star: dict[str, DataFrame]) -> DataFrame:
+# The single-table checks: conditions counted over the facts, by a scan or by the
+# tasks that write them.
+FACT_CHECKS = {"negative_revenue": lambda: F.count_if(F.col("revenue") < 0),
+               "null_order_id": lambda: F.count_if(F.col("order_id").isNull())}
+
+
+def audit_star(star: dict[str, DataFrame], observed: dict[str, int] | None = None) -> DataFrame:
     """The five post-load checks and the verdict.
 
     Orphan checks use the pre-aggregated anti-joins of ``orphan_counts``;
-    the two single-table checks are one aggregate over two fact columns.
+    the two single-table checks are one aggregate over two fact columns, or
+    what the load ``observed`` while it wrote the facts (then no scan).
     The verdict row ``all_checks`` passes only if every count is zero; a
     failure is reported, never raised.
     """
     fact = star["fact_orders"]
     orphans = orphan_counts(fact, {check: (star[t], k) for check, (t, k) in AUDIT_PARENTS.items()}) \
         .select(F.col("parent_table").alias("check_name"), F.col("n_orphans").alias("n_violations"))
-    single = fact.agg(F.count_if(F.col("revenue") < 0).alias("negative_revenue"),
-                      F.count_if(F.col("order_id").isNull()).alias("null_order_id")) \
-        .unpivot([], ["negative_revenue", "null_order_id"], "check_name", "n_violations")
+    if observed is None:
+        single = fact.agg(*[condition().alias(c) for c, condition in FACT_CHECKS.items()]) \
+            .unpivot([], list(FACT_CHECKS), "check_name", "n_violations")
+    else:
+        single = fact.sparkSession.createDataFrame([(c, int(observed[c] or 0)) for c in FACT_CHECKS],
+                                                   "check_name string, n_violations bigint")
     checks = orphans.unionByName(single)
     total = checks.agg(F.sum("n_violations").cast("long").alias("n_violations")) \
         .select(F.lit("all_checks").alias("check_name"), "n_violations")

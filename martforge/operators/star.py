@@ -105,16 +105,6 @@ def build_fact_orders(stg_items: DataFrame, stg_orders: DataFrame,
     return fact_projection(joined).select(*FACT_COLUMNS)
 
 
-def build_fact_schema(spark):
-    """Schema of the fact table, for a store without a fact."""
-    from pyspark.sql import types as T
-    decimal = T.DecimalType(12, 2)
-    kinds = {"order_item_id": T.IntegerType(), "customer_key": T.LongType(), "product_key": T.LongType(),
-             "date_key": T.DateType(), "order_id": T.StringType(), "order_status": T.StringType(),
-             "revenue": decimal, "price": decimal, "freight": decimal}
-    return T.StructType([T.StructField(c, kinds.get(c, T.TimestampNTZType())) for c in FACT_COLUMNS])
-
-
 def resolve_items(stg_items: DataFrame, stg_orders: DataFrame,
                   dim_customers: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Every item with all fact columns and a ``reject_reason`` (Q6): the

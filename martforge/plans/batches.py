@@ -24,7 +24,7 @@ from .context import Layers
 
 def key_number(c: str) -> Column:
     """The number inside a natural key such as ``C123``."""
-    return F.substring(F.col(c), 2, 1 << 20).cast("int")
+    return F.substring(F.col(c), 2, 1 << 20).try_cast("int")
 
 
 def _changed(col: str, key: str) -> Column:

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality, star
-from ..schemas import FACT_COLUMNS, STAGE_TABLES
+from ..schemas import FACT_COLUMNS, STAGE_TABLES, STAR_TABLES
 from ..session import new_work_dir, run_concurrently
 from ..sources.csv import write_csv
-from ..sources.staging import load_staging, write_table
-from ..sources.star_store import StarStore
+from ..sources.staging import load_staging_observed, write_table
+from ..sources.star_tables import PARTITION, StarTables
 from .context import Layers
 
 
@@ -66,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str | None = None, root: str | None = None,
     Input: the fixture views over ``sf_dir`` or four raw DataFrames
     (``raw_tables``). Output tables go under ``root`` (default: a fresh
     folder under ``spark.checkpoint.dir``); ``csv_out`` also writes the cleaned
-    tables as CSV. The star is kept in a ``StarStore``: a first run loads it, a
+    tables as CSV. The star is kept in ``StarTables``: a first run fills them, a
     later run on the same root upserts the dimensions (existing keys stay),
     adds new days, and replaces the facts of the items it holds. Returns
     (step, table_name, n_rows): row counts of every written table and, for step
@@ -77,21 +77,33 @@ def run(spark: SparkSession, sf_dir: str | None = None, root: str | None = None,
 
 
 def load(spark: SparkSession, clean: dict[str, DataFrame], root: str, csv_out: str | None = None) -> DataFrame:
-    """The part of ``run`` after cleaning."""
-    store = StarStore(spark, f"{root}/star")
-    version = store.version()
-    number = 1 if version is None else version + 1
-    staged = load_staging(spark, clean, f"{root}/staging/v{number:06d}")
+    """The part of ``run`` after cleaning. Counts and single-table checks of
+    what is written come from the writes; only partitions that this load did not
+    touch are counted."""
+    observed = load_staging_observed(spark, clean, f"{root}/staging")
+    staged = {name: table for name, (table, _) in observed.items()}
     if csv_out:
         for name, df in staged.items():
             write_csv(df, f"{csv_out.rstrip('/')}/{name}.csv")
-    (store.initial_load if version is None else store.apply_batch)(staged, number)
-    built, rejects = store.tables(), store.rejects()
-    counts = quality.row_counts({STAGE_TABLES[k]: v for k, v in staged.items()}) \
-        .withColumn("step", F.lit("stage"))
-    counts = counts.unionByName(quality.row_counts(built).withColumn("step", F.lit("star")))
-    counts = counts.unionByName(quality.row_counts({"fact_rejects": rejects}).withColumn("step", F.lit("reject")))
-    audit = quality.audit_star(built).select(
+    tables = StarTables(spark, f"{root}/star")
+    seen = tables.apply(staged)
+    total = _totals(tables, seen)
+    rows = [("stage", STAGE_TABLES[k], observed[k][1]["n_rows"]) for k in staged]
+    rows += [("star", t, total[t]["n_rows"]) for t in STAR_TABLES]
+    rows += [("reject", "fact_rejects", seen["fact_rejects"]["n_rows"])]
+    summary = spark.createDataFrame([(s, t, int(n or 0)) for s, t, n in rows], "step string, table_name string, n_rows bigint")
+    audit = quality.audit_star(tables.tables(), total["fact_orders"]).select(
         F.lit("audit").alias("step"), F.col("check_name").alias("table_name"),
         F.col("n_violations").alias("n_rows"))
-    return counts.select("step", "table_name", "n_rows").unionByName(audit)
+    return summary.unionByName(audit)
+
+
+def _totals(tables: StarTables, seen: dict) -> dict[str, dict[str, int]]:
+    """Per star table its rows, and for the facts the single-table checks: what
+    the load observed plus the partitions that it left alone."""
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+    checks = [c().alias(n) for n, c in quality.FACT_CHECKS.items()]
+    plans = {t: tables.untouched(t, seen[t]["parts"]).agg(n_rows, *(checks if t == "fact_orders" else [])) for t in PARTITION}
+    plans["dim_date"] = tables.table("dim_date").agg(n_rows)   # at most one row a calendar day
+    rest = run_concurrently({t: (lambda t=t: plans[t].first().asDict()) for t in plans})
+    return {t: {c: (n or 0) + ((seen[t].get(c) or 0) if t in PARTITION else 0) for c, n in rest[t].items()} for t in STAR_TABLES}

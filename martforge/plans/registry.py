@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..operators import clean as cl
-from ..operators import dedup, filters, keys, maintain, outliers, quality, star
+from ..operators import dedup, filters, keys, maintain, outliers, quality, sketches, star
 from ..schemas import (KEYS, MISSING_TOKENS, ORDER_TIMESTAMP_COLUMNS, PRODUCT_NUMERIC_COLUMNS,
                        RAW_CUSTOMERS, STAGE_COLUMNS, STAGE_TABLES, VARCHAR_BOUNDS)
-from ..session import new_work_dir
+from ..session import materialize, new_work_dir
 from ..sources import csv as csv_io
-from ..sources.staging import load_staging
-from ..sources.star_store import StarStore
+from ..sources.staging import load_staging, load_staging_observed
+from ..sources.star_tables import StarTables
 from . import oracle
 from .batches import TwoBatches
 from .context import Layers
@@ -219,9 +219,16 @@ def _join_items_orders(L: Layers) -> DataFrame:
     return star.join_items_orders(items, orders)
 
 
+_WRITTEN: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def _written_star(L: Layers) -> dict[str, DataFrame]:
-    """The four star tables, written once: checks read them in several passes."""
-    return rebuild_star(L.staged, new_work_dir(L.spark, "intermediate/star"))
+    """The four star tables, written once per session and input folder: the
+    checks read them in several passes. Inputs are taken not to change meanwhile."""
+    key = (L.spark.sparkContext.applicationId, L.sf_dir)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = rebuild_star(L.staged, new_work_dir(L.spark, "checked/star"))
+    return _WRITTEN[key]
 
 
 def _broken_star(L: Layers) -> dict[str, DataFrame]:
@@ -307,6 +314,66 @@ def _status_distribution(L: Layers) -> DataFrame:
     return quality.status_distribution(L.clean["orders"])
 
 
+@register("order_profiles", """
+SELECT CASE grouping_id(order_status, status_length, purchase_year) WHEN 3 THEN 'order_status' WHEN 5 THEN 'status_length'
+            WHEN 6 THEN 'purchase_year' ELSE 'all' END AS grouping_name,
+       coalesce(order_status, status_length, purchase_year) AS grouping_value, count(*) AS n_orders, """
+          + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in ORDER_TIMESTAMP_COLUMNS) + """
+FROM (SELECT *, CAST(length(order_status) AS VARCHAR) AS status_length,
+             CAST(year(order_purchase_timestamp) AS VARCHAR) AS purchase_year FROM clean_orders_v)
+GROUP BY GROUPING SETS ((), (order_status), (status_length), (purchase_year))""")
+def _order_profiles(L: Layers) -> DataFrame:
+    return quality.order_profiles(L.clean["orders"])
+
+
+@register("distinct_sketches", """
+SELECT 'customer_id' AS column_name, count(DISTINCT customer_id) AS n_exact, true AS within_bound
+FROM (SELECT * FROM b1_customers_v UNION ALL SELECT * FROM b2_customers_v)
+UNION ALL
+SELECT 'customer_unique_id', count(DISTINCT customer_unique_id), true
+FROM (SELECT * FROM b1_customers_v UNION ALL SELECT * FROM b2_customers_v)""")
+def _distinct_sketches(L: Layers) -> DataFrame:
+    """HLL sketches kept for two overlapping batches and merged, against the
+    exact distinct counts of their union."""
+    tb, columns = TwoBatches(L), ["customer_id", "customer_unique_id"]
+    batches = {"1": tb.batch1["customers"], "2": tb.batch2["customers"]}
+    kept = materialize(quality._union([sketches.batch_sketches(df, b, distinct=columns) for b, df in batches.items()]), "sketches")
+    rows = quality._union([df.select(*columns) for df in batches.values()])
+    exact = quality._union([rows.groupBy(c).agg(F.count(F.lit(1))).agg(F.count(c).alias("n_exact"))
+                            .select(F.lit(c).alias("column_name"), "n_exact") for c in columns])
+    bound = F.ceil(F.lit(sketches.DISTINCT_ERROR) * F.col("n_exact"))
+    return exact.join(sketches.merged_distinct(kept), "column_name") \
+        .select("column_name", "n_exact", (F.abs(F.col("n_distinct") - F.col("n_exact")) <= bound).alias("within_bound"))
+
+
+_PROBS = [0.25, 0.5, 0.75]
+
+
+@register("quantile_sketches", _union_all([
+    f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS prob, count({c}) AS n_values, true AS within_bound FROM clean_order_items_v"
+    for c in ["price", "freight_value"] for p in _PROBS]))
+def _quantile_sketches(L: Layers) -> DataFrame:
+    """KLL sketches kept for four disjoint batches of items and merged; the rank
+    of each sketched quartile among all items, counted exactly, must be within
+    the stated bound (ties: the wanted rank lies between those below and up to it)."""
+    items, columns = L.staged_items, ["price", "freight_value"]
+    number = F.substring("order_id", 2, 20).cast("long") % 4
+    kept = materialize(quality._union([sketches.batch_sketches(items.where(number == b), str(b), ranks=columns) for b in range(4)]), "sketches")
+    merged = materialize(sketches.merged_quantiles(kept, _PROBS).coalesce(1), "quantiles")
+
+    def value(c, i):
+        return merged.where(F.col("column_name") == c).select(f"q_{i}").scalar()
+    counts = items.agg(*[f(F.col(c).cast("double"), value(c, i)).alias(f"{name}__{c}__{i}")
+                         for c in columns for i in range(len(_PROBS))
+                         for name, f in (("below", lambda v, q: F.count_if(v < q)), ("upto", lambda v, q: F.count_if(v <= q)))])
+    ranks = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("prob"), F.col(f"below__{c}__{i}").alias("below"),
+                 F.col(f"upto__{c}__{i}").alias("upto")) for c in columns for i, p in enumerate(_PROBS)])))
+    wanted, slack = F.col("prob") * F.col("n_values"), F.lit(sketches.RANK_ERROR) * F.col("n_values") + 1
+    return ranks.join(merged.select("column_name", "n_values"), "column_name").select(
+        "column_name", "prob", "n_values", ((F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)).alias("within_bound"))
+
+
 @register("zip_length_distribution", "SELECT CAST(length(CAST(customer_zip_code_prefix AS VARCHAR)) AS INTEGER) AS zip_digits, "
           "count(*) AS n_customers FROM raw_customers GROUP BY 1")
 def _zip_length_distribution(L: Layers) -> DataFrame:
@@ -431,15 +498,15 @@ def _fact_refresh(L: Layers) -> DataFrame:
     return TwoBatches(L).fact_2
 
 
-def _streamed_store(L: Layers):
+def _streamed_tables(L: Layers) -> StarTables:
     """Both load batches published to a landing folder and applied by the
-    incremental maintenance stream (foreachBatch into a StarStore)."""
+    incremental maintenance stream (foreachBatch into the star tables)."""
     from ..streaming.incremental import publish_batch, run_maintenance
     tb = TwoBatches(L)
     landing = new_work_dir(L.spark, "landing")
     publish_batch(L.spark, landing, 1, dict(tb.batch1.items()))
     publish_batch(L.spark, landing, 2, dict(tb.batch2.items()))
-    return run_maintenance(L.spark, landing, new_work_dir(L.spark, "store"),
+    return run_maintenance(L.spark, landing, new_work_dir(L.spark, "star"),
                            new_work_dir(L.spark, "stream-checkpoint"))
 
 
@@ -449,12 +516,56 @@ WHERE NOT EXISTS (SELECT 1 FROM b2_items_v b WHERE b.order_id = f.order_id AND b
 UNION ALL
 SELECT * FROM fact2_new_v""")
 def _stream_fact_refresh(L: Layers) -> DataFrame:
-    return _streamed_store(L).fact()
+    return _streamed_tables(L).table("fact_orders")
 
 
 @register("stream_dim_customers", "SELECT * FROM dim2c_v")
 def _stream_dim_customers(L: Layers) -> DataFrame:
-    return _streamed_store(L).dims()["dim_customers"]
+    return _streamed_tables(L).table("dim_customers")
+
+
+@register("load_metrics", _union_all(
+    [f"SELECT '{STAGE_TABLES[k]}' AS table_name, 'n_rows' AS metric, count(*) AS n FROM {CLEAN_VIEW[k]}" for k in RAW_COLS]
+    + [f"SELECT '{t}', 'n_rows', count(*) FROM {t}_v" for t in ["dim_customers", "dim_products", "dim_date", "fact_orders"]]
+    + ["SELECT 'fact_rejects', 'n_rows', count(*) FROM resolved_items_v WHERE reject_reason IS NOT NULL",
+       "SELECT 'fact_orders', 'negative_revenue', count(*) FILTER (WHERE revenue < 0) FROM fact_orders_v",
+       "SELECT 'fact_orders', 'null_order_id', count(*) FILTER (WHERE order_id IS NULL) FROM fact_orders_v"]))
+def _load_metrics(L: Layers) -> DataFrame:
+    """Row counts and single-table checks of a first load as its writes saw
+    them (``DataFrame.observe``): no table is scanned for them."""
+    staged = load_staging_observed(L.spark, dict(L.clean.items()))
+    seen = StarTables(L.spark, new_work_dir(L.spark, "star")).apply({k: df for k, (df, _) in staged.items()})
+    rows = [(STAGE_TABLES[k], "n_rows", m["n_rows"]) for k, (_, m) in staged.items()]
+    rows += [(t, m, n) for t in seen for m, n in seen[t].items() if m != "parts"]
+    return L.spark.createDataFrame([(t, m, int(n or 0)) for t, m, n in rows], "table_name string, metric string, n bigint")
+
+
+def _refused(L: Layers, table: str, column: str, value: Callable, message: str) -> DataFrame:
+    """A second load with one defect must fail and leave the facts as they were."""
+    tb, tables = TwoBatches(L), StarTables(L.spark, new_work_dir(L.spark, "star"))
+    tables.apply(tb.batch1)
+    bad = dict(tb.batch2.items())
+    first = bad[table].agg(F.min(KEYS[table][0])).scalar()
+    bad[table] = bad[table].unionByName(bad[table].where(F.col(KEYS[table][0]) == first).withColumn(column, value(F.col(column))))
+    try:
+        tables.apply(bad)
+    except Exception as error:
+        if message not in str(error):
+            raise
+        return tables.table("fact_orders")
+    raise AssertionError(f"the load accepted a defect in {table}.{column}")
+
+
+@register("refused_duplicate_key", "SELECT * FROM fact1_v")
+def _refused_duplicate_key(L: Layers) -> DataFrame:
+    """A customer that occurs twice in a batch."""
+    return _refused(L, "customers", "customer_city", lambda c: F.concat(c, F.lit(" again")), "occurs more than once")
+
+
+@register("refused_long_value", "SELECT * FROM fact1_v")
+def _refused_long_value(L: Layers) -> DataFrame:
+    """A state of more than 10 characters."""
+    return _refused(L, "customers", "customer_state", lambda c: F.lit("a state that is too long"), "is longer than 10")
 
 
 @register("dim_customers", "SELECT * FROM dim_customers_v")
@@ -611,7 +722,7 @@ def _end_to_end_summary(L: Layers) -> DataFrame:
 @register("rerun_dim_customers", "SELECT * FROM dim2c_v")
 def _rerun_dim_customers(L: Layers) -> DataFrame:
     """The job run twice on one output: keys of the first run stay."""
-    return _rerun(L).dims()["dim_customers"]
+    return _rerun(L).table("dim_customers")
 
 
 @register("rerun_facts", """
@@ -620,14 +731,14 @@ WHERE NOT EXISTS (SELECT 1 FROM b2_items_v b WHERE b.order_id = f.order_id AND b
 UNION ALL
 SELECT * FROM fact2_new_v""")
 def _rerun_facts(L: Layers) -> DataFrame:
-    return _rerun(L).fact()
+    return _rerun(L).table("fact_orders")
 
 
-def _rerun(L: Layers) -> StarStore:
+def _rerun(L: Layers) -> StarTables:
     tb, root = TwoBatches(L), new_work_dir(L.spark, "run")
     for batch in (tb.batch1, tb.batch2):
         load(L.spark, batch, root)
-    return StarStore(L.spark, f"{root}/star")
+    return StarTables(L.spark, f"{root}/star")
 
 
 @register("csv_orders", "SELECT * FROM clean_orders_v")
@@ -640,9 +751,7 @@ def _csv_orders(L: Layers) -> DataFrame:
 
 
 @register("csv_order_items", """
-SELECT * REPLACE (CASE WHEN CAST(substr(product_id, 2) AS BIGINT) % 29 = 0 THEN NULL ELSE price END AS price,
-                  CASE WHEN CAST(substr(product_id, 2) AS BIGINT) % 29 = 0 THEN NULL ELSE revenue END AS revenue)
-FROM clean_order_items_v WHERE CAST(substr(product_id, 2) AS BIGINT) % 29 <> 0""")
+SELECT * FROM clean_order_items_v WHERE CAST(substr(product_id, 2) AS BIGINT) % 29 <> 0""")
 def _csv_order_items(L: Layers) -> DataFrame:
     """Raw items through a CSV with its columns in reverse order and missing
     tokens among the numbers: those prices are missing, so the rows are
@@ -655,3 +764,79 @@ def _csv_order_items(L: Layers) -> DataFrame:
     raw = raw.withColumn("_n", F.row_number().over(rank)).filter("_n = 1").drop("_n", "_ord")
     csv_io.write_csv(raw.select(*reversed(raw.columns)), path)
     return cl.clean_order_items(csv_io.read_csv(L.spark, path, csv_io.csv_schemas()["order_items"]))
+
+
+# Columns in the order of the file, and by which numbers of a key a row lacks
+# its last one, two, ... columns.
+_SHORT = {
+    "customers": (RAW_COLS["customers"], "customer_id", {7: 1, 11: 2}),
+    "orders": (RAW_COLS["orders"], "order_id", {9: 1, 14: 2, 25: 4}),
+    "products": (RAW_COLS["products"], "product_id", {13: 1}),
+    "order_items": (["order_id", "order_item_id", "product_id", "price", "freight_value", "seller_id", "shipping_limit_date"],
+                    "product_id", {17: 1, 19: 2, 23: 3}),
+}
+
+
+def _cut(table: str, column: str) -> str:
+    """SQL: whether a row's line ends before ``column``."""
+    columns, key, cuts = _SHORT[table]
+    behind = len(columns) - columns.index(column)
+    number = f"CAST(substr({key}, 2) AS BIGINT)"
+    # The largest cut that applies is the row's.
+    return " OR ".join([f"{number} % {m} = 0" for m, n in cuts.items() if n >= behind] or ["false"])
+
+
+def _short_view(table: str, view: str, columns: list[str]) -> str:
+    parts = ", ".join(f"CASE WHEN {_cut(table, c)} THEN NULL ELSE {c} END AS {c}" for c in columns)
+    return f"(SELECT * REPLACE ({parts}) FROM {view})"
+
+
+def _short_csv(L: Layers, table: str) -> str:
+    """The raw table (first row of every key) as CSV files in which some lines
+    lack their last fields; every file has the header."""
+    columns, key, cuts = _SHORT[table]
+    raw = dedup.keep_first(L.raw[table], KEYS[table])
+    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+    number = F.substring(key, 2, 20).cast("long")
+    line = F.to_csv(F.struct(*columns), options)
+    for m, n in sorted(cuts.items(), key=lambda x: x[1]):
+        line = F.when(number % m == 0, F.to_csv(F.struct(*columns[:-n]), options)).otherwise(line)
+    path = new_work_dir(L.spark, "csv") + f"/short_{table}"
+    raw.select(line.alias(",".join(columns))).write.option("header", "true").option("sep", "\x01").option("quote", "\x00") \
+        .option("escapeQuotes", "false").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return path
+
+
+_TOKENS = ", ".join(f"'{t}'" for t in MISSING_TOKENS)
+_SHORT_SQL = {
+    "customers": f"SELECT * REPLACE (CASE WHEN customer_state IN ({_TOKENS}) THEN NULL ELSE customer_state END AS customer_state) FROM "
+                 + _short_view("customers", "clean_customers_v", ["customer_city", "customer_state"]),
+    "orders": "SELECT * FROM (SELECT order_id, customer_id, order_status, "
+              + ", ".join(f"try_strptime({c}, {TS}) AS {c}" for c in ORDER_TIMESTAMP_COLUMNS) + " FROM "
+              + _short_view("orders", "dedup_orders_v", ORDER_TIMESTAMP_COLUMNS[1:])
+              + ") WHERE order_delivered_customer_date IS NULL OR order_delivered_customer_date >= order_purchase_timestamp",
+    "products": f"SELECT * FROM clean_products_v WHERE NOT ({_cut('products', 'product_width_cm')})",
+    "order_items": "SELECT * FROM " + _short_view("order_items", "clean_order_items_v", ["seller_id", "shipping_limit_date"])
+                   + f" WHERE NOT ({_cut('order_items', 'freight_value')})",
+}
+
+for _name in _SHORT:
+    def _make_short(name):
+        @register(f"csv_short_{name}", _SHORT_SQL[name])
+        def _q(L: Layers) -> DataFrame:
+            """Lines with missing trailing fields are read as rows with nulls."""
+            return cl.CLEANERS[name](csv_io.read_csv(L.spark, _short_csv(L, name), csv_io.csv_schemas()[name]))
+        return _q
+    _make_short(_name)
+
+
+@register("csv_malformed_rows", _union_all([
+    f"SELECT '{k}' AS table_name, {len(cols)} - n AS n_fields, {len(cols)} AS expected_fields, count(*) AS n_rows "
+    f"FROM (SELECT CASE " + " ".join(f"WHEN CAST(substr({key}, 2) AS BIGINT) % {m} = 0 THEN {n}"
+                                     for m, n in sorted(cuts.items(), key=lambda x: -x[1]))
+    + f" ELSE 0 END AS n FROM dedup_{k}_v) WHERE n > 0 GROUP BY n" for k, (cols, key, cuts) in _SHORT.items()]))
+def _csv_malformed_rows(L: Layers) -> DataFrame:
+    """The quarantine report of the same files: lines by table and number of fields."""
+    return quality._union([
+        csv_io.malformed_rows(L.spark, _short_csv(L, k)).groupBy("n_fields", "expected_fields").agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(k).alias("table_name"), "n_fields", "expected_fields", "n_rows") for k in _SHORT])

@@ -136,3 +136,37 @@ FACT_COLUMNS = [
     "revenue", "price", "freight",
 ]
 STAR_TABLES = ["dim_customers", "dim_products", "dim_date", "fact_orders"]
+# Columns declared NOT NULL, and the keys declared unique, by table.
+NOT_NULL = {
+    "dim_customers": ["customer_key", "customer_id"],
+    "dim_products": ["product_key", "product_id"],
+    "dim_date": ["date_key"],
+    "fact_orders": ["order_id", "order_item_id", "customer_key", "product_key", "date_key"],
+}
+UNIQUE = {
+    "dim_customers": [["customer_key"], ["customer_id"]],
+    "dim_products": [["product_key"], ["product_id"]],
+    "dim_date": [["date_key"]],
+    "fact_orders": [FACT_KEYS],
+}
+
+
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(c, k) for c, k in kinds.items()])
+
+
+_DATE_PARTS = ["year", "quarter", "month", "day", "day_of_week"]
+STAR_SCHEMAS = {
+    "dim_customers": _struct(
+        customer_key=T.LongType(), customer_id=T.StringType(), customer_unique_id=T.StringType(),
+        customer_zip_code_prefix=T.IntegerType(), customer_city=T.StringType(), customer_state=T.StringType()),
+    "dim_products": _struct(
+        product_key=T.LongType(), product_id=T.StringType(), product_category_name=T.StringType(),
+        **{c: T.IntegerType() for c in PRODUCT_NUMERIC_COLUMNS}),
+    "dim_date": _struct(date_key=T.DateType(), **{c: T.IntegerType() for c in _DATE_PARTS}),
+    "fact_orders": _struct(
+        order_id=T.StringType(), order_item_id=T.IntegerType(), customer_key=T.LongType(), product_key=T.LongType(),
+        date_key=T.DateType(), order_status=T.StringType(),
+        **{c: T.TimestampNTZType() for c in FACT_COLUMNS[6:10]}, revenue=MONEY, price=MONEY, freight=MONEY),
+    "fact_rejects": _struct(order_id=T.StringType(), order_item_id=T.IntegerType(), reject_reason=T.StringType()),
+}

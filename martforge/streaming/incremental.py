@@ -2,12 +2,11 @@
 
 Each load batch is published as staged tables in its own folder plus one
 row in a manifest folder. A file-source stream over the manifest hands the
-new rows to ``foreachBatch``, which applies the batch to a ``StarStore``
+new rows to ``foreachBatch``, which applies the batch to the star tables
 (dimension upserts, date inserts, fact delete + insert of the touched
 months). The stream's checkpoint records which manifest files are done, so a
-restarted job resumes after the last applied batch. The store skips a batch
-that it has already published and refuses one that is not the next, so a
-replay changes nothing and batches are never applied out of order.
+restarted job resumes with the first batch that was not completed. Applying it
+again changes nothing that is right already; nothing else guards replays.
 
 Only the manifest rows -- one per batch, a handful per trigger -- reach the
 driver; every batch table is read and processed by the cluster.
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..schemas import STAGE_COLUMNS
 from ..session import run_concurrently
-from ..sources.star_store import StarStore
+from ..sources.star_tables import StarTables
 from ..sources.staging import write_table
 
 MANIFEST = T.StructType([
@@ -40,28 +39,24 @@ def publish_batch(spark: SparkSession, landing: str, batch_id: int,
     return path
 
 
-def _apply(store: StarStore):
+def _apply(tables: StarTables):
     def apply_batches(manifest: DataFrame, epoch_id: int) -> None:
         spark = manifest.sparkSession
         for row in manifest.orderBy("batch_id").collect():
-            staged = {name: spark.read.parquet(f"{row.path}/{name}") for name in STAGE_COLUMNS}
-            if store.version() is None:
-                store.initial_load(staged, version=row.batch_id)
-            else:
-                store.apply_batch(staged, version=row.batch_id)
+            tables.apply({name: spark.read.parquet(f"{row.path}/{name}") for name in STAGE_COLUMNS})
     return apply_batches
 
 
-def run_maintenance(spark: SparkSession, landing: str, store_root: str,
-                    checkpoint: str, available_now: bool = True):
+def run_maintenance(spark: SparkSession, landing: str, star_root: str,
+                    checkpoint: str, available_now: bool = True) -> StarTables:
     """Start the maintenance stream; with ``available_now`` it processes the
     batches present and stops (a scheduled incremental job)."""
-    store = StarStore(spark, store_root)
+    tables = StarTables(spark, star_root)
     source = (spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", 1)
               .parquet(f"{landing.rstrip('/')}/manifest"))
-    writer = source.writeStream.foreachBatch(_apply(store)).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(_apply(tables)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     query = writer.start()
     if available_now:
         query.awaitTermination()
-    return store
+    return tables

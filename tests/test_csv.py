@@ -101,3 +101,42 @@ def test_a_cluster_needs_a_shared_folder():
         conf, sparkContext = Conf(), Context()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_short_rows_are_filled_and_long_rows_refused(spark):
+    import pytest
+
+    from martforge.sources.csv import malformed_rows
+    short = write_text(spark, 'k,price,zip\na,1\nb\n"c,d",2,3\n\ne,4,5\n"x,""y",6\n')
+    rows = [tuple(r) for r in read_csv(spark, short, items_schema()).select("k", "price", "zip").collect()]
+    assert rows == [("a", 1.0, None), ("b", None, None), ("c,d", 2.0, 3), ("e", 4.0, 5), ('x,"y', 6.0, None)]
+    # Also where only a leading column is asked for.
+    assert [r.k for r in read_csv(spark, short, T.StructType(items_schema().fields[:1])).collect()] == ["a", "b", "c,d", "e", 'x,"y']
+    long = write_text(spark, 'k,price,zip\na,1,2\nb,3,4,5\n"c,d",6\n"e,f",7,8,9,"0,0"\n')
+    with pytest.raises(Exception, match="more than the 3 fields of the header: b,3,4,5"):
+        read_csv(spark, long, items_schema()).collect()
+    kept = read_csv(spark, long, items_schema(), long_rows="skip")
+    assert sorted((r.k, r.zip) for r in kept.collect()) == [("a", 2), ("c,d", None)]
+    bad = sorted((r.n_fields, r.expected_fields, r.line) for r in malformed_rows(spark, long).collect())
+    assert kept.count() == 2 and read_csv(spark, short, items_schema()).count() == 5
+    assert bad == [(2, 3, '"c,d",6'), (4, 3, "b,3,4,5"), (5, 3, '"e,f",7,8,9,"0,0"')]
+
+
+def test_short_rows_are_those_of_pandas(spark):
+    import io
+
+    import pandas as pd
+    text = "k,price,zip\na,1.5\nb\nc,2,3\n"
+    want = pd.read_csv(io.StringIO(text))
+    got = read_csv(spark, write_text(spark, text), items_schema())
+    assert [(r.k, r.price, r.zip) for r in got.collect()] == \
+        [(k, None if p != p else p, None if z != z else int(z)) for k, p, z in want.itertuples(index=False)]
+
+
+def test_integral_decimals_are_integers(spark):
+    import pytest
+    path = write_text(spark, "k,price,zip\na,1,1234.0\nb,1,9007199254740993.000\nc,1,1e3\nd,1,-7\n")
+    assert [r.zip for r in read_csv(spark, path, items_schema()).collect()] == [1234, 9007199254740993, 1000, -7]
+    for wrong in ("1234.5", "1e30", "12x"):
+        with pytest.raises(Exception, match="column zip: not a bigint"):
+            read_csv(spark, write_text(spark, f"k,price,zip\na,1,{wrong}\n"), items_schema()).collect()

@@ -86,78 +86,161 @@ def test_rebuild_gives_equal_dimension(spark):
     assert a.agg(F.min("customer_key"), F.max("customer_key")).collect()[0][:] == (1, a.count())
 
 
-def test_star_store_removes_emptied_month(spark):
+def small_tables(spark, buckets=4):
     from martforge.session import new_work_dir
-    from martforge.sources.star_store import StarStore
-    L = Layers(spark, SF_SMALL)
-    c = L.clean
-    store = StarStore(spark, new_work_dir(spark, "test-store"))
-    store.initial_load(dict(c.items()), version=1)
-    before = store.fact()
-    # Pick one month and re-send its items while their orders disappear.
+    from martforge.sources.star_tables import StarTables
+    tb = TwoBatches(Layers(spark, SF_SMALL))
+    tables = StarTables(spark, new_work_dir(spark, "test-star"), buckets)
+    tables.apply(tb.batch1)
+    return tables, tb.batch2
+
+
+def contents(tables):
+    return {t: sorted(map(str, df.collect())) for t, df in tables.tables().items()}
+
+
+def empty_batch(batch, **tables):
+    return {k: tables.get(k, df.limit(0)) for k, df in batch.items()}
+
+
+def test_an_emptied_month_loses_its_partition_rows(spark):
+    from martforge.session import new_work_dir
+    from martforge.sources.star_tables import StarTables
+    c = Layers(spark, SF_SMALL).clean
+    tables = StarTables(spark, new_work_dir(spark, "test-star"), 2)
+    tables.apply(dict(c.items()))
+    before = tables.table("fact_orders")
     month = before.select(F.date_format("date_key", "yyyyMM").alias("m")).groupBy("m").count() \
         .orderBy(F.desc("count"), "m").first()["m"]
     gone = before.where(F.date_format("date_key", "yyyyMM") == month).select("order_id").distinct()
     gone = spark.createDataFrame(gone.collect(), gone.schema)  # freeze before the files change
     n_before = before.count()
     n_gone = before.join(gone, "order_id", "left_semi").count()
-    batch = {"customers": c["customers"].limit(0), "products": c["products"].limit(0),
-             "orders": c["orders"].join(gone, "order_id", "left_anti").limit(0),
-             "order_items": c["order_items"].join(gone, "order_id", "left_semi")}
-    store.apply_batch(batch, version=2)
-    after = store.fact()
+    # The items of the month are sent again while their orders disappear.
+    batch = empty_batch(c, order_items=c["order_items"].join(gone, "order_id", "left_semi"))
+    tables.apply(batch)
+    after = tables.table("fact_orders")
     assert after.where(F.date_format("date_key", "yyyyMM") == month).count() == 0
     assert after.count() == n_before - n_gone
-    # The same batch under the next number changes nothing.
-    store.apply_batch(batch, version=3)
-    assert store.fact().count() == after.count()
-
-
-def small_store(spark):
-    from martforge.session import new_work_dir
-    from martforge.sources.star_store import StarStore
-    tb = TwoBatches(Layers(spark, SF_SMALL))
-    store = StarStore(spark, new_work_dir(spark, "test-store"))
-    store.initial_load(tb.batch1, version=1)
-    return store, tb.batch2
-
-
-def contents(store):
-    return {t: sorted(map(str, df.collect())) for t, df in store.tables().items()}
-
-
-def test_star_store_replay_and_order(spark):
-    store, batch2 = small_store(spark)
-    first = contents(store)
-    store.initial_load(batch2, version=1)       # replayed number: skipped
-    store.apply_batch(batch2, version=1)
-    assert contents(store) == first
-    with pytest.raises(ValueError):             # not the next number
-        store.apply_batch(batch2, version=3)
-    assert contents(store) == first and store.version() == 1
-    store.apply_batch(batch2, version=2)
-    second = contents(store)
-    assert second != first
-    store.apply_batch(batch2, version=2)
-    assert contents(store) == second and store.rejects().count() > 0
-
-
-def test_star_store_read_errors_are_not_an_empty_store(spark):
+    tables.apply(batch)  # again: nothing changes
+    assert tables.table("fact_orders").count() == n_before - n_gone
+
+
+def test_a_batch_applied_twice_changes_nothing(spark):
+    tables, batch2 = small_tables(spark)
+    first = contents(tables)
+    tables.apply(batch2)
+    second = contents(tables)
+    assert second != first and tables.table("fact_rejects").count() > 0
+    tables.apply(batch2)
+    assert contents(tables) == second
+
+
+@pytest.mark.parametrize("cut_off", ["staged", "one table replaced"])
+def test_a_load_that_was_cut_off_is_finished_by_the_next(spark, monkeypatch, cut_off):
+    """The driver dies after staging, or while partitions are being replaced."""
+    import shutil
+
+    from martforge.sources.star_tables import StarTables
+    tables, batch2 = small_tables(spark)
+    whole, _ = small_tables(spark)
+    whole.apply(batch2)
+    want = contents(whole)
+
+    class Died(Exception):
+        pass
+
+    def die(self):
+        if cut_off == "one table replaced":  # a replaced partition is lost half-way
+            self._replace("dim_customers", self._read("dim_customers", "staged/"), {"n": F.count(F.lit(1))})
+            shutil.rmtree(sorted(glob.glob(f"{self.root.removeprefix('file://')}/fact_orders/purchase_month=*"))[3])
+        raise Died
     import glob
-    store, batch2 = small_store(spark)
-    part = glob.glob(store.root.removeprefix("file://") + "/versions/v000001/part-*")[0]
+    with monkeypatch.context() as m:
+        m.setattr(StarTables, "publish", die)
+        with pytest.raises(Died):
+            tables.apply(batch2)
+    again = StarTables(spark, tables.root, 4)
+    if cut_off == "staged":
+        again.recover()
+        assert contents(again) == want
+    again.apply(batch2)
+    got = contents(again)
+    if cut_off == "staged":
+        assert got == want
+    else:  # months that the batch does not touch are not in its staged content
+        assert got["dim_customers"] == want["dim_customers"] and set(want["fact_orders"]) >= set(got["fact_orders"])
+
+
+def test_an_unreadable_table_is_not_an_empty_one(spark):
+    import glob
+    tables, batch2 = small_tables(spark)
+    part = glob.glob(tables.root.removeprefix("file://") + "/dim_date/part-*")[0]
     with open(part, "wb") as f:
         f.write(b"not parquet")
     with pytest.raises(Exception):
-        store.apply_batch(batch2, version=2)
-    assert store.version() == 1
+        tables.apply(batch2)
 
 
-def test_star_store_unfinished_version_is_not_seen(spark):
+def test_a_batch_of_one_key_reads_and_writes_one_bucket(spark):
+    import glob
     import os
-    store, batch2 = small_store(spark)
-    first = contents(store)
-    os.makedirs(store.root.removeprefix("file://") + "/versions/v000002")  # a crash before the commit
-    assert store.version() == 1 and contents(store) == first
-    store.apply_batch(batch2, version=2)
-    assert store.version() == 2 and contents(store) != first
+    tables, batch2 = small_tables(spark, buckets=8)
+    root = tables.root.removeprefix("file://")
+
+    def files():
+        return {p: os.path.getmtime(p) for p in glob.glob(f"{root}/dim_customers/key_bucket=*/*.parquet")}
+    before = files()
+    assert len({os.path.dirname(p) for p in before}) == 8
+    one = batch2["customers"].orderBy("customer_id").limit(1).withColumn("customer_state", F.lit("QQ"))
+    after, changed, buckets = tables._stage_dimension(
+        "dim_customers", star_rows(one), "customer_id", "customer_key",
+        ["customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"])
+    assert len(buckets) == 1
+    read = tables._read("dim_customers").where(F.col("key_bucket").isin(buckets))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and f"key_bucket#" in plan.split("PartitionFilters")[1]
+    assert {f.split("key_bucket=")[1].split("/")[0] for f in changed.inputFiles()} == {str(buckets[0])}
+    tables.apply(empty_batch(batch2, customers=one))
+    kept = {p for p in before if f"key_bucket={buckets[0]}/" not in p}
+    assert {p: t for p, t in files().items() if p in kept} == {p: before[p] for p in kept}
+    assert tables.table("dim_customers").where("customer_state = 'QQ'").count() == 1
+
+
+def star_rows(customers):
+    from martforge.operators.star import dim_customer_rows
+    return dim_customer_rows(customers)
+
+
+@pytest.mark.parametrize("defect", ["duplicate item", "duplicate customer", "null key", "long id", "long status"])
+def test_a_load_that_breaks_a_constraint_changes_nothing(spark, defect):
+    tables, batch2 = small_tables(spark)
+    first, bad = contents(tables), dict(batch2.items())
+    if defect == "duplicate item":
+        item = bad["order_items"].join(bad["orders"].select("order_id"), "order_id", "left_semi").orderBy("order_id").limit(3)
+        bad["order_items"] = bad["order_items"].unionByName(item)
+    elif defect == "duplicate customer":
+        bad["customers"] = bad["customers"].unionByName(bad["customers"].limit(1))
+    elif defect == "null key":
+        bad["products"] = bad["products"].withColumn("product_id", F.when(F.col("product_id") != "P7", F.col("product_id")))
+    elif defect == "long id":
+        bad["customers"] = bad["customers"].unionByName(bad["customers"].limit(1).withColumn("customer_id", F.lit("C" * 51)))
+    else:
+        bad["orders"] = bad["orders"].withColumn("order_status", F.repeat("order_status", 20))
+    with pytest.raises(Exception, match="occurs more than once|is null|is longer than 50"):
+        tables.apply(bad)
+    assert contents(tables) == first
+    tables.apply(batch2)  # the repaired batch loads
+    assert contents(tables)["fact_orders"] != first["fact_orders"]
+
+
+def test_observed_counts_are_those_of_a_scan(spark):
+    from martforge.plans.jobs import _totals
+    tables, batch2 = small_tables(spark)
+    seen = tables.apply(batch2)
+    total = _totals(tables, seen)
+    assert {t: total[t]["n_rows"] for t in total} == {t: df.count() for t, df in tables.tables().items()}
+    assert seen["fact_rejects"]["n_rows"] == tables.table("fact_rejects").count()
+    none = tables.apply(empty_batch(batch2))
+    assert {t: m["n_rows"] or 0 for t, m in none.items()} == dict.fromkeys(none, 0)
+    assert _totals(tables, none) == total

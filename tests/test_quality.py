@@ -76,3 +76,49 @@ def test_command_line_runs_the_load():
                          cwd=root, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "fact_orders" in out.stdout and "4405" in out.stdout
+
+
+def test_sketches_merge_within_their_bounds(spark):
+    import numpy as np
+
+    from martforge.operators import sketches
+    from martforge.session import materialize
+    rng = np.random.default_rng(4)
+    values = rng.lognormal(size=30_000)
+    df = spark.createDataFrame([(int(v * 1000) % 5000, float(v), i % 3) for i, v in enumerate(values)], "k int, v double, b int") \
+        .withColumn("v", F.when(F.col("k") != 17, F.col("v")))
+    kept = materialize(sketches.batch_sketches(df.where("b = 0"), "0", ["k"], ["v"]).unionByName(
+        sketches.batch_sketches(df.where("b > 0"), "1", ["k"], ["v"])).unionByName(
+        sketches.batch_sketches(df.where("false"), "2", ["k"], ["v"])), "t")
+    exact = df.select("k").distinct().count()
+    got = {r.column_name: r.n_distinct for r in sketches.merged_distinct(kept).collect()}
+    assert set(got) == {"k"} and abs(got["k"] - exact) <= sketches.DISTINCT_ERROR * exact + 1
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    row = sketches.merged_quantiles(kept, probs).collect()
+    assert [r.column_name for r in row] == ["v"]
+    known = np.sort([r.v for r in df.where("v IS NOT NULL").collect()])
+    assert row[0].n_values == len(known)
+    for i, p in enumerate(probs):
+        assert abs(np.searchsorted(known, row[0][f"q_{i}"]) / len(known) - p) <= sketches.RANK_ERROR
+
+
+def test_order_profiles_take_one_shuffle(spark):
+    from martforge.operators.quality import order_profiles
+    orders = spark.createDataFrame([("O1", None, None), ("O2", "shipped", None)], "order_id string, order_status string, t string")
+    for c in ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+              "order_delivered_customer_date", "order_estimated_delivery_date"]:
+        orders = orders.withColumn(c, F.lit(None).cast("timestamp_ntz"))
+    out = order_profiles(orders)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = sorted(map(str, out.select("grouping_name", "grouping_value", "n_orders", "null_order_approved_at").collect()))
+    assert len(got) == 6  # all; two statuses; two lengths; one year (none)
+    assert order_profiles(orders.limit(0)).count() == 0
+
+
+def test_distinct_counts_do_not_expand_rows(spark):
+    from martforge.operators.quality import count_unique
+    df = spark.createDataFrame([("a", "x"), ("a", None), (None, "x"), ("b", "y")], "k string, p string")
+    out = count_unique(df, "k", "p")
+    assert tuple(out.first()) == (4, 2, 2)
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    assert tuple(count_unique(df.limit(0), "k", "p").first()) == (0, 0, 0)
