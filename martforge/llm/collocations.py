@@ -12,15 +12,23 @@ Which phrases have reached the threshold is told to the tasks by a bit array of
 fixed size (``filter_bits``, two bits a phrase), one as it is now and one as it
 was a full cycle ago. A phrase is counted if both subphrases are in the first
 and not both in the second. As bits are only ever added, this holds for exactly
-one full cycle of every phrase, so a count is exact whatever the bits of other
-phrases do: a chance hit costs a counted phrase more, never a wrong count.
+one full cycle of every phrase, whatever the bits of other phrases do: a chance
+hit costs a counted phrase more, never a wrong count.
+
+While shards are scanned, phrases go by a 64-bit number (hash and length), so a
+step moves two numbers a phrase, and its counts are written once. Of the last
+cycle's counts only those of phrases with a high count in some shard are added
+up: a sum of ``threshold`` over the shards has one of threshold / shards or more.
+Two phrases with one number could only make it reach the threshold too early. A
+last scan counts the phrases themselves whose numbers reached it, so that all
+results are exact counts of texts.
 
 On Spark: texts are split once into blocks (a dictionary of words and their
-codes) in a table partitioned by shard. A step counts the phrases of one shard
-block by block on arrays of codes, and adds them up by phrase with partial
-aggregation, so a phrase that is everywhere is one row a task. The driver
-receives the bits newly set (at most ``filter_bits`` / 64 rows). Every step's
-counts are a written table in the shared folder.
+codes) in a table partitioned by shard; counting works on arrays of codes, block
+by block. Counts are added up by phrase with partial aggregation, so a phrase
+that is everywhere is one row a task. The driver receives the bits newly set (at
+most ``filter_bits`` / 64 rows a step). All steps are written tables in the shared
+folder.
 
 Defined results: a null text has no words, a null language is "und"; rows are
 counted as they are, so repeated rows count each time; phrases never cross
@@ -49,6 +57,8 @@ BLOCK_BYTES = 4 << 20          # text in a block; a longer text is a block of it
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = -1                     # code between two pieces
+BLOCKS = "lang string, words array<string>, hashes binary, codes binary, n_words bigint, shard int"
+NUMBERED = "id bigint, n bigint"
 COUNTS = "lang string, phrase string, len int, n bigint"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -81,10 +91,11 @@ def _block_maker(shards: int) -> Callable:
             names, codes = _codes(texts)
             made += 1
             return pa.RecordBatch.from_arrays(
-                [pa.array([lang]), pa.array([names.to_pylist()], pa.list_(pa.string())),
+                [pa.array([lang]), pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
+                 pa.array([_word_hashes(names.to_pylist()).tobytes()], pa.binary()),
                  pa.array([codes.tobytes()], pa.binary()), pa.array([int((codes != BREAK).sum())]),
                  pa.array([made % shards], pa.int32())],
-                names=["lang", "words", "codes", "n_words", "shard"])
+                names=["lang", "words", "hashes", "codes", "n_words", "shard"])
 
         for batch in batches:
             langs = batch.column("lang")
@@ -114,10 +125,9 @@ def word_blocks(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                         F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER).alias("text"))
-    schema = "lang string, words array<string>, codes binary, n_words bigint, shard int"
     path = new_work_dir(spark, "intermediate/word-blocks")
-    arrow_map(texts, _block_maker(shards), schema).write.partitionBy("shard").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    arrow_map(texts, _block_maker(shards), BLOCKS).write.partitionBy("shard").parquet(path)
+    return spark.read.schema(BLOCKS).parquet(path)
 
 
 # ------------------------------------------------------------------- hashing
@@ -139,159 +149,149 @@ def _extended(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mixed(h * np.uint64(3) + word)
 
 
-def _bits_of(h: np.ndarray, filter_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(filter_bits - 1)
-    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
+def _number(h: np.ndarray, length: int) -> np.ndarray:
+    """The number of a phrase: its hash with the length in the last two bits."""
+    return (h & ~np.uint64(3)) | np.uint64(length - 1)
 
 
-def _has(bits: np.ndarray, h: np.ndarray, filter_bits: int) -> np.ndarray:
-    """Whether both bits of each hash are set."""
-    found = np.ones(len(h), bool)
-    for at in _bits_of(h, filter_bits):
-        found &= (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+def _has(bits: np.ndarray, number: np.ndarray, filter_bits: int) -> np.ndarray:
+    """Whether both bits of each number are set."""
+    mask, found = np.uint64(filter_bits - 1), None
+    for at in ((number >> np.uint64(2)) & mask, (number >> np.uint64(34)) & mask):
+        hit = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        found = hit if found is None else found & hit
     return found
 
 
-def _new_bits(filter_bits: int) -> Callable:
-    """The bits of the phrases given, as (word of the array, its bits)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_word = np.zeros(0, np.int64)
-        for batch in batches:
-            hashes = np.empty(batch.num_rows, np.uint64)
-            for i, (lang, phrase) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())):
-                h = np.array([_seed(lang)])
-                for w in _word_hashes(phrase.split(" ")):
-                    h = _extended(h, w)
-                hashes[i] = h[0]
-            at_word = np.unique(np.concatenate([at_word, *_bits_of(hashes, filter_bits)]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at_word >> 6), pa.array((np.uint64(1) << (at_word & 63).astype(np.uint64)).view(np.int64))],
-            names=["word", "bits"])
-    return run
+def _with_bits(bits: np.ndarray, reached: DataFrame, filter_bits: int) -> np.ndarray:
+    """``bits`` with those of the numbers ``reached.id`` added; at most one row a
+    word of the array reaches the driver."""
+    at = F.explode(F.array(*[F.expr(f"shiftrightunsigned(id, {by}) & {filter_bits - 1}L") for by in (2, 34)])).alias("at")
+    rows = reached.select(at).select(F.expr("shiftright(at, 6)").alias("word"), F.expr("shiftleft(1L, cast(at & 63 AS int))").alias("bit")) \
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = bits.copy()
+    out[rows.column("word").to_numpy()] |= rows.column("bits").to_numpy().view(np.uint64)
+    return out
 
 
 # ------------------------------------------------------------------ counting
-def _active_phrases(words: list[str], lang: str, codes: np.ndarray, now: np.ndarray | None, before: np.ndarray | None,
-                    filter_bits: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, first position, count) of the distinct phrases of a block that
-    are being counted. ``now`` and ``before`` are the bit arrays of this step
-    and of the step a full cycle ago; None for the latter is the first cycle."""
-    if before is None:  # single words are counted in the first cycle
-        at = np.flatnonzero(codes != BREAK)
-        _, first, n = np.unique(codes[at], return_index=True, return_counts=True)
-        yield 1, at[first], n
-    if now is None:
-        return
-    hashes = _word_hashes(words)
-    seed = np.full(len(words), _seed(lang))
-    single = _extended(seed, hashes)
-    # Of every position: the number of its phrase of the current length (equal
-    # phrases, equal numbers), its hash, and whether it was let through by each
-    # bit array: its own bits are set there and its subphrases were let through.
-    alive = codes != BREAK
-    number = np.where(alive, codes, 0).astype(np.int64)
-    h = single[number]
-    in_now = alive & _has(now, single, filter_bits)[number]
-    old = before if before is not None else np.zeros_like(now)
-    in_old = alive & _has(old, single, filter_bits)[number]
+def _alive(lang: str, hashes: np.ndarray, codes: np.ndarray, arrays: tuple, filter_bits: int,
+           longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Of each length the positions at which a phrase may be counted by the
+    first bit array, their numbers, and for every array which of them it lets
+    through. A phrase of two words or more is let through if both its subphrases
+    are there and its own bits are set; that of ``longest`` words needs no bits."""
+    at = np.flatnonzero(codes != BREAK)
+    h = _extended(np.full(len(at), _seed(lang)), hashes[codes[at]])
+    number = _number(h, 1)
+    through = [_has(bits, number, filter_bits) for bits in arrays]
+    yield 1, at, number, [np.ones(len(at), bool) for _ in arrays]
     for length in range(2, longest + 1):
-        if len(codes) < length:
+        alive = through[0]
+        at, h, through = at[alive], h[alive], [t[alive] for t in through]
+        if len(at) < 2:
             return
-        # Both subphrases: the phrase of length - 1 here and at the next position.
-        both = in_now[:-1] & in_now[1:]
-        fresh = both & ~(in_old[:-1] & in_old[1:])
-        at = np.flatnonzero(both)
-        if not len(at):
+        # Neighbouring positions: the subphrases here and one word on.
+        pair = np.flatnonzero(at[1:] == at[:-1] + 1)
+        both = [t[pair] & t[pair + 1] for t in through]
+        at, h = at[pair], _extended(h[pair], hashes[codes[at[pair] + length - 1]])
+        number = _number(h, length)
+        yield length, at, number, both
+        if length == longest:
             return
-        pairs = number[:-1][at] * (int(number.max()) + 1) + number[1:][at]
-        _, first, inverse, n = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
-        counted = fresh[at[first]]
-        yield length, at[first][counted], n[counted]
-        # Step to the next length: only phrases whose subphrases are alive go on.
-        distinct = _extended(h[:-1][at[first]], hashes[codes[at[first] + length - 1]])
-        size = len(codes) - length + 1
-        number, h2 = np.zeros(size, np.int64), np.zeros(size, np.uint64)
-        now2, old2 = np.zeros(size, bool), np.zeros(size, bool)
-        number[at], h2[at] = inverse, distinct[inverse]
-        now2[at] = _has(now, distinct, filter_bits)[inverse]
-        old2[at] = (in_old[:-1] & in_old[1:])[at] & _has(old, distinct, filter_bits)[inverse]
-        h, in_now, in_old = h2, now2, old2
-
-
-def _count_blocks(now, before, filter_bits: int, longest: int) -> Callable:
+        through = [b & _has(bits, number, filter_bits) for b, bits in zip(both, arrays)]
+
+
+def _block_arrays(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield (batch, row, batch.column("lang")[row].as_py(), np.frombuffer(batch.column("hashes")[row].as_buffer(), np.uint64),
+                   np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32))
+
+
+def _count_numbers(now, before, filter_bits: int, longest: int) -> Callable:
+    """(number, count) of the phrases of each block that are being counted.
+    ``before`` is None in the first cycle: single words are counted then."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, old = (None if b is None else b.value for b in (now, before))
-        for batch in batches:
-            for row in range(batch.num_rows):
-                lang = batch.column("lang")[row].as_py()
-                names = batch.column("words")[row].values
-                words = names.to_pylist()
-                codes = np.frombuffer(batch.column("codes")[row].as_py(), np.int32)
-                for length, at, n in _active_phrases(words, lang, codes, bits, old, filter_bits, longest):
-                    if not len(at):
-                        continue
-                    parts = [names.take(pa.array(codes[at + i])) for i in range(length)]
-                    phrases = pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(at)), phrases, pa.array(np.full(len(at), length, np.int32)),
-                         pa.array(n.astype(np.int64))], names=["lang", "phrase", "len", "n"])
+        arrays = tuple(b.value for b in (now, before) if b is not None)
+        for _, _, lang, hashes, codes in _block_arrays(batches):
+            found = []
+            for length, _, number, through in _alive(lang, hashes, codes, arrays, filter_bits, longest):
+                if length == 1:
+                    found += [] if before is not None else [number]
+                else:
+                    found.append(number[through[0] & ~through[1]] if before is not None else number[through[0]])
+            ids, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            if len(ids):
+                yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(n.astype(np.int64))], names=["id", "n"])
     return run
 
 
-def _set_bits(bits: np.ndarray, reached: DataFrame, filter_bits: int) -> np.ndarray:
-    """``bits`` with those of the phrases added; at most one row a word of the
-    array reaches the driver."""
-    rows = arrow_map(reached.select("lang", "phrase"), _new_bits(filter_bits), "word bigint, bits bigint") \
-        .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = bits.copy()
-    at = rows.column("word").to_numpy()
-    out[at] |= rows.column("bits").to_numpy().view(np.uint64)
-    return out
+def _count_phrases(final, filter_bits: int, longest: int) -> Callable:
+    """(lang, phrase, length, count) of the phrases whose numbers are in the array."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = final.value
+        for batch, row, lang, hashes, codes in _block_arrays(batches):
+            words = batch.column("words")[row].values
+            for length, at, number, _ in _alive(lang, hashes, codes, (bits,), filter_bits, longest):
+                own = _has(bits, number, filter_bits)
+                parts = [words.take(pa.array(codes[at[own] + i])) for i in range(length)]
+                phrases = pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0]
+                counted = pc.value_counts(phrases)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(counted), pa.string()), counted.field("values").cast(pa.string()),
+                     pa.array(np.full(len(counted), length, np.int32)), counted.field("counts")],
+                    names=["lang", "phrase", "len", "n"])
+    return run
 
 
-def frequent_phrases(blocks: DataFrame, threshold: int, longest: int = LONGEST, shards: int = SHARDS,
-                     filter_bits: int = FILTER_BITS) -> tuple[DataFrame, list[int]]:
-    """(lang, phrase, len, n): every phrase of 1 to ``longest`` words that
-    occurs ``threshold`` times or more, with its exact count; and per step how
-    many distinct phrases were counted. The result is a union of written tables."""
-    spark = blocks.sparkSession
-    context = spark.sparkContext
+def reached_numbers(blocks: DataFrame, threshold: int, longest: int = LONGEST, shards: int = SHARDS,
+                    filter_bits: int = FILTER_BITS) -> tuple[list[DataFrame], int]:
+    """The interleaved scans: per step the numbers that reached ``threshold`` in
+    it (written tables with ``id``), and the number of steps."""
+    context = blocks.sparkSession.sparkContext
     history = [np.zeros(filter_bits // 64, np.uint64)]     # the bit array as each step found it
-    counting, finished, steps = None, [], []
-    step = 0
-    while True:
-        cycled = step >= shards
-        before = history[step - shards] if cycled else None
-        if cycled and np.array_equal(history[step], before):
-            break  # no phrase has begun in the last cycle
-        shared = [None if b is None or not b.any() else context.broadcast(b) for b in (history[step], before)]
-        if cycled and shared[1] is None:
-            shared[1] = context.broadcast(before)
-        found = arrow_map(blocks.where(F.col("shard") == step % shards),
-                          _count_blocks(*shared, filter_bits, longest), COUNTS) \
-            .select("*", F.lit(0).cast("bigint").alias("earlier"), F.lit(step).alias("since"))
-        if counting is not None:
-            found = found.unionByName(counting.select("lang", "phrase", "len", "n", F.col("n").alias("earlier"), "since"))
-        # A phrase that is first met at this step began its cycle now or before.
-        counts = materialize(found.groupBy("lang", "phrase").agg(
-            F.max("len").alias("len"), F.sum("n").alias("n"), F.max("earlier").alias("earlier"),
-            F.min("since").alias("since")), "phrase-counts")
+    counts, reached, step = [], [], 0
+    high = -(-threshold // shards)
+    while step < shards or not np.array_equal(history[step], history[step - shards]):
+        shared = [context.broadcast(history[step]), context.broadcast(history[step - shards]) if step >= shards else None]
+        scanned = blocks.where(F.col("shard") == step % shards).select("lang", "hashes", "codes")
+        found = arrow_map(scanned, _count_numbers(*shared, filter_bits, longest), NUMBERED)
+        counts.append(materialize(found.groupBy("id").agg(F.sum("n").alias("n")), "phrase-counts"))
+        cycle = counts[max(0, step - shards + 1):]
+        rows = cycle[0].select("id", "n", F.lit(len(cycle) == 1).alias("now"))
+        for i, c in enumerate(cycle[1:], 2):
+            rows = rows.unionByName(c.select("id", "n", F.lit(i == len(cycle)).alias("now")))
+        # Written first, so that Spark knows its size: few are broadcast.
+        some = materialize(rows.where(F.col("n") >= high).select("id").distinct(), "phrases-high")
+        total, new = F.sum("n"), F.coalesce(F.sum(F.when(F.col("now"), F.col("n"))), F.lit(0))
+        sums = rows.join(some, "id", "left_semi").groupBy("id").agg(total.alias("total"), new.alias("new"))
+        reached.append(materialize(sums.where((F.col("total") >= threshold) & (F.col("total") - F.col("new") < threshold))
+                                   .select("id"), "phrases-reached"))
         for b in shared:
             if b is not None:
                 b.unpersist()
-        steps.append(counts.count())
-        reached = counts.where((F.col("n") >= threshold) & (F.col("earlier") < threshold) & (F.col("len") < longest))
-        history.append(_set_bits(history[step], reached, filter_bits))
+        shorter = reached[step].where(F.col("id").bitwiseAND(F.lit(3)) < longest - 1)
+        history.append(_with_bits(history[step], shorter, filter_bits))
         if step >= shards:
             history[step - shards] = None
-        complete = F.col("since") <= step - shards + 1
-        finished.append(counts.where(complete & (F.col("n") >= threshold)).select("lang", "phrase", "len", "n"))
-        counting = counts.where(~complete).drop("earlier")
         step += 1
-    out = finished[0]
-    for part in [*finished[1:], counting.where(F.col("n") >= threshold).select("lang", "phrase", "len", "n")]:
-        out = out.unionByName(part)
-    return materialize(out, "frequent-phrases"), steps
+    return reached, step
+
+
+def frequent_phrases(blocks: DataFrame, threshold: int, longest: int = LONGEST, shards: int = SHARDS,
+                     filter_bits: int = FILTER_BITS) -> DataFrame:
+    """(lang, phrase, len, n): every phrase of 1 to ``longest`` words that
+    occurs ``threshold`` times or more, with its exact count; a written table."""
+    reached, _ = reached_numbers(blocks, threshold, longest, shards, filter_bits)
+    numbers = reached[0]
+    for part in reached[1:]:
+        numbers = numbers.unionByName(part)
+    bits = _with_bits(np.zeros(filter_bits // 64, np.uint64), numbers, filter_bits)
+    final = blocks.sparkSession.sparkContext.broadcast(bits)
+    found = arrow_map(blocks.select("lang", "words", "hashes", "codes"), _count_phrases(final, filter_bits, longest), COUNTS)
+    return materialize(found.groupBy("lang", "phrase").agg(F.max("len").alias("len"), F.sum("n").alias("n"))
+                       .where(F.col("n") >= threshold), "frequent-phrases")
 
 
 # ------------------------------------------------------------------- scoring
@@ -332,7 +332,7 @@ def collocations(docs: DataFrame, threshold: int = 30, top: int = 2000, fragment
     score. Ranks come from a range sort, not from one task a language."""
     blocks = word_blocks(docs, shards)
     totals = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    frequent, _ = frequent_phrases(blocks, threshold, longest, shards, filter_bits)
+    frequent = frequent_phrases(blocks, threshold, longest, shards, filter_bits)
     kept = without_fragments(materialize(scored_candidates(frequent), "candidates"), fragment_percent)
     ordered = kept.select("lang", "phrase", "a", "l", "r", "score", (-F.col("score")).alias("by_score"),
                           (-F.col("a")).alias("by_a"), F.lit(1).cast("bigint").alias("one"))

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martforge.llm import collocations as C
@@ -74,29 +75,38 @@ def test_counts_are_exact_and_interleaved(spark):
     rows = corpus(2, n=300)
     blocks = C.word_blocks(make(spark, rows), 4)
     blocks = C.materialize(blocks.withColumn("shard", C.F.expr("cast(pmod(xxhash64(codes), 4) as int)")), "t")
-    got, steps = C.frequent_phrases(blocks, 15)
+    got = C.frequent_phrases(blocks, 15)
     want = {(g, " ".join(p)): n for (g, p), n in phrase_counts(rows).items() if n >= 15}
     assert {(r.lang, r.phrase): r.n for r in got.collect()} == want
-    assert len(steps) < 16  # lengths one after the other would need four cycles
+    _, steps = C.reached_numbers(blocks, 15)
+    assert 4 < steps < 16  # lengths one after the other would need four cycles
 
 
 def test_a_phrase_is_counted_for_exactly_one_cycle():
-    """Whatever the bits are: monotone random bit arrays."""
+    """Whatever the bits are: growing random bit arrays."""
+    class Shared:
+        def __init__(self, value):
+            self.value = value
     rng = np.random.default_rng(3)
     words = [f"w{i}" for i in range(12)]
     codes = rng.integers(-1, 12, 4000).astype(np.int32)
+    batch = pa.RecordBatch.from_pylist([{"lang": "en", "hashes": C._word_hashes(words).tobytes(), "codes": codes.tobytes()}])
     bits, history = np.zeros(4, np.uint64), []
     for _ in range(16):
         history.append(bits.copy())
-        bits = bits | (np.uint64(1) << rng.integers(0, 64, 4).astype(np.uint64))
-    seen = Counter()
+        for _ in range(9):
+            bits = bits | (np.uint64(1) << rng.integers(0, 64, 4).astype(np.uint64))
+    seen, first = Counter(), {}
     for step in range(16):
-        for length, at, n in C._active_phrases(words, "en", codes, history[step] if step else None,
-                                               history[step - 4] if step >= 4 else None, 256, 4):
-            for i in at.tolist():
-                seen[tuple(codes[i:i + length])] += 1
-    assert seen and max(seen.values()) <= 4
-    assert Counter(v for p, v in seen.items() if len(p) == 1) == {4: 12}
+        before = Shared(history[step - 4]) if step >= 4 else None
+        for out in C._count_numbers(Shared(history[step]), before, 256, 4)([batch]):
+            for i, n in zip(out.column("id").to_pylist(), out.column("n").to_pylist()):
+                assert first.setdefault(i, (step, n))[1] == n and step < first[i][0] + 4
+                seen[i] += 1
+    assert Counter(n for i, n in seen.items() if i & 3 == 0) == {4: 12}
+    # Those that began early enough have been counted four times, in a row.
+    assert {seen[i] for i, (step, _) in first.items() if step <= 12} == {4}
+    assert {i & 3 for i in seen} == {0, 1, 2, 3}
 
 
 def test_long_text_many_languages_and_empty_table(spark):

@@ -49,3 +49,36 @@ def test_edge_rows(spark, documents, tmp_path):
     assert P.run(spark, str(tmp_path)).count() > 0
     for name, stage in P.STAGES:
         assert stage(spark, documents.limit(0), str(tmp_path)).count() == 0
+
+
+def internal_names():
+    """Every quoted word in the sources of the package that could name a column."""
+    import glob
+    import os
+    import re
+
+    import martforge.llm
+    found = set()
+    for path in [*glob.glob(os.path.dirname(martforge.llm.__file__) + "/*.py")]:
+        with open(path) as f:
+            source = f.read()
+        found |= set(re.findall(r'"([a-z_][a-z_0-9]{0,20})"', source)) | set(re.findall(r"\b(_[a-z][a-z_0-9]*)=", source))
+    return sorted(found - {"doc_id", "text", "lang", "source", "n_chars", "toxic_", "quality_"})
+
+
+def test_no_stage_touches_or_trips_over_extra_columns(spark, tmp_path):
+    docs = table(spark, SF_CHECK, "documents").where("doc_id < 120").unionByName(
+        spark.createDataFrame([(None, "no id at all", "en", "src1", 3)] * 7 + [(5, "again number five", "en", "src1", 9)],
+                              "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        .select(*table(spark, SF_CHECK, "documents").columns))
+    names = internal_names()
+    assert {"_row", "_own", "_id", "_copies", "_text", "fp", "ids", "kept"} <= set(names)
+    extra = docs.select("*", *[P.table.__globals__["F"].lit(f"value of {n}").alias(n) for n in names])
+    for name, stage in P.STAGES[:-1]:
+        want = Counter(map(tuple, stage(spark, docs, SF_CHECK).collect()))
+        out = stage(spark, extra, SF_CHECK)
+        assert out.columns == extra.columns, name
+        rows = out.collect()
+        assert Counter(tuple(r)[:5] for r in rows) == want, name
+        assert all(tuple(r)[5:] == tuple(f"value of {n}" for n in names) for r in rows), name
+    assert P.STAGES[-1][1](spark, extra, SF_CHECK).count() == extra.count()

@@ -49,5 +49,14 @@ def test_policy_keeps_good_documents(spark):
 
 
 def test_plan_is_native(spark):
-    plan = Q.judged(table(spark, SF_CHECK, "documents"))._jdf.queryExecution().executedPlan().toString()
+    rows = Q.measure(table(spark, SF_CHECK, "documents")).withColumn("fail_bits", Q.failure_bits())
+    plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_no_filter_evaluates_a_rule_again(spark):
+    rows = Q.judged(table(spark, SF_CHECK, "documents"))
+    for out in (rows, rows.filter("kept"), rows.filter("not base_failed").filter("kept"), Q.ablations(Q.ledger(rows.sparkSession.createDataFrame(
+            [(1, "a b c")], "doc_id bigint, text string")))):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "sort_array" not in plan and "text" not in plan
