@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,7 @@ CANDIDATES = 20_000        # documents that the texts without base spans are dra
 SAMPLE_DOCUMENTS = 600      # documents of each sort (with and without base spans) to train on
 CONTEXT = 12               # words kept on each side of a span in training
 NEGATIVE_WORDS = 60        # words of a training window without spans
-WINDOW_PIECES = 128        # pieces of a training window at most
+WINDOW_PIECES = 96         # pieces of a training window at most
 EPOCHS, RATE, PENALTY = 100, 0.1, 1e-3
 B, I, O = 0, 1, 2
 SLICE_BYTES = 6 << 20
@@ -61,6 +63,7 @@ _KEYWORDS = re.compile(rb"passw|secret|token|api_?key|credential|private|auth|be
 _PLAIN = re.compile(rb"[A-Z\x80-\xff]?[a-z\x80-\xff]{0,23}[.,;!?]?")
 _PIECE = re.compile(rb"[A-Z\x80-\xff]?[a-z\x80-\xff]+|[A-Z]+|[0-9]+|([^A-Za-z0-9\x80-\xff])\1*")
 _TRIM = "\"'`()[]{}<>,;:!?"
+_PADDING = re.compile(r"(?:={1,2}(?=$|[\s\"'`)\]},;]))?")   # of base 64, behind a value
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -130,18 +133,47 @@ def pieces(word: bytes) -> list[tuple[int, int]]:
     return [m.span() for m in _PIECE.finditer(word)]
 
 
+def _random_looking(part: bytes) -> bool:
+    """Whether letters and digits are mixed as in no word or number."""
+    digits = sum(48 <= c < 58 for c in part)
+    upper, lower = any(65 <= c < 91 for c in part), any(97 <= c < 123 for c in part)
+    changes = len(re.findall(rb"[0-9][A-Za-z]|[A-Za-z][0-9]|[a-z][A-Z]", part))
+    return len(part) >= 10 and bool(digits) and (upper or lower) and changes >= 3
+
+
 def piece_features(word: bytes) -> list[tuple[str, ...]]:
-    """The class of each piece of a word."""
+    """The class of each piece of a word: what it is, its place in its segment
+    (words are segmented at assignment signs, signs at the edges are apart), and
+    whether the segment looks random."""
     spots = pieces(word)
     if len(spots) == 1 and word_features(word) == ("plain",):
         return [("p-plain",)]
+    trim = _TRIM.encode()
+    core = word.strip(trim + b"=")
+    begin = word.index(core) if core else 0
+    stop = begin + len(core)
+    signs = [i for i, (a, b) in enumerate(spots) if word[a:a + 1] in (b"=", b":") and a < stop]
     out = []
     for i, (a, b) in enumerate(spots):
         part = word[a:b]
         kind = "digits" if part[:1].isdigit() else "upper" if part.isupper() else "letters" if part[:1].isalpha() or part[0] > 127 \
             else "sign" + part[:1].decode()
-        found = ["p-" + kind, f"p-size{min((b - a).bit_length(), 5)}",
-                 "p-only" if len(spots) == 1 else "p-first" if not i else "p-last" if i == len(spots) - 1 else "p-middle"]
+        found = ["p-" + kind, f"p-size{min((b - a).bit_length(), 5)}"]
+        left = next((spots[j][1] for j in reversed(signs) if j < i), begin)
+        right = next((spots[j][0] for j in signs if j > i), stop)
+        if a < begin or b > stop or i in signs:
+            found.append("p-edge")
+        else:
+            segment = word[left:right].strip(trim)
+            low = word.index(segment, left) if segment else left
+            random_looking = "random" if _random_looking(segment) else "ordinary"
+            place = "only" if a <= low and b >= low + len(segment) else "first" if a <= low \
+                else "last" if b >= low + len(segment) else "middle"
+            found += [f"p-{random_looking}", f"p-{random_looking}-{place}"]
+        if any(j < i for j in signs):
+            found.append("p-after-sign")
+        if any(j > i for j in signs):
+            found.append("p-before-sign")
         if _KEYWORDS.search(part):
             found.append("p-keyword")
         out.append(tuple(found))
@@ -169,29 +201,97 @@ class Field:
         return self.features, self.weights, self.bias, self.file, self.moves
 
 
-def add_roles(out: np.ndarray, classes: np.ndarray, tables: np.ndarray, roles: tuple,
-              starts: np.ndarray, lengths: np.ndarray) -> None:
-    """Add the scores of all roles over concatenated documents; neighbours
-    outside the document give nothing."""
-    place = np.arange(len(classes)) - np.repeat(starts, lengths)
-    rest = np.repeat(lengths, lengths) - 1 - place
-    for role, shift in roles:
-        ok = np.flatnonzero(place >= shift if shift >= 0 else rest >= -shift)
-        out[ok] += tables[classes[ok - shift], role]
+@dataclass
+class Pieces:
+    """The pieces of concatenated documents: classes by word and by piece, and
+    where words and documents begin."""
+    shapes: np.ndarray      # class of each word
+    parts: np.ndarray       # class of each piece
+    word: np.ndarray        # word of each piece
+    starts: np.ndarray      # by document: first word, number of words
+    lengths: np.ndarray
+    first: np.ndarray       # by document: first piece, number of pieces
+    sizes: np.ndarray
+    buckets: np.ndarray     # file bucket of each document
+
+    def scores(self, at: np.ndarray, tables: np.ndarray, field: Field) -> np.ndarray:
+        """(piece, tag) scores of the pieces ``at``; ``tables`` is (class, role,
+        tag). Neighbours outside the document give nothing."""
+        doc = np.searchsorted(self.first, at, side="right") - 1
+        out = field.bias + field.file[self.buckets[doc]]
+        for roles, here, classes, low, n in ((WORD_ROLES, self.word[at], self.shapes, self.starts[doc], self.lengths[doc]),
+                                             (PIECE_ROLES, at, self.parts, self.first[doc], self.sizes[doc])):
+            for role, shift in roles:
+                spot = here - shift
+                ok = np.flatnonzero((spot >= low) & (spot < low + n))
+                out[ok] += tables[classes[spot[ok]], role]
+        return out
 
 
-def emissions(words: np.ndarray, parts: np.ndarray, counts: np.ndarray, tables: np.ndarray, buckets: np.ndarray, field: Field,
-              starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(scores (piece, tag), starts, lengths in pieces) of concatenated
-    documents of ``words`` with ``counts`` pieces each. ``tables`` is (class,
-    role, tag)."""
-    by_word = np.zeros((len(words), 3)) + field.bias + np.repeat(field.file[buckets], lengths, axis=0)
-    add_roles(by_word, words, tables, WORD_ROLES, starts, lengths)
-    out = np.repeat(by_word, counts, axis=0)
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    sizes = ends[starts + lengths] - ends[starts]
-    add_roles(out, parts, tables, PIECE_ROLES, ends[starts], sizes)
-    return out, ends[starts], sizes
+def best_gain(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The most that a piece can add to a path by not being outside, whatever
+    its neighbours are."""
+    begin = scores[:, B] + moves[:, B].max()
+    inside = scores[:, I] + max(moves[B, I], moves[I, I])
+    return np.maximum(begin, inside) - scores[:, O] - moves[O, O]
+
+
+def possible_runs(gain: np.ndarray, leave: float, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of the runs of pieces that some secret of the best path may
+    cover. A secret over a range of pieces can add no more than the sum of their
+    gains and ``leave``; if that is below 0, being outside is better. So a piece
+    of no range with a sum of -leave or more is outside for certain."""
+    wall = np.zeros(len(gain) + len(first))        # a wall before each document keeps ranges inside
+    place = np.arange(len(gain)) + np.repeat(np.arange(len(first)), sizes) + 1
+    wall[place] = gain
+    limit = -1e4 - leave
+    wall[first + np.arange(len(first))] = limit
+
+    def ending(x: np.ndarray) -> np.ndarray:       # best sum of a range that ends at each place
+        total = np.cumsum(x)
+        return total - np.minimum.accumulate(np.concatenate([[0.0], total[:-1]]))
+    best = ending(wall) + ending(wall[::-1])[::-1] - wall
+    inside = (best[place] >= -leave - 1e-6).astype(np.int8)
+    edge = np.flatnonzero(np.diff(inside, prepend=0, append=0))
+    cuts = first[(first > 0) & (sizes > 0)]
+    cuts = cuts[(inside[cuts] & inside[cuts - 1]) == 1]   # runs of neighbouring documents
+    begin, end = np.sort(np.concatenate([edge[::2], cuts])), np.sort(np.concatenate([edge[1::2], cuts]))
+    return begin, end
+
+
+def decode(rows: Pieces, quiet: np.ndarray, tables: np.ndarray, field: Field, plain: int) -> np.ndarray:
+    """The best tags of all rows. ``quiet`` words are plain ones among plain
+    ones, whose scores are all alike; ``plain`` is a piece of one of them or -1.
+    Viterbi runs over the pieces that may be in a secret, with one piece outside
+    on each side: the result is that over whole documents."""
+    tags = np.full(len(rows.parts), O, np.int8)
+    loud = np.flatnonzero(~quiet[rows.word])
+    gain = np.zeros(len(tags))
+    if plain >= 0:
+        doc = np.searchsorted(rows.first, plain, side="right") - 1
+        alike = rows.scores(np.array([plain]), tables, field) - field.file[rows.buckets[doc]] + field.file
+        gain = np.repeat(best_gain(alike, field.moves)[rows.buckets], rows.sizes)
+    scores = rows.scores(loud, tables, field)
+    gain[loud] = best_gain(scores, field.moves)
+    # Nothing comes before the first piece of a document, which is never quiet.
+    opening = np.isin(loud, rows.first)
+    gain[loud[opening]] = scores[opening, B] - scores[opening, O]
+    leave = max(0.0, *(field.moves[[B, I], O] - field.moves[O, O]))
+    begin, end = possible_runs(gain, leave, rows.first, rows.sizes)
+    if not len(begin):
+        return tags
+    doc = np.searchsorted(rows.first, begin, side="right") - 1
+    low, high = np.maximum(begin - 1, rows.first[doc]), np.minimum(end + 1, rows.first[doc] + rows.sizes[doc])
+    n = high - low
+    starts = np.cumsum(n) - n
+    at = np.arange(int(n.sum())) + np.repeat(low - starts, n)
+    found = rows.scores(at, tables, field)
+    out = np.ones(len(at), bool)
+    out[:] = (at < np.repeat(begin, n)) | (at >= np.repeat(end, n))
+    found[out] = FORBIDDEN, FORBIDDEN, 0.0
+    inner = viterbi(found, field.moves, starts, n)
+    tags[at[~out]] = inner[~out]
+    return tags
 
 
 def viterbi(scores: np.ndarray, moves: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -301,14 +401,22 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def training_window(text: str, seed: int) -> tuple[list[bytes], list[int], int]:
+def secret_values(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the values of the base spans, sorted."""
+    values = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LENGTH]
+    return sorted({*values, *((a, b) for a, kind, b in base_spans(text) if kind)})
+
+
+def training_window(text: str, seed: int, values: list[tuple[int, int]] | None = None,
+                    at: int | None = None) -> tuple[list[bytes], list[int], int]:
     """Words, tags of their pieces and file bucket of one window of a text:
-    around its first base span that has a value, or at a place given by ``seed``."""
+    around its first value (or ``at``), or else at a place given by ``seed``."""
     spots = [(m.start(), m.end(), m.group().encode()) for m in _WORD.finditer(text)]
     shares = sum(word_features(w) != ("plain",) for _, _, w in spots) / max(1, len(spots))
-    values = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LENGTH]
-    values += [(a, b) for a, kind, b in base_spans(text) if kind]
+    values = secret_values(text) if values is None else values
     marked = next((i for i, (a, b, _) in enumerate(spots) if any(a < v[1] and v[0] < b for v in values)), None)
+    if at is not None:
+        marked = next((i for i, (_, b, _) in enumerate(spots) if b > at), None)
     if marked is not None:
         a, b = max(0, marked - CONTEXT), marked + CONTEXT + 1
     else:
@@ -327,6 +435,63 @@ def training_window(text: str, seed: int) -> tuple[list[bytes], list[int], int]:
     return [w for _, _, w in spots[a:b]], tags, file_bucket(shares)
 
 
+_MIXED = "abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789"
+
+
+def drawn_secret(draw: random.Random) -> str:
+    """A value in one of the usual layouts of keys and tokens."""
+    def run(signs: str, low: int, high: int) -> str:
+        return "".join(draw.choices(signs, k=draw.randint(low, high)))
+    prefix = run("abcdefghijklmnopqrstuvwxyz", 2, 5)
+    return draw.choice([
+        lambda: run("0123456789abcdef", 24, 64), lambda: run("0123456789ABCDEF", 24, 64), lambda: run(_MIXED, 16, 48),
+        lambda: run(_MIXED + "+/", 24, 60) + draw.choice(["", "=", "=="]), lambda: f"{prefix}_{run(_MIXED, 16, 40)}",
+        lambda: f"{prefix}_{draw.choice(['live', 'test', 'prod'])}_{run(_MIXED, 16, 32)}",
+        lambda: f"{prefix}-{run('0123456789', 9, 13)}-{run('0123456789', 9, 13)}-{run(_MIXED, 20, 32)}",
+        lambda: f"{run(_MIXED + '_-', 20, 40)}.{run(_MIXED + '_-', 30, 80)}.{run(_MIXED + '_-', 30, 50)}",
+        lambda: run(_MIXED + "!#%^&*+-_", 12, 24)])()
+
+
+def drawn_harmless(draw: random.Random, words: list[str]) -> str:
+    """Something that is no plain word and no secret."""
+    def number(n: int) -> str:
+        return "".join(draw.choices("0123456789", k=n))
+    def word() -> str:
+        return draw.choice(words)
+    return draw.choice([
+        lambda: number(draw.randint(1, 16)), lambda: f"{number(draw.randint(1, 3))}.{number(2)}",
+        lambda: f"20{number(2)}-{draw.randint(1, 12):02d}-{draw.randint(1, 28):02d}", lambda: f"+{number(2)} {number(3)} {number(7)}",
+        lambda: f"https://www.{word()}.com/{word()}/{word()}-{number(4)}", lambda: f"{word()}.{word()}@{word()}.org",
+        lambda: f"/usr/{word()}/{word()}/{word()}.txt", lambda: f"{word()}_{word()}_{word()}", lambda: f"{word()}{word().title()}{word().title()}",
+        lambda: f"v{draw.randint(0, 9)}.{draw.randint(0, 20)}.{draw.randint(0, 9)}", lambda: f"#{number(6)}", lambda: f"{word()}{draw.choice(['***', '$$$', '%%%', '&&&', '!!!'])}",
+        lambda: f"{word()}-{word()}-{word()}", lambda: f"({word()})", lambda: f"{word().upper()}-{number(4)}", lambda: f"| {word()} | {number(3)} |"])()
+
+
+def redrawn_windows(text: str, seed: int) -> list[tuple[list[bytes], list[int], int]]:
+    """The surroundings of a text's first value with other wording: secrets of
+    other layouts without any key word, and harmless things in the same places,
+    so that the field learns what values and their places look like."""
+    values = secret_values(text)
+    words = [m.group() for m in re.finditer(r"[a-z]{2,12}", text[:20_000])][:400] or ["value"]
+    draw = random.Random(seed)
+    if values:
+        a, b = values[0]
+        key = next((m.start() for m in ASSIGN.finditer(text) if m.start(2) == a), a)
+    else:
+        spots = [m.span() for m in _WORD.finditer(text)] or [(0, 0)]
+        key, b = spots[seed % len(spots)]
+    out = []
+    for secret in (True, False):
+        name = draw.choice([draw.choice(words), f"{draw.choice(words)}_{draw.choice(words)}", draw.choice(words).upper(), ""])
+        sign = draw.choice([" = ", "=", ": ", " ", ":", " => "]) if name else ""
+        quote = draw.choice(["", "", '"', "'"])
+        new = drawn_secret(draw) if secret else drawn_harmless(draw, words)
+        start = key + len(name) + len(sign) + len(quote)
+        changed = f"{text[:key]}{name}{sign}{quote}{new}{quote}{text[b:]}"
+        out.append(training_window(changed, seed, [(start, start + len(new))] if secret else [], start))
+    return out
+
+
 def roles_of(words: list[bytes], tags: list[int]) -> tuple[list[tuple[tuple[str, ...], ...]], list[int]]:
     """The classes in every role of the pieces of a window, and their tags; at
     most WINDOW_PIECES about the first secret."""
@@ -343,8 +508,10 @@ def roles_of(words: list[bytes], tags: list[int]) -> tuple[list[tuple[tuple[str,
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [training_window(t, int(k, 16)) for t, k in zip(batch.column("text").to_pylist(),
-                                                              batch.column("spot").to_pylist())]
+        rows = []
+        for text, spot in zip(batch.column("text").to_pylist(), batch.column("spot").to_pylist()):
+            rows.append(training_window(text, int(spot, 16)))
+            rows += redrawn_windows(text, int(spot, 16)) if secret_values(text) else redrawn_windows(text, int(spot, 16))[1:]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.list_(pa.binary())), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
              pa.array([r[2] for r in rows], pa.int32())], names=["words", "tags", "bucket"])
@@ -363,16 +530,16 @@ def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, candidates: int =
     for word in ("passw", "secret", "token", "api"):
         hint = hint | low.contains(word)
     hit = (hint & F.col("text").rlike(_HINT)) | F.col("text").rlike("AKIA[A-Z0-9]{12}") | F.col("text").rlike("[0-9a-f]{32}")
-    # Only ids and hashes are exchanged; copies of a text count once.
-    found = rows.filter(hit).select("doc_id", digest.alias("digest")).groupBy("digest").agg(F.min("doc_id").alias("doc_id")) \
-        .orderBy("digest").limit(documents)
-    drawn = rows.select("doc_id").distinct().orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(candidates)
+    # The texts are searched once; ids and hashes are all that is exchanged. Copies of a text count once.
+    marks = materialize(rows.select("doc_id", digest.alias("digest"), hit.alias("hit")), "secret-marks")
+    drawn = marks.select("doc_id").distinct().orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(candidates)
     # The limits bound the broadcast sides.
-    positive = rows.join(F.broadcast(found), "doc_id").filter(digest == F.col("digest")).select("text").distinct()
-    negative = rows.join(F.broadcast(drawn), "doc_id", "left_semi").filter(~hit).select("text").distinct()
-    spot = F.substring(digest, 1, 8).alias("spot")
-    sample = positive.select("text", spot).unionByName(negative.select("text", spot).orderBy("spot").limit(documents))
-    sample = materialize(sample, "secret-sample")
+    without = marks.filter("not hit").join(F.broadcast(drawn), "doc_id", "left_semi")
+    chosen = [found.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).orderBy("digest").limit(documents)
+              for found in (marks.filter("hit"), without)]
+    chosen = materialize(chosen[0].unionByName(chosen[1]), "secret-chosen")
+    sample = rows.withColumn("digest", digest).join(F.broadcast(chosen), ["doc_id", "digest"], "left_semi") \
+        .dropDuplicates(["digest"]).select("text", F.substring("digest", 1, 8).alias("spot"))
     windows = arrow_map(sample, _windows, "words array<binary>, tags array<int>, bucket int").collect()
     windows = sorted((tuple(bytes(w) for w in r["words"]), tuple(r["tags"]), r["bucket"]) for r in windows if r["words"])
     return train([(*roles_of(words, tags), bucket) for words, tags, bucket in windows])
@@ -447,16 +614,28 @@ class Scanner:
         if self.field is None or not len(entries):
             return out
         starts = np.cumsum(lengths) - lengths
-        odd = np.concatenate([[0], np.cumsum(entries != 0)])  # entry 0 is the plain word
+        loud = entries != 0  # entry 0 is the plain word
+        odd = np.concatenate([[0], np.cumsum(loud)])
         shares = (odd[starts + lengths] - odd[starts]) / np.maximum(1, lengths)
         buckets = np.array([file_bucket(x) for x in shares.tolist()])
         shape, count, first, known = (np.array(x, np.int64) for x in (self.shape, self.count, self.first, self.parts))
         counts = count[entries]
         begins = np.cumsum(counts) - counts
         parts = known[np.repeat(first[entries] - begins, counts) + np.arange(int(counts.sum()))]
-        scores, part_starts, part_lengths = emissions(shape[entries], parts, counts, np.array(self.tables), buckets, self.field,
-                                                      starts, lengths)
-        tags = viterbi(scores, self.field.moves, part_starts, part_lengths)
+        ends = np.concatenate([begins, [len(parts)]])
+        word_of = np.repeat(np.arange(len(entries)), counts)
+        rows = Pieces(shape[entries], parts, word_of, starts, lengths, ends[starts], ends[starts + lengths] - ends[starts], buckets)
+        # Words with another than plain words up to two places away, or the edge of their text.
+        near = np.flatnonzero(loud)
+        filled = lengths > 0
+        edges = np.concatenate([starts[filled], starts[filled] + lengths[filled] - 1])
+        quiet = np.ones(len(entries), bool)
+        for shift in (-2, -1, 0, 1, 2):
+            quiet[np.clip(near + shift, 0, len(entries) - 1)] = False
+            if abs(shift) < 2:
+                quiet[np.clip(edges + shift, 0, len(entries) - 1)] = False
+        calm = np.flatnonzero(quiet)
+        tags = decode(rows, quiet, np.array(self.tables), self.field, int(begins[calm[0]]) if len(calm) else -1)
         marked = np.flatnonzero(tags != O)
         words = np.searchsorted(begins, marked, side="right") - 1
         owner = np.searchsorted(starts, words, side="right") - 1
@@ -489,6 +668,8 @@ class Scanner:
                         a += 1
                     while a < b and text[b - 1] in _TRIM:
                         b -= 1
+                    if a < b:
+                        b += len(_PADDING.match(text, b).group())
                     added += [(x, y) for x, y in outside(a, b, base) if text[x:y].strip(_TRIM + "=")]
             out.append((base, added))
         return out
