@@ -12,11 +12,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize, new_work_dir
 
 __all__ = ["table", "materialize", "new_work_dir", "binary_view", "null_mask", "ranged_running_sum", "arrow_map", "share_code",
-           "shuffle_partitions", "text_or_empty"]
+           "shuffle_partitions", "text_or_empty", "packed", "unused_name", "with_fields"]
 
 #: The word separators of the package: blank and the ASCII controls 9-13.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -43,12 +44,31 @@ def share_code(spark: SparkSession) -> None:
     _SHARED.add(context.applicationId)
 
 
-def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with the package importable in the workers."""
     share_code(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
+def packed(rows: DataFrame, **derived: Column) -> DataFrame:
+    """The caller's rows as one column ``_row`` beside derived ones, so that no
+    column of theirs can clash with a name used here; ``_row.*`` unpacks them."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row")
+    return rows.select(whole, *[column.alias(name) for name, column in derived.items()])
+
+
+def unused_name(rows: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column has it in any case."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_fields(schema: T.StructType, **kinds: T.DataType) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(n, k) for n, k in kinds.items())])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy scan of one input table (schema from its footers)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -100,8 +120,7 @@ def ranged_running_sum(df: DataFrame, order: list[str], value: str, group: str |
     keyed = df.withColumn("_tie", F.monotonically_increasing_id())
     ranged = keyed.repartitionByRange(shuffle_partitions(spark), *order, "_tie") \
         .sortWithinPartitions(*order, "_tie").drop("_tie")
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in ranged.schema.fields)}, " \
-             "_part int, _cum bigint"
+    schema = with_fields(ranged.schema, _part=T.IntegerType(), _cum=T.LongType())
     local = materialize(arrow_map(ranged, _local_running(value, group), schema), "running")
     by = ["_part"] + ([group] if group else [])
     sums = local.groupBy(*by).agg(F.max("_cum").alias("_sum"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, binary_view, materialize, text_or_empty
+from .common import arrow_map, binary_view, materialize, packed, text_or_empty
 
 CHUNK_BITS = 12          # a cut at every 2**12 bytes on average
 MAX_CHUNK = 1 << 16      # a longer chunk is cut at multiples of this size
@@ -188,8 +188,8 @@ def keep_exact_unique(docs: DataFrame) -> DataFrame:
     dropped = materialize(dropped, "dropped-copies")
     # Rows that repeat both doc_id and text: one of them stays.
     repeated = materialize(dropped.filter("_rows > 1 and _kept = 1").select("_id", "_sum"), "repeated-rows")
-    keyed = docs.withColumn("_own", F.sha2(text_or_empty(), 256))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sum"))
+    keyed = packed(docs, _doc=F.col("doc_id"), _own=F.sha2(text_or_empty(), 256))
+    on = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sum"))
     single = keyed.join(dropped.select("_id", "_sum"), on, "left_anti")
-    repeats = keyed.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "_own"])
-    return single.unionByName(repeats).select(*docs.columns)
+    repeats = keyed.join(repeated, on, "left_semi").dropDuplicates(["_doc", "_own"])
+    return single.unionByName(repeats).select("_row.*")

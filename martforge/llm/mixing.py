@@ -21,10 +21,10 @@ size are interchangeable; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, ranged_running_sum, text_or_empty
+from .common import WORD, materialize, packed, ranged_running_sum, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -107,16 +107,20 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int =
     size) are interchangeable for the mix but may differ in other columns;
     they share the copies that fell to them in order of text."""
     decided = mix(docs, weights, max_epochs, seed)
-    per = decided.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-                          F.col("size").alias("_words")) \
-        .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).filter("_copies > 0")
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) \
+    # Written: it is small, read twice, and Spark then knows its size.
+    per = materialize(decided.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_words"))
+                      .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).filter("_copies > 0"), "copies")
+    on = F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_from").eqNullSafe(F.col("_source")) \
         & (F.col("_own") == F.col("_words"))
-    joined = docs.withColumn("_own", word_count()).join(per, on)
-    single = joined.filter("_rows = 1").withColumn("_n", F.col("_copies"))
-    ties = joined.filter("_rows > 1")
-    spot = F.row_number().over(Window.partitionBy("_id", "_source", "_words").orderBy(text_or_empty())) - 1
-    ties = ties.withColumn("_n", F.floor(F.col("_copies") / F.col("_rows"))
-                           + F.when(spot < F.col("_copies") % F.col("_rows"), 1).otherwise(0))
-    rows = single.unionByName(ties).filter("_n > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*docs.columns)
+    keyed = packed(docs, _doc=F.col("doc_id"), _from=F.col("source"), _own=word_count(), _text=text_or_empty())
+    rows = keyed.drop("_text").join(per.filter("_rows = 1"), on).select("_row", F.col("_copies").alias("_n"))
+    if not per.filter("_rows > 1").isEmpty():
+        # Ranked by a range sort: such a group may hold any share of the rows.
+        ties = keyed.join(per.filter("_rows > 1"), on).select(
+            "_row", "_text", "_copies", "_rows", F.to_json(F.struct("_id", "_source", "_words")).alias("_group"),
+            F.lit(1).cast("long").alias("_one"))
+        ranked = ranged_running_sum(ties, ["_group", "_text"], "_one", "_group")
+        extra = F.when(F.col("running") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
+        rows = rows.unionByName(ranked.select("_row", (F.floor(F.col("_copies") / F.col("_rows")) + extra).alias("_n")))
+    return rows.filter("_n > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy")) \
+        .select("_row.*")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, text_or_empty
+from .common import SPACE_CHARS, materialize, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 
@@ -88,8 +88,10 @@ def failure_bits() -> Column:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """Measurements and ``fail_bits`` of every document, each rule once."""
-    return measure(docs).withColumn("fail_bits", failure_bits())
+    """Measurements and ``fail_bits`` of every document, each rule once: a
+    written table in the shared folder. Policies, filters and ablations read
+    its few numbers; none of them evaluates a rule again."""
+    return materialize(measure(docs).withColumn("fail_bits", failure_bits()), "quality-ledger")
 
 
 def apply_policy(rows: DataFrame, policy: str = CURRENT, out: str = "kept") -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, binary_view, materialize, text_or_empty
+from .common import arrow_map, binary_view, materialize, packed, text_or_empty
 
 BITS = 64
 SEED = 42
@@ -191,24 +191,25 @@ def keep_first_of_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) ->
     # written first, so that Spark knows their size: few are broadcast and the
     # texts stay where they are.
     special = materialize(special, "special-ids")
-    on = F.col("doc_id").eqNullSafe(F.col("_id"))
-    single = docs.join(special.select("_id"), on, "left_anti")
+    keyed = packed(docs, _doc=F.col("doc_id"))
+    on = F.col("_doc").eqNullSafe(F.col("_id"))
+    single = keyed.join(special.select("_id"), on, "left_anti")
     repeated = materialize(special.filter("_heads > 0").select("_id"), "repeated-ids")
-    again = docs.join(repeated, on, "left_semi")
-    heads = groups.filter("doc_id <=> component_id").join(repeated, on, "left_semi")
-    return single.unionByName(_one_of_repeated_ids(again, heads, shingle))
+    again = packed(docs, _doc=F.col("doc_id"), _own_text=text_or_empty()).join(repeated, on, "left_semi")
+    heads = groups.filter("doc_id <=> component_id").join(repeated, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return single.select("_row").unionByName(_one_of_repeated_ids(again, heads, shingle)).select("_row.*")
 
 
 def _one_of_repeated_ids(rows: DataFrame, heads: DataFrame, shingle: int) -> DataFrame:
-    """The kept rows among those whose doc_id is repeated or null."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    texts = rows.select("doc_id", text_or_empty().alias("text")).distinct()
+    """The kept ones among the packed rows whose doc_id is repeated or null."""
+    kind = rows.schema["_doc"].dataType.simpleString()
+    texts = rows.select(F.col("_doc").alias("doc_id"), F.col("_own_text").alias("text")).distinct()
     printed = arrow_map(texts, _fingerprinter_with_text(shingle), f"_id {kind}, _text string, _fp bigint")
     heads = heads.select(F.col("fp").alias("_print"), F.col("doc_id").alias("_own"), F.col("root").alias("_root")).distinct()
     heads = printed.join(heads, (F.col("_fp") == F.col("_print")) & F.col("_id").eqNullSafe(F.col("_own")))
     first = heads.groupBy("_id", "_root").agg(F.min("_text").alias("_text")).select("_id", "_text")
-    return rows.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_or_empty() == F.col("_text")), "left_semi") \
-        .withColumn("_text", text_or_empty()).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return rows.join(first, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own_text") == F.col("_text")), "left_semi") \
+        .dropDuplicates(["_doc", "_own_text"]).select("_row")
 
 
 def _fingerprinter_with_text(shingle: int) -> Callable:

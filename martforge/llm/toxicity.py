@@ -40,8 +40,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import arrow_map, materialize, text_or_empty
+from .common import arrow_map, materialize, text_or_empty, unused_name, with_fields
 
 SAMPLE_ROWS = 16_000      # labelled rows that the lexicon and the weights are fitted on
 CANDIDATE_TERMS = 10_000  # strongest terms that the lexicon is chosen from
@@ -473,20 +474,19 @@ def learn(docs: DataFrame, labels: DataFrame,
     return terms, fit_weights(x[order], y[order]), near
 
 
-def _scorer(terms, weights, near) -> Callable:
+def _scorer(name: str, terms, weights, near) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(terms, weights, near)
         for batch in batches:
             scores = [scorer.score(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())],
-                                             names=[*batch.schema.names, "_score"])
+                                             names=[*batch.schema.names, name])
     return run
 
 
-def with_scores(docs: DataFrame, model: tuple) -> DataFrame:
-    """``docs`` with ``_score`` added."""
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "_score double"])
-    return arrow_map(docs, _scorer(*model), schema)
+def with_scores(docs: DataFrame, model: tuple, name: str = "_score") -> DataFrame:
+    """``docs`` with the score added under ``name``, which no column may have."""
+    return arrow_map(docs, _scorer(name, *model), with_fields(docs.schema, **{name: T.DoubleType()}))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -498,5 +498,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns."""
-    scored = with_scores(docs, learn(docs, labels))
-    return scored.filter(F.col("_score") < threshold).drop("_score")
+    name = unused_name(docs, "_score")
+    return with_scores(docs, learn(docs, labels), name).filter(F.col(name) < threshold).drop(name)
