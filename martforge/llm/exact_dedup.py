@@ -11,8 +11,9 @@ task and compared. Should two different chunks ever share a fingerprint,
 their recipes hold the chunk bytes instead, so the comparison stays exact.
 
 Defined results: a null text counts as empty; a null doc_id sorts below all
-others; of rows that repeat both text and doc_id exactly one stays; other
-columns of the input are ignored, whatever their names.
+others; of rows that repeat both text and doc_id exactly one stays; texts of
+any length are chunked whole; an empty table gives no rows; other columns of the
+input are ignored, whatever their names.
 """
 
 from __future__ import annotations

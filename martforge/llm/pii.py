@@ -17,7 +17,8 @@ a digit are passed through.
 
 Defined results: a null text stays null with no finds; a candidate that fails
 its validation is left as it is; rows with a null doc_id and repeated rows
-each get their row; other columns are ignored.
+each get their row; texts of any length are read whole; equal values get equal
+pseudonyms; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ the row: triples are sorted by hash and words, equal neighbours are marked,
 and the marked positions are counted with their overlaps removed.
 
 Defined results: a null text has no words, all measurements 0; rows with a
-null doc_id and repeated rows each get their row; other columns are ignored.
+null doc_id and repeated rows each get their row; texts of any length are
+measured whole; no measurement has ties; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations

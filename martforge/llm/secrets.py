@@ -7,16 +7,23 @@ the words around it and features of the file, decoded by Viterbi. Words are
 split into pieces at signs and changes of case or digits; ordinary words are
 one piece.
 It is trained on a bounded sample of documents whose base spans give the
-tags, and adds the secrets whose wording the patterns do not know.
+tags, each as it is written and with other wording: a value of another layout
+without any key word, and something harmless in its place. So it learns what
+values and their places look like, and adds the secrets whose wording the patterns
+do not know.
 
 Words and pieces are reduced to classes (their shape features); a worker
 remembers those of a word. Emission scores are table look-ups by class for the
-word, the piece and their neighbours, and Viterbi runs over all documents of a
-slice at once, one piece a step, so whole texts are tagged at array speed.
+word, the piece and their neighbours. What a piece can add to a path at most is
+known from its scores; where no range of pieces can make up for not being
+outside, all are outside, and Viterbi runs over the rest only, many ranges at
+once. The tags are those of Viterbi over whole documents.
 
 Defined results: a null text is empty and has no span; spans are in code
 points, end exclusive; rows with a null doc_id and repeated rows each get
-their row; other columns are ignored.
+their row; texts of any length are tagged whole; of equally good tag sequences
+the one that begins a secret first is taken; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations

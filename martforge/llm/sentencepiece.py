@@ -17,7 +17,9 @@ nodes are solved alone and kept by their text, up to a bound.
 
 Defined results: a null text is encoded as the empty text (no ids); decoding
 restores every text except that U+2581 comes back as a blank, the model's own
-rule; other columns are ignored.
+rule; rows with a null doc_id and repeated rows each get their row; texts of any
+length are encoded whole; equal paths are settled as in the public library; an
+empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ these links come from distributed min-label rounds.
 
 Defined results: a null or wordless text has fingerprint zero and is linked
 like any other; rows with a null doc_id take part and count as larger than
-every doc_id; repeated rows each get their row; other columns are ignored.
+every doc_id; repeated rows each get their row; texts of any length and groups of
+any size are taken whole; an empty table gives no rows; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -24,7 +24,9 @@ held out and never read for learning.
 
 Defined results: a null or empty text has no hits and gets the score of a
 text without hits; a null doc_id is not held out; without labelled rows of
-both kinds the score is 0; other columns are ignored.
+both kinds the score is 0; repeated rows each get their row, equal texts equal
+scores; texts of any length are read whole; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ repeat is found from digests alone, so a hot payload never meets in one task.
 Defined results: a null payload is empty; a null page_id counts as larger
 than every other; all rows that carry the smallest page_id of a payload are
 responses; a null url is left out; line breaks in a url are percent-encoded;
-other columns are ignored.
+texts of any length are one payload; equal rows are
+records of their own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
