@@ -17,8 +17,8 @@ hit costs a counted phrase more, never a wrong count.
 
 While shards are scanned, phrases go by a 64-bit number (hash and length), so a
 step moves two numbers a phrase, and its counts are written once. Of the last
-cycle's counts only those of phrases with a high count in some shard are added
-up: a sum of ``threshold`` over the shards has one of threshold / shards or more.
+cycle's counts only those of phrases with a high count in some shard are moved and
+added up (a second bit array tells which): a sum of ``threshold`` over the shards has one of threshold / shards or more.
 Two phrases with one number could only make it reach the threshold too early. A
 last scan counts the phrases themselves whose numbers reached it, so that all
 results are exact counts of texts.
@@ -227,6 +227,18 @@ def _count_numbers(now, before, filter_bits: int, longest: int) -> Callable:
     return run
 
 
+def _rows_with_bits(some, filter_bits: int) -> Callable:
+    """The rows whose ``id`` is in the array."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = some.value
+        for batch in batches:
+            number = batch.column("id").to_numpy(zero_copy_only=False).view(np.uint64)
+            hit = _has(bits, number, filter_bits)
+            if hit.any():
+                yield batch.filter(pa.array(hit))
+    return run
+
+
 def _count_phrases(final, filter_bits: int, longest: int) -> Callable:
     """(lang, phrase, length, count) of the phrases whose numbers are in the array."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,22 +264,26 @@ def reached_numbers(blocks: DataFrame, threshold: int, longest: int = LONGEST, s
     context = blocks.sparkSession.sparkContext
     history = [np.zeros(filter_bits // 64, np.uint64)]     # the bit array as each step found it
     counts, reached, step = [], [], 0
-    high = -(-threshold // shards)
+    high, high_bits = -(-threshold // shards), np.zeros(filter_bits // 64, np.uint64)
     while step < shards or not np.array_equal(history[step], history[step - shards]):
         shared = [context.broadcast(history[step]), context.broadcast(history[step - shards]) if step >= shards else None]
         scanned = blocks.where(F.col("shard") == step % shards).select("lang", "hashes", "codes")
-        found = arrow_map(scanned, _count_numbers(*shared, filter_bits, longest), NUMBERED)
+        found = arrow_map(scanned, _count_numbers(*shared[:2], filter_bits, longest), NUMBERED)
         counts.append(materialize(found.groupBy("id").agg(F.sum("n").alias("n")), "phrase-counts"))
         cycle = counts[max(0, step - shards + 1):]
         rows = cycle[0].select("id", "n", F.lit(len(cycle) == 1).alias("now"))
         for i, c in enumerate(cycle[1:], 2):
             rows = rows.unionByName(c.select("id", "n", F.lit(i == len(cycle)).alias("now")))
-        # Written first, so that Spark knows its size: few are broadcast.
-        some = materialize(rows.where(F.col("n") >= high).select("id").distinct(), "phrases-high")
+        # Numbers with a high count in some shard; others that the bits let through
+        # by chance cost a row, as the sums are exact.
+        high_bits = _with_bits(high_bits, counts[step].where(F.col("n") >= high), filter_bits)
+        some = context.broadcast(high_bits)
         total, new = F.sum("n"), F.coalesce(F.sum(F.when(F.col("now"), F.col("n"))), F.lit(0))
-        sums = rows.join(some, "id", "left_semi").groupBy("id").agg(total.alias("total"), new.alias("new"))
+        sums = arrow_map(rows, _rows_with_bits(some, filter_bits), "id bigint, n bigint, now boolean") \
+            .groupBy("id").agg(total.alias("total"), new.alias("new"))
         reached.append(materialize(sums.where((F.col("total") >= threshold) & (F.col("total") - F.col("new") < threshold))
                                    .select("id"), "phrases-reached"))
+        shared.append(some)
         for b in shared:
             if b is not None:
                 b.unpersist()
