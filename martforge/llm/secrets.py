@@ -592,6 +592,9 @@ class Scanner:
         return found
 
     def entry_of(self, word: bytes) -> int:
+        if self.entries and _PLAIN.fullmatch(word) and not _KEYWORDS.search(word):
+            self.words[word] = 0  # most words: the entry of the plain word
+            return 0
         key = (self.class_of(word_features(word)), *map(self.class_of, piece_features(word)))
         found = self.entries.get(key)
         if found is None:
