@@ -72,7 +72,7 @@ def test_model_and_predictions_equal_brute_force(spark, documents):
             continue
         grams = list(plain_grams(plain_letters(text)))
         z = np.mean([weights[g] for g in grams], axis=0) * model.slope + model.shift
-        loss = [sum(math.log1p(math.exp(-v * c)) * w for v, c, w in zip(z, code[j], model.trust[j])) for j in range(len(names))]
+        loss = [sum(float(np.logaddexp(0, -v * c)) * w for v, c, w in zip(z, code[j], model.trust[j])) for j in range(len(names))]
         best = loss.index(min(loss))
         want.append((i, held, names[best], 1 / sum(math.exp(min(loss) - x) for x in loss)))
     want.sort(key=str)
