@@ -55,7 +55,6 @@ SHARDS = 4
 FILTER_BITS = 1 << 26          # 8 MB
 BLOCK_BYTES = 4 << 20          # text in a block; a longer text is a block of its own
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = -1                     # code between two pieces
 BLOCKS = "lang string, words array<string>, hashes binary, codes binary, n_words bigint, shard int"
 NUMBERED = "id bigint, n bigint"
@@ -67,7 +66,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 def _codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The distinct words of the texts and their codes in order, with BREAK
     between pieces and between texts."""
-    marked = pc.replace_substring_regex(texts, PIECE_ENDS, " . ")      # no word holds a full stop any more
+    marked = pc.replace_substring_regex(pc.ascii_lower(texts), PIECE_ENDS, " . ")   # no word holds a full stop any more
     marked = pc.binary_join_element_wise(pc.replace_substring(marked, "\t", " "), pa.scalar("."), " ")
     words = pc.split_pattern(marked, " ").flatten()
     words = words.filter(pc.not_equal(words, "")).dictionary_encode()
@@ -124,7 +123,7 @@ def word_blocks(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Blocks of coded words by language, in a table partitioned by shard."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                        F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER).alias("text"))
+                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     path = new_work_dir(spark, "intermediate/word-blocks")
     arrow_map(texts, _block_maker(shards), BLOCKS).write.partitionBy("shard").parquet(path)
     return spark.read.schema(BLOCKS).parquet(path)
@@ -286,7 +285,7 @@ def reached_numbers(blocks: DataFrame, threshold: int, longest: int = LONGEST, s
         shared.append(some)
         for b in shared:
             if b is not None:
-                b.unpersist()
+                b.destroy()  # the step's tables are written: nothing reads it again
         shorter = reached[step].where(F.col("id").bitwiseAND(F.lit(3)) < longest - 1)
         history.append(_with_bits(history[step], shorter, filter_bits))
         if step >= shards:
@@ -306,8 +305,10 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int = LONGEST,
     bits = _with_bits(np.zeros(filter_bits // 64, np.uint64), numbers, filter_bits)
     final = blocks.sparkSession.sparkContext.broadcast(bits)
     found = arrow_map(blocks.select("lang", "words", "hashes", "codes"), _count_phrases(final, filter_bits, longest), COUNTS)
-    return materialize(found.groupBy("lang", "phrase").agg(F.max("len").alias("len"), F.sum("n").alias("n"))
-                       .where(F.col("n") >= threshold), "frequent-phrases")
+    counted = materialize(found.groupBy("lang", "phrase").agg(F.max("len").alias("len"), F.sum("n").alias("n"))
+                          .where(F.col("n") >= threshold), "frequent-phrases")
+    final.destroy()
+    return counted
 
 
 # ------------------------------------------------------------------- scoring

@@ -70,6 +70,9 @@ _KEYWORDS = re.compile(rb"passw|secret|token|api_?key|credential|private|auth|be
 _PLAIN = re.compile(rb"[A-Z\x80-\xff]?[a-z\x80-\xff]{0,23}[.,;!?]?")
 _PIECE = re.compile(rb"[A-Z\x80-\xff]?[a-z\x80-\xff]+|[A-Z]+|[0-9]+|([^A-Za-z0-9\x80-\xff])\1*")
 _TRIM = "\"'`()[]{}<>,;:!?"
+_TRIM_BYTES = _TRIM.encode()
+_SIGNS = (b"0123456789", bytes(range(97, 123)), bytes(range(65, 91)))
+_CHANGE = re.compile(rb"[0-9][A-Za-z]|[A-Za-z][0-9]|[a-z][A-Z]")
 _PADDING = re.compile(r"(?:={1,2}(?=$|[\s\"'`)\]},;]))?")   # of base 64, behind a value
 
 
@@ -87,16 +90,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def is_plain(word: bytes) -> bool:
+    return _PLAIN.fullmatch(word) is not None and not _KEYWORDS.search(word)
+
+
 def word_features(word: bytes) -> tuple[str, ...]:
     """The class of a word: its shape and, for marked words, what they say."""
-    if _PLAIN.fullmatch(word) and not _KEYWORDS.search(word):
+    if is_plain(word):
         return ("plain",)
-    core = word.strip(_TRIM.encode())
-    digits = sum(48 <= c < 58 for c in core)
-    lower = sum(97 <= c < 123 for c in core)
-    upper = sum(65 <= c < 91 for c in core)
-    other = len(core) - digits - lower - upper
+    core = word.strip(_TRIM_BYTES)
     size = len(core)
+    digits, lower, upper = (size - len(core.translate(None, signs)) for signs in _SIGNS)
+    other = size - digits - lower - upper
     out = [f"size{min(size.bit_length(), 8)}"]
     if _KEYWORDS.search(word):
         out.append("keyword")
@@ -135,51 +140,52 @@ def file_bucket(share: float) -> int:
 
 def pieces(word: bytes) -> list[tuple[int, int]]:
     """(start, end) of the pieces of a word, in bytes; an ordinary word is one."""
-    if word_features(word) == ("plain",):
+    if is_plain(word):
         return [(0, len(word))]
     return [m.span() for m in _PIECE.finditer(word)]
 
 
 def _random_looking(part: bytes) -> bool:
     """Whether letters and digits are mixed as in no word or number."""
-    digits = sum(48 <= c < 58 for c in part)
-    upper, lower = any(65 <= c < 91 for c in part), any(97 <= c < 123 for c in part)
-    changes = len(re.findall(rb"[0-9][A-Za-z]|[A-Za-z][0-9]|[a-z][A-Z]", part))
-    return len(part) >= 10 and bool(digits) and (upper or lower) and changes >= 3
+    if len(part) < 10:
+        return False
+    digits, lower, upper = (len(part) - len(part.translate(None, signs)) for signs in _SIGNS)
+    return bool(digits and (upper or lower)) and len(_CHANGE.findall(part)) >= 3
 
 
 def piece_features(word: bytes) -> list[tuple[str, ...]]:
     """The class of each piece of a word: what it is, its place in its segment
     (words are segmented at assignment signs, signs at the edges are apart), and
     whether the segment looks random."""
-    spots = pieces(word)
-    if len(spots) == 1 and word_features(word) == ("plain",):
+    if is_plain(word):
         return [("p-plain",)]
-    trim = _TRIM.encode()
-    core = word.strip(trim + b"=")
+    spots = [m.span() for m in _PIECE.finditer(word)]
+    core = word.strip(_TRIM_BYTES + b"=")
     begin = word.index(core) if core else 0
     stop = begin + len(core)
-    signs = [i for i, (a, b) in enumerate(spots) if word[a:a + 1] in (b"=", b":") and a < stop]
+    signs = [i for i, (a, _) in enumerate(spots) if word[a:a + 1] in (b"=", b":") and a < stop]
+    segments: dict[tuple[int, int], tuple[int, int, str]] = {}
     out = []
     for i, (a, b) in enumerate(spots):
         part = word[a:b]
         kind = "digits" if part[:1].isdigit() else "upper" if part.isupper() else "letters" if part[:1].isalpha() or part[0] > 127 \
             else "sign" + part[:1].decode()
         found = ["p-" + kind, f"p-size{min((b - a).bit_length(), 5)}"]
-        left = next((spots[j][1] for j in reversed(signs) if j < i), begin)
-        right = next((spots[j][0] for j in signs if j > i), stop)
         if a < begin or b > stop or i in signs:
             found.append("p-edge")
         else:
-            segment = word[left:right].strip(trim)
-            low = word.index(segment, left) if segment else left
-            random_looking = "random" if _random_looking(segment) else "ordinary"
-            place = "only" if a <= low and b >= low + len(segment) else "first" if a <= low \
-                else "last" if b >= low + len(segment) else "middle"
-            found += [f"p-{random_looking}", f"p-{random_looking}-{place}"]
-        if any(j < i for j in signs):
+            left = next((spots[j][1] for j in reversed(signs) if j < i), begin) if signs else begin
+            right = next((spots[j][0] for j in signs if j > i), stop) if signs else stop
+            if (left, right) not in segments:
+                segment = word[left:right].strip(_TRIM_BYTES)
+                low = word.index(segment, left) if segment else left
+                segments[left, right] = low, low + len(segment), "random" if _random_looking(segment) else "ordinary"
+            low, high, looks = segments[left, right]
+            place = "only" if a <= low and b >= high else "first" if a <= low else "last" if b >= high else "middle"
+            found += [f"p-{looks}", f"p-{looks}-{place}"]
+        if signs and any(j < i for j in signs):
             found.append("p-after-sign")
-        if any(j > i for j in signs):
+        if signs and any(j > i for j in signs):
             found.append("p-before-sign")
         if _KEYWORDS.search(part):
             found.append("p-keyword")
@@ -592,7 +598,7 @@ class Scanner:
         return found
 
     def entry_of(self, word: bytes) -> int:
-        if self.entries and _PLAIN.fullmatch(word) and not _KEYWORDS.search(word):
+        if self.entries and is_plain(word):
             self.words[word] = 0  # most words: the entry of the plain word
             return 0
         key = (self.class_of(word_features(word)), *map(self.class_of, piece_features(word)))
