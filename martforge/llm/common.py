@@ -17,12 +17,15 @@ from pyspark.sql import types as T
 from ..session import materialize, new_work_dir
 
 __all__ = ["table", "materialize", "new_work_dir", "binary_view", "null_mask", "ranged_running_sum", "arrow_map", "share_code",
-           "shuffle_partitions", "text_or_empty", "packed", "unused_name", "with_fields"]
+           "shuffle_partitions", "text_or_empty", "packed", "split_by_keys", "unused_name", "with_fields"]
 
 #: The word separators of the package: blank and the ASCII controls 9-13.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bits by which rows are told apart before they are moved (``split_by_keys``).
+KEY_BITS = 1 << 26
+
 
 _SHARED: set[str] = set()
 
@@ -57,6 +60,25 @@ def packed(rows: DataFrame, **derived: Column) -> DataFrame:
     return rows.select(whole, *[column.alias(name) for name, column in derived.items()])
 
 
+def split_by_keys(rows: DataFrame, columns: list[str], keys: DataFrame, key_columns: list[str],
+                  bits: int = KEY_BITS) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``columns`` are surely not among ``keys``, the others), so that
+    a join with the keys need not move the first. Every key sets one of ``bits``
+    bits by its hash; the words of that bit array, at most ``bits`` / 64 narrow
+    rows however many keys there are, are broadcast. The others hold every row
+    of a key and, by chance, some more: an exact join has to decide."""
+    def spot(names):
+        return F.pmod(F.xxhash64(*names), F.lit(bits).cast("long"))
+    at = keys.select(spot(key_columns).alias("_at"))
+    words = at.groupBy(F.shiftright("_at", 6).alias("_word")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_at & 63 AS int))")).alias("_bits"))
+    words = materialize(words, "key-bits")
+    marked = rows.withColumn("_at", spot(columns)).withColumn("_word_at", F.shiftright("_at", 6)) \
+        .join(F.broadcast(words), F.col("_word_at") == F.col("_word"), "left") \
+        .withColumn("_hit", F.expr("coalesce(shiftright(_bits, cast(_at & 63 AS int)) & 1L, 0L) = 1"))
+    return tuple(marked.where(side).select(*rows.columns) for side in (~F.col("_hit"), F.col("_hit")))
+
+
 def unused_name(rows: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column has it in any case."""
     taken = {c.lower() for c in rows.columns}

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, binary_view, materialize, packed, text_or_empty
+from .common import arrow_map, binary_view, materialize, packed, split_by_keys, text_or_empty
 
 CHUNK_BITS = 12          # a cut at every 2**12 bytes on average
 MAX_CHUNK = 1 << 16      # a longer chunk is cut at multiples of this size
@@ -180,17 +180,20 @@ def exact_dedup(docs: DataFrame, fingerprint_of: Callable = fingerprint) -> Data
 
 
 def keep_exact_unique(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that exact deduplication keeps, all columns."""
+    """The rows of ``docs`` that exact deduplication keeps, all columns. Texts are
+    moved only for the rows that may have to go (``split_by_keys``)."""
     decided = materialize(exact_dedup(docs), "exact-decisions")
     dropped = decided.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sum")) \
         .agg(F.count(F.lit(1)).alias("_rows"), F.max(F.col("kept").cast("int")).alias("_kept")) \
         .filter("_rows > 1 or _kept = 0")
     # Written first, so that Spark knows their size: few are broadcast.
     dropped = materialize(dropped, "dropped-copies")
-    # Rows that repeat both doc_id and text: one of them stays.
-    repeated = materialize(dropped.filter("_rows > 1 and _kept = 1").select("_id", "_sum"), "repeated-rows")
     keyed = packed(docs, _doc=F.col("doc_id"), _own=F.sha2(text_or_empty(), 256))
     on = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sum"))
-    single = keyed.join(dropped.select("_id", "_sum"), on, "left_anti")
-    repeats = keyed.join(repeated, on, "left_semi").dropDuplicates(["_doc", "_own"])
-    return single.unionByName(repeats).select("_row.*")
+    others, found = split_by_keys(keyed, ["_doc", "_own"], dropped, ["_id", "_sum"])
+    rows = others.unionByName(found.join(dropped.select("_id", "_sum"), on, "left_anti"))
+    # Rows that repeat both doc_id and text: one of them stays.
+    repeated = materialize(dropped.filter("_rows > 1 and _kept = 1").select("_id", "_sum"), "repeated-rows")
+    if not repeated.isEmpty():
+        rows = rows.unionByName(found.join(repeated, on, "left_semi").dropDuplicates(["_doc", "_own"]))
+    return rows.select("_row.*")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, packed, ranged_running_sum, text_or_empty
+from .common import WORD, materialize, packed, ranged_running_sum, split_by_keys, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -67,14 +67,19 @@ def _finish(epoch: Column) -> Column:
     return ((epoch * F.col("source_size") + F.col("cum")).cast("double")) / F.col("target")
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, taken
-    (words), copies (how often the document is in the mix)."""
+def _spot(seed: str, doc_id: str = "doc_id") -> Column:
+    return F.md5(F.concat_ws(":", F.lit(seed), F.col(doc_id).cast("string")))
+
+
+def _queues(docs: DataFrame, weights: tuple, max_epochs: int, seed: str) -> DataFrame:
+    """The queues of all sources, each in the order of spot, doc_id and size, with
+    ``copies``: how many of its epochs the mix takes of a row. Within a source
+    and an epoch the mix takes the rows up to some place in the queue."""
     sizes = materialize(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
     targets = materialize(source_targets(sizes, weights, max_epochs), "targets")
     shuffled = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])) \
         .select("doc_id", "size", targets["source"], "source_size", "rank", "target",
-                F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("spot"))
+                _spot(seed).alias("spot"))
     queued = ranged_running_sum(materialize(shuffled, "shuffled"), ["rank", "spot", "doc_id", "size"], "size", "rank") \
         .withColumnRenamed("running", "cum")
     queued = materialize(queued, "queued")
@@ -96,8 +101,15 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS,
                                       F.lit(e).alias("epoch"), F.col("cum")) <= last, 1).otherwise(0)
                       for e in range(max_epochs)), F.lit(0))
         copies = F.when((F.col("size") > 0) & (F.col("target") > 0), copies).otherwise(0)
-    return queued.select("doc_id", "size", "source", "source_size", "target",
-                         (F.col("size") * copies).cast("long").alias("taken"), copies.cast("int").alias("copies"))
+    return queued.withColumn("copies", copies.cast("int"))
+
+
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """One row per document: doc_id, size, source, source_size, target, taken
+    (words), copies (how often the document is in the mix)."""
+    return _queues(docs, weights, max_epochs, seed).select(
+        "doc_id", "size", "source", "source_size", "target",
+        (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS,
@@ -105,21 +117,35 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int =
     """The rows of the mix with all columns of ``docs``: each document as often
     as it was taken, none that was not. Rows that repeat a (doc_id, source,
     size) are interchangeable for the mix but may differ in other columns;
-    they share the copies that fell to them in order of text."""
-    decided = mix(docs, weights, max_epochs, seed)
-    # Written: it is small, read twice, and Spark then knows its size.
-    per = materialize(decided.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_words"))
-                      .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).filter("_copies > 0"), "copies")
-    on = F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_from").eqNullSafe(F.col("_source")) \
-        & (F.col("_own") == F.col("_words"))
-    keyed = packed(docs, _doc=F.col("doc_id"), _from=F.col("source"), _own=word_count(), _text=text_or_empty())
-    rows = keyed.drop("_text").join(per.filter("_rows = 1"), on).select("_row", F.col("_copies").alias("_n"))
-    if not per.filter("_rows > 1").isEmpty():
+    they share the copies that fell to them in order of text.
+
+    Texts stay where they are: a row's place in its queue follows from its own
+    values, and up to which place an epoch of a source is taken is one row a
+    source. Only rows that repeat a (doc_id, source, size) are moved."""
+    queues = _queues(docs, weights, max_epochs, seed)
+    epochs = range(max_epochs)
+    place = F.struct("spot", "doc_id", "size")
+    # Written: small, and Spark then knows its size.
+    ends = materialize(queues.where("copies > 0").groupBy(F.col("source").alias("_source"))
+                       .agg(*[F.max(F.when(F.col("copies") > e, place)).alias(f"_end{e}") for e in epochs]), "mix-ends")
+    ties = materialize(queues.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_of"), F.col("size").alias("_words"))
+                       .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).filter("_rows > 1"), "mix-ties")
+    single = packed(docs, _doc=F.col("doc_id"), _from=F.col("source"), _own=word_count(), _text=text_or_empty())
+    found = None
+    if not ties.isEmpty():
+        on = F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_from").eqNullSafe(F.col("_of")) & (F.col("_own") == F.col("_words"))
+        others, found = split_by_keys(single, ["_doc", "_from", "_own"], ties, ["_id", "_of", "_words"])
+        single = others.unionByName(found.join(ties, on, "left_anti"))
+    here = F.struct(_spot(seed, "_doc").alias("spot"), F.col("_doc").alias("doc_id"), F.col("_own").alias("size"))
+    n = sum((F.when(here <= F.col(f"_end{e}"), 1).otherwise(0) for e in epochs), F.lit(0))
+    rows = single.drop("_text").where("_own > 0").join(ends, F.col("_from").eqNullSafe(F.col("_source"))) \
+        .select("_row", n.cast("long").alias("_n"))
+    if found is not None:
         # Ranked by a range sort: such a group may hold any share of the rows.
-        ties = keyed.join(per.filter("_rows > 1"), on).select(
-            "_row", "_text", "_copies", "_rows", F.to_json(F.struct("_id", "_source", "_words")).alias("_group"),
+        tied = found.join(ties.where("_copies > 0"), on).select(
+            "_row", "_text", "_copies", "_rows", F.to_json(F.struct("_id", F.col("_of").alias("_source"), "_words")).alias("_group"),
             F.lit(1).cast("long").alias("_one"))
-        ranked = ranged_running_sum(ties, ["_group", "_text"], "_one", "_group")
+        ranked = ranged_running_sum(tied, ["_group", "_text"], "_one", "_group")
         extra = F.when(F.col("running") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
         rows = rows.unionByName(ranked.select("_row", (F.floor(F.col("_copies") / F.col("_rows")) + extra).alias("_n")))
     return rows.filter("_n > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy")) \

@@ -63,3 +63,17 @@ def test_cuts_depend_on_the_content_only():
     same = np.zeros(400_000, np.uint8)
     edges, _ = X.cut_points(same, np.array([0, len(same)]))
     assert np.diff(edges).max() <= X.MAX_CHUNK
+
+
+def test_rows_of_no_key_are_not_moved(spark):
+    from martforge.llm.common import split_by_keys
+    rows = spark.createDataFrame([(i % 50 or None, f"t{i}") for i in range(200)], "a int, b string")
+    keys = spark.createDataFrame([(None, "t0"), (7, "t7"), (8, "t999")], "x int, y string")
+    for bits in (1 << 26, 64):
+        others, found = split_by_keys(rows, ["a", "b"], keys, ["x", "y"], bits)
+        assert others.columns == found.columns == rows.columns
+        assert "hashpartitioning" not in others._jdf.queryExecution().executedPlan().toString()
+        one, two = [list(map(tuple, d.collect())) for d in (others, found)]
+        assert sorted(one + two, key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+        assert {(None, "t0"), (7, "t7")} <= set(two) and (bits == 64 or len(two) == 2)
+    assert split_by_keys(rows, ["a", "b"], keys.limit(0), ["x", "y"])[0].count() == 200

@@ -68,3 +68,19 @@ def test_repeated_rows_share_their_copies(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     taken = sum(r.copies for r in mixing.mix(docs).collect())
     assert mixing.mixed_documents(docs).count() == taken
+
+
+def test_texts_of_the_mix_stay_where_they_are(spark):
+    """Also where a row of a repeated key ties with the last one taken."""
+    from collections import Counter
+    rows = [(i if i % 9 else None, "w " * (i % 7), f"s{i % 3}" if i % 4 else None) for i in range(90)]
+    single = spark.createDataFrame([r for r in rows if r[0]], "doc_id bigint, text string, source string")
+    mixed = mixing.mixed_documents(single)
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "hashpartitioning" in x and "_row" in x]
+    assert Counter(r.doc_id for r in mixed.collect()) == +Counter({r.doc_id: r.copies for r in mixing.mix(single).collect()})
+    docs = spark.createDataFrame(rows + rows[:30], "doc_id bigint, text string, source string")
+    want = Counter()
+    for r in mixing.mix(docs).collect():
+        want[r.doc_id, r.source, r.size] += r.copies
+    assert Counter((r.doc_id, r.source, len(r.text.split())) for r in mixing.mixed_documents(docs).collect()) == +want
