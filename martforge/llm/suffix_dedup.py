@@ -50,8 +50,9 @@ from .common import arrow_map, binary_view, materialize, share_code, shuffle_par
 LENGTH = 50
 RUN_BYTES = 4 << 20    # text of a run; a longer document is a run of its own
 HOT_RUNS = 1024        # runs that share a hash from which it is hot
-SLICE = 2 << 20        # bytes hashed at once
+SLICE = 1 << 17        # bytes hashed at once: their numbers stay in a core's cache
 HASH_BITS = 48
+SMALL_GROUP = 8        # entries up to which a group is compared by pairs, which is then quicker
 NO_ID = np.iinfo(np.int64).max
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -165,7 +166,7 @@ class Run:
     def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, length: int, buckets: int):
         self.ids, self.data, self.offsets, self.length, self.buckets = ids, data, offsets, length, buckets
         spots, values = anchors(data, offsets, length)
-        order = np.argsort(values, kind="stable")
+        order = np.argsort(values)
         self.spots, values = spots[order], values[order]
         self.owner = np.searchsorted(offsets, self.spots, side="right") - 1
         new = np.append(True, values[1:] != values[:-1]) if len(values) else np.zeros(0, bool)
@@ -203,10 +204,10 @@ class Run:
 
     def covered(self, answers: list[tuple[int, bytes]], masks: list[tuple[int, int, bytes]]) -> np.ndarray:
         """Whether each byte of the run goes."""
-        starts = np.zeros(len(self.data) + 1, np.int32)
+        starts = np.zeros(len(self.data) + 1, bool)
         for kind, entries in enumerate(self.entries(answers)):
             entries.mark(starts, [(b, raw) for k, b, raw in masks if k == kind])
-        gone = np.cumsum(starts[:-1] > 0)
+        gone = np.cumsum(starts[:-1], dtype=np.int32)
         gone[self.length:] -= gone[:-self.length].copy()
         return gone > 0
 
@@ -271,17 +272,18 @@ class Entries:
                                    self.least[self.edges[b]:self.edges[b + 1]], self.run.length, self.back)
 
     def mark(self, starts: np.ndarray, masks: list[tuple[int, bytes]]) -> None:
-        """Count in ``starts`` the strings that a smaller doc_id has."""
+        """Mark in ``starts`` the strings that a smaller doc_id has."""
         found = np.zeros(len(self.least), np.uint64)
         for b, raw in masks:
             found[self.edges[b]:self.edges[b + 1]] = np.frombuffer(unpacked(raw), "<u8")
         bits = found[self.entry]
         # Behind the smallest doc_id of an equal entry everything repeats.
         bits[self.docs > self.least[self.entry]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        some = np.flatnonzero(bits)
+        bits, spots, before, after = bits[some], self.spots[some], self.before[some], self.after[some]
         for o in range(self.back + 1):
-            hit = (bits >> np.uint64(o) & np.uint64(1)).astype(bool) \
-                & (o <= self.before) & (self.run.length - o <= self.after)
-            np.add.at(starts, self.spots[hit] - o, 1)
+            hit = (bits >> np.uint64(o) & np.uint64(1)).astype(bool) & (o <= before) & (self.run.length - o <= after)
+            starts[spots[hit] - o] = True
 
 
 def pack_suffixes(rows: np.ndarray, least: np.ndarray, length: int, back: int) -> bytes:
@@ -377,6 +379,32 @@ def merge_runs(runs: list[Iterator[tuple[bytes, int]]]) -> Iterator[tuple[bytes,
         winner = play(winner, (winner + k) >> 1) if k > 1 else winner
 
 
+def _pair_masks(group: list[tuple], length: int) -> Iterator[tuple[int, int, int]]:
+    """``group_masks`` by pairs: two entries with L equal bytes before the spot and
+    R from it on share the strings that start length - R to L bytes before it."""
+    from_bytes = int.from_bytes
+    numbers = [(from_bytes(right, "big"), from_bytes(left, "big"), len(left), after, doc)
+               for right, left, after, doc, _, _ in group]
+    masks = [0] * len(group)
+    for i in range(1, len(group)):
+        right, left, n_left, after, doc = numbers[i]
+        for j in range(i):
+            other_right, other_left, other_n, other_after, other_doc = numbers[j]
+            if doc == other_doc:
+                continue
+            x = right ^ other_right
+            first = max((x.bit_length() + 7) >> 3, length - after, length - other_after)   # length - R
+            x = left ^ other_left
+            last = min(n_left, other_n)
+            if x:
+                last = min(last, ((x & -x).bit_length() - 1) >> 3)
+            if first <= last:
+                masks[i if doc > other_doc else j] |= (2 << last) - (1 << first)
+    for i, mask in enumerate(masks):
+        if mask:
+            yield group[i][4], group[i][5], mask
+
+
 def group_masks(group: list[tuple], length: int, back: int) -> Iterator[tuple[int, int, int]]:
     """(run, place, mask) of the entries of a group: bit o is set if the string
     that starts o bytes before the spot occurs with a smaller doc_id."""
@@ -388,6 +416,9 @@ def group_masks(group: list[tuple], length: int, back: int) -> Iterator[tuple[in
             if doc > least:
                 yield run, place, (1 << (back + 1)) - 1
         return
+    if len(group) <= SMALL_GROUP:
+        yield from _pair_masks(group, length)
+        return
     masks = [0] * len(group)
     for o in range(back + 1):
         smallest: dict[tuple[bytes, bytes], int] = {}

@@ -99,3 +99,22 @@ def test_equal_strings_have_equal_anchors():
         for a, b in zip(offsets, offsets[1:]):
             for p in range(a, b - length + 1):
                 assert any(p <= s < p + width for s in spots)
+
+
+def test_pairs_give_the_masks_of_whole_groups(monkeypatch):
+    rng, some = random.Random(3), 0
+    for _ in range(2000):
+        length = rng.choice([8, 12, 50])
+        back, share = length - length // 2 - 1, length // 2 + 1
+        group = []
+        for run in range(rng.randint(2, 8)):
+            after = rng.randint(share, length)
+            right = (b"a" * share + bytes(rng.choice(b"aaaaab\0") for _ in range(length - share)))[:after].ljust(length, b"\0")
+            left = bytes(rng.choice(b"aaaaaab\0") for _ in range(rng.randint(0, back)))
+            group.append((right, left, after, rng.randint(1, 4), run, 0))
+        with monkeypatch.context() as m:
+            m.setattr(S, "SMALL_GROUP", 0)
+            whole = list(S.group_masks(group, length, back))
+        assert list(S.group_masks(group, length, back)) == whole
+        some += bool(whole)
+    assert some > 500
