@@ -16,7 +16,8 @@ one full cycle of every phrase, whatever the bits of other phrases do: a chance
 hit costs a counted phrase more, never a wrong count.
 
 While shards are scanned, phrases go by a 64-bit number (hash and length), so a
-step moves two numbers a phrase, and its counts are written once. Of the last
+step moves two numbers a phrase, sorted and packed by ranges of numbers, and its
+counts are added up a range at a time and written once. Of the last
 cycle's counts only those of phrases with a high count in some shard are moved and
 added up (a second bit array tells which): a sum of ``threshold`` over the shards has one of threshold / shards or more.
 Two phrases with one number could only make it reach the threshold too early. A
@@ -25,8 +26,8 @@ results are exact counts of texts.
 
 On Spark: texts are split once into blocks (a dictionary of words and their
 codes) in a table partitioned by shard; counting works on arrays of codes, block
-by block. Counts are added up by phrase with partial aggregation, so a phrase
-that is everywhere is one row a task. The driver receives the bits newly set (at
+by block. A block sends one count a phrase, so a phrase that is everywhere is one
+entry a block; the ranges are of hashes and as many as shuffle partitions. The driver receives the bits newly set (at
 most ``filter_bits`` / 64 rows a step). All steps are written tables in the shared
 folder.
 
@@ -39,6 +40,7 @@ gives an empty result; ids and other columns are not read, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, new_work_dir, ranged_running_sum
+from .common import arrow_map, materialize, new_work_dir, ranged_running_sum, shuffle_partitions
 
 LONGEST = 4
 SHARDS = 4
@@ -57,7 +59,7 @@ BLOCK_BYTES = 4 << 20          # text in a block; a longer text is a block of it
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]+"
 BREAK = -1                     # code between two pieces
 BLOCKS = "lang string, words array<string>, hashes binary, codes binary, n_words bigint, shard int"
-NUMBERED = "id bigint, n bigint"
+PARTS = "bucket int, part binary"
 COUNTS = "lang string, phrase string, len int, n bigint"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -208,9 +210,28 @@ def _block_arrays(batches: Iterator[pa.RecordBatch]):
                    np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers, one byte plane after another: small ones compress well."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unplaned(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _packed_counts(ids: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending numbers as differences, and their counts."""
+    return _planes(np.diff(ids, prepend=np.uint64(0))) + _planes(n)
+
+
+def _unpacked_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    half = len(raw) // 2
+    return np.cumsum(_unplaned(raw[:half]), dtype=np.uint64), _unplaned(raw[half:]).astype(np.int64)
+
+
 def _count_numbers(now, before, filter_bits: int, longest: int) -> Callable:
-    """(number, count) of the phrases of each block that are being counted.
-    ``before`` is None in the first cycle: single words are counted then."""
+    """(number, count) of the phrases of each block that are being counted, in
+    order. ``before`` is None in the first cycle: single words are counted then."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = tuple(b.value for b in (now, before) if b is not None)
         for _, _, lang, hashes, codes in _block_arrays(batches):
@@ -226,18 +247,50 @@ def _count_numbers(now, before, filter_bits: int, longest: int) -> Callable:
     return run
 
 
-def _rows_with_bits(some, filter_bits: int) -> Callable:
-    """The rows whose ``id`` is in the array."""
+def _by_bucket(count: Callable, buckets: int) -> Callable:
+    """What ``count`` yields, packed by bucket, which is a range of numbers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in count(batches):
+            ids, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "n"))
+            ids = ids.view(np.uint64)
+            edges = np.searchsorted((ids >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+            held = np.flatnonzero(np.diff(edges)).tolist()
+            parts = [_packed_counts(ids[edges[b]:edges[b + 1]], n[edges[b]:edges[b + 1]]) for b in held]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(parts, pa.binary())], names=["bucket", "part"])
+    return run
+
+
+def _add_counts(table: pa.Table) -> pa.Table:
+    """The parts of a bucket as one, with the counts of a number added up."""
+    parts = [_unpacked_counts(p) for p in table.column("part").to_pylist()]
+    ids, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(ids)
+    ids, n = ids[order], n[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    return pa.table([table.column("bucket").slice(0, 1), pa.array([_packed_counts(ids[first], np.add.reduceat(n, first))], pa.binary())],
+                    names=["bucket", "part"])
+
+
+def _unpack(pick: Callable) -> Callable:
+    """Rows (id, n) of the packed numbers that ``pick(ids, n)`` lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = some.value
         for batch in batches:
-            number = batch.column("id").to_numpy(zero_copy_only=False).view(np.uint64)
-            hit = _has(bits, number, filter_bits)
-            if hit.any():
-                yield batch.filter(pa.array(hit))
+            for part in batch.column("part"):
+                ids, n = _unpacked_counts(part.as_py())
+                hit = pick(ids, n)
+                if hit.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[hit].view(np.int64)), pa.array(n[hit])], names=["id", "n"])
     return run
 
 
+def _with_some(some, filter_bits: int) -> Callable:
+    return lambda ids, n: _has(some.value, ids, filter_bits)
+
+
+def _from_count(high: int) -> Callable:
+    return lambda ids, n: n >= high
+
+
 def _count_phrases(final, filter_bits: int, longest: int) -> Callable:
     """(lang, phrase, length, count) of the phrases whose numbers are in the array."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,26 +313,24 @@ def reached_numbers(blocks: DataFrame, threshold: int, longest: int = LONGEST, s
                     filter_bits: int = FILTER_BITS) -> tuple[list[DataFrame], int]:
     """The interleaved scans: per step the numbers that reached ``threshold`` in
     it (written tables with ``id``), and the number of steps."""
-    context = blocks.sparkSession.sparkContext
+    context, buckets = blocks.sparkSession.sparkContext, shuffle_partitions(blocks.sparkSession)
     history = [np.zeros(filter_bits // 64, np.uint64)]     # the bit array as each step found it
     counts, reached, step = [], [], 0
     high, high_bits = -(-threshold // shards), np.zeros(filter_bits // 64, np.uint64)
     while step < shards or not np.array_equal(history[step], history[step - shards]):
         shared = [context.broadcast(history[step]), context.broadcast(history[step - shards]) if step >= shards else None]
         scanned = blocks.where(F.col("shard") == step % shards).select("lang", "hashes", "codes")
-        found = arrow_map(scanned, _count_numbers(*shared[:2], filter_bits, longest), NUMBERED)
-        counts.append(materialize(found.groupBy("id").agg(F.sum("n").alias("n")), "phrase-counts"))
+        found = arrow_map(scanned, _by_bucket(_count_numbers(*shared[:2], filter_bits, longest), buckets), PARTS)
+        counts.append(materialize(found.groupBy("bucket").applyInArrow(_add_counts, PARTS), "phrase-counts"))
         cycle = counts[max(0, step - shards + 1):]
-        rows = cycle[0].select("id", "n", F.lit(len(cycle) == 1).alias("now"))
-        for i, c in enumerate(cycle[1:], 2):
-            rows = rows.unionByName(c.select("id", "n", F.lit(i == len(cycle)).alias("now")))
         # Numbers with a high count in some shard; others that the bits let through
         # by chance cost a row, as the sums are exact.
-        high_bits = _with_bits(high_bits, counts[step].where(F.col("n") >= high), filter_bits)
+        high_bits = _with_bits(high_bits, arrow_map(counts[step], _unpack(_from_count(high)), "id bigint, n bigint"), filter_bits)
         some = context.broadcast(high_bits)
         total, new = F.sum("n"), F.coalesce(F.sum(F.when(F.col("now"), F.col("n"))), F.lit(0))
-        sums = arrow_map(rows, _rows_with_bits(some, filter_bits), "id bigint, n bigint, now boolean") \
-            .groupBy("id").agg(total.alias("total"), new.alias("new"))
+        rows = [arrow_map(c, _unpack(_with_some(some, filter_bits)), "id bigint, n bigint")
+                .withColumn("now", F.lit(i == len(cycle))) for i, c in enumerate(cycle, 1)]
+        sums = reduce(DataFrame.unionByName, rows).groupBy("id").agg(total.alias("total"), new.alias("new"))
         reached.append(materialize(sums.where((F.col("total") >= threshold) & (F.col("total") - F.col("new") < threshold))
                                    .select("id"), "phrases-reached"))
         shared.append(some)

@@ -114,3 +114,21 @@ def test_long_text_many_languages_and_empty_table(spark):
     got = {r.phrase: r for r in C.collocations(make(spark, rows), threshold=30, top=5).where("lang = 'en'").collect()}
     assert got["alpha beta gamma alpha"].a == 119_999 and got["alpha beta gamma alpha"].n == 360_000
     assert C.collocations(make(spark, []), threshold=2).collect() == []
+
+
+def test_numbers_move_packed_by_range():
+    rng = np.random.default_rng(7)
+    ids = np.unique(rng.integers(0, 1 << 64, 5000, dtype=np.uint64))
+    n = rng.integers(1, 4, len(ids))
+    n[0] = (1 << 61) + 1
+    again = C._unpacked_counts(C._packed_counts(ids, n))
+    assert np.array_equal(again[0], ids) and np.array_equal(again[1], n)
+    halves = [pa.RecordBatch.from_arrays([pa.array(ids[k::2].view(np.int64)), pa.array(n[k::2])], names=["id", "n"]) for k in (0, 1)]
+    parts = pa.Table.from_batches(C._by_bucket(iter, 7)(halves + halves[:1]))
+    assert sorted(set(parts.column("bucket").to_pylist())) == list(range(7)) and len(parts) == 21
+    sums = [C._add_counts(parts.filter(C.pc.equal(parts.column("bucket"), b))) for b in range(7)]
+    want = n.copy()
+    want[::2] *= 2
+    found = pa.Table.from_batches(x for t in sums for x in C._unpack(C._from_count(2))(t.to_batches()))
+    assert found.column("id").to_numpy().view(np.uint64).tolist() == ids[want >= 2].tolist()  # the ranges follow one another
+    assert found.column("n").to_pylist() == want[want >= 2].tolist()
