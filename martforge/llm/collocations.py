@@ -15,14 +15,16 @@ and not both in the second. As bits are only ever added, this holds for exactly
 one full cycle of every phrase, whatever the bits of other phrases do: a chance
 hit costs a counted phrase more, never a wrong count.
 
-While shards are scanned, phrases go by a 64-bit number (hash and length), so a
+While shards are scanned, phrases go by a number (40 bits of a hash, and the length), so a
 step moves two numbers a phrase, sorted and packed by ranges of numbers, and its
-counts are added up a range at a time and written once. Of the last
+counts are added up a range at a time and written once. Sorted numbers of few bits lie
+close together: their differences are what is moved and written, about four bytes a phrase. Of the last
 cycle's counts only those of phrases with a high count in some shard are moved and
 added up (a second bit array tells which): a sum of ``threshold`` over the shards has one of threshold / shards or more.
 Two phrases with one number could only make it reach the threshold too early. A
 last scan counts the phrases themselves whose numbers reached it, so that all
-results are exact counts of texts.
+results are exact counts of texts; these move sorted and compressed, a range of
+numbers at a time, too.
 
 On Spark: texts are split once into blocks (a dictionary of words and their
 codes) in a table partitioned by shard; counting works on arrays of codes, block
@@ -60,7 +62,10 @@ PIECE_ENDS = r"[.,;:!?\x0A-\x0D]+"
 BREAK = -1                     # code between two pieces
 BLOCKS = "lang string, words array<string>, hashes binary, codes binary, n_words bigint, shard int"
 PARTS = "bucket int, part binary"
+PHRASE_PARTS = "lang string, bucket int, len int, part binary"
 COUNTS = "lang string, phrase string, len int, n bigint"
+HASH_BITS = 40                 # of a number: its highest bits
+SPOTS = (64 - HASH_BITS, 38)   # where in a number its two places in the bit array begin
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -151,14 +156,14 @@ def _extended(h: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _number(h: np.ndarray, length: int) -> np.ndarray:
-    """The number of a phrase: its hash with the length in the last two bits."""
-    return (h & ~np.uint64(3)) | np.uint64(length - 1)
+    """The number of a phrase: the high bits of its hash, and the length in the last two bits."""
+    return (h >> np.uint64(64 - HASH_BITS) << np.uint64(64 - HASH_BITS)) | np.uint64(length - 1)
 
 
 def _has(bits: np.ndarray, number: np.ndarray, filter_bits: int) -> np.ndarray:
     """Whether both bits of each number are set."""
     mask, found = np.uint64(filter_bits - 1), None
-    for at in ((number >> np.uint64(2)) & mask, (number >> np.uint64(34)) & mask):
+    for at in ((number >> np.uint64(by)) & mask for by in SPOTS):
         hit = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
         found = hit if found is None else found & hit
     return found
@@ -167,7 +172,7 @@ def _has(bits: np.ndarray, number: np.ndarray, filter_bits: int) -> np.ndarray:
 def _with_bits(bits: np.ndarray, reached: DataFrame, filter_bits: int) -> np.ndarray:
     """``bits`` with those of the numbers ``reached.id`` added; at most one row a
     word of the array reaches the driver."""
-    at = F.explode(F.array(*[F.expr(f"shiftrightunsigned(id, {by}) & {filter_bits - 1}L") for by in (2, 34)])).alias("at")
+    at = F.explode(F.array(*[F.expr(f"shiftrightunsigned(id, {by}) & {filter_bits - 1}L") for by in SPOTS])).alias("at")
     rows = reached.select(at).select(F.expr("shiftright(at, 6)").alias("word"), F.expr("shiftleft(1L, cast(at & 63 AS int))").alias("bit")) \
         .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = bits.copy()
@@ -220,13 +225,18 @@ def _unplaned(raw: bytes) -> np.ndarray:
 
 
 def _packed_counts(ids: np.ndarray, n: np.ndarray) -> bytes:
-    """Ascending numbers as differences, and their counts."""
-    return _planes(np.diff(ids, prepend=np.uint64(0))) + _planes(n)
+    """Ascending numbers (hashes as differences, then lengths) and their counts, compressed."""
+    hashes, lengths = ids >> np.uint64(2), (ids & np.uint64(3)).astype(np.uint8)
+    raw = _planes(np.diff(hashes, prepend=np.uint64(0))) + lengths.tobytes() + _planes(n)
+    return len(ids).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
 
-def _unpacked_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    half = len(raw) // 2
-    return np.cumsum(_unplaned(raw[:half]), dtype=np.uint64), _unplaned(raw[half:]).astype(np.int64)
+def _unpacked_counts(part: bytes) -> tuple[np.ndarray, np.ndarray]:
+    held = int.from_bytes(part[:8], "little")
+    raw = memoryview(pa.decompress(part[8:], held * 17, "zstd"))
+    hashes = np.cumsum(_unplaned(raw[:held * 8]), dtype=np.uint64)
+    lengths = np.frombuffer(raw[held * 8:held * 9], np.uint8).astype(np.uint64)
+    return hashes << np.uint64(2) | lengths, _unplaned(raw[held * 9:]).astype(np.int64)
 
 
 def _count_numbers(now, before, filter_bits: int, longest: int) -> Callable:
@@ -247,13 +257,17 @@ def _count_numbers(now, before, filter_bits: int, longest: int) -> Callable:
     return run
 
 
+def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
+    return (ids >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
 def _by_bucket(count: Callable, buckets: int) -> Callable:
     """What ``count`` yields, packed by bucket, which is a range of numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in count(batches):
             ids, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "n"))
             ids = ids.view(np.uint64)
-            edges = np.searchsorted((ids >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+            edges = np.searchsorted(_bucket(ids, buckets), np.arange(buckets + 1, dtype=np.uint64))
             held = np.flatnonzero(np.diff(edges)).tolist()
             parts = [_packed_counts(ids[edges[b]:edges[b + 1]], n[edges[b]:edges[b + 1]]) for b in held]
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(parts, pa.binary())], names=["bucket", "part"])
@@ -291,8 +305,23 @@ def _from_count(high: int) -> Callable:
     return lambda ids, n: n >= high
 
 
-def _count_phrases(final, filter_bits: int, longest: int) -> Callable:
-    """(lang, phrase, length, count) of the phrases whose numbers are in the array."""
+def _packed_phrases(phrases: pa.Array, n: np.ndarray) -> bytes:
+    """Phrases in order of their bytes, one a line (no word holds a line end), and their counts, compressed."""
+    order = pc.sort_indices(phrases)
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(phrases)], pa.int32()), phrases.take(order)), "\n")[0].as_py().encode()
+    raw = _planes(n[order.to_numpy()]) + lines
+    return len(n).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(raw, asbytes=True)
+
+
+def _unpacked_phrases(part: bytes) -> tuple[pa.Array, np.ndarray]:
+    held, size = (int.from_bytes(part[at:at + 8], "little") for at in (0, 8))
+    raw = pa.decompress(part[16:], size, "zstd").to_pybytes()
+    return pc.split_pattern(pa.array([raw[held * 8:].decode()]), "\n").flatten(), _unplaned(raw[:held * 8]).astype(np.int64)
+
+
+def _count_phrases(final, filter_bits: int, longest: int, buckets: int) -> Callable:
+    """Of each block the phrases whose numbers are in the array and their counts,
+    packed by bucket, which is a range of numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = final.value
         for batch, row, lang, hashes, codes in _block_arrays(batches):
@@ -300,12 +329,30 @@ def _count_phrases(final, filter_bits: int, longest: int) -> Callable:
             for length, at, number, _ in _alive(lang, hashes, codes, (bits,), filter_bits, longest):
                 own = _has(bits, number, filter_bits)
                 parts = [words.take(pa.array(codes[at[own] + i])) for i in range(length)]
-                phrases = pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0]
-                counted = pc.value_counts(phrases)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(counted), pa.string()), counted.field("values").cast(pa.string()),
-                     pa.array(np.full(len(counted), length, np.int32)), counted.field("counts")],
-                    names=["lang", "phrase", "len", "n"])
+                phrases = (pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0]).dictionary_encode()
+                code = phrases.indices.to_numpy(zero_copy_only=False)
+                n, numbers = np.bincount(code, minlength=len(phrases.dictionary)), np.zeros(len(phrases.dictionary), np.uint64)
+                numbers[code] = number[own]
+                bucket = _bucket(numbers, buckets)
+                order = np.argsort(bucket, kind="stable")
+                edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+                held = np.flatnonzero(np.diff(edges)).tolist()
+                packed = [_packed_phrases(phrases.dictionary.take(pa.array(order[edges[b]:edges[b + 1]])), n[order[edges[b]:edges[b + 1]]])
+                          for b in held]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(held), pa.string()), pa.array(held, pa.int32()),
+                                                  pa.array([length] * len(held), pa.int32()), pa.array(packed, pa.binary())],
+                                                 names=["lang", "bucket", "len", "part"])
+    return run
+
+
+def _add_phrases(threshold: int) -> Callable:
+    """The phrases of a bucket that occur ``threshold`` times or more, with their counts added up."""
+    def run(table: pa.Table) -> pa.Table:
+        phrases, n = zip(*[_unpacked_phrases(p) for p in table.column("part").to_pylist()])
+        sums = pa.table({"phrase": pa.concat_arrays(phrases), "n": np.concatenate(n)}).group_by("phrase").aggregate([("n", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("n_sum"), threshold))
+        lang, length = (pa.repeat(table.column(c)[0], len(sums)) for c in ("lang", "len"))
+        return pa.table([lang, sums.column("phrase"), length, sums.column("n_sum")], names=["lang", "phrase", "len", "n"])
     return run
 
 
@@ -355,9 +402,9 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int = LONGEST,
         numbers = numbers.unionByName(part)
     bits = _with_bits(np.zeros(filter_bits // 64, np.uint64), numbers, filter_bits)
     final = blocks.sparkSession.sparkContext.broadcast(bits)
-    found = arrow_map(blocks.select("lang", "words", "hashes", "codes"), _count_phrases(final, filter_bits, longest), COUNTS)
-    counted = materialize(found.groupBy("lang", "phrase").agg(F.max("len").alias("len"), F.sum("n").alias("n"))
-                          .where(F.col("n") >= threshold), "frequent-phrases")
+    buckets = shuffle_partitions(blocks.sparkSession)
+    found = arrow_map(blocks.select("lang", "words", "hashes", "codes"), _count_phrases(final, filter_bits, longest, buckets), PHRASE_PARTS)
+    counted = materialize(found.groupBy("lang", "bucket", "len").applyInArrow(_add_phrases(threshold), COUNTS), "frequent-phrases")
     final.destroy()
     return counted
 
