@@ -73,3 +73,22 @@ def test_each_check_writes_the_star_it_reads(spark, monkeypatch):
         layers.__dict__["staged"] = {}
         registry._written_star(layers)
     assert len(set(roots)) == 2
+
+
+def test_facts_are_dealt_out_by_month_once(spark):
+    """Staged facts are plain files; the table alone is written by month."""
+    import os
+    root = new_work_dir(spark, "test")
+
+    class Stopped(StarTables):
+        def publish(self):
+            raise KeyboardInterrupt
+    with pytest.raises(KeyboardInterrupt):
+        Stopped(spark, root, 2).apply(staged_rows(spark))
+    staged = f"{root.removeprefix('file:')}/staged"
+    assert not [f for t in ("items", "kept") for f in os.listdir(f"{staged}/{t}") if "=" in f]
+    tables = StarTables(spark, root, 2)
+    tables.recover()
+    assert tables.table("fact_orders").count() == 4 and os.listdir(f"{root.removeprefix('file:')}/fact_orders").count(f"{MONTH}=202001") == 1
+    tables.apply(staged_rows(spark))
+    assert tables.table("fact_orders").count() == 4 and tables._read("fact_rejects").count() == 1
